@@ -5,61 +5,62 @@ rounded cent.  Measures are therefore counted in whole units of ``10**-SCALE`` h
 integer addition is associative, so every run, partitioning and retry gives the same result, and the
 partial aggregates stay in the code-generated hash map.  With ANSI mode on, a total beyond the bigint
 range raises an error rather than wrapping round.  Missing, NaN and infinite values are skipped.
+
+Like all expressions of this package these are SQL text: a whole projection then crosses from Python to
+the JVM in one call.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Four digits keep cents and hundredths of a mile exactly, with two digits to spare.
 SCALE = 4
 RATIO_SCALE = 9
 
 
-def units(value: Column, scale: int = SCALE) -> Column:
+def units(value: str, scale: int = SCALE) -> str:
     """``value`` as a whole number of ``10**-scale`` steps, half rounded up."""
-    finite = F.abs(value) < F.lit(float("inf"))
-    return F.when(finite, F.floor(value * F.lit(float(10**scale)) + F.lit(0.5)))
+    return f"CASE WHEN abs({value}) < double('Infinity') THEN floor({value} * {10**scale}D + 0.5D) END"
 
 
-def half_up(numerator: Column, denominator: Column) -> Column:
+def half_up(numerator: str, denominator: str) -> str:
     """Integer quotient, halves rounded away from zero."""
-    step = F.when(numerator < 0, -denominator).otherwise(denominator)
-    return F.call_function("div", numerator * 2 + step, denominator * 2)
+    step = f"IF({numerator} < 0, -({denominator}), {denominator})"
+    return f"((({numerator}) * 2 + {step}) div (({denominator}) * 2))"
 
 
-def as_total(unit_sum: Column, digits: int = 2, scale: int = SCALE) -> Column:
+def as_total(unit_sum: str, digits: int = 2, scale: int = SCALE) -> str:
     """A sum of units as a double rounded to ``digits``."""
-    return half_up(unit_sum, F.lit(10 ** (scale - digits))) / F.lit(float(10**digits))
+    return f"{half_up(unit_sum, str(10 ** (scale - digits)))} / {10**digits}D"
 
 
-def as_mean(unit_sum: Column, count: Column, digits: int = 2, scale: int = SCALE) -> Column:
+def as_mean(unit_sum: str, count: str, digits: int = 2, scale: int = SCALE) -> str:
     """A sum of units over ``count`` values as a double rounded to ``digits``; null for no values."""
-    rows = F.nullif(count, F.lit(0)) * F.lit(10 ** (scale - digits))
-    return half_up(unit_sum, rows) / F.lit(float(10**digits))
+    return f"{half_up(unit_sum, f'nullif({count}, 0) * {10 ** (scale - digits)}')} / {10**digits}D"
+
+
+def total(value: str, digits: int = 2) -> str:
+    return as_total(f"sum({units(value)})", digits)
 
 
-def total(value: str, digits: int = 2) -> Column:
-    return as_total(F.sum(units(F.col(value))), digits)
+def mean(value: str, digits: int = 2) -> str:
+    return as_mean(f"sum({units(value)})", f"count({units(value)})", digits)
 
 
-def mean(value: str, digits: int = 2) -> Column:
-    steps = units(F.col(value))
-    return as_mean(F.sum(steps), F.count(steps), digits)
+def share_pct(part: str, whole: str) -> str:
+    """``part`` of ``whole`` (counts) in percent with two digits; null when the whole is zero."""
+    return f"{half_up(f'{part} * 10000', f'nullif({whole}, 0)')} / 100D"
 
 
-def ratio(numerator: Column, denominator: Column) -> Column:
+def ratio(numerator: str, denominator: str) -> str:
     """``numerator / denominator``, null where the denominator is zero or missing."""
-    return numerator / F.nullif(denominator, F.lit(0.0))
+    return f"({numerator} / nullif({denominator}, 0D))"
 
 
-def mean_ratio_pct(numerator: str, denominator: str, digits: int = 2) -> Column:
+def mean_ratio_pct(numerator: str, denominator: str, digits: int = 2) -> str:
     """Mean of the row ratios in percent; rows with a zero denominator are skipped.
 
     Ratios have no natural unit, so each is kept to nine digits; a decimal sum leaves room for them.
     """
-    steps = units(ratio(F.col(numerator), F.col(denominator)), RATIO_SCALE).cast("decimal(20,0)")
-    shift = 10 ** (RATIO_SCALE - 2 - digits)
-    rows = F.nullif(F.count(steps), F.lit(0)).cast("decimal(20,0)") * F.lit(shift)
-    return half_up(F.sum(steps), rows) / F.lit(float(10**digits))
+    steps = f"CAST({units(ratio(numerator, denominator), RATIO_SCALE)} AS DECIMAL(20, 0))"
+    rows = f"CAST(nullif(count({steps}), 0) AS DECIMAL(20, 0)) * {10 ** (RATIO_SCALE - 2 - digits)}"
+    return f"{half_up(f'sum({steps})', rows)} / {10**digits}D"

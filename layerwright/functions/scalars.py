@@ -1,69 +1,86 @@
-"""Row-level expressions: durations, calendar parts, labels and flags.  All run inside code generation."""
+"""Row-level expressions as SQL text: durations, calendar parts, labels and flags."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Iterable, Mapping
 
 from ..config import OTHER_SEGMENT, TIME_SEGMENTS, UNKNOWN_LABEL, WEEKEND_DAYS, TierSpec
 
 
-def duration_minutes(start: Column, end: Column) -> Column:
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def name(column: str) -> str:
+    """A column name in backquotes."""
+    return f"`{column}`"
+
+
+def literal(value) -> str:
+    return quoted(value) if isinstance(value, str) else str(value)
+
+
+def conjunction(conditions: Iterable[str]) -> str:
+    return " AND ".join(f"({c})" for c in conditions) or "true"
+
+
+def disjunction(conditions: Iterable[str]) -> str:
+    return " OR ".join(f"({c})" for c in conditions) or "false"
+
+
+def duration_minutes(start: str, end: str) -> str:
     """Whole elapsed seconds as minutes with two digits.
 
     Whole seconds never fall on half a hundredth of a minute, so flooring after adding a half is exact
     and avoids the per-row decimal that ``round`` builds for doubles.
     """
-    seconds = F.unix_timestamp(end) - F.unix_timestamp(start)
-    return F.floor(seconds * 100 / 60 + F.lit(0.5)) / F.lit(100.0)
+    return f"floor((unix_timestamp({end}) - unix_timestamp({start})) * 100 / 60 + 0.5D) / 100D"
 
 
-def calendar_parts(time: Column, prefix: str = "pickup") -> list[Column]:
+def calendar_parts(time: str, prefix: str = "pickup") -> list[str]:
     return [
-        F.hour(time).alias(f"{prefix}_hour"),
-        F.dayofweek(time).alias(f"{prefix}_day_of_week"),
-        F.to_date(time).alias(f"{prefix}_date"),
-        F.year(time).alias(f"{prefix}_year"),
-        F.month(time).alias(f"{prefix}_month"),
+        f"hour({time}) AS {prefix}_hour",
+        f"dayofweek({time}) AS {prefix}_day_of_week",
+        f"to_date({time}) AS {prefix}_date",
+        f"year({time}) AS {prefix}_year",
+        f"month({time}) AS {prefix}_month",
     ]
 
 
-def decode(code: Column, labels: Mapping[int, str], other: str = UNKNOWN_LABEL) -> Column:
+def decode(code: str, labels: Mapping[int, str], other: str = UNKNOWN_LABEL) -> str:
     """Label of ``code``; unlisted codes and null get ``other``."""
-    result = F
-    for key, label in labels.items():
-        result = result.when(code == key, label)
-    return result.otherwise(other)
+    cases = " ".join(f"WHEN {literal(key)} THEN {quoted(label)}" for key, label in labels.items())
+    return f"CASE {code} {cases} ELSE {quoted(other)} END"
 
 
-def time_segment(hour: Column) -> Column:
-    result = F
-    for first, last, label in TIME_SEGMENTS:
-        result = result.when(hour.between(first, last), label)
-    return result.otherwise(OTHER_SEGMENT)
+def time_segment(hour: str) -> str:
+    cases = " ".join(
+        f"WHEN {hour} BETWEEN {first} AND {last} THEN {quoted(label)}" for first, last, label in TIME_SEGMENTS
+    )
+    return f"CASE {cases} ELSE {quoted(OTHER_SEGMENT)} END"
 
 
-def is_weekend(day: Column) -> Column:
-    return F.coalesce(F.dayofweek(day).isin(*WEEKEND_DAYS), F.lit(False))
+def is_weekend(day: str) -> str:
+    return f"coalesce(dayofweek({day}) IN ({', '.join(map(str, WEEKEND_DAYS))}), false)"
 
 
-def demand_tier(count: Column, tiers: TierSpec = TierSpec()) -> Column:
-    return F.when(count > tiers.high, "HIGH").when(count > tiers.medium, "MEDIUM").otherwise("LOW")
+def demand_tier(count: str, tiers: TierSpec = TierSpec()) -> str:
+    return f"CASE WHEN {count} > {tiers.high} THEN 'HIGH' WHEN {count} > {tiers.medium} THEN 'MEDIUM' ELSE 'LOW' END"
 
 
-def hour_boundaries(start: Column, end: Column) -> Column:
+def hour_boundaries(start: str, end: str) -> str:
     """Number of full-hour marks passed between two times, as warehouses count hour differences."""
-    return F.floor(F.unix_timestamp(end) / 3600) - F.floor(F.unix_timestamp(start) / 3600)
+    return f"(floor(unix_timestamp({end}) / 3600) - floor(unix_timestamp({start}) / 3600))"
 
 
-def null_safe_false(predicate: Column) -> Column:
-    """``predicate`` with unknown counted as false: a missing value breaks no range rule."""
-    return F.coalesce(predicate, F.lit(False))
+def holds(condition: str) -> str:
+    """``condition`` with unknown counted as false: a missing value breaks no range rule."""
+    return f"coalesce({condition}, false)"
 
 
-def is_missing(name: str, dtype: str) -> Column:
+def is_missing(column: str, dtype: str) -> str:
     """Null, or NaN for floating columns."""
-    column = F.col(f"`{name}`")
-    return column.isNull() | F.isnan(column) if dtype in ("double", "float") else column.isNull()
+    c = name(column)
+    return f"{c} IS NULL OR isnan({c})" if dtype in ("double", "float") else f"{c} IS NULL"

@@ -6,11 +6,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import HOURS, SEGMENTS, TIERS, FreshnessSpec
-from ..functions.scalars import hour_boundaries
+from ..functions.scalars import holds, hour_boundaries, literal, name, quoted
 
 
 @dataclass(frozen=True)
@@ -57,40 +57,35 @@ class ContractError(Exception):
     """A published table breaks its contract."""
 
 
-def unaccepted(column: Column, values: Sequence) -> Column:
-    return F.coalesce(~column.isin(*values), F.lit(False))
+def unaccepted(contract: Accepted) -> str:
+    values = ", ".join(literal(v) for v in contract.values)
+    return holds(f"{name(contract.column)} NOT IN ({values})")
 
 
 def check_columns(df: DataFrame, contracts: Sequence[NotNull | Accepted]) -> DataFrame:
     """(check_name, column_name, failing_rows) of all single-column checks in one pass."""
     checks = []
     for contract in contracts:
-        column = F.col(contract.column)
         if isinstance(contract, NotNull):
-            name, broken = "not_null", column.isNull()
+            label, broken = "not_null", f"{name(contract.column)} IS NULL"
         else:
-            name, broken = "accepted_values", unaccepted(column, contract.values)
+            label, broken = "accepted_values", unaccepted(contract)
         checks.append(
-            F.struct(
-                F.lit(name).alias("check_name"),
-                F.lit(contract.column).alias("column_name"),
-                F.count_if(broken).alias("failing_rows"),
-            )
+            f"named_struct('check_name', '{label}', 'column_name', {quoted(contract.column)}, "
+            f"'failing_rows', count_if({broken}))"
         )
-    return df.agg(F.array(*checks).alias("checks")).select(F.inline("checks"))
+    return df.agg(F.expr(f"array({', '.join(checks)}) AS checks")).selectExpr("inline(checks)")
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys held by more than one row, with the number of rows."""
-    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
+    return df.groupBy(*key).agg(F.expr("count(*) AS copies")).where("copies > 1")
 
 
 def check_unique(df: DataFrame, contract: Unique) -> DataFrame:
-    return duplicate_keys(df, contract.columns).agg(F.count(F.lit(1)).alias("failing_rows")).select(
-        F.lit("unique").alias("check_name"),
-        F.lit(", ".join(contract.columns)).alias("column_name"),
-        "failing_rows",
-    )
+    columns = quoted(", ".join(contract.columns))
+    failing = duplicate_keys(df, contract.columns).agg(F.expr("count(*) AS failing_rows"))
+    return failing.selectExpr("'unique' AS check_name", f"{columns} AS column_name", "failing_rows")
 
 
 def check(df: DataFrame, contracts: Sequence[NotNull | Accepted | Unique]) -> DataFrame:
@@ -98,12 +93,12 @@ def check(df: DataFrame, contracts: Sequence[NotNull | Accepted | Unique]) -> Da
     single = [c for c in contracts if not isinstance(c, Unique)]
     parts = [check_columns(df, single)] if single else []
     parts += [check_unique(df, c) for c in contracts if isinstance(c, Unique)]
-    return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("failing_rows") == 0)
+    return reduce(DataFrame.unionByName, parts).selectExpr("*", "failing_rows = 0 AS passed")
 
 
 def assert_contract(df: DataFrame, contracts: Sequence[NotNull | Accepted | Unique]) -> None:
     """Raise when a check fails; the result has one row per check."""
-    failed = check(df, contracts).where(~F.col("passed")).collect()
+    failed = check(df, contracts).where("NOT passed").collect()
     if failed:
         raise ContractError(
             "; ".join(f"{r.check_name}({r.column_name}): {r.failing_rows} failing" for r in failed)
@@ -112,67 +107,55 @@ def assert_contract(df: DataFrame, contracts: Sequence[NotNull | Accepted | Uniq
 
 def unaccepted_values(df: DataFrame, contract: Accepted) -> DataFrame:
     """Each value outside the accepted list, with its rows."""
-    column = F.col(contract.column)
-    return (
-        df.where(unaccepted(column, contract.values))
-        .groupBy(column.alias("value"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
+    value = F.col(name(contract.column)).alias("value")
+    return df.where(unaccepted(contract)).groupBy(value).agg(F.expr("count(*) AS rows"))
 
 
 def freshness(
-    df: DataFrame, as_of: Column, date: str = "pickup_date", loaded: str = "_loaded_at", stale_hours: int = 48
+    df: DataFrame, as_of: str, date: str = "pickup_date", loaded: str = "_loaded_at", stale_hours: int = 48
 ) -> DataFrame:
-    """Newest data date and load time, their ages at ``as_of`` and a verdict.
+    """Newest data date and load time, their ages at ``as_of`` (a time expression) and a verdict.
 
     An empty table has no age to compare; it is reported as ``NO_DATA``, not as fresh.
     """
     newest = df.agg(F.max(date).alias("last_data_date"), F.max(loaded).alias("last_load_time"))
-    hours = hour_boundaries(F.col("last_load_time"), as_of)
-    return newest.select(
+    hours = hour_boundaries("last_load_time", as_of)
+    verdict = f"CASE WHEN last_load_time IS NULL THEN 'NO_DATA' WHEN {hours} > {stale_hours} THEN 'STALE' ELSE 'FRESH' END"
+    return newest.selectExpr(
         "last_data_date",
-        F.datediff(as_of, F.col("last_data_date")).alias("days_since_last_data"),
+        f"datediff({as_of}, last_data_date) AS days_since_last_data",
         "last_load_time",
-        hours.alias("hours_since_load"),
-        F.when(F.col("last_load_time").isNull(), "NO_DATA")
-        .when(hours > stale_hours, "STALE")
-        .otherwise("FRESH")
-        .alias("freshness_status"),
+        f"{hours} AS hours_since_load",
+        f"{verdict} AS freshness_status",
     )
 
 
 def source_freshness(
-    df: DataFrame, as_of: Column, loaded: str = "_loaded_at", limits: FreshnessSpec = FreshnessSpec()
+    df: DataFrame, as_of: str, loaded: str = "_loaded_at", limits: FreshnessSpec = FreshnessSpec()
 ) -> DataFrame:
     """Age of the newest load in elapsed seconds, judged against the warn and error limits."""
     newest = df.agg(F.max(loaded).alias("last_load_time"))
-    age = F.unix_timestamp(as_of) - F.unix_timestamp("last_load_time")
-    return newest.select(
-        "last_load_time",
-        age.alias("age_seconds"),
-        F.when(age.isNull(), "error")
-        .when(age > limits.error * 3600, "error")
-        .when(age > limits.warn * 3600, "warn")
-        .otherwise("pass")
-        .alias("status"),
+    aged = newest.selectExpr("*", f"unix_timestamp({as_of}) - unix_timestamp(last_load_time) AS age_seconds")
+    return aged.selectExpr(
+        "*",
+        f"""CASE WHEN age_seconds IS NULL OR age_seconds > {limits.error * 3600} THEN 'error'
+                 WHEN age_seconds > {limits.warn * 3600} THEN 'warn' ELSE 'pass' END AS status""",
     )
 
 
 def freshness_gate(
-    df: DataFrame, as_of: Column, loaded: str = "_loaded_at", limits: FreshnessSpec = FreshnessSpec()
+    df: DataFrame, as_of: str, loaded: str = "_loaded_at", limits: FreshnessSpec = FreshnessSpec()
 ) -> None:
     """Raise when the newest load is older than the gate, or nothing was loaded."""
-    row = df.agg(hour_boundaries(F.max(loaded), as_of).alias("hours")).first()
-    if row.hours is None or row.hours > limits.gate:
-        raise ContractError(f"newest load is {row.hours} hours old, limit {limits.gate}")
+    hours = df.agg(F.expr(f"{hour_boundaries(f'max({loaded})', as_of)} AS hours")).first().hours
+    if hours is None or hours > limits.gate:
+        raise ContractError(f"newest load is {hours} hours old, limit {limits.gate}")
 
 
 def span(df: DataFrame, column: str) -> DataFrame:
     """Row count and extremes of ``column``, the usual check after a load."""
     return df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.min(column).alias("min_value"),
-        F.max(column).alias("max_value"),
+        F.expr("count(*) AS row_count"), F.min(column).alias("min_value"), F.max(column).alias("max_value")
     )
 
 

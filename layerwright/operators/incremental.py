@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ..config import DEMAND_KEY, PARTITIONS
-from ..functions.measures import half_up, units
+from ..functions import measures as m
 from .joins import anti_join_nullsafe, not_in, upsert
 
 STAGED = (
@@ -31,8 +28,8 @@ STAGED = (
 
 def staging_demand(loaded: DataFrame) -> DataFrame:
     """Staged columns of the loaded demand rows that have a date and at least one trip."""
-    usable = F.col("pickup_date").isNotNull() & (F.col("trip_count") > 0)
-    return loaded.where(usable).select(*STAGED, F.col("_loaded_at").alias("loaded_at"))
+    usable = loaded.where("pickup_date IS NOT NULL AND trip_count > 0")
+    return usable.selectExpr(*STAGED, "_loaded_at AS loaded_at")
 
 
 def enriched_demand(staged: DataFrame) -> DataFrame:
@@ -40,35 +37,34 @@ def enriched_demand(staged: DataFrame) -> DataFrame:
 
     The averages and totals are whole cents, so both quotients are rounded as integers.
     """
-    tip, fare = units(F.col("avg_tip_amount"), 2), units(F.col("avg_fare_amount"), 2)
-    revenue = units(F.col("total_fare_amount"), 2)
-    return staged.select(
+    tip, fare = m.units("avg_tip_amount", 2), m.units("avg_fare_amount", 2)
+    revenue = m.units("total_fare_amount", 2)
+    return staged.selectExpr(
         "*",
-        (half_up(revenue, F.nullif(F.col("trip_count"), F.lit(0))) / F.lit(100.0)).alias("revenue_per_trip"),
-        (half_up(tip * 1000, F.nullif(fare, F.lit(0))) / F.lit(1000.0)).alias("tip_rate"),
-        F.coalesce(F.col("is_weekend"), F.lit(False)).alias("is_weekend_flag"),
+        f"{m.half_up(revenue, 'nullif(trip_count, 0)')} / 100D AS revenue_per_trip",
+        f"{m.half_up(f'{tip} * 1000', f'nullif({fare}, 0)')} / 1000D AS tip_rate",
+        "coalesce(is_weekend, false) AS is_weekend_flag",
     )
 
 
 def pending_months(
-    staged: DataFrame, target: DataFrame, as_of: Column, days: int = 2, null_aware: bool = False
+    staged: DataFrame, target: DataFrame, as_of: str, days: int = 2, null_aware: bool = False
 ) -> DataFrame:
-    """Staged rows of months without a target row loaded in the last ``days`` days.
+    """Staged rows of months without a target row loaded in the ``days`` days before ``as_of``.
 
     The default treats two null months as equal; ``null_aware`` follows SQL's ``NOT IN``, where one null
     month in the target holds back every row.
     """
-    recent = target.where(F.col("loaded_at") >= as_of - F.make_dt_interval(F.lit(days)))
+    recent = target.where(f"loaded_at >= {as_of} - INTERVAL {days} DAYS")
     exclude = not_in if null_aware else anti_join_nullsafe
     return exclude(staged, recent.select(*PARTITIONS), PARTITIONS)
 
 
 def demand_mart(
-    staged: DataFrame, target: DataFrame | None, as_of: datetime, null_aware: bool = False
+    staged: DataFrame, target: DataFrame | None, as_of: str, null_aware: bool = False
 ) -> DataFrame:
     """The demand mart after a refresh at ``as_of``: everything on the first run, else pending months merged."""
-    now = F.lit(as_of)
     if target is None:
-        return enriched_demand(staged).withColumn("updated_at", now)
-    pending = pending_months(staged, target, now, null_aware=null_aware)
-    return upsert(target, enriched_demand(pending).withColumn("updated_at", now), DEMAND_KEY)
+        return enriched_demand(staged).selectExpr("*", f"{as_of} AS updated_at")
+    pending = pending_months(staged, target, as_of, null_aware=null_aware)
+    return upsert(target, enriched_demand(pending).selectExpr("*", f"{as_of} AS updated_at"), DEMAND_KEY)

@@ -9,37 +9,40 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import PAYMENT_LABELS, VENDOR_LABELS, TierSpec
-from ..functions.measures import as_mean, as_total, half_up, mean, mean_ratio_pct, total, units
-from ..functions.scalars import decode, demand_tier, is_weekend, time_segment
+from ..functions import measures as m
+from ..functions import scalars as s
 
-def rows() -> Column:
-    return F.count(F.lit(1))
 
+def grouped(df: DataFrame, by: Sequence[str], **outputs: str) -> DataFrame:
+    """``GROUP BY by`` with the named aggregate expressions."""
+    return df.groupBy(*by).agg(*[F.expr(f"{expression} AS {name}") for name, expression in outputs.items()])
 
 
 def hourly_zone_demand(silver: DataFrame, tiers: TierSpec = TierSpec()) -> DataFrame:
     """Trips, averages, distinct vendors and demand tier per date, hour and pickup zone."""
-    grouped = silver.groupBy("pickup_date", "pickup_hour", "pickup_location_id").agg(
-        rows().alias("trip_count"),
-        mean("trip_distance").alias("avg_trip_distance_miles"),
-        mean("trip_duration_mins").alias("avg_trip_duration_mins"),
-        mean("fare_amount").alias("avg_fare_amount"),
-        total("fare_amount").alias("total_fare_amount"),
-        mean("tip_amount").alias("avg_tip_amount"),
-        F.count_distinct("vendor_id").alias("vendor_count"),
+    per_hour = grouped(
+        silver,
+        ("pickup_date", "pickup_hour", "pickup_location_id"),
+        trip_count="count(*)",
+        avg_trip_distance_miles=m.mean("trip_distance"),
+        avg_trip_duration_mins=m.mean("trip_duration_mins"),
+        avg_fare_amount=m.mean("fare_amount"),
+        total_fare_amount=m.total("fare_amount"),
+        avg_tip_amount=m.mean("tip_amount"),
+        vendor_count="count(DISTINCT vendor_id)",
     )
-    return grouped.select(
+    return per_hour.selectExpr(
         "pickup_date",
         "pickup_hour",
-        F.year("pickup_date").alias("pickup_year"),
-        F.month("pickup_date").alias("pickup_month"),
+        "year(pickup_date) AS pickup_year",
+        "month(pickup_date) AS pickup_month",
         "pickup_location_id",
-        time_segment(F.col("pickup_hour")).alias("time_segment"),
-        is_weekend(F.col("pickup_date")).alias("is_weekend"),
+        f"{s.time_segment('pickup_hour')} AS time_segment",
+        f"{s.is_weekend('pickup_date')} AS is_weekend",
         "trip_count",
         "avg_trip_distance_miles",
         "avg_trip_duration_mins",
@@ -47,29 +50,30 @@ def hourly_zone_demand(silver: DataFrame, tiers: TierSpec = TierSpec()) -> DataF
         "total_fare_amount",
         "avg_tip_amount",
         "vendor_count",
-        demand_tier(F.col("trip_count"), tiers).alias("demand_tier"),
+        f"{s.demand_tier('trip_count', tiers)} AS demand_tier",
     )
 
 
 def daily_vendor_revenue(silver: DataFrame) -> DataFrame:
     """Trips, revenue and averages per date and known vendor."""
-    grouped = silver.where(F.col("vendor_id").isNotNull()).groupBy("pickup_date", "vendor_id").agg(
-        rows().alias("total_trips"),
-        total("fare_amount").alias("total_fare_revenue"),
-        total("tip_amount").alias("total_tip_revenue"),
-        total("total_amount").alias("gross_revenue"),
-        mean("fare_amount").alias("avg_fare_per_trip"),
-        mean_ratio_pct("tip_amount", "fare_amount").alias("tip_rate_pct"),
-        mean("trip_distance").alias("avg_distance_miles"),
-        mean("passenger_count").alias("avg_passengers"),
-    )
-    return grouped.select(
+    outputs = {
+        "total_trips": "count(*)",
+        "total_fare_revenue": m.total("fare_amount"),
+        "total_tip_revenue": m.total("tip_amount"),
+        "gross_revenue": m.total("total_amount"),
+        "avg_fare_per_trip": m.mean("fare_amount"),
+        "tip_rate_pct": m.mean_ratio_pct("tip_amount", "fare_amount"),
+        "avg_distance_miles": m.mean("trip_distance"),
+        "avg_passengers": m.mean("passenger_count"),
+    }
+    per_day = grouped(silver.where("vendor_id IS NOT NULL"), ("pickup_date", "vendor_id"), **outputs)
+    return per_day.selectExpr(
         "pickup_date",
-        F.year("pickup_date").alias("pickup_year"),
-        F.month("pickup_date").alias("pickup_month"),
+        "year(pickup_date) AS pickup_year",
+        "month(pickup_date) AS pickup_month",
         "vendor_id",
-        decode(F.col("vendor_id"), VENDOR_LABELS).alias("vendor_name"),
-        *[c for c in grouped.columns if c not in ("pickup_date", "vendor_id")],
+        f"{s.decode('vendor_id', VENDOR_LABELS)} AS vendor_name",
+        *outputs,
     )
 
 
@@ -80,37 +84,23 @@ def with_share(
 
     Meant for aggregated rows: a window partition then holds one row per group, not one per record.
     """
-    whole = F.sum(count).over(Window.partitionBy(*within))
-    totalled = counts.withColumn(total_name, whole)
-    share = half_up(F.col(count) * 10_000, F.nullif(F.col(total_name), F.lit(0))) / F.lit(100.0)
-    return totalled.withColumn(share_name, share)
+    totalled = counts.withColumn(total_name, F.sum(count).over(Window.partitionBy(*within)))
+    return totalled.selectExpr("*", f"{m.share_pct(count, total_name)} AS {share_name}")
 
 
 def monthly_payment_mix(silver: DataFrame) -> DataFrame:
     """Trips and money per month and known payment type, with the type's share of the month."""
-    grouped = (
-        silver.where(F.col("payment_type").isNotNull())
-        .groupBy("pickup_year", "pickup_month", "payment_type")
-        .agg(
-            rows().alias("trip_count"),
-            total("fare_amount").alias("total_fare"),
-            total("tip_amount").alias("total_tips"),
-            mean("tip_amount").alias("avg_tip"),
-        )
-        .select(
-            "pickup_year",
-            "pickup_month",
-            "payment_type",
-            decode(F.col("payment_type"), PAYMENT_LABELS).alias("payment_type_desc"),
-            "trip_count",
-            "total_fare",
-            "total_tips",
-            "avg_tip",
-        )
-    )
-    return with_share(
-        grouped, ("pickup_year", "pickup_month"), "trip_count", "monthly_total_trips", "market_share_pct"
+    month = ("pickup_year", "pickup_month")
+    outputs = {
+        "trip_count": "count(*)",
+        "total_fare": m.total("fare_amount"),
+        "total_tips": m.total("tip_amount"),
+        "avg_tip": m.mean("tip_amount"),
+    }
+    per_type = grouped(silver.where("payment_type IS NOT NULL"), (*month, "payment_type"), **outputs).selectExpr(
+        *month, "payment_type", f"{s.decode('payment_type', PAYMENT_LABELS)} AS payment_type_desc", *outputs
     )
+    return with_share(per_type, month, "trip_count", "monthly_total_trips", "market_share_pct")
 
 
 def health_by(
@@ -120,33 +110,50 @@ def health_by(
     sums: Mapping[str, str],
     means: Mapping[str, str],
     span: tuple[str, str, str],
-    flags: Mapping[str, Column],
-    count_name: str = "total_rows",
+    flags: Mapping[str, str],
+    few_combinations: bool = False,
 ) -> DataFrame:
     """Row count, sums, means, first and last value, distinct counts and flag counts per ``by`` group.
 
     ``distinct``, ``sums``, ``means`` and ``flags`` map output names to columns or conditions; ``span`` is
-    the column whose extremes are taken and their two names.  Several distinct counts over raw rows would
-    copy every row once per count, so rows are first folded to one per combination of the counted columns.
+    the column whose extremes are taken and their two names.
+
+    For several distinct counts Spark copies every row once per count.  Where the counted columns have
+    ``few_combinations`` per group, folding the rows to one per combination first avoids that; where
+    combinations are nearly as many as rows the fold would only add a shuffle.
     """
-    measured = dict.fromkeys([*sums.values(), *means.values()])
     column, first, last = span
-    folded = df.groupBy(*by, *dict.fromkeys(distinct.values())).agg(
-        rows().alias("_rows"),
-        *[F.sum(units(F.col(c))).alias(f"_sum_{c}") for c in measured],
-        *[F.count(units(F.col(c))).alias(f"_n_{c}") for c in measured],
-        F.min(column).alias("_first"),
-        F.max(column).alias("_last"),
-        *[F.count_if(condition).alias(f"_flag_{name}") for name, condition in flags.items()],
+    if not few_combinations:
+        return grouped(
+            df,
+            by,
+            total_rows="count(*)",
+            **{n: m.total(c) for n, c in sums.items()},
+            **{n: m.mean(c) for n, c in means.items()},
+            **{first: f"min({column})", last: f"max({column})"},
+            **{n: f"count(DISTINCT {c})" for n, c in distinct.items()},
+            **{n: f"count_if({c})" for n, c in flags.items()},
+        )
+    measured = dict.fromkeys([*sums.values(), *means.values()])
+    folded = grouped(
+        df,
+        (*by, *dict.fromkeys(distinct.values())),
+        _rows="count(*)",
+        **{f"_sum_{c}": f"sum({m.units(c)})" for c in measured},
+        **{f"_n_{c}": f"count({m.units(c)})" for c in measured},
+        _first=f"min({column})",
+        _last=f"max({column})",
+        **{f"_flag_{n}": f"count_if({c})" for n, c in flags.items()},
     )
-    return folded.groupBy(*by).agg(
-        F.sum("_rows").alias(count_name),
-        *[as_total(F.sum(f"_sum_{c}")).alias(name) for name, c in sums.items()],
-        *[as_mean(F.sum(f"_sum_{c}"), F.sum(f"_n_{c}")).alias(name) for name, c in means.items()],
-        F.min("_first").alias(first),
-        F.max("_last").alias(last),
-        *[F.count_distinct(c).alias(name) for name, c in distinct.items()],
-        *[F.sum(f"_flag_{name}").alias(name) for name in flags],
+    return grouped(
+        folded,
+        by,
+        total_rows="sum(_rows)",
+        **{n: m.as_total(f"sum(_sum_{c})") for n, c in sums.items()},
+        **{n: m.as_mean(f"sum(_sum_{c})", f"sum(_n_{c})") for n, c in means.items()},
+        **{first: "min(_first)", last: "max(_last)"},
+        **{n: f"count(DISTINCT {c})" for n, c in distinct.items()},
+        **{n: f"sum(_flag_{n})" for n in flags},
     )
 
 
@@ -163,10 +170,8 @@ def pipeline_health(silver: DataFrame) -> DataFrame:
             "avg_duration_mins": "trip_duration_mins",
         },
         span=("pickup_datetime", "earliest_pickup", "latest_pickup"),
-        flags={
-            "zero_fare_rows": F.col("fare_amount") == 0,
-            "null_passenger_rows": F.col("passenger_count").isNull(),
-        },
+        flags={"zero_fare_rows": "fare_amount = 0", "null_passenger_rows": "passenger_count IS NULL"},
+        few_combinations=True,
     )
 
 
@@ -174,11 +179,9 @@ def stamped_health(silver: DataFrame) -> DataFrame:
     return pipeline_health(silver).withColumn("health_run_at", F.current_timestamp())
 
 
-def conditional_counts(df: DataFrame, by: Sequence[str], flags: Mapping[str, Column]) -> DataFrame:
+def conditional_counts(df: DataFrame, by: Sequence[str], flags: Mapping[str, str]) -> DataFrame:
     """Rows meeting each condition per group, next to all rows."""
-    return df.groupBy(*by).agg(
-        rows().alias("total_rows"), *[F.count_if(condition).alias(name) for name, condition in flags.items()]
-    )
+    return grouped(df, by, total_rows="count(*)", **{n: f"count_if({c})" for n, c in flags.items()})
 
 
 def distinct_counts(
@@ -190,39 +193,37 @@ def distinct_counts(
     single pass instead.
     """
     if approximate:
-        return df.groupBy(*by).agg(*[F.approx_count_distinct(c).alias(n) for n, c in columns.items()])
+        return grouped(df, by, **{n: f"approx_count_distinct({c})" for n, c in columns.items()})
     combinations = df.select(*by, *dict.fromkeys(columns.values())).distinct()
-    return combinations.groupBy(*by).agg(*[F.count_distinct(c).alias(n) for n, c in columns.items()])
+    return grouped(combinations, by, **{n: f"count(DISTINCT {c})" for n, c in columns.items()})
 
 
 def null_trend(df: DataFrame, by: Sequence[str], column: str) -> DataFrame:
     """Missing values of ``column`` and their percentage per group."""
-    counted = conditional_counts(df, by, {"null_rows": F.col(column).isNull()})
-    return counted.withColumn(
-        "null_pct", half_up(F.col("null_rows") * 10_000, F.col("total_rows")) / F.lit(100.0)
-    )
+    counted = conditional_counts(df, by, {"null_rows": f"{column} IS NULL"})
+    return counted.selectExpr("*", f"{m.share_pct('null_rows', 'total_rows')} AS null_pct")
 
 
-def rows_by(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    return df.groupBy(*by).agg(rows().alias("row_count"))
+def rows_by(df: DataFrame, by: Sequence[str], count: str = "row_count") -> DataFrame:
+    return grouped(df, by, **{count: "count(*)"})
 
 
-def groups_per(grouped: DataFrame, within: Sequence[str], name: str = "group_count") -> DataFrame:
+def groups_per(aggregated: DataFrame, within: Sequence[str], count: str = "group_count") -> DataFrame:
     """Number of aggregated rows in each window partition: it counts groups, not the records in them."""
-    return grouped.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy(*within)))
+    return aggregated.withColumn(count, F.count("*").over(Window.partitionBy(*within)))
 
 
 def demand_by_hour(demand: DataFrame) -> DataFrame:
     """Serving view: trips per hour of day and demand tier."""
-    return demand.groupBy("pickup_hour", "demand_tier").agg(F.sum("trip_count").alias("trip_count"))
+    return grouped(demand, ("pickup_hour", "demand_tier"), trip_count="sum(trip_count)")
 
 
 def distance_distribution(silver: DataFrame, width: float = 1.0) -> DataFrame:
     """Trips per month and fixed-width distance bucket; the bucket is named by its lower edge."""
-    bucket = (F.floor(F.col("trip_distance") / F.lit(width)) * F.lit(width)).cast("double")
-    return silver.groupBy("pickup_year", "pickup_month", bucket.alias("distance_from")).agg(
-        rows().alias("trip_count")
+    edges = silver.selectExpr(
+        "pickup_year", "pickup_month", f"floor(trip_distance / {width}D) * {width}D AS distance_from"
     )
+    return rows_by(edges, ("pickup_year", "pickup_month", "distance_from"), "trip_count")
 
 
 MARTS = {

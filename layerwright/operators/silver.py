@@ -1,6 +1,6 @@
 """Raw trips to silver trips: rename, cast, derive, filter, keep the newest of each key.
 
-Each step is one ``select`` over the whole column list, so the analysed plan stays flat however many
+Each step is one projection over the whole column list, so the analysed plan stays flat however many
 columns a step touches.
 """
 
@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import PAYMENT_LABELS, VENDOR_LABELS, SilverSpec
-from ..functions.scalars import calendar_parts, decode, duration_minutes, is_weekend, time_segment
+from ..functions import scalars as s
 
 # Columns a bronze read adds so that the newest delivery of a trip can be told apart.
 FILE_COLUMNS = ("_file_modified_at", "_file_path")
@@ -21,85 +21,81 @@ FILE_COLUMNS = ("_file_modified_at", "_file_path")
 def typed(raw: DataFrame, spec: SilverSpec = SilverSpec()) -> DataFrame:
     """Silver names and declared types; columns outside the spec pass through unchanged."""
 
-    def column(name: str) -> Column:
-        target = spec.renames.get(name, name)
-        source = F.col(f"`{name}`")
-        return (source.cast(spec.casts[target]) if target in spec.casts else source).alias(target)
+    def column(source: str) -> str:
+        target = spec.renames.get(source, source)
+        value = s.name(source)
+        if target in spec.casts:
+            value = f"CAST({value} AS {spec.casts[target]})"
+        return f"{value} AS {s.name(target)}"
 
-    return raw.select(*[column(name) for name in raw.columns])
+    return raw.selectExpr(*[column(c) for c in raw.columns])
 
 
 def derived(trips: DataFrame) -> DataFrame:
     """Add duration, calendar parts, labels, time segment and weekend flag."""
-    pickup = F.col("pickup_datetime")
-    return trips.select(
+    return trips.selectExpr(
         "*",
-        duration_minutes(pickup, F.col("dropoff_datetime")).alias("trip_duration_mins"),
-        *calendar_parts(pickup),
-        decode(F.col("payment_type"), PAYMENT_LABELS).alias("payment_type_desc"),
-        decode(F.col("vendor_id"), VENDOR_LABELS).alias("vendor_name"),
-        time_segment(F.hour(pickup)).alias("time_segment"),
-        is_weekend(pickup).alias("is_weekend"),
+        f"{s.duration_minutes('pickup_datetime', 'dropoff_datetime')} AS trip_duration_mins",
+        *s.calendar_parts("pickup_datetime"),
+        f"{s.decode('payment_type', PAYMENT_LABELS)} AS payment_type_desc",
+        f"{s.decode('vendor_id', VENDOR_LABELS)} AS vendor_name",
+        f"{s.time_segment('hour(pickup_datetime)')} AS time_segment",
+        f"{s.is_weekend('pickup_datetime')} AS is_weekend",
     )
 
 
-def quality_rules(spec: SilverSpec = SilverSpec()) -> dict[str, Column]:
+def quality_rules(spec: SilverSpec = SilverSpec()) -> dict[str, str]:
     """Named conditions a silver trip meets; an unknown result drops the trip."""
-    pickup, dropoff = F.col("pickup_datetime"), F.col("dropoff_datetime")
-    distance, minutes = F.col("trip_distance"), F.col("trip_duration_mins")
     return {
-        "pickup_present": pickup.isNotNull(),
-        "dropoff_present": dropoff.isNotNull(),
-        "pickup_before_dropoff": pickup < dropoff,
-        "distance_not_negative": distance >= 0,
-        "fare_not_negative": F.col("fare_amount") >= 0,
-        "duration_positive": minutes > 0,
-        "duration_below_limit": minutes < spec.max_minutes,
-        "distance_below_limit": distance < spec.max_distance,
-        "year_in_range": F.col("pickup_year").between(spec.first_year, spec.last_year),
+        "pickup_present": "pickup_datetime IS NOT NULL",
+        "dropoff_present": "dropoff_datetime IS NOT NULL",
+        "pickup_before_dropoff": "pickup_datetime < dropoff_datetime",
+        "distance_not_negative": "trip_distance >= 0",
+        "fare_not_negative": "fare_amount >= 0",
+        "duration_positive": "trip_duration_mins > 0",
+        "duration_below_limit": f"trip_duration_mins < {spec.max_minutes}D",
+        "distance_below_limit": f"trip_distance < {spec.max_distance}D",
+        "year_in_range": f"pickup_year BETWEEN {spec.first_year} AND {spec.last_year}",
     }
 
 
-def year_window(spec: SilverSpec = SilverSpec(), column: str = "pickup_datetime") -> Column:
+def year_window(spec: SilverSpec = SilverSpec(), column: str = "pickup_datetime") -> str:
     """The year rule restated on the time itself, the form a Parquet scan can skip row groups with."""
-    first = F.lit(f"{spec.first_year}-01-01 00:00:00").cast("timestamp_ntz")
-    after = F.lit(f"{spec.last_year + 1}-01-01 00:00:00").cast("timestamp_ntz")
-    return (F.col(column) >= first) & (F.col(column) < after)
+    first = f"TIMESTAMP_NTZ'{spec.first_year}-01-01 00:00:00'"
+    after = f"TIMESTAMP_NTZ'{spec.last_year + 1}-01-01 00:00:00'"
+    return f"{column} >= {first} AND {column} < {after}"
 
 
 def quality_filter(trips: DataFrame, spec: SilverSpec = SilverSpec()) -> DataFrame:
-    kept = trips.where(year_window(spec))
-    for rule in quality_rules(spec).values():
-        kept = kept.where(rule)
-    return kept
+    return trips.where(s.conjunction([year_window(spec), *quality_rules(spec).values()]))
 
 
-def newest_first(columns: Sequence[str], leading: Sequence[Column] = ()) -> list[Column]:
-    """A total order: the given columns first, then a row hash, then every column.
+def newest_first(columns: Sequence[str], leading: Sequence[str] = ()) -> list[str]:
+    """A total order: ``leading`` columns first, then the others, all descending.
 
-    Rows still equal after that are copies, so which of them survives cannot be seen.
+    Rows still equal after that are copies; which of them survives cannot be seen, so reruns agree.
     """
-    names = [f"`{c}`" for c in columns]
-    return [*leading, F.xxhash64(*names).desc(), *[F.col(c).desc() for c in names]]
+    return [*leading, *[c for c in columns if c not in leading]]
 
 
-def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The first row of each key in ``order``.
+def keep_first(df: DataFrame, key: Sequence[str], descending: Sequence[str]) -> DataFrame:
+    """The first row of each key in the descending order of the given columns.
 
     Spark limits each key to one row per map task before the shuffle (``WindowGroupLimit``), so a key
     holding a large share of the table reaches its reducer as one row per map task.
     """
-    rank = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
-    return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
+    order = [F.desc(s.name(c)) for c in descending]
+    rank = F.row_number().over(Window.partitionBy(*[s.name(c) for c in key]).orderBy(*order))
+    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
 def keep_newest(
-    trips: DataFrame, spec: SilverSpec = SilverSpec(), order: Sequence[Column] | None = None
+    trips: DataFrame, spec: SilverSpec = SilverSpec(), newest_by: Sequence[str] | None = None
 ) -> DataFrame:
-    """One trip per dedup key, from the file delivered last."""
-    delivered = [F.col(c).desc() for c in FILE_COLUMNS if c in trips.columns] if order is None else list(order)
-    content = [c for c in trips.columns if c not in FILE_COLUMNS]
-    return keep_first(trips, spec.dedup_key, newest_first(content, delivered))
+    """One trip per dedup key, from the file delivered last unless other columns say what is newest."""
+    leading = [c for c in FILE_COLUMNS if c in trips.columns] if newest_by is None else list(newest_by)
+    content = [c for c in trips.columns if c not in (*FILE_COLUMNS, *spec.dedup_key)]
+    return keep_first(trips, spec.dedup_key, newest_first(content, leading))
 
 
 def clean(raw: DataFrame, spec: SilverSpec = SilverSpec()) -> DataFrame:
@@ -108,11 +104,11 @@ def clean(raw: DataFrame, spec: SilverSpec = SilverSpec()) -> DataFrame:
 
 
 def to_silver(
-    raw: DataFrame, spec: SilverSpec = SilverSpec(), order: Sequence[Column] | None = None
+    raw: DataFrame, spec: SilverSpec = SilverSpec(), newest_by: Sequence[str] | None = None
 ) -> DataFrame:
     """The silver table: clean trips, one per key, with load time and source name."""
-    kept = keep_newest(clean(raw, spec), spec, order).drop(*FILE_COLUMNS)
-    return kept.select("*", F.current_timestamp().alias("_ingested_at"), F.lit(spec.source).alias("_source"))
+    kept = keep_newest(clean(raw, spec), spec, newest_by).drop(*FILE_COLUMNS)
+    return kept.selectExpr("*", "current_timestamp() AS _ingested_at", f"{s.quoted(spec.source)} AS _source")
 
 
 def filter_reject_counts(raw: DataFrame, spec: SilverSpec = SilverSpec()) -> DataFrame:
@@ -121,19 +117,18 @@ def filter_reject_counts(raw: DataFrame, spec: SilverSpec = SilverSpec()) -> Dat
     The extra row ``any_rule`` counts the rows that are dropped.
     """
     rules = quality_rules(spec)
-    failed = {name: ~F.coalesce(rule, F.lit(False)) for name, rule in rules.items()}
-    failed["any_rule"] = F.array_contains(F.array(*failed.values()), True)
-    counts = derived(typed(raw, spec)).select(*[f.alias(n) for n, f in failed.items()]).agg(
-        *[F.count_if(F.col(name)).alias(name) for name in failed]
+    rules["any_rule"] = s.conjunction(rules.values())
+    counted = derived(typed(raw, spec)).agg(
+        *[F.expr(f"count_if(NOT {s.holds(rule)}) AS {label}") for label, rule in rules.items()]
     )
-    return counts.unpivot([], list(failed), "rule", "rows")
+    return counted.unpivot([], list(rules), "rule", "rows")
 
 
 def dedup_counts(trips: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows in, rows kept and duplicates under ``key``; only the key columns are read and shuffled."""
-    per_key = trips.groupBy(*key).agg(F.count(F.lit(1)).alias("copies"))
+    per_key = trips.groupBy(*key).agg(F.expr("count(*) AS copies"))
     return per_key.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("rows_in"),
-        F.count(F.lit(1)).alias("rows_out"),
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicates"),
+        F.expr("coalesce(sum(copies), 0) AS rows_in"),
+        F.expr("count(*) AS rows_out"),
+        F.expr("coalesce(sum(copies - 1), 0) AS duplicates"),
     )

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import conjunction, name, quoted
+
 # Declared columns of the load tables.
 HOURLY_ZONE_DEMAND = {
     "pickup_date": "date",
@@ -78,28 +80,35 @@ LOAD_TABLES = {
 LOAD_RENAMES = {"pipeline_health_log": {"total_rows": "total_rows_in_silver"}}
 
 
-def _source(df: DataFrame, name: str) -> Column:
-    return F.col(f"`{name}`") if name in df.columns else F.lit(None).cast("string")
+def _source(df: DataFrame, column: str) -> str:
+    return name(column) if column in df.columns else "CAST(NULL AS STRING)"
 
 
-def unreadable(df: DataFrame, declared: Mapping[str, str]) -> Column:
+def unreadable(df: DataFrame, declared: Mapping[str, str]) -> str:
     """Names of the declared columns whose value is present but does not fit the type."""
     marks = [
-        F.when(_source(df, c).isNotNull() & _source(df, c).try_cast(t).isNull(), F.lit(c))
+        f"IF({_source(df, c)} IS NOT NULL AND try_cast({_source(df, c)} AS {t}) IS NULL, {quoted(c)}, NULL)"
         for c, t in declared.items()
     ]
-    return F.array_compact(F.array(*marks))
+    return f"array_compact(array({', '.join(marks)}))"
+
+
+def readable(df: DataFrame, declared: Mapping[str, str]) -> str:
+    return conjunction(
+        f"{_source(df, c)} IS NULL OR try_cast({_source(df, c)} AS {t}) IS NOT NULL" for c, t in declared.items()
+    )
 
 
 def typed_load(df: DataFrame, declared: Mapping[str, str]) -> DataFrame:
     """Rows whose every declared value fits, in the declared types; an absent column loads as null."""
-    good = df.where(F.size(unreadable(df, declared)) == 0)
-    return good.select(*[_source(df, c).try_cast(t).alias(c) for c, t in declared.items()])
+    good = df.where(readable(df, declared))
+    return good.selectExpr(*[f"try_cast({_source(df, c)} AS {t}) AS {name(c)}" for c, t in declared.items()])
 
 
 def typed_load_rejects(df: DataFrame, declared: Mapping[str, str]) -> DataFrame:
     """The rows :func:`typed_load` leaves out, unchanged, with the names of the unreadable columns."""
-    return df.withColumn("_unreadable", unreadable(df, declared)).where(F.size("_unreadable") > 0)
+    rejects = df.where(f"NOT ({readable(df, declared)})")
+    return rejects.selectExpr("*", f"{unreadable(df, declared)} AS _unreadable")
 
 
 def with_load_time(df: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Declarative row validation: named violations, a valid/quarantine split and counted issues.
 
-Rules are columns, so one projection tags every row and one aggregate counts every rule, however many
-files or months the input spans.
+Rules are SQL conditions, so one projection tags every row and one aggregate counts every rule, however
+many files or months the input spans.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import IngestSpec
-from ..functions.scalars import is_missing, null_safe_false
+from ..functions import scalars as s
 
 FAILED = "_failed_rules"
 
@@ -28,33 +28,30 @@ def missing_column_issue(names: Sequence[str]) -> str:
     return f"Missing required columns: {list(names)}"
 
 
-def violations(df: DataFrame, spec: IngestSpec = IngestSpec()) -> dict[str, Column]:
+def violations(df: DataFrame, spec: IngestSpec = IngestSpec()) -> dict[str, str]:
     """Issue label -> condition a bad row meets, in reporting order.
 
     Missing values break the null rules only; a range rule on a missing value is not broken.
     """
     types = dict(df.dtypes)
-    rules = {f"Nulls in {c}": is_missing(c, types[c]) for c in spec.required}
+    rules = {f"Nulls in {c}": s.is_missing(c, types[c]) for c in spec.required}
     # NaN sorts above every number in Spark, so only true negatives meet these.
-    for name in (spec.distance, spec.fare):
-        if name in types:
-            rules[f"Negative {name}"] = null_safe_false(F.col(f"`{name}`") < 0)
+    for column in (spec.distance, spec.fare):
+        if column in types:
+            rules[f"Negative {column}"] = s.holds(f"{s.name(column)} < 0")
     if spec.pickup in types and spec.dropoff in types:
-        rules["Pickup >= dropoff"] = null_safe_false(F.col(spec.pickup) >= F.col(spec.dropoff))
+        rules["Pickup >= dropoff"] = s.holds(f"{s.name(spec.pickup)} >= {s.name(spec.dropoff)}")
     return rules
 
 
 def tag(df: DataFrame, spec: IngestSpec = IngestSpec()) -> DataFrame:
     """Add the array of labels of the rules each row breaks."""
-    labels = [F.when(broken, F.lit(label)) for label, broken in violations(df, spec).items()]
-    return df.withColumn(FAILED, F.array_compact(F.array(*labels)))
+    labels = [f"IF({broken}, {s.quoted(label)}, NULL)" for label, broken in violations(df, spec).items()]
+    return df.selectExpr("*", f"array_compact(array({', '.join(labels)})) AS {FAILED}")
 
 
-def any_violation(df: DataFrame, spec: IngestSpec = IngestSpec()) -> Column:
-    result = F.lit(False)
-    for broken in violations(df, spec).values():
-        result = result | broken
-    return result
+def any_violation(df: DataFrame, spec: IngestSpec = IngestSpec()) -> str:
+    return f"({s.disjunction(violations(df, spec).values())})"
 
 
 @dataclass(frozen=True)
@@ -75,55 +72,30 @@ def rule_counts(df: DataFrame, spec: IngestSpec = IngestSpec(), by: Sequence[str
 
     Also carries the group's row count (``total_rows``) and distinct rejected rows (``reject_rows``).
     """
-    rules = violations(df, spec)
-    labels = list(rules)
+    counts = ", ".join(
+        f"named_struct('position', {i}, 'rule', {s.quoted(label)}, 'rows', count_if({broken}))"
+        for i, (label, broken) in enumerate(violations(df, spec).items())
+    )
     counted = df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(any_violation(df, spec)).alias("reject_rows"),
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("position"),
-                    F.lit(label).alias("rule"),
-                    F.count_if(rules[label]).alias("rows"),
-                )
-                for i, label in enumerate(labels)
-            ]
-        ).alias("_rules"),
+        F.expr("count(*) AS total_rows"),
+        F.expr(f"count_if({any_violation(df, spec)}) AS reject_rows"),
+        F.expr(f"array({counts}) AS _rules"),
     )
-    return counted.select(*by, "total_rows", "reject_rows", F.inline("_rules"))
+    return counted.selectExpr(*by, "total_rows", "reject_rows", "inline(_rules)")
 
 
 def issue_report(df: DataFrame, spec: IngestSpec = IngestSpec()) -> DataFrame:
     """(position, rule, rows, issue) for every rule with hits, led by a row-count issue when due."""
-    counts = rule_counts(df, spec).where(F.col("rows") > 0)
-    broken = counts.select(
-        "position",
-        "rule",
-        "rows",
-        F.concat("rule", F.lit(": "), F.format_number("rows", 0), F.lit(" rows")).alias("issue"),
-    )
-    return row_count_issue(df, spec).unionByName(broken)
+    broken = rule_counts(df, spec).where("rows > 0")
+    texts = broken.selectExpr("position", "rule", "rows", "rule || ': ' || format_number(rows, 0) || ' rows' AS issue")
+    return row_count_issue(df, spec).unionByName(texts)
 
 
 def row_count_issue(df: DataFrame, spec: IngestSpec = IngestSpec()) -> DataFrame:
     """One row when ``df`` holds fewer rows than the floor, else none; a warning, not a rejection."""
-    floor = F.lit(spec.min_rows)
-    return (
-        df.agg(F.count(F.lit(1)).alias("rows"))
-        .where(F.col("rows") < floor)
-        .select(
-            F.lit(-1).alias("position"),
-            F.lit("Row count").alias("rule"),
-            "rows",
-            F.concat(
-                F.lit("Row count "),
-                F.format_number("rows", 0),
-                F.lit(" below minimum "),
-                F.format_number(floor, 0),
-            ).alias("issue"),
-        )
-    )
+    text = f"'Row count ' || format_number(rows, 0) || ' below minimum {spec.min_rows:,}'"
+    short = df.agg(F.expr("count(*) AS rows")).where(f"rows < {spec.min_rows}")
+    return short.selectExpr("-1 AS position", "'Row count' AS rule", "rows", f"{text} AS issue")
 
 
 def validate(df: DataFrame, spec: IngestSpec = IngestSpec()) -> ValidationResult:
@@ -133,21 +105,21 @@ def validate(df: DataFrame, spec: IngestSpec = IngestSpec()) -> ValidationResult
     """
     missing = missing_columns(df.columns, spec)
     if missing:
-        report = df.agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(0).alias("position"),
-            F.lit("Missing required columns").alias("rule"),
+        report = df.agg(F.expr("count(*) AS rows")).selectExpr(
+            "0 AS position",
+            "'Missing required columns' AS rule",
             "rows",
-            F.lit(missing_column_issue(missing)).alias("issue"),
+            f"{s.quoted(missing_column_issue(missing))} AS issue",
         )
         return ValidationResult(df.limit(0), df, report)
     bad = any_violation(df, spec)
-    return ValidationResult(df.where(~bad), df.where(bad), issue_report(df, spec))
+    return ValidationResult(df.where(f"NOT {bad}"), df.where(bad), issue_report(df, spec))
 
 
 def reject_rate(counts: DataFrame, spec: IngestSpec = IngestSpec()) -> DataFrame:
     """Add the rejected share in percent (0 for no rows) and whether it exceeds the alert limit."""
-    rate = F.coalesce(F.try_divide(F.col("reject_rows") * F.lit(100.0), F.col("total_rows")), F.lit(0.0))
-    return counts.withColumn("reject_pct", rate).withColumn("alert", rate > spec.max_reject_pct)
+    rated = counts.selectExpr("*", "coalesce(try_divide(reject_rows * 100D, total_rows), 0D) AS reject_pct")
+    return rated.selectExpr("*", f"reject_pct > {spec.max_reject_pct}D AS alert")
 
 
 def run_status(landed: Column, published: Column, readable: Column, has_issues: Column) -> Column:
@@ -163,6 +135,7 @@ def run_status(landed: Column, published: Column, readable: Column, has_issues:
 
 def null_profile(df: DataFrame) -> DataFrame:
     """(column_name, null_pct) for each column with nulls, in one pass over the table."""
-    total = F.nullif(F.count(F.lit(1)), F.lit(0))
-    rates = df.agg(*[(F.count_if(F.col(f"`{c}`").isNull()) * F.lit(100.0) / total).alias(c) for c in df.columns])
-    return rates.unpivot([], df.columns, "column_name", "null_pct").where(F.col("null_pct") > 0)
+    rates = df.agg(
+        *[F.expr(f"count_if({s.name(c)} IS NULL) * 100D / nullif(count(*), 0) AS {s.name(c)}") for c in df.columns]
+    )
+    return rates.unpivot([], [s.name(c) for c in df.columns], "column_name", "null_pct").where("null_pct > 0")

@@ -7,10 +7,11 @@ from dataclasses import dataclass
 from datetime import date, datetime, timezone
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import IngestSpec
+from ..functions.scalars import quoted
 from ..operators import validate as v
 from ..sources import bronze, files, tables
 
@@ -74,16 +75,16 @@ def delivery_counts(delivery: Delivery, spec: IngestSpec) -> DataFrame:
     declared = bronze.as_declared(delivery.rows, spec.raw_types)
     missing = v.missing_columns(declared.columns, spec)
     if missing:
-        counts = declared.agg(F.count(F.lit(1)).alias("total_rows")).select(
+        counts = declared.agg(F.expr("count(*) AS total_rows")).selectExpr(
             "total_rows",
-            F.col("total_rows").alias("reject_rows"),
-            F.lit(0).alias("position"),
-            F.lit(v.missing_column_issue(missing)).alias("rule"),
-            F.col("total_rows").alias("rows"),
+            "total_rows AS reject_rows",
+            "0 AS position",
+            f"{quoted(v.missing_column_issue(missing))} AS rule",
+            "total_rows AS rows",
         )
     else:
         counts = v.rule_counts(declared, spec)
-    return counts.select(F.lit(delivery.year).alias("year"), F.lit(delivery.month).alias("month"), "*")
+    return counts.selectExpr(f"{delivery.year} AS year", f"{delivery.month} AS month", "*")
 
 
 def rejected(delivery: Delivery, spec: IngestSpec) -> DataFrame:
@@ -198,5 +199,4 @@ def land_month(spark: SparkSession, delivery: Delivery, counts: list, layout: La
 
 def alerts(control: DataFrame, spec: IngestSpec = IngestSpec()) -> DataFrame:
     """Landed months with their reject rate and whether it exceeds the alert limit."""
-    total: Column = F.col("rows_ingested") + F.col("reject_rows")
-    return v.reject_rate(control.withColumn("total_rows", total), spec)
+    return v.reject_rate(control.selectExpr("*", "rows_ingested + reject_rows AS total_rows"), spec)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import PARTITIONS, FreshnessSpec, IngestSpec, SilverSpec
+from ..functions.scalars import disjunction
 from ..operators import contracts, incremental, marts, silver, typed
 from ..sources import bronze, files, tables
 from .landing import Layout
@@ -74,6 +76,12 @@ LOAD_SOURCES = {
 }
 
 
+def month_condition(months: Sequence[tuple[int, int]]) -> str:
+    """Partition filter for the given months, known when the query is planned."""
+    year, month = PARTITIONS
+    return disjunction(f"{year} = {y} AND {month} = {m}" for y, m in months)
+
+
 def load_table(spark: SparkSession, layout: Layout, table: str) -> int:
     """Load the mart files not loaded before into ``table`` and return how many there were.
 
@@ -94,9 +102,7 @@ def load_table(spark: SparkSession, layout: Layout, table: str) -> int:
         tables.overwrite_all(typed.mart_to_load_table(mart, table), target)
     else:
         months = new.select(*[files.path_value(F.col("path"), p).alias(p) for p in PARTITIONS]).distinct()
-        touched = F.lit(False)
-        for row in months.collect():
-            touched = touched | ((F.col(PARTITIONS[0]) == row[0]) & (F.col(PARTITIONS[1]) == row[1]))
+        touched = month_condition([tuple(r) for r in months.collect()])
         rows = typed.mart_to_load_table(mart.where(touched), table)
         tables.overwrite_partitions(rows, target, PARTITIONS)
     manifest.write.mode("overwrite").parquet(log_path)
@@ -107,23 +113,22 @@ def refresh_mart(
     spark: SparkSession, layout: Layout, as_of: datetime, limits: FreshnessSpec | None = None
 ) -> DataFrame:
     """Refresh the demand mart from its load table, check both contracts and return the mart."""
+    now = f"TIMESTAMP'{as_of:%Y-%m-%d %H:%M:%S}'"
     loaded = tables.read_table(spark, layout.path("raw", "hourly_zone_demand"))
     if limits is not None:
-        contracts.freshness_gate(loaded, F.lit(as_of), limits=limits)
+        contracts.freshness_gate(loaded, now, limits=limits)
     staged = incremental.staging_demand(loaded)
     contracts.assert_contract(staged, contracts.STAGING_CONTRACT)
     path = layout.path("mart", "demand_intelligence")
     if not tables.path_exists(spark, path):
-        tables.overwrite_all(incremental.demand_mart(staged, None, as_of), path, PARTITIONS)
+        tables.overwrite_all(incremental.demand_mart(staged, None, now), path, PARTITIONS)
     else:
         current = tables.read_table(spark, path)
-        pending = incremental.pending_months(staged, current, F.lit(as_of))
+        pending = incremental.pending_months(staged, current, now)
         months = [tuple(r) for r in pending.select(*PARTITIONS).distinct().collect()]
         if months:
-            touched = F.lit(False)
-            for year, month in months:
-                touched = touched | ((F.col(PARTITIONS[0]) == year) & (F.col(PARTITIONS[1]) == month))
-            merged = incremental.demand_mart(staged.where(touched), current.where(touched), as_of)
+            touched = month_condition(months)
+            merged = incremental.demand_mart(staged.where(touched), current.where(touched), now)
             tables.replace_read_partitions(merged, path, PARTITIONS)
     mart = tables.read_table(spark, path)
     contracts.assert_contract(mart, contracts.MART_CONTRACT + contracts.MART_KEY_CONTRACT)

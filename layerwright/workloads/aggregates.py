@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..config import TierSpec
-from ..functions.measures import mean_ratio_pct
-from ..functions.scalars import demand_tier as tier_of
+from ..functions import measures, scalars
 from ..operators import marts
-from .oracle_base import DEMAND, RAW, SILVER, cents, half_up, mean, tip_rate_pct, total
+from .oracle_base import DEMAND, RAW, SILVER, half_up, mean, tip_rate_pct, total
 from .trips import raw_trips, silver_trips
 
 # The derived table has one or two trips in a busy zone-hour, so the limits are set to match.
@@ -34,14 +31,11 @@ def pipeline_health(spark, sf):
 
 def demand_tier(spark, sf):
     zones = marts.rows_by(silver_trips(spark, sf), ("pickup_location_id",))
-    return zones.withColumn("demand_tier", tier_of(F.col("row_count"), TierSpec(medium=60, high=70)))
+    return zones.selectExpr("*", f"{scalars.demand_tier('row_count', TierSpec(medium=60, high=70))} AS demand_tier")
 
 
 def conditional_counts(spark, sf):
-    flags = {
-        "zero_fare_rows": F.col("fare_amount") <= 0,
-        "null_passenger_rows": F.col("passenger_count").isNull(),
-    }
+    flags = {"zero_fare_rows": "fare_amount <= 0", "null_passenger_rows": "passenger_count IS NULL"}
     return marts.conditional_counts(silver_trips(spark, sf), MONTH, flags)
 
 
@@ -51,9 +45,8 @@ def distinct_counts(spark, sf):
 
 
 def tip_rate(spark, sf):
-    return silver_trips(spark, sf).groupBy("pickup_date").agg(
-        mean_ratio_pct("tip_amount", "fare_amount").alias("tip_rate_pct")
-    )
+    rate = measures.mean_ratio_pct("tip_amount", "fare_amount")
+    return marts.grouped(silver_trips(spark, sf), ("pickup_date",), tip_rate_pct=rate)
 
 
 def null_trend(spark, sf):
@@ -61,7 +54,7 @@ def null_trend(spark, sf):
 
 
 def _payment_groups(spark, sf):
-    return marts.rows_by(silver_trips(spark, sf), (*MONTH, "payment_type")).withColumnRenamed("row_count", "trip_count")
+    return marts.rows_by(silver_trips(spark, sf), (*MONTH, "payment_type"), "trip_count")
 
 
 def month_totals(spark, sf):
@@ -84,10 +77,8 @@ def distance_distribution(spark, sf):
 
 def raw_distance_distribution(spark, sf):
     """Distance buckets of the undeduplicated deliveries, negative and implausible distances included."""
-    raw = raw_trips(spark, sf).select(
-        F.year("tpep_pickup_datetime").alias("pickup_year"),
-        F.month("tpep_pickup_datetime").alias("pickup_month"),
-        "trip_distance",
+    raw = raw_trips(spark, sf).selectExpr(
+        "year(tpep_pickup_datetime) AS pickup_year", "month(tpep_pickup_datetime) AS pickup_month", "trip_distance"
     )
     return marts.distance_distribution(raw, 2.5)
 

@@ -40,29 +40,28 @@ def silver_rows(spark, sf):
 
 
 def trip_duration(spark, sf):
-    start, end = F.col("tpep_pickup_datetime"), F.col("tpep_dropoff_datetime")
-    return raw_trips(spark, sf).select(*ID, scalars.duration_minutes(start, end).alias("trip_duration_mins"))
+    minutes = scalars.duration_minutes("tpep_pickup_datetime", "tpep_dropoff_datetime")
+    return raw_trips(spark, sf).selectExpr(*ID, f"{minutes} AS trip_duration_mins")
 
 
 def calendar_parts(spark, sf):
-    return raw_trips(spark, sf).select(*ID, *scalars.calendar_parts(F.col("tpep_pickup_datetime")))
+    return raw_trips(spark, sf).selectExpr(*ID, *scalars.calendar_parts("tpep_pickup_datetime"))
 
 
 def decode_labels(spark, sf):
-    return raw_trips(spark, sf).select(
+    return raw_trips(spark, sf).selectExpr(
         *ID,
-        scalars.decode(F.col("payment_type"), PAYMENT_LABELS).alias("payment_type_desc"),
-        scalars.decode(F.col("VendorID"), VENDOR_LABELS).alias("vendor_name"),
+        f"{scalars.decode('payment_type', PAYMENT_LABELS)} AS payment_type_desc",
+        f"{scalars.decode('VendorID', VENDOR_LABELS)} AS vendor_name",
     )
 
 
 def time_segment(spark, sf):
-    hour = F.hour("tpep_pickup_datetime")
-    return raw_trips(spark, sf).select(*ID, scalars.time_segment(hour).alias("time_segment"))
+    return raw_trips(spark, sf).selectExpr(*ID, f"{scalars.time_segment('hour(tpep_pickup_datetime)')} AS time_segment")
 
 
 def weekend_flag(spark, sf):
-    return raw_trips(spark, sf).select(*ID, scalars.is_weekend(F.col("tpep_pickup_datetime")).alias("is_weekend"))
+    return raw_trips(spark, sf).selectExpr(*ID, f"{scalars.is_weekend('tpep_pickup_datetime')} AS is_weekend")
 
 
 def quality_filter(spark, sf):
@@ -78,9 +77,7 @@ def year_range_filter(spark, sf):
 
 
 def dedup_latest(spark, sf):
-    kept = silver.keep_newest(
-        silver.typed(raw_trips(spark, sf)), SilverSpec(), [F.col("copy_no").desc(), F.col("event_id").desc()]
-    )
+    kept = silver.keep_newest(silver.typed(raw_trips(spark, sf)), newest_by=("copy_no", "event_id"))
     return kept.select(*ID, *SilverSpec().dedup_key)
 
 

@@ -14,13 +14,15 @@ from .oracle_base import DEMAND, ENRICHED_COLUMNS, LOADED, RAW, SILVER, demand
 from .trips import ID_COLUMNS, raw_trips, silver_trips
 
 AS_OF = datetime(2024, 3, 2, 12, 0, 0)
+NOW = f"TIMESTAMP_NTZ'{AS_OF}'"
 
 
 def loaded_demand(spark, sf):
     """Hourly demand as if loaded two hours after the end of each trip day."""
     rows = hourly_zone_demand(spark, sf)
-    loaded = F.col("pickup_date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("pickup_hour") + 26)
-    return rows.withColumn("_loaded_at", loaded)
+    return rows.selectExpr(
+        "*", "CAST(pickup_date AS TIMESTAMP_NTZ) + make_dt_interval(0, pickup_hour + 26) AS _loaded_at"
+    )
 
 
 def staged_demand(spark, sf):
@@ -34,23 +36,21 @@ def mart_rows(spark, sf):
 def pending_rows(spark, sf):
     """Staged rows of the months without a row loaded in the two days before the refresh."""
     staged = staged_demand(spark, sf)
-    before = F.col("loaded_at") < F.lit(AS_OF).cast("timestamp_ntz")
-    return incremental.pending_months(staged, staged.where(before), F.lit(AS_OF).cast("timestamp_ntz"))
+    return incremental.pending_months(staged, staged.where(f"loaded_at < {NOW}"), NOW)
 
 
 def incremental_refresh(spark, sf):
     """The mart after a refresh: it held the rows loaded so far, pending months are merged over them."""
     staged = staged_demand(spark, sf)
-    now = F.lit(AS_OF).cast("timestamp_ntz")
-    target = incremental.enriched_demand(staged.where(F.col("loaded_at") < now)).withColumn("refreshed", F.lit(False))
-    pending = incremental.pending_months(staged, target, now)
+    target = incremental.enriched_demand(staged.where(f"loaded_at < {NOW}")).withColumn("refreshed", F.lit(False))
+    pending = incremental.pending_months(staged, target, NOW)
     return joins.upsert(
         target, incremental.enriched_demand(pending).withColumn("refreshed", F.lit(True)), DEMAND_KEY
     )
 
 
 def _implausible(spark, sf):
-    return raw_trips(spark, sf).where(F.col("trip_distance") >= 500)
+    return raw_trips(spark, sf).where("trip_distance >= 500")
 
 
 def not_in_nullaware(spark, sf):
@@ -69,22 +69,18 @@ def anti_join_nullsafe(spark, sf):
 def merge_upsert(spark, sf):
     """Hourly demand with the zone-hours paid by card replaced by their card trips alone."""
     trips = silver_trips(spark, sf)
-    card = marts.hourly_zone_demand(trips.where(F.col("payment_type") == 1), TIERS)
+    card = marts.hourly_zone_demand(trips.where("payment_type = 1"), TIERS)
     return joins.upsert(hourly_zone_demand(spark, sf), card, DEMAND_KEY)
 
 
 def _as_delivered(spark, sf):
     """Raw trips as untyped text, some distances in a notation no number has."""
-    distance = F.when(F.col("trip_distance") < 0, F.lit("n/a")).otherwise(F.col("trip_distance").cast("string"))
-    raw = raw_trips(spark, sf)
-    return raw.select(
+    return raw_trips(spark, sf).selectExpr(
         *ID_COLUMNS,
-        F.col("VendorID").cast("string").alias("vendor_id"),
-        F.date_format("tpep_pickup_datetime", "yyyy-MM-dd").alias("pickup_date"),
-        distance.alias("trip_distance"),
-        F.when(F.col("fare_amount") < 0, F.lit("refund")).otherwise(
-            F.col("payment_type").cast("string")
-        ).alias("payment_type"),
+        "CAST(VendorID AS STRING) AS vendor_id",
+        "date_format(tpep_pickup_datetime, 'yyyy-MM-dd') AS pickup_date",
+        "IF(trip_distance < 0, 'n/a', CAST(trip_distance AS STRING)) AS trip_distance",
+        "IF(fare_amount < 0, 'refund', CAST(payment_type AS STRING)) AS payment_type",
     )
 
 

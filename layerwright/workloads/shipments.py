@@ -17,21 +17,14 @@ def _lines(spark, sf):
 
 
 def _monthly(spark, sf):
-    return _lines(spark, sf).select(
-        "*", F.year("l_shipdate").alias("ship_year"), F.month("l_shipdate").alias("ship_month")
-    )
+    return _lines(spark, sf).selectExpr("*", "year(l_shipdate) AS ship_year", "month(l_shipdate) AS ship_month")
 
 
 def lineitem_dedup_latest(spark, sf):
     """The line shipped last of each order and line number."""
     lines = _lines(spark, sf)
-    return silver.keep_first(lines, LINE_KEY, silver.newest_first(lines.columns, _line_order()))
-
-
-def _line_order():
-    names = ("l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-             "l_returnflag", "l_linestatus")
-    return [F.col(n).desc() for n in names]
+    content = [c for c in lines.columns if c not in LINE_KEY]
+    return silver.keep_first(lines, LINE_KEY, silver.newest_first(content, ("l_shipdate",)))
 
 
 def lineitem_dedup_counts(spark, sf):
@@ -50,26 +43,31 @@ def lineitem_month_health(spark, sf):
         sums={"total_price": "l_extendedprice"},
         means={"avg_quantity": "l_quantity", "avg_price": "l_extendedprice"},
         span=("l_shipdate", "earliest_ship", "latest_ship"),
-        flags={"untaxed_rows": F.col("l_tax") == 0, "undiscounted_rows": F.col("l_discount") == 0},
+        flags={"untaxed_rows": "l_tax = 0", "undiscounted_rows": "l_discount = 0"},
     )
 
 
 def lineitem_flag_mix(spark, sf):
     """Lines and money per shipping month and return flag, with the flag's share of the month."""
-    grouped = _monthly(spark, sf).groupBy(*MONTH, "l_returnflag").agg(
-        F.count(F.lit(1)).alias("line_count"),
-        total("l_extendedprice").alias("total_price"),
-        mean("l_quantity").alias("avg_quantity"),
+    per_flag = marts.grouped(
+        _monthly(spark, sf),
+        (*MONTH, "l_returnflag"),
+        line_count="count(*)",
+        total_price=total("l_extendedprice"),
+        avg_quantity=mean("l_quantity"),
     )
-    return marts.with_share(grouped, MONTH, "line_count", "month_lines", "share_pct")
+    return marts.with_share(per_flag, MONTH, "line_count", "month_lines", "share_pct")
 
 
 def lineitem_daily_supplier(spark, sf):
-    return _lines(spark, sf).groupBy(F.to_date("l_shipdate").alias("ship_date"), "l_suppkey").agg(
-        F.count(F.lit(1)).alias("lines"),
-        total("l_extendedprice").alias("total_price"),
-        mean("l_extendedprice").alias("avg_price"),
-        F.count_distinct("l_returnflag").alias("flag_count"),
+    """Lines, money and distinct return flags per shipping date and supplier."""
+    return marts.grouped(
+        _lines(spark, sf).selectExpr("*", "to_date(l_shipdate) AS ship_date"),
+        ("ship_date", "l_suppkey"),
+        lines="count(*)",
+        total_price=total("l_extendedprice"),
+        avg_price=mean("l_extendedprice"),
+        flag_count="count(DISTINCT l_returnflag)",
     )
 
 

@@ -20,45 +20,43 @@ LINEAGE = (*ID_COLUMNS, "file_month")
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 19 raw trip columns plus event, copy number and month of the file a row is delivered in."""
-    e = F.col("event_id")
-    copies = F.when(e % 50 == 7, 2).otherwise(1)
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        "event_id", "ts", "user_id", "value", F.explode(F.sequence(F.lit(1), copies)).alias("copy_no")
+    parts = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+        "event_id",
+        "user_id",
+        "ts + make_dt_interval(CAST((event_id % 3) * 30 - IF(event_id % 499 = 0, 5479, 0) AS INT)) AS pickup",
+        "CASE WHEN event_id % 103 = 0 THEN -3600 WHEN event_id % 101 = 0 THEN 0"
+        " ELSE 60 + (event_id * 37) % 5400 END AS seconds",
+        "floor(value * 100 + 0.5D) AS cents",
+        "IF(event_id % 17 <> 0, CAST(event_id % 5 AS INT), NULL) AS payment_type",
+        "event_id % 13 <> 0 AS complete",
+        "explode(sequence(1, IF(event_id % 50 = 7, 2, 1))) AS copy_no",
     )
-    days = (e % 3) * 30 - F.when(e % 499 == 0, 5479).otherwise(0)
-    pickup = F.col("ts") + F.make_dt_interval(days=days.cast("int"))
-    seconds = F.when(e % 103 == 0, -3600).when(e % 101 == 0, 0).otherwise(60 + (e * 37) % 5400)
-    cents = F.floor(F.col("value") * 100 + F.lit(0.5))
-    fare = F.when(e % 89 == 0, F.lit(0)).when(e % 97 == 0, -cents).otherwise(cents)
-    payment = F.when(e % 17 != 0, e % 5)
-    tip = F.when(payment == 1, F.floor(cents / 5)).otherwise(F.lit(0))
-    sometimes = e % 13 != 0
-    return events.select(
-        F.when(e % 10 < 4, 1).when(e % 10 < 9, 2).otherwise(6).alias("VendorID"),
-        pickup.alias("tpep_pickup_datetime"),
-        (pickup + F.make_dt_interval(secs=seconds)).alias("tpep_dropoff_datetime"),
-        F.when(sometimes, (e % 6 + 1).cast("double")).alias("passenger_count"),
-        F.when(e % 107 == 0, F.lit(-1.5))
-        .when(e % 211 == 0, F.lit(600.0))
-        .otherwise((e * 53) % 2500 / F.lit(100.0))
-        .alias("trip_distance"),
-        F.when(sometimes, (e % 6 + 1).cast("int")).alias("RatecodeID"),
-        F.when(sometimes, F.when(e % 40 == 0, "Y").otherwise("N")).alias("store_and_fwd_flag"),
-        (F.col("user_id") % 265 + 1).cast("int").alias("PULocationID"),
-        ((e * 7) % 265 + 1).cast("int").alias("DOLocationID"),
-        payment.cast("int").alias("payment_type"),
-        (fare / F.lit(100.0)).alias("fare_amount"),
-        ((e % 3) * F.lit(0.5)).alias("extra"),
-        F.lit(0.5).alias("mta_tax"),
-        (tip / F.lit(100.0)).alias("tip_amount"),
-        F.when(e % 20 == 0, F.lit(6.94)).otherwise(F.lit(0.0)).alias("tolls_amount"),
-        F.lit(1.0).alias("improvement_surcharge"),
-        ((fare + tip + 250) / F.lit(100.0)).alias("total_amount"),
-        F.when(sometimes, F.lit(2.5)).alias("congestion_surcharge"),
-        F.when(sometimes, F.when(e % 25 == 0, F.lit(1.75)).otherwise(F.lit(0.0))).alias("airport_fee"),
+    fare = "CASE WHEN event_id % 89 = 0 THEN 0L WHEN event_id % 97 = 0 THEN -cents ELSE cents END"
+    priced = parts.selectExpr("*", f"{fare} AS fare", "IF(payment_type = 1, cents div 5, 0L) AS tip")
+    return priced.selectExpr(
+        "CASE WHEN event_id % 10 < 4 THEN 1 WHEN event_id % 10 < 9 THEN 2 ELSE 6 END AS VendorID",
+        "pickup AS tpep_pickup_datetime",
+        "pickup + make_dt_interval(0, 0, 0, seconds) AS tpep_dropoff_datetime",
+        "IF(complete, CAST(event_id % 6 + 1 AS DOUBLE), NULL) AS passenger_count",
+        "CASE WHEN event_id % 107 = 0 THEN -1.5D WHEN event_id % 211 = 0 THEN 600D"
+        " ELSE (event_id * 53) % 2500 / 100D END AS trip_distance",
+        "IF(complete, CAST(event_id % 6 + 1 AS INT), NULL) AS RatecodeID",
+        "IF(complete, IF(event_id % 40 = 0, 'Y', 'N'), NULL) AS store_and_fwd_flag",
+        "CAST(user_id % 265 + 1 AS INT) AS PULocationID",
+        "CAST((event_id * 7) % 265 + 1 AS INT) AS DOLocationID",
+        "payment_type",
+        "fare / 100D AS fare_amount",
+        "(event_id % 3) * 0.5D AS extra",
+        "0.5D AS mta_tax",
+        "tip / 100D AS tip_amount",
+        "IF(event_id % 20 = 0, 6.94D, 0D) AS tolls_amount",
+        "1D AS improvement_surcharge",
+        "(fare + tip + 250) / 100D AS total_amount",
+        "IF(complete, 2.5D, NULL) AS congestion_surcharge",
+        "IF(complete, IF(event_id % 25 = 0, 1.75D, 0D), NULL) AS airport_fee",
         "event_id",
         "copy_no",
-        (e % 3 + 1).cast("int").alias("file_month"),
+        "CAST(event_id % 3 + 1 AS INT) AS file_month",
     )
 
 
@@ -69,8 +67,7 @@ def clean_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver_trips(spark: SparkSession, sf_dir: str, spec: SilverSpec = SilverSpec()) -> DataFrame:
     """Silver trips; of two copies the later one stays."""
-    newest = [F.col("copy_no").desc(), F.col("event_id").desc()]
-    return silver.keep_newest(clean_trips(spark, sf_dir), spec, newest)
+    return silver.keep_newest(clean_trips(spark, sf_dir), spec, ("copy_no", "event_id"))
 
 
 _landed: dict[tuple[str, str], str] = {}

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..config import IngestSpec
 from ..operators import contracts, validate
+from ..operators.marts import grouped, rows_by
 from .incremental import loaded_demand, mart_rows, staged_demand
 from .oracle_base import ENRICHED_COLUMNS, LOADED, RAW
 from .trips import LINEAGE, raw_trips
@@ -48,7 +49,7 @@ rules AS (
 
 
 def _as_of():
-    return F.lit(AS_OF).cast("timestamp_ntz")
+    return f"TIMESTAMP_NTZ'{AS_OF}'"
 
 
 def broken(rule: str):
@@ -70,9 +71,7 @@ def validate_split(spark, sf):
     """Per delivered month: rows on either side of the split."""
     raw = raw_trips(spark, sf)
     bad = validate.any_violation(raw)
-    return raw.groupBy("file_month").agg(
-        F.count_if(~bad).alias("valid_rows"), F.count_if(bad).alias("quarantine_rows")
-    )
+    return grouped(raw, ("file_month",), valid_rows=f"count_if(NOT {bad})", quarantine_rows=f"count_if({bad})")
 
 
 def valid_rows(spark, sf):
@@ -90,15 +89,14 @@ def issue_report(spark, sf):
 
 
 def rowcount_floor(spark, sf):
-    counted = raw_trips(spark, sf).groupBy("file_month").agg(F.count(F.lit(1)).alias("row_count"))
-    return counted.withColumn("below_floor", F.col("row_count") < IngestSpec().min_rows)
+    counted = rows_by(raw_trips(spark, sf), ("file_month",))
+    return counted.selectExpr("*", f"row_count < {IngestSpec().min_rows} AS below_floor")
 
 
 def _month_counts(spark, sf):
     raw = raw_trips(spark, sf)
-    return raw.groupBy("file_month").agg(
-        F.count(F.lit(1)).alias("total_rows"), F.count_if(validate.any_violation(raw)).alias("reject_rows")
-    )
+    rejects = f"count_if({validate.any_violation(raw)})"
+    return grouped(raw, ("file_month",), total_rows="count(*)", reject_rows=rejects)
 
 
 def reject_rate(spark, sf):
