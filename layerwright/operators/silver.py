@@ -70,14 +70,6 @@ def quality_filter(trips: DataFrame, spec: SilverSpec = SilverSpec()) -> DataFra
     return trips.where(s.conjunction([year_window(spec), *quality_rules(spec).values()]))
 
 
-def newest_first(columns: Sequence[str], leading: Sequence[str] = ()) -> list[str]:
-    """A total order: ``leading`` columns first, then the others, all descending.
-
-    Rows still equal after that are copies; which of them survives cannot be seen, so reruns agree.
-    """
-    return [*leading, *[c for c in columns if c not in leading]]
-
-
 def keep_first(df: DataFrame, key: Sequence[str], descending: Sequence[str]) -> DataFrame:
     """The first row of each key in the descending order of the given columns.
 
@@ -92,10 +84,16 @@ def keep_first(df: DataFrame, key: Sequence[str], descending: Sequence[str]) ->
 def keep_newest(
     trips: DataFrame, spec: SilverSpec = SilverSpec(), newest_by: Sequence[str] | None = None
 ) -> DataFrame:
-    """One trip per dedup key, from the file delivered last unless other columns say what is newest."""
-    leading = [c for c in FILE_COLUMNS if c in trips.columns] if newest_by is None else list(newest_by)
-    content = [c for c in trips.columns if c not in (*FILE_COLUMNS, *spec.dedup_key)]
-    return keep_first(trips, spec.dedup_key, newest_first(content, leading))
+    """One trip per dedup key.
+
+    By default the one delivered last stays; among trips of one file the remaining columns decide, so that
+    only exact copies are interchangeable and reruns agree.  ``newest_by`` replaces that order; columns
+    that tell all trips apart make it a total one, and then no other column has to be read for it.
+    """
+    if newest_by is None:
+        delivered = [c for c in FILE_COLUMNS if c in trips.columns]
+        newest_by = [*delivered, *[c for c in trips.columns if c not in (*delivered, *spec.dedup_key)]]
+    return keep_first(trips, spec.dedup_key, newest_by)
 
 
 def clean(raw: DataFrame, spec: SilverSpec = SilverSpec()) -> DataFrame:
@@ -103,11 +101,24 @@ def clean(raw: DataFrame, spec: SilverSpec = SilverSpec()) -> DataFrame:
     return quality_filter(derived(typed(raw, spec)), spec)
 
 
+def distinct_clean(
+    raw: DataFrame, spec: SilverSpec = SilverSpec(), newest_by: Sequence[str] | None = None
+) -> DataFrame:
+    """Clean trips, one per key.
+
+    Derived columns only serve the filter before the shuffle and are computed again after it, which costs
+    less than shuffling them.
+    """
+    base = typed(raw, spec)
+    passed = quality_filter(derived(base), spec).select(*[s.name(c) for c in base.columns])
+    return derived(keep_newest(passed, spec, newest_by).drop(*FILE_COLUMNS))
+
+
 def to_silver(
     raw: DataFrame, spec: SilverSpec = SilverSpec(), newest_by: Sequence[str] | None = None
 ) -> DataFrame:
     """The silver table: clean trips, one per key, with load time and source name."""
-    kept = keep_newest(clean(raw, spec), spec, newest_by).drop(*FILE_COLUMNS)
+    kept = distinct_clean(raw, spec, newest_by)
     return kept.selectExpr("*", "current_timestamp() AS _ingested_at", f"{s.quoted(spec.source)} AS _source")
 
 

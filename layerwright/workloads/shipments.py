@@ -23,8 +23,8 @@ def _monthly(spark, sf):
 def lineitem_dedup_latest(spark, sf):
     """The line shipped last of each order and line number."""
     lines = _lines(spark, sf)
-    content = [c for c in lines.columns if c not in LINE_KEY]
-    return silver.keep_first(lines, LINE_KEY, silver.newest_first(content, ("l_shipdate",)))
+    content = [c for c in lines.columns if c not in (*LINE_KEY, "l_shipdate")]
+    return silver.keep_first(lines, LINE_KEY, ("l_shipdate", *content))
 
 
 def lineitem_dedup_counts(spark, sf):
