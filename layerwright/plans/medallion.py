@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..config import PARTITIONS, FreshnessSpec, IngestSpec, SilverSpec
 from ..functions.scalars import disjunction
 from ..operators import contracts, incremental, marts, silver, typed
+from ..session import sized_shuffles
 from ..sources import bronze, files, tables
 from .landing import Layout
 
@@ -42,10 +43,10 @@ def build_silver(
     fmt: str = "parquet",
 ) -> dict[str, int]:
     """Write the silver table from all of bronze and return the run's accounting."""
-    raw = bronze.read_bronze(spark, layout.path("bronze"), ingest).drop(*bronze.MONTH_COLUMNS)
-    path = layout.path("silver")
-    rows = silver.to_silver(raw, spec).hint("rebalance", *[F.col(p) for p in PARTITIONS])
-    tables.overwrite_all(rows, path, PARTITIONS, fmt)
+    source, path = layout.path("bronze"), layout.path("silver")
+    raw = bronze.read_bronze(spark, source, ingest).drop(*bronze.MONTH_COLUMNS)
+    with sized_shuffles(spark, tables.path_bytes(spark, source)):
+        tables.overwrite_all(silver.to_silver(raw, spec), path, PARTITIONS, fmt)
     counts = silver_accounting(raw, tables.read_table(spark, path, fmt), spec)
     record = {
         "pipeline": spec.source,
@@ -62,10 +63,12 @@ def build_silver(
 
 def build_gold(spark: SparkSession, layout: Layout, fmt: str = "parquet") -> None:
     """Write every mart from the silver table; each scan reads only the columns its mart needs."""
-    trips = tables.read_table(spark, layout.path("silver"), fmt, view="silver_trips")
-    for name, build in marts.MARTS.items():
-        partitions = () if name == "pipeline_health" else PARTITIONS
-        tables.overwrite_all(build(trips), layout.path("gold", name), partitions, fmt)
+    source = layout.path("silver")
+    trips = tables.read_table(spark, source, fmt, view="silver_trips")
+    with sized_shuffles(spark, tables.path_bytes(spark, source)):
+        for name, build in marts.MARTS.items():
+            partitions = () if name == "pipeline_health" else PARTITIONS
+            tables.overwrite_all(build(trips), layout.path("gold", name), partitions, fmt)
 
 
 LOAD_SOURCES = {

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-# Shuffle sizes are left to AQE: it coalesces small partitions and splits skewed ones at run time,
-# so no partition count is tied to one data size.
+# AQE coalesces small shuffle partitions and splits skewed ones at run time; it needs enough of them to
+# start from, see sized_shuffles.
 SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -39,6 +41,44 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, name: str = "la
     return spark
 
 
+# Input bytes per shuffle partition, and the most partitions a shuffle starts with: beyond this the number
+# of map-reduce block pairs costs more than letting the sorts of larger partitions spill.
+SHUFFLE_PARTITION_BYTES = 256 << 20
+MOST_SHUFFLE_PARTITIONS = 40_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+ADVISORY_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
+def shuffle_partitions(spark: SparkSession, input_bytes: int) -> int:
+    """Shuffle partitions to start with for an input of this size, never fewer than configured."""
+    wanted = min(-(-input_bytes // SHUFFLE_PARTITION_BYTES), MOST_SHUFFLE_PARTITIONS)
+    return max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Run shuffles with partitions to match the input and write files of about 256 MB.
+
+    AQE merges shuffle partitions that turn out small but cannot add any, so a fixed default would leave
+    hundreds of gigabytes in each at 100 TB.
+    """
+    wanted = {
+        INITIAL_PARTITIONS: str(shuffle_partitions(spark, input_bytes)),
+        ADVISORY_BYTES: str(SHUFFLE_PARTITION_BYTES),
+    }
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

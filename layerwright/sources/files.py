@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PARQUET_ONLY = "*.parquet"
-# Spark holds one binary file as one value, which cannot exceed 2 GiB.
-WHOLE_FILE_LIMIT = 1 << 30
+# Spark holds one binary file as one value; beyond this size a file is streamed instead.
+WHOLE_FILE_LIMIT = 256 << 20
 CHUNK = 8 << 20
 
 

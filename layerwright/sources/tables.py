@@ -42,28 +42,43 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", view: str |
     return df
 
 
+def _located(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and the path in it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    filesystem, target = _located(spark, path)
+    return filesystem.exists(target)
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files below ``path``."""
+    filesystem, target = _located(spark, path)
+    return filesystem.getContentSummary(target).getLength()
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    filesystem, target = _located(spark, path)
+    filesystem.delete(target, True)
 
 
-def overwrite_partitions(
-    df: DataFrame, path: str, partitions: Sequence[str], fmt: str = "parquet", rebalance: bool = True
-) -> None:
-    """Replace the partitions present in ``df`` and leave the others alone.
+def gathered(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """``df`` with the rows of each table partition brought together for writing.
 
-    ``rebalance`` gathers each partition's rows into files of AQE's advisory size: few open writers, no
-    small files, and AQE splits a partition that is much larger than the rest over several tasks.
+    Few open writers and no small files; AQE splits a partition larger than the advisory size over several
+    tasks, so a month holding a third of the rows is not written by one.  Without AQE nothing would split
+    it, and the rows stay where they are.
     """
-    rows = df.hint("rebalance", *[F.col(p) for p in partitions]) if rebalance else df
-    writer = rows.write.format(fmt).mode("overwrite").partitionBy(*partitions)
+    if not partitions or df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        return df
+    return df.hint("rebalance", *[F.col(p) for p in partitions])
+
+
+def overwrite_partitions(df: DataFrame, path: str, partitions: Sequence[str], fmt: str = "parquet") -> None:
+    """Replace the partitions present in ``df`` and leave the others alone."""
+    writer = gathered(df, partitions).write.format(fmt).mode("overwrite").partitionBy(*partitions)
     writer.option("partitionOverwriteMode", "dynamic").save(path)
 
 
@@ -71,7 +86,7 @@ def overwrite_all(
     df: DataFrame, path: str, partitions: Sequence[str] = (), fmt: str = "parquet"
 ) -> None:
     """Replace the whole table, schema included."""
-    writer = df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = gathered(df, partitions).write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
     if fmt == "delta":
         writer = writer.option("overwriteSchema", "true")
     if partitions:
@@ -101,7 +116,8 @@ def append_json(spark: SparkSession, record: Mapping, path: str, schema: T.Struc
 
 def append_control(control: DataFrame, path: str) -> None:
     """Append control records, one per delivered month, to the JSON log."""
-    control.select(*[F.col(f.name).cast(f.dataType) for f in CONTROL_SCHEMA.fields]).write.mode("append").json(path)
+    records = control.select(*[F.col(f.name).cast(f.dataType) for f in CONTROL_SCHEMA.fields])
+    records.coalesce(1).write.mode("append").json(path)
 
 
 def read_control(spark: SparkSession, path: str) -> DataFrame:
