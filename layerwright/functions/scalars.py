@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from datetime import datetime, timezone
 
 from ..config import OTHER_SEGMENT, TIME_SEGMENTS, UNKNOWN_LABEL, WEEKEND_DAYS, TierSpec
 
@@ -22,6 +23,13 @@ def literal(value) -> str:
     return quoted(value) if isinstance(value, str) else str(value)
 
 
+def time_literal(time: datetime) -> str:
+    """A point in time; one without a zone is taken in the session's."""
+    if time.tzinfo is None:
+        return f"TIMESTAMP'{time:%Y-%m-%d %H:%M:%S}'"
+    return f"TIMESTAMP'{time.astimezone(timezone.utc):%Y-%m-%d %H:%M:%S}+00:00'"
+
+
 def conjunction(conditions: Iterable[str]) -> str:
     return " AND ".join(f"({c})" for c in conditions) or "true"
 

@@ -67,35 +67,41 @@ class ValidationResult:
         return [row["issue"] for row in self.report.orderBy("position").collect()]
 
 
+def _count_entry(position: int, label: str, rows: str) -> str:
+    return f"named_struct('position', {position}, 'rule', {s.quoted(label)}, 'rows', {rows})"
+
+
+def _rule_entries(df: DataFrame, spec: IngestSpec) -> list[str]:
+    rules = violations(df, spec).items()
+    return [_count_entry(i, label, f"count_if({broken})") for i, (label, broken) in enumerate(rules)]
+
+
 def rule_counts(df: DataFrame, spec: IngestSpec = IngestSpec(), by: Sequence[str] = ()) -> DataFrame:
     """One row per group and rule with the rows breaking it, rules without hits included.
 
     Also carries the group's row count (``total_rows``) and distinct rejected rows (``reject_rows``).
     """
-    counts = ", ".join(
-        f"named_struct('position', {i}, 'rule', {s.quoted(label)}, 'rows', count_if({broken}))"
-        for i, (label, broken) in enumerate(violations(df, spec).items())
-    )
     counted = df.groupBy(*by).agg(
         F.expr("count(*) AS total_rows"),
         F.expr(f"count_if({any_violation(df, spec)}) AS reject_rows"),
-        F.expr(f"array({counts}) AS _rules"),
+        F.expr(f"array({', '.join(_rule_entries(df, spec))}) AS _rules"),
     )
     return counted.selectExpr(*by, "total_rows", "reject_rows", "inline(_rules)")
 
 
 def issue_report(df: DataFrame, spec: IngestSpec = IngestSpec()) -> DataFrame:
-    """(position, rule, rows, issue) for every rule with hits, led by a row-count issue when due."""
-    broken = rule_counts(df, spec).where("rows > 0")
-    texts = broken.selectExpr("position", "rule", "rows", "rule || ': ' || format_number(rows, 0) || ' rows' AS issue")
-    return row_count_issue(df, spec).unionByName(texts)
-
+    """(position, rule, rows, issue) for every rule with hits, in one pass.
 
-def row_count_issue(df: DataFrame, spec: IngestSpec = IngestSpec()) -> DataFrame:
-    """One row when ``df`` holds fewer rows than the floor, else none; a warning, not a rejection."""
-    text = f"'Row count ' || format_number(rows, 0) || ' below minimum {spec.min_rows:,}'"
-    short = df.agg(F.expr("count(*) AS rows")).where(f"rows < {spec.min_rows}")
-    return short.selectExpr("-1 AS position", "'Row count' AS rule", "rows", f"{text} AS issue")
+    Fewer rows than the floor are reported first; that is a warning and rejects nothing.
+    """
+    entries = [_count_entry(-1, "Row count", "count(*)"), *_rule_entries(df, spec)]
+    counts = df.agg(F.expr(f"array({', '.join(entries)}) AS _counts")).selectExpr("inline(_counts)")
+    due = counts.where(f"IF(position < 0, rows < {spec.min_rows}, rows > 0)")
+    return due.selectExpr(
+        "*",
+        f"""IF(position < 0, 'Row count ' || format_number(rows, 0) || ' below minimum {spec.min_rows:,}',
+               rule || ': ' || format_number(rows, 0) || ' rows') AS issue""",
+    )
 
 
 def validate(df: DataFrame, spec: IngestSpec = IngestSpec()) -> ValidationResult:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import PARTITIONS, FreshnessSpec, IngestSpec, SilverSpec
-from ..functions.scalars import disjunction
+from ..functions.scalars import disjunction, time_literal
 from ..operators import contracts, incremental, marts, silver, typed
 from ..session import sized_shuffles
 from ..sources import bronze, files, tables
@@ -41,13 +41,22 @@ def build_silver(
     spec: SilverSpec = SilverSpec(),
     ingest: IngestSpec = IngestSpec(),
     fmt: str = "parquet",
+    verify: bool = False,
 ) -> dict[str, int]:
-    """Write the silver table from all of bronze and return the run's accounting."""
+    """Write the silver table from all of bronze and return the run's accounting.
+
+    ``verify`` counts the distinct trip keys of the input independently, a shuffle of the key columns, and
+    raises when the rows read back differ.
+    """
     source, path = layout.path("bronze"), layout.path("silver")
     raw = bronze.read_bronze(spark, source, ingest).drop(*bronze.MONTH_COLUMNS)
     with sized_shuffles(spark, tables.path_bytes(spark, source)):
         tables.overwrite_all(silver.to_silver(raw, spec), path, PARTITIONS, fmt)
-    counts = silver_accounting(raw, tables.read_table(spark, path, fmt), spec)
+    written = tables.read_table(spark, path, fmt)
+    if verify:
+        expected = silver.dedup_counts(silver.clean(raw, spec), spec.dedup_key).first().rows_out
+        contracts.verify_rows(written, expected)
+    counts = silver_accounting(raw, written, spec)
     record = {
         "pipeline": spec.source,
         "layer": "silver",
@@ -71,6 +80,13 @@ def build_gold(spark: SparkSession, layout: Layout, fmt: str = "parquet") -> Non
             tables.overwrite_all(build(trips), layout.path("gold", name), partitions, fmt)
 
 
+def export_gold(spark: SparkSession, layout: Layout, fmt: str = "parquet") -> None:
+    """Write every mart as CSV for reporting tools."""
+    for name in marts.MARTS:
+        mart = tables.read_table(spark, layout.path("gold", name), fmt)
+        tables.export_csv(mart, layout.path("export", name))
+
+
 LOAD_SOURCES = {
     "hourly_zone_demand": "hourly_zone_demand",
     "daily_vendor_revenue": "daily_vendor_revenue",
@@ -116,7 +132,7 @@ def refresh_mart(
     spark: SparkSession, layout: Layout, as_of: datetime, limits: FreshnessSpec | None = None
 ) -> DataFrame:
     """Refresh the demand mart from its load table, check both contracts and return the mart."""
-    now = f"TIMESTAMP'{as_of:%Y-%m-%d %H:%M:%S}'"
+    now = time_literal(as_of)
     loaded = tables.read_table(spark, layout.path("raw", "hourly_zone_demand"))
     if limits is not None:
         contracts.freshness_gate(loaded, now, limits=limits)

@@ -70,7 +70,8 @@ def merge_upsert(spark, sf):
     """Hourly demand with the zone-hours paid by card replaced by their card trips alone."""
     trips = silver_trips(spark, sf)
     card = marts.hourly_zone_demand(trips.where("payment_type = 1"), TIERS)
-    return joins.upsert(hourly_zone_demand(spark, sf), card, DEMAND_KEY)
+    # Grouping makes the keys unique, so the keys-only check is not needed.
+    return joins.upsert(hourly_zone_demand(spark, sf), card, DEMAND_KEY, check=False)
 
 
 def _as_delivered(spark, sf):

@@ -134,6 +134,15 @@ def test_month_targets(spark, as_of, n, months):
     assert sorted(map(tuple, landing.month_spine(day, "d", n).collect())) == sorted(months)
 
 
+def test_time_literals(spark):
+    from datetime import timezone
+
+    from layerwright.functions.scalars import time_literal
+
+    naive, aware = datetime(2024, 1, 1, 12), datetime(2024, 1, 1, 13, tzinfo=timezone(timedelta(hours=1)))
+    assert spark.sql(f"SELECT {time_literal(naive)} = {time_literal(aware)} AS same").first().same
+
+
 def test_single_month_target():
     assert landing.month_targets(date(2024, 3, 15), 3, (2023, 5)) == [(2023, 5)]
 
@@ -179,7 +188,7 @@ def test_landing(spark, deliveries, tmp_path):
 def test_layers_end_to_end(spark, deliveries, tmp_path):
     layout = Layout(str(tmp_path / "lake"))
     landing.land(spark, deliveries, layout, [(2024, 1), (2024, 2), (2024, 3)], spec=SPEC)
-    counts = medallion.build_silver(spark, layout)
+    counts = medallion.build_silver(spark, layout, verify=True)
     assert counts["rows_in"] == 16 and counts["rows_out"] == 10
     # February's two bad rows and March's three without a fare fail rules, January holds one duplicate.
     assert (counts["rows_filtered"], counts["rows_duplicate"]) == (5, 1)
@@ -187,6 +196,9 @@ def test_layers_end_to_end(spark, deliveries, tmp_path):
     silver = tables.read_table(spark, layout.path("silver"))
     assert not {"year", "month", "_file_path"} & set(silver.columns)
     medallion.build_gold(spark, layout)
+    medallion.export_gold(spark, layout)
+    exported = spark.read.option("header", True).csv(layout.path("export", "daily_vendor_revenue"))
+    assert exported.count() == 10 and "pickup_year" in exported.columns
     loaded = {t: medallion.load_table(spark, layout, t) for t in medallion.LOAD_SOURCES}
     assert all(loaded.values())
     assert not any(medallion.load_table(spark, layout, t) for t in medallion.LOAD_SOURCES)
