@@ -104,22 +104,26 @@ def clean(raw: DataFrame, spec: SilverSpec = SilverSpec()) -> DataFrame:
 def distinct_clean(
     raw: DataFrame, spec: SilverSpec = SilverSpec(), newest_by: Sequence[str] | None = None
 ) -> DataFrame:
-    """Clean trips, one per key.
+    """Clean trips, one per key, without their derived columns.
 
-    Derived columns only serve the filter before the shuffle and are computed again after it, which costs
-    less than shuffling them.
+    Derived columns only serve the filter here: computing them again after the shuffles costs less than
+    shuffling them.
     """
     base = typed(raw, spec)
     passed = quality_filter(derived(base), spec).select(*[s.name(c) for c in base.columns])
-    return derived(keep_newest(passed, spec, newest_by).drop(*FILE_COLUMNS))
+    return keep_newest(passed, spec, newest_by).drop(*FILE_COLUMNS)
+
+
+def stamped(trips: DataFrame, spec: SilverSpec = SilverSpec()) -> DataFrame:
+    """Add load time and source name."""
+    return trips.selectExpr("*", "current_timestamp() AS _ingested_at", f"{s.quoted(spec.source)} AS _source")
 
 
 def to_silver(
     raw: DataFrame, spec: SilverSpec = SilverSpec(), newest_by: Sequence[str] | None = None
 ) -> DataFrame:
-    """The silver table: clean trips, one per key, with load time and source name."""
-    kept = distinct_clean(raw, spec, newest_by)
-    return kept.selectExpr("*", "current_timestamp() AS _ingested_at", f"{s.quoted(spec.source)} AS _source")
+    """The silver table: clean trips, one per key, with derived columns, load time and source name."""
+    return stamped(derived(distinct_clean(raw, spec, newest_by)), spec)
 
 
 def filter_reject_counts(raw: DataFrame, spec: SilverSpec = SilverSpec()) -> DataFrame:

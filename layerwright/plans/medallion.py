@@ -51,7 +51,11 @@ def build_silver(
     source, path = layout.path("bronze"), layout.path("silver")
     raw = bronze.read_bronze(spark, source, ingest).drop(*bronze.MONTH_COLUMNS)
     with sized_shuffles(spark, tables.path_bytes(spark, source)):
-        tables.overwrite_all(silver.to_silver(raw, spec), path, PARTITIONS, fmt)
+        kept = silver.distinct_clean(raw, spec)
+        months = ("year(pickup_datetime) AS pickup_year", "month(pickup_datetime) AS pickup_month")
+        together = tables.gathered(kept.selectExpr("*", *months), PARTITIONS).drop(*PARTITIONS)
+        rows = silver.stamped(silver.derived(together), spec)
+        tables.overwrite_all(rows, path, PARTITIONS, fmt, gather=False)
     written = tables.read_table(spark, path, fmt)
     if verify:
         expected = silver.dedup_counts(silver.clean(raw, spec), spec.dedup_key).first().rows_out

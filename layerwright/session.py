@@ -20,6 +20,8 @@ SESSION_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # HotSpot never compiles methods above this size; wide projections run faster without fusing them.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Keep the generated code of more queries than the default hundred stages.
+    "spark.sql.codegen.cache.maxEntries": "1000",
     # Recording the Python line of every column costs several JVM calls per expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -41,9 +43,10 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, name: str = "la
     return spark
 
 
-# Input bytes per shuffle partition, and the most partitions a shuffle starts with: beyond this the number
-# of map-reduce block pairs costs more than letting the sorts of larger partitions spill.
+# Bytes per shuffle partition, and the most partitions a shuffle starts with: beyond this the number of
+# map-reduce block pairs costs more than letting the sorts of larger partitions spill.
 SHUFFLE_PARTITION_BYTES = 256 << 20
+LEAST_PARTITION_BYTES = 16 << 20
 MOST_SHUFFLE_PARTITIONS = 40_000
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 ADVISORY_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
@@ -55,16 +58,22 @@ def shuffle_partitions(spark: SparkSession, input_bytes: int) -> int:
     return max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def partition_bytes(spark: SparkSession, input_bytes: int) -> int:
+    """Target partition size: 256 MB, less where that would leave cores idle."""
+    per_core = input_bytes // spark.sparkContext.defaultParallelism
+    return max(min(per_core, SHUFFLE_PARTITION_BYTES), LEAST_PARTITION_BYTES)
+
+
 @contextmanager
 def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
-    """Run shuffles with partitions to match the input and write files of about 256 MB.
+    """Run shuffles, and write files, with partitions to match the input.
 
     AQE merges shuffle partitions that turn out small but cannot add any, so a fixed default would leave
     hundreds of gigabytes in each at 100 TB.
     """
     wanted = {
         INITIAL_PARTITIONS: str(shuffle_partitions(spark, input_bytes)),
-        ADVISORY_BYTES: str(SHUFFLE_PARTITION_BYTES),
+        ADVISORY_BYTES: str(partition_bytes(spark, input_bytes)),
     }
     before = {key: spark.conf.get(key, None) for key in wanted}
     for key, value in wanted.items():

@@ -83,10 +83,11 @@ def overwrite_partitions(df: DataFrame, path: str, partitions: Sequence[str], fm
 
 
 def overwrite_all(
-    df: DataFrame, path: str, partitions: Sequence[str] = (), fmt: str = "parquet"
+    df: DataFrame, path: str, partitions: Sequence[str] = (), fmt: str = "parquet", gather: bool = True
 ) -> None:
-    """Replace the whole table, schema included."""
-    writer = gathered(df, partitions).write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
+    """Replace the whole table, schema included; ``gather=False`` for rows that are gathered already."""
+    rows = gathered(df, partitions) if gather else df
+    writer = rows.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
     if fmt == "delta":
         writer = writer.option("overwriteSchema", "true")
     if partitions:

@@ -67,7 +67,7 @@ def clean_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver_trips(spark: SparkSession, sf_dir: str, spec: SilverSpec = SilverSpec()) -> DataFrame:
     """Silver trips; of two copies the later one stays."""
-    return silver.distinct_clean(raw_trips(spark, sf_dir), spec, ("copy_no", "event_id"))
+    return silver.derived(silver.distinct_clean(raw_trips(spark, sf_dir), spec, ("copy_no", "event_id")))
 
 
 _landed: dict[tuple[str, str], str] = {}
