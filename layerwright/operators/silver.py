@@ -19,13 +19,16 @@ FILE_COLUMNS = ("_file_modified_at", "_file_path")
 
 
 def typed(raw: DataFrame, spec: SilverSpec = SilverSpec()) -> DataFrame:
-    """Silver names and declared types; columns outside the spec pass through unchanged."""
+    """Silver names and declared types; columns outside the spec pass through unchanged.
+
+    A value that does not fit its type becomes null.
+    """
 
     def column(source: str) -> str:
         target = spec.renames.get(source, source)
         value = s.name(source)
         if target in spec.casts:
-            value = f"CAST({value} AS {spec.casts[target]})"
+            value = f"try_cast({value} AS {spec.casts[target]})"
         return f"{value} AS {s.name(target)}"
 
     return raw.selectExpr(*[column(c) for c in raw.columns])

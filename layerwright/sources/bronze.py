@@ -42,11 +42,15 @@ def read_parquet(spark: SparkSession, path: str, merge: bool = False) -> DataFra
 
 
 def as_declared(df: DataFrame, declared: dict[str, str]) -> DataFrame:
-    """``df`` with declared columns in their declared names and types; names match in any case."""
+    """``df`` with declared columns in their declared names and types; names match in any case.
+
+    A value that does not fit its type becomes null, to be counted and quarantined as a missing one, rather
+    than failing the whole delivery.
+    """
     names = {c.lower(): c for c in declared}
     return df.select(
         *[
-            F.col(f"`{c}`").cast(declared[names[c.lower()]]).alias(names[c.lower()])
+            F.col(f"`{c}`").try_cast(declared[names[c.lower()]]).alias(names[c.lower()])
             if c.lower() in names
             else F.col(f"`{c}`")
             for c in df.columns

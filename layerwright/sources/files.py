@@ -48,9 +48,9 @@ def checksum_manifest(
 ) -> DataFrame:
     """(path, size, md5) of each matching file.
 
-    Files up to ``whole_limit`` bytes are hashed by Spark's own ``md5``; larger ones are streamed by the
-    task that owns them, so memory per task stays bounded for any file size.  The size filter reaches the
-    reader, which opens only the files on its side of the limit.
+    Files up to ``whole_limit`` bytes are hashed by Spark's own ``md5``; larger ones, if the listing shows
+    any, are streamed by the task that owns them, so memory per task stays bounded for any file size.  The
+    size filter reaches the reader, which opens only the files on its side of the limit.
     """
     files = (
         spark.read.format("binaryFile")
@@ -62,6 +62,8 @@ def checksum_manifest(
         "path", F.col("length").alias("size"), F.md5("content").alias("md5")
     )
     large = files.where(F.col("length") > whole_limit).select("path", F.col("length").alias("size"))
+    if large.isEmpty():
+        return whole
     return whole.unionByName(large.mapInPandas(_stream_md5, "path string, size bigint, md5 string"))
 
 

@@ -225,6 +225,15 @@ def test_layers_end_to_end(spark, deliveries, tmp_path):
     assert [(r.rows_ingested, r.reject_rows) for r in runs] == [(10, 5)]
 
 
+def test_unreadable_values_are_quarantined_not_fatal(spark, tmp_path):
+    deliveries, layout = str(tmp_path / "in"), Layout(str(tmp_path / "lake"))
+    rows = raw(spark, copies=4).withColumn("fare_amount", F.lit("n/a"))
+    rows.unionByName(raw(spark, copies=2).withColumn("fare_amount", F.lit("7.25"))).write.parquet(month(deliveries, 2024, 1))
+    record = landing.land(spark, deliveries, layout, [(2024, 1)], spec=SPEC).first()
+    assert (record.status, record.rows_ingested, record.reject_rows) == ("success_with_warnings", 2, 4)
+    assert record.error_message == "Nulls in fare_amount: 4 rows"
+
+
 def test_stream_loads_each_file_once(spark, tmp_path):
     source, target, rejects, checkpoint = (str(tmp_path / n) for n in ("in", "out", "bad", "check"))
     schema = spark.createDataFrame([], "a string, b int").schema

@@ -143,3 +143,10 @@ def test_dedup_is_idempotent_and_ignores_row_order(spark, trips, random):
 def test_null_key_parts_are_one_key(spark):
     df = raw(spark, {"VendorID": None}, {"VendorID": None}, {"VendorID": 2})
     assert silver.to_silver(df).count() == 2
+
+
+def test_values_that_do_not_fit_become_null(spark):
+    df = raw(spark, {"passenger_count": float("nan")}, {"PULocationID": 1}).withColumn("payment_type", F.lit("cash"))
+    rows = silver.to_silver(df).orderBy("pickup_location_id").collect()
+    assert [r.passenger_count for r in rows] == [2, None]
+    assert {r.payment_type_desc for r in rows} == {"Unknown"}
