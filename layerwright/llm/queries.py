@@ -6,24 +6,115 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .blocks import substring_dedup
+from .chat import format_chats, read_loss, read_turns
+from .cover import embedding_duplicates
+from .minhash import near_duplicates
 from .prefix_free import suffix_dedup
+from .url_rules import judge_urls
+
+# The URL rules of op5 as verdict, host, path.
+URL_RULES = (
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share 85 % of their 3-word shingles."""
+    return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one that holds control strings of other templates, formatted and read back."""
+    control = "</s>[INST] ok [/INST]"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.sql(
+        "SELECT -7L AS conv_id, turn, role, text FROM VALUES (0L, 'user', :text), (1L, 'assistant', :text)"
+        " AS t (turn, role, text)",
+        args={"text": control},
+    )
+    chats = format_chats(rows.unionByName(added))
+    back = chats.select(
+        "conv_id",
+        read_turns(F.col("formatted")).alias("turns"),
+        read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("bigint").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left after removing 50-word runs of documents with smaller ids, as a digest."""
     result = substring_dedup(table(spark, sf_dir, "documents"))
     return result.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL by the fixed rules, else by rules mined from labels: poor or toxic is to be blocked."""
+    labels = table(spark, sf_dir, "labels").selectExpr(
+        "doc_id AS page_id", "coalesce(quality = 0, false) OR coalesce(toxic = 1, false) AS blocked"
+    )
+    judged = judge_urls(table(spark, sf_dir, "pages"), labels, URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of vectors of one label with a cosine of 0.93 or more."""
+    return embedding_duplicates(table(spark, sf_dir, "embeddings"), similarity=0.93)
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes left after removing 50-byte strings of documents with smaller ids, as a digest."""
     result = suffix_dedup(table(spark, sf_dir, "documents"))
     return result.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op4_substring_dedup, op9_suffix_dedup)}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_minhash_near_dedup,
+        op2_chat_formatting,
+        op4_substring_dedup,
+        op5_url_filter,
+        op7_embedding_near_dedup,
+        op9_suffix_dedup,
+    )
+}
+ORACLES: dict[str, str] = {
+    "op2_chat_formatting": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ), laid AS (
+            SELECT *, replace(replace(text, '\', '\\'), '<|', '<\|') AS safe,
+                replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\n') AS safe_role,
+                role IS DISTINCT FROM lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS first
+            FROM turns
+        )
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text))
+                AS turns_sha256,
+            CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
+                AS loss_sha256,
+            CAST(sum(length(safe) + CASE WHEN first THEN length('<|start|>') + length(safe_role) + 1
+                + length('<|end|>') + 1 ELSE length('<|next|>') END) AS BIGINT) AS formatted_chars
+        FROM laid GROUP BY conv_id
+    """,
+}
