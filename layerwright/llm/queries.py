@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .blocks import substring_dedup
 from .chat import format_chats, read_loss, read_turns
+from .contamination import decontaminated
 from .cover import embedding_duplicates
+from .language import fit_languages, fold, identified
 from .minhash import near_duplicates
+from .packing import packed_sequences
 from .prefix_free import suffix_dedup
 from .url_rules import judge_urls
 
@@ -58,6 +62,14 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as tokens in sequences of 4096."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    pieces = packed_sequences(table(spark, sf_dir, "documents"), path, capacity=4096, end=2)
+    crc = F.crc32("ids").alias("ids_crc32")
+    return pieces.select("doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left after removing 50-word runs of documents with smaller ids, as a digest."""
     result = substring_dedup(table(spark, sf_dir, "documents"))
@@ -73,11 +85,33 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from two thirds of the ids."""
+    documents = table(spark, sf_dir, "documents")
+    model = fit_languages(documents.where(fold(3) != 1))
+    held_out = F.coalesce(fold(3) == 1, F.lit(False)).alias("held_out")
+    return identified(documents, model).select("doc_id", held_out, "lang_pred", "score", "rejected")
+
+
 def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of vectors of one label with a cosine of 0.93 or more."""
     return embedding_duplicates(table(spark, sf_dir, "embeddings"), similarity=0.93)
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by how much of them lies in 13-word windows of benchmark items."""
+    result = decontaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13, percent=5)
+    items = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item_id"])))
+    return result.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size(items).cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes left after removing 50-byte strings of documents with smaller ids, as a digest."""
     result = suffix_dedup(table(spark, sf_dir, "documents"))
@@ -89,9 +123,12 @@ QUERIES = {
     for f in (
         op1_minhash_near_dedup,
         op2_chat_formatting,
+        op3_harmonic_packing,
         op4_substring_dedup,
         op5_url_filter,
+        op6_language_id,
         op7_embedding_near_dedup,
+        op8_benchmark_decontamination,
         op9_suffix_dedup,
     )
 }

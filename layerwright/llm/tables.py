@@ -32,6 +32,7 @@ def text_bytes(df: DataFrame, column: str = "text") -> int:
 
 
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Rows per Arrow batch for texts: a batch of the default size would hold long texts by the thousand."""
+    """Smaller Arrow batches for texts: one of the default size would hold long texts by the thousand."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
