@@ -21,14 +21,19 @@ SCHEMA = "doc_id long, n_words long, n_removed long, kept string, text string"
 
 
 def substring_dedup(
-    documents: DataFrame, window: int = 50, block: int = 25, chunk_bytes: int = CHUNK_BYTES
+    documents: DataFrame,
+    window: int = 50,
+    block: int = 25,
+    chunk_bytes: int = CHUNK_BYTES,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Remove every word covered by a run of ``window`` words that also starts in a document with a smaller id.
 
     Words are runs of anything but ASCII white space, unchanged.  Runs are judged on the input, not on what is left,
-    and lie in one document.  Needs ``doc_id`` (integer) and ``text``; other columns, whatever their names, are not
-    read.  Returns one row per row: ``doc_id, n_words, n_removed``, ``kept`` (words left, joined by one space) and
-    ``text``: the input where nothing was removed, else what is left between removed runs in its original spacing.
+    and lie in one document.  Needs ``doc_id`` (integer) and ``text``; of other columns, whatever their names, only those
+    in ``carry`` are kept, at the end.  Returns one row per row: ``doc_id, n_words, n_removed``, ``kept`` (words left,
+    joined by one space) and ``text``: the input where nothing was removed, else what is left between removed runs in
+    its original spacing.
     Null texts have no words, an empty ``kept`` and a null ``text``; a document with a null id keeps all words and is
     no reference; rows with equal ids do not remove each other's words; an empty table gives an empty result.
     """
@@ -80,11 +85,17 @@ def substring_dedup(
         smallest = owner[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))] if len(key) else owner
         cut[starts[order][owner > smallest]] = True
         gone = covered(np.flatnonzero(cut), window, len(hashes))
-        return cut_rows(rows, values, bounds, gone)
-
-    return resolve_repeats(
-        documents, fingerprints, windows, resolve, SCHEMA, bits=ANCHOR_BITS, chunk_bytes=chunk_bytes
+        result = cut_rows(rows, values, bounds, gone)
+        for k in range(len(carry)):
+            result = result.append_column(f"carried_{k}", rows[f"carried_{k}"])
+        return result
+
+    kinds = (documents.schema[c].dataType.simpleString() for c in carry)
+    schema = SCHEMA + "".join(f", carried_{k} {kind}" for k, kind in enumerate(kinds))
+    result = resolve_repeats(
+        documents, fingerprints, windows, resolve, schema, bits=ANCHOR_BITS, chunk_bytes=chunk_bytes, carry=carry
     )
+    return result.withColumnsRenamed({f"carried_{k}": c for k, c in enumerate(carry)})
 
 
 def cut_rows(rows: pa.Table, values: pa.Array, bounds: np.ndarray, gone: np.ndarray) -> pa.Table:

@@ -14,6 +14,7 @@ from .language import fit_languages, fold, identified
 from .minhash import near_duplicates
 from .packing import packed_sequences
 from .prefix_free import suffix_dedup
+from .recurrent import language_scores
 from .url_rules import judge_urls
 
 # The URL rules of op5 as verdict, host, path.
@@ -118,6 +119,12 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probabilities of every document, learned from four fifths of the ids."""
+    held_out = "crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 = 1"
+    return language_scores(table(spark, sf_dir, "documents"), held_out)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -130,6 +137,7 @@ QUERIES = {
         op7_embedding_near_dedup,
         op8_benchmark_decontamination,
         op9_suffix_dedup,
+        op10_lm_scoring,
     )
 }
 ORACLES: dict[str, str] = {

@@ -118,6 +118,7 @@ def resolve_repeats(
     match: Callable[[pa.Table], pa.Table] = match_anchors,
     bits: int = 40,
     chunk_bytes: int = CHUNK_BYTES,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Run the first two steps; the third runs as the result is read.
 
@@ -125,14 +126,15 @@ def resolve_repeats(
     time only, as windows carry full hashes.  ``match`` compares them between chunks.  ``windows(rows, live)`` gives
     the sorted window hashes around the live ones, ``resolve(rows, earlier)`` the result rows, given the windows that
     occur earlier.  ``documents`` has ``doc_id, text``; rows with a null id come first and must not publish anything.
-    The laid-out texts and the answers stay in the shared folder, as the result reads them.
+    Columns in ``carry`` reach ``resolve`` as ``carried_0`` and so on.  The laid-out texts and the answers stay in the shared folder, as the result reads them.
     """
     spark = documents.sparkSession
     small_batches(spark)
     chunks = max(-(-text_bytes(documents) // chunk_bytes), 1)
     slots = chunks
     name, path = f"chunks_{uuid.uuid4().hex}", scratch_path(spark, "chunks")
-    laid_out = documents.select("doc_id", "text").repartitionByRange(chunks, "doc_id")
+    carried = (F.col(c).alias(f"carried_{k}") for k, c in enumerate(carry))
+    laid_out = documents.select("doc_id", "text", *carried).repartitionByRange(chunks, "doc_id")
     laid_out = laid_out.withColumn("chunk", F.spark_partition_id())
     writer = laid_out.write.bucketBy(chunks, "chunk").option("path", path).option("compression", "zstd")
     writer.saveAsTable(name)
@@ -159,10 +161,11 @@ def resolve_repeats(
     def finish(rows: pa.Table, earlier: pa.Table) -> pa.Table:
         return resolve(rows, joined_sets(earlier))
 
-    sets = table.mapInArrow(publish, SETS)
+    texts = table.select("doc_id", "text", "chunk")
+    sets = texts.mapInArrow(publish, SETS)
     live = sets.repartition(slots, "slot").groupBy("slot").applyInArrow(match, ANSWER)
     live, live_path = stored(live, "live")
-    sets = table.groupBy("chunk").cogroup(live.groupBy("chunk")).applyInArrow(publish_windows, SETS)
+    sets = texts.groupBy("chunk").cogroup(live.groupBy("chunk")).applyInArrow(publish_windows, SETS)
     earlier = sets.repartition(slots, "slot").groupBy("slot").applyInArrow(match_earlier, ANSWER)
     earlier, _ = stored(earlier, "earlier")
     removed(spark, live_path)
