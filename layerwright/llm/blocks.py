@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from .repeats import CHUNK_BYTES, resolve_repeats
-from .words import covered, member, repeated, runs, split_words, whole, window_hashes, within, word_hashes
+from .words import all_window_hashes, covered, distinct, member, repeated, runs, split_words, whole, within, word_hashes
 
 ANCHOR_BITS = 40
 SCHEMA = "doc_id long, n_words long, n_removed long, kept string, text string"
@@ -41,22 +41,24 @@ def substring_dedup(
         raise ValueError("a window must hold a whole block wherever it starts")
     shift = np.uint64(64 - ANCHOR_BITS)
 
-    def rolled(rows: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def rolled(rows: pa.Table, *more: int) -> tuple:
+        """Words, bounds, block hashes, which blocks lie in one document with an id, and hashes of ``more`` words."""
         values, bounds = split_words(whole(rows["text"]))
         hashes = word_hashes(values)
         named = rows["doc_id"].is_valid().to_numpy()
         inside = within(bounds, block) & np.repeat(named, np.diff(bounds))[: max(len(hashes) - block + 1, 0)]
-        return values, bounds, hashes, window_hashes(hashes, block) >> shift, inside
+        probes, *longer = all_window_hashes(hashes, block, *more)
+        return values, bounds, probes >> shift, inside, *longer
 
     def anchored(bounds: np.ndarray, inside: np.ndarray) -> np.ndarray:
         place = np.arange(len(inside)) - np.repeat(bounds[:-1], np.diff(bounds))[: len(inside)]
         return inside & (place % block == 0)
 
     def fingerprints(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        _, bounds, _, probes, inside = rolled(rows)
-        return np.unique(probes[anchored(bounds, inside)]), np.unique(probes[inside])
+        _, bounds, probes, inside = rolled(rows)
+        return distinct(probes[anchored(bounds, inside)]), distinct(probes[inside])
 
-    def around(live: np.ndarray, bounds: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    def around(live: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Starts of the windows that hold a live block."""
         inside = within(bounds, window)
         count = np.concatenate(([0], np.cumsum(live, dtype=np.int64)))
@@ -64,27 +66,25 @@ def substring_dedup(
         return starts[inside & (count[starts + window - block + 1] > count[starts])]
 
     def windows(rows: pa.Table, live: np.ndarray) -> np.ndarray:
-        _, bounds, hashes, probes, inside = rolled(rows)
-        starts = around(inside & member(probes, live, ANCHOR_BITS), bounds, hashes)
-        return np.unique(window_hashes(hashes, window)[starts])
+        _, bounds, probes, inside, full = rolled(rows, window)
+        return distinct(full[around(inside & member(probes, live, ANCHOR_BITS), bounds)])
 
     def resolve(rows: pa.Table, earlier: np.ndarray) -> pa.Table:
-        values, bounds, hashes, probes, inside = rolled(rows)
+        values, bounds, probes, inside, full = rolled(rows, window)
         ids = rows["doc_id"].fill_null(0).to_numpy()
         lengths = np.diff(bounds)
-        full = window_hashes(hashes, window)
         named = np.repeat(rows["doc_id"].is_valid().to_numpy(), lengths)[: len(full)]
         cut = member(full, earlier) & within(bounds, window) & named
         # Within the chunk: blocks that occur again, then the windows around them.
-        again = np.intersect1d(repeated(probes[inside]), probes[anchored(bounds, inside)])
-        starts = around(inside & member(probes, again, ANCHOR_BITS), bounds, hashes)
+        again = np.intersect1d(repeated(probes[inside]), distinct(probes[anchored(bounds, inside)]), assume_unique=True)
+        starts = around(inside & member(probes, again, ANCHOR_BITS), bounds)
         owner = np.repeat(ids, lengths)[starts]
         order = np.lexsort((owner, full[starts]))
         key, owner = full[starts][order], owner[order]
         first = np.concatenate((np.ones(min(len(key), 1), bool), key[1:] != key[:-1]))
         smallest = owner[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))] if len(key) else owner
         cut[starts[order][owner > smallest]] = True
-        gone = covered(np.flatnonzero(cut), window, len(hashes))
+        gone = covered(np.flatnonzero(cut), window, len(values))
         result = cut_rows(rows, values, bounds, gone)
         for k in range(len(carry)):
             result = result.append_column(f"carried_{k}", rows[f"carried_{k}"])

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import small_batches, text_bytes
-from .words import MIX, member, mixed, runs, slices, split_words, text_units, whole
+from .words import MIX, distinct, member, mixed, runs, slices, split_words, text_units, whole
 
 SHARD_BYTES = 4 << 20
 # Test text one pass takes along; a larger test set takes more passes.
@@ -62,7 +62,7 @@ class TestSuffixes:
         self.per_key = max(min(63 // self.bits, self.depth), 1)
         self.least = min(self.per_key, int(self.widths.min())) if len(self.widths) else 0
         heads = self.packed(self.sequence, self.starts, 0, self.least)
-        self.heads = np.unique(mixed(heads.astype(np.uint64) * MIX[2]))
+        self.heads = distinct(mixed(heads.astype(np.uint64) * MIX[2]))
 
     def packed(self, sequence: np.ndarray, starts: np.ndarray, first: int, count: int) -> np.ndarray:
         """Words ``first`` to ``first + count`` of each suffix as one number."""

@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame
 from .tables import small_batches
 from .words import coded_words, slices, split_words, whole
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 8 << 20
 # Distinct words whose tokens a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 Piece = tuple[int | None, int, int, bytes, int]
 
@@ -33,14 +33,45 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.known: dict[str, np.ndarray] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.lengths, self.ids, self.used = np.zeros(1024, np.int64), np.zeros(4096, np.uint32), 0
+        self.begins = np.zeros(1024, np.int64)
+
+    def keep(self, words: list[str]) -> None:
+        """Forget all but these words."""
+        words = [w for w in words if w in self.number]
+        number = np.array([self.number[w] for w in words], np.int64)
+        lengths, begins, ids = self.lengths[number], self.begins[number], self.ids
+        self.forget()
+        self.number = dict(zip(words, range(len(words))))
+        edges = np.concatenate(([0], np.cumsum(lengths)))
+        self.lengths, self.begins, self.used = lengths, edges[:-1], int(edges[-1])
+        self.ids = ids[np.arange(self.used) - np.repeat(edges[:-1] - begins, lengths)]
 
     def learn(self, words: list[str]) -> None:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[word] = np.array(found.ids, np.uint32)
+        if len(self.number) + len(words) > REMEMBERED:
+            self.keep(words)
+        new = [w for w in words if w not in self.number]
+        if not new:
+            return
+        # One text of all new words; a token belongs to the word that holds its first character.
+        found = self.tokenizer.encode(" ".join(new), add_special_tokens=False)
+        flat = np.array(found.ids, np.uint32)
+        starts = np.fromiter((a for a, _ in found.offsets), np.int64, len(flat))
+        edges = np.cumsum([len(w) + 1 for w in new])
+        lengths = np.bincount(np.searchsorted(edges, starts, side="right"), minlength=len(new))
+        known = len(self.number)
+        self.lengths = roomy(self.lengths, known + len(new))
+        self.begins = roomy(self.begins, known + len(new))
+        self.ids = roomy(self.ids, self.used + len(flat))
+        self.lengths[known : known + len(new)] = lengths
+        self.begins[known : known + len(new)] = self.used + np.cumsum(lengths) - lengths
+        self.ids[self.used : self.used + len(flat)] = flat
+        self.used += len(flat)
+        self.number.update(zip(new, range(known, known + len(new))))
 
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by ``end``, and where each text's ids begin."""
@@ -48,22 +79,22 @@ class WordTokens:
         codes, distinct = coded_words(values)
         words = distinct.to_pylist()
         self.learn(words)
-        by_word = [self.known[w] if w in self.known else self.relearn(w) for w in words]
-        lengths = np.array([len(x) for x in by_word], np.int64)
-        flat = np.concatenate(by_word) if by_word else np.zeros(0, np.uint32)
-        begins = np.cumsum(lengths) - lengths
-        sizes = lengths[codes] if len(codes) else np.zeros(0, np.int64)
+        number = np.fromiter((self.number[w] for w in words), np.int64, len(words))[codes] if words else codes[:0]
+        sizes = self.lengths[number]
         edges = np.concatenate(([0], np.cumsum(sizes)))
-        ids = flat[np.arange(int(edges[-1])) - np.repeat(edges[:-1] - begins[codes], sizes)] if len(codes) else flat
+        ids = self.ids[np.arange(int(edges[-1])) - np.repeat(edges[:-1] - self.begins[number], sizes)]
         ends = edges[bounds] + np.arange(len(bounds))
         out = np.full(int(ends[-1]), end, np.uint32)
         owner = np.repeat(np.arange(len(bounds) - 1), np.diff(edges[bounds]))
         out[np.arange(len(ids)) + owner] = ids
         return out, ends
 
-    def relearn(self, word: str) -> np.ndarray:
-        self.learn([word])
-        return self.known[word]
+
+def roomy(values: np.ndarray, size: int) -> np.ndarray:
+    """The same values in an array of at least ``size``."""
+    if size <= len(values):
+        return values
+    return np.concatenate((values, np.zeros(max(size - len(values), len(values)), values.dtype)))
 
 
 class Bins:

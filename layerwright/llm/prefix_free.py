@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .repeats import match_shared, resolve_repeats
-from .words import covered, member, mixed, repeated, runs, text_units, whole, window_hashes, within
+from .words import all_window_hashes, covered, dense_ranks, distinct, member, mixed, repeated, runs, text_units, whole, window_hashes, within
 
 GRAM = 32
 NAME_BITS = 40
@@ -28,25 +28,31 @@ SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def suffix_ranks(symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Rank, from 1, of the suffix at each position that stops at ``ends``; equal suffixes share a rank.
+def suffix_ranks(symbols: np.ndarray, ends: np.ndarray, bits: int, depth: int) -> np.ndarray:
+    """Rank, from 1, of the suffix at each position that stops at ``ends``, by its first ``depth`` symbols at least.
 
-    By prefix doubling: ranks of pairs of ranks, until all differ or the longest suffix is covered.
+    Symbols of so many bits, from 1.  The first ranks come from as many symbols as fit a number; prefix doubling then
+    ranks pairs of ranks, until all differ or the longest suffix is covered.
     """
     n = len(symbols)
     if not n:
         return np.zeros(0, np.int64)
-    _, ranks = np.unique(symbols, return_inverse=True)
-    ranks = ranks.astype(np.int64) + 1
-    place, reach = np.arange(n), 1
-    longest = int((ends - place).max())
-    while reach < longest:
-        after = np.where(place + reach < ends, ranks[np.minimum(place + reach, n - 1)], 0)
-        distinct, ranks = np.unique((ranks << 32) | after, return_inverse=True)
-        ranks = ranks.astype(np.int64) + 1
+    place, reach = np.arange(n), max(62 // bits, 1)
+    left = ends - place
+    key = np.zeros(n, np.int64)
+    for k in range(reach):
+        key <<= bits
+        if k < n:
+            key[: n - k] |= np.where(left[: n - k] > k, symbols[k:], 0)
+    ranks, count = dense_ranks(key)
+    ranks += 1
+    longest = min(int(left.max()), depth)
+    while reach < longest and count < n:
+        after = np.zeros(n, np.int64)
+        after[: max(n - reach, 0)] = np.where(left[: max(n - reach, 0)] > reach, ranks[reach:], 0)
+        ranks, count = dense_ranks((ranks << 32) | after)
+        ranks += 1
         reach *= 2
-        if len(distinct) == n:
-            break
     return ranks
 
 
@@ -63,9 +69,11 @@ def parse(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, ends, owner
 
 
-def corpus_order(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+def corpus_order(data: np.ndarray, bounds: np.ndarray, depth: int) -> np.ndarray:
     """Positions of ``data`` in the lexicographic order of their suffixes, each ending with its own text.
 
+    Suffixes that share their first ``depth`` bytes stand together, but may be out of order beyond.
+
     Suffixes are ordered by what is left of their phrase, then by the rank of the rest of the parse.  No phrase end
     occurs inside another phrase, so the first key decides unless it is equal.
     """
@@ -90,15 +98,16 @@ def corpus_order(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     sizes = lengths[firsts]
     begins = np.concatenate(([0], np.cumsum(sizes)[:-1]))
     within_phrase = np.arange(int(sizes.sum())) - np.repeat(begins, sizes)
-    dictionary = data[np.repeat(starts[firsts], sizes) + within_phrase].astype(np.int64)
-    suffixes = suffix_ranks(dictionary, np.repeat(begins + sizes, sizes))
+    dictionary = data[np.repeat(starts[firsts], sizes) + within_phrase].astype(np.int64) + 1
+    suffixes = suffix_ranks(dictionary, np.repeat(begins + sizes, sizes), 9, depth)
     # Parse: phrase numbers in dictionary order, sorted by suffix within each text.
-    _, ordered = np.unique(np.stack((suffixes[begins], closing[firsts]), 1), axis=0, return_inverse=True)
-    sequence = ordered.reshape(-1)[numbers]
+    ordered, count = dense_ranks(suffixes[begins] * 2 + closing[firsts])
+    sequence = ordered[numbers] + 1
     text_ends = np.append(np.flatnonzero(closing) + 1, len(starts))
-    ranks = suffix_ranks(sequence, text_ends[np.searchsorted(text_ends, np.arange(len(starts)), side="right")])
+    text_ends = text_ends[np.searchsorted(text_ends, np.arange(len(starts)), side="right")]
+    ranks = suffix_ranks(sequence, text_ends, max(count.bit_length(), 1), depth)
     # Every position: its phrase, what is left of it, and the rank of the phrases after.
-    phrase = np.searchsorted(starts, np.arange(len(data)), side="right") - 1
+    phrase = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(data)))
     left = suffixes[begins[numbers[phrase]] + np.arange(len(data)) - starts[phrase]]
     rest = np.where(closing[phrase], 0, ranks[np.minimum(phrase + 1, len(ranks) - 1)])
     return np.lexsort((rest, left))
@@ -118,17 +127,19 @@ def suffix_dedup(documents: DataFrame, width: int = 50, chunk_bytes: int = CHUNK
     grams = width - GRAM + 1
     shift = np.uint64(64 - NAME_BITS)
 
-    def named(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Bytes, bounds, the name of the string at each position, and whether it lies in one document with an id."""
+    def named(rows: pa.Table, *more: int) -> tuple[np.ndarray, ...]:
+        """Bytes, bounds, the name of the string at each position, whether it lies in one document with an id, and the
+        hashes of runs of ``more`` bytes."""
         data, bounds = text_units(whole(rows["text"]))
-        least = window_hashes(BYTES[data], GRAM) >> shift
+        least, *hashes = all_window_hashes(BYTES[data], GRAM, *more)
+        least >>= shift
         done = 1
         while done < grams and len(least):
             step = min(done, grams - done)
             least = np.minimum(least[:-step], least[step:])
             done += step
         inside = within(bounds, width) & np.repeat(rows["doc_id"].is_valid().to_numpy(), np.diff(bounds))[: len(least)]
-        return data, bounds, least, inside
+        return data, bounds, least, inside, *hashes
 
     def turns(names: np.ndarray, inside: np.ndarray) -> np.ndarray:
         """One position for each run of equal names."""
@@ -136,31 +147,41 @@ def suffix_dedup(documents: DataFrame, width: int = 50, chunk_bytes: int = CHUNK
         changed[1:] = (names[1:] != names[:-1]) | (inside[1:] & ~inside[:-1])
         return np.flatnonzero(changed & inside)
 
+    def spread(known: np.ndarray, at: np.ndarray, inside: np.ndarray) -> np.ndarray:
+        """What is known of the first position of each run of names, for all its positions."""
+        sizes = np.diff(at, append=len(known))
+        out = np.zeros(len(known), bool)
+        if len(at):
+            out[at[0] :] = np.repeat(known[at], sizes)
+        return out & inside
+
     def fingerprints(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         _, _, names, inside = named(rows)
-        found = np.unique(names[turns(names, inside)])
+        found = distinct(names[turns(names, inside)])
         return found[:0], found
 
     def windows(rows: pa.Table, live: np.ndarray) -> np.ndarray:
-        data, _, names, inside = named(rows)
-        starts = np.flatnonzero(inside)
-        starts = starts[member(names[starts], live, NAME_BITS)]
-        return np.unique(window_hashes(BYTES[data], width)[starts])
+        _, _, names, inside, full = named(rows, width)
+        at = turns(names, inside)
+        known = np.zeros(len(names), bool)
+        known[at] = member(names[at], live, NAME_BITS)
+        return distinct(full[spread(known, at, inside)])
 
     def resolve(rows: pa.Table, earlier: np.ndarray) -> pa.Table:
-        data, bounds, names, inside = named(rows)
-        full = window_hashes(BYTES[data], width)
+        data, bounds, names, inside, full = named(rows, width)
         cut = member(full, earlier) & inside
         owner = np.repeat(rows["doc_id"].fill_null(0).to_numpy(), np.diff(bounds))
         at = turns(names, inside)
         row = np.repeat(np.arange(rows.num_rows, dtype=np.uint64), np.diff(bounds))
-        pairs = np.unique((names[at] << np.uint64(64 - NAME_BITS)) | row[at])
-        again = inside & member(names, repeated(pairs >> np.uint64(64 - NAME_BITS)), NAME_BITS)
+        pairs = distinct((names[at] << np.uint64(64 - NAME_BITS)) | row[at])
+        known = np.zeros(len(names), bool)
+        known[at] = member(names[at], repeated(pairs >> np.uint64(64 - NAME_BITS)), NAME_BITS)
+        again = spread(known, at, inside)
         begins, ends = runs(again)
         sizes = ends + width - 1 - begins
         edges = np.concatenate(([0], np.cumsum(sizes)))
         origin = np.arange(int(edges[-1])) - np.repeat(edges[:-1] - begins, sizes)
-        order = origin[corpus_order(data[origin], edges)]
+        order = origin[corpus_order(data[origin], edges, width)]
         order = order[again[np.minimum(order, len(again) - 1)] & (order < len(again))] if len(again) else order
         # Regions may overlap: a position then stands in the order twice.
         key, ids = full[order], owner[order]

@@ -400,7 +400,9 @@ def language_scores(documents: DataFrame, held_out: str, head: int = HEAD) -> Da
                 n_known = np.bincount(owner, weights=(place >= 0)[codes], minlength=texts) + (known.ends > 0)
                 # What is not in the head: distinct words of each text with their number.
                 far = np.flatnonzero(place[codes] < 0)
-                pairs, n = np.unique((owner[far] << 32) | codes[far], return_counts=True)
+                pairs = np.sort((owner[far] << 32) | codes[far])
+                heads = np.flatnonzero(np.diff(pairs, prepend=-1))
+                pairs, n = pairs[heads], np.diff(heads, append=len(pairs))
                 spans = np.searchsorted(pairs >> 32, np.arange(texts + 1)).astype(np.int32)
                 hashes = string_hashes(distinct).view(np.int64)
                 yield pa.record_batch(

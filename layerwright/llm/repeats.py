@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .tables import removed, small_batches, stored, text_bytes
-from .words import packed, slices, unpacked
+from .words import distinct, packed, slices, unpacked
 
 CHUNK_BYTES = 8 << 20
 SETS = "slot int, chunk int, anchors binary, probes binary"
@@ -65,9 +65,12 @@ def answers(found: list[Pair]) -> pa.Table:
     """One row per chunk with its sorted set of values."""
     values = np.concatenate([v for v, _ in found]) if found else np.zeros(0, np.uint64)
     owner = np.concatenate([o for _, o in found]) if found else np.zeros(0, np.int64)
+    order = np.argsort(owner, kind="stable")
+    values, owner = values[order], owner[order]
+    heads = np.flatnonzero(np.diff(owner, prepend=-1))
     rows = []
-    for chunk in np.unique(owner):
-        rows.append({"chunk": int(chunk), "live": packed(np.unique(values[owner == chunk]))})
+    for a, b in zip(heads, np.append(heads[1:], len(owner))):
+        rows.append({"chunk": int(owner[a]), "live": packed(distinct(values[a:b]))})
     return pa.Table.from_pylist(rows, schema=pa.schema([("chunk", pa.int32()), ("live", pa.binary())]))
 
 
@@ -90,8 +93,8 @@ def match_anchors(sets: pa.Table) -> pa.Table:
 def match_shared(sets: pa.Table) -> pa.Table:
     """Probes that occur in another chunk."""
     values, owner = merged(sets["probes"], sets["chunk"].to_numpy())
-    distinct, low, high = ends_of_runs(values, owner)
-    at = np.searchsorted(distinct, values)
+    known, low, high = ends_of_runs(values, owner)
+    at = np.searchsorted(known, values)
     hit = low[at] < high[at] if len(values) else np.zeros(0, bool)
     return answers([(values[hit], owner[hit])])
 
@@ -99,14 +102,14 @@ def match_shared(sets: pa.Table) -> pa.Table:
 def match_earlier(sets: pa.Table) -> pa.Table:
     """Values that occur in an earlier chunk."""
     values, owner = merged(sets["probes"], sets["chunk"].to_numpy())
-    distinct, low, _ = ends_of_runs(values, owner)
-    hit = low[np.searchsorted(distinct, values)] < owner if len(values) else np.zeros(0, bool)
+    known, low, _ = ends_of_runs(values, owner)
+    hit = low[np.searchsorted(known, values)] < owner if len(values) else np.zeros(0, bool)
     return answers([(values[hit], owner[hit])])
 
 
 def joined_sets(table: pa.Table) -> np.ndarray:
     parts = [unpacked(b) for b in table["live"].to_pylist()]
-    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+    return distinct(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
 
 
 def resolve_repeats(

@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+# Units hashed at a time.
+CACHED = 1 << 15
 # Odd multipliers of a 64-bit mixing function.
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15))
 
@@ -89,21 +91,45 @@ def word_hashes(values: pa.Array) -> np.ndarray:
 
 
 def window_hashes(units: np.ndarray, width: int) -> np.ndarray:
-    """Hash of every run of ``width`` units, built by doubling; one entry per run."""
-    n = len(units) - width + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    level, size, done, out = units, 1, 0, None
+    """Hash of every run of ``width`` units; one entry per run."""
+    return all_window_hashes(units, width)[0]
+
+
+def all_window_hashes(units: np.ndarray, *widths: int) -> list[np.ndarray]:
+    """Hashes of runs of several widths; worked off in pieces that stay in the processor's cache."""
+    out = [np.empty(max(len(units) - width + 1, 0), np.uint64) for width in widths]
+    for at in range(0, max(len(units), 1), CACHED):
+        piece = units[at : at + CACHED + max(widths) - 1]
+        for whole_part, part in zip(out, piece_hashes(piece, widths)):
+            part = part[:CACHED]
+            whole_part[at : at + len(part)] = part
+    return out
+
+
+def piece_hashes(units: np.ndarray, widths: tuple[int, ...]) -> list[np.ndarray]:
+    """Runs of any width, put together from runs of 1, 2, 4 and so on units."""
+    found: list[np.ndarray | None] = [None] * len(widths)
+    done = [0] * len(widths)
+    level, size = units, 1
     while True:
-        if width & size:
-            piece = level[done : done + n]
-            out = piece.copy() if out is None else out * MIX[2] + piece
-            out ^= out >> np.uint64(29)
-            done += size
-        if done == width:
-            return mixed(out * MIX[0])
-        level = level[:-size] * MIX[1] + level[size:]
-        level ^= level >> np.uint64(32)
+        for k, width in enumerate(widths):
+            n = max(len(units) - width + 1, 0)
+            if width & size:
+                piece = level[done[k] : done[k] + n]
+                if found[k] is None:
+                    found[k] = piece.copy()
+                else:
+                    found[k] *= MIX[2]
+                    found[k] += piece
+                found[k] ^= found[k] >> np.uint64(29)
+                done[k] += size
+        if done == list(widths):
+            return [mixed(out * MIX[0]) for out in found]
+        if len(level) <= size:
+            level = level[:0]
+        else:
+            level = level[:-size] * MIX[1] + level[size:]
+            level ^= level >> np.uint64(32)
         size *= 2
 
 
@@ -116,16 +142,26 @@ def within(bounds: np.ndarray, width: int) -> np.ndarray:
 
 
 def member(values: np.ndarray, sorted_set: np.ndarray, bits: int = 64) -> np.ndarray:
-    """Whether each value of so many bits is in the set; a table of the top 22 bits settles most of them."""
+    """Whether each value of so many bits is in the set; a table of their top bits settles most."""
     found = np.zeros(len(values), bool)
     if not len(sorted_set) or not len(values):
         return found
-    table = np.zeros(1 << 22, bool)
-    shift = np.uint64(bits - 22)
-    table[(sorted_set >> shift).astype(np.int64)] = True
-    maybe = np.flatnonzero(table[(values >> shift).astype(np.int64)])
-    at = np.minimum(np.searchsorted(sorted_set, values[maybe]), len(sorted_set) - 1)
-    found[maybe] = sorted_set[at] == values[maybe]
+    top = min(max(len(sorted_set).bit_length() + 3, 12), 22)
+    shift = np.uint64(bits - top)
+    own = (sorted_set >> shift).astype(np.int64)
+    table = np.zeros(1 << top, bool)
+    table[own] = True
+    place = (values >> shift).astype(np.int64)
+    maybe = np.flatnonzero(table[place])
+    sizes = np.bincount(own, minlength=1 << top)
+    begins = (np.cumsum(sizes) - sizes)[place[maybe]]
+    sizes = sizes[place[maybe]]
+    step = 0
+    while len(maybe):
+        found[maybe[sorted_set[begins + step] == values[maybe]]] = True
+        step += 1
+        more = sizes > step
+        maybe, begins, sizes = maybe[more], begins[more], sizes[more]
     return found
 
 
@@ -152,10 +188,10 @@ def unpacked(blob: bytes | None) -> np.ndarray:
 
 
 def covered(starts: np.ndarray, width: int, total: int) -> np.ndarray:
-    """Which of ``total`` units lie in a run of ``width`` from one of the starts."""
+    """Which of ``total`` units lie in a run of ``width`` from one of the starts, each given once."""
     edges = np.zeros(total + 1, np.int32)
-    np.add.at(edges, starts, 1)
-    np.add.at(edges, starts + width, -1)
+    edges[starts] += 1
+    edges[starts + width] -= 1
     return np.cumsum(edges[:-1]) > 0
 
 
@@ -171,10 +207,26 @@ def text_units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The sorted distinct values; for 64-bit hashes a plain sort is far faster than ``np.unique``."""
+    ordered = np.sort(values)
+    return ordered[np.append(np.ones(min(len(ordered), 1), bool), ordered[1:] != ordered[:-1])]
+
+
+def dense_ranks(values: np.ndarray) -> tuple[np.ndarray, int]:
+    """Rank, from 0, of each value among the distinct ones, and their number."""
+    order = np.argsort(values)
+    ordered = values[order]
+    ranks = np.empty(len(values), np.int64)
+    steps = np.append(np.zeros(min(len(ordered), 1), np.int64), ordered[1:] != ordered[:-1])
+    ranks[order] = np.cumsum(steps)
+    return ranks, int(steps.sum()) + 1 if len(values) else 0
+
+
 def repeated(values: np.ndarray) -> np.ndarray:
     """The sorted distinct values that occur more than once."""
     ordered = np.sort(values)
-    return np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    return distinct(ordered[1:][ordered[1:] == ordered[:-1]])
 
 
 def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

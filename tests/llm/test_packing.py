@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from layerwright.llm import packing
 from layerwright.llm.packing import packed_sequences
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -39,8 +40,10 @@ def check(spark, rows, capacity, partitions):
     return sequences
 
 
-@pytest.mark.parametrize("capacity, partitions", [(4096, 1), (64, 5)])
-def test_round_trip(spark, capacity, partitions):
+@pytest.mark.parametrize("capacity, partitions, remembered", [(4096, 1, 1 << 20), (64, 5, 1 << 20), (1024, 2, 3000)])
+def test_round_trip(spark, monkeypatch, capacity, partitions, remembered):
+    monkeypatch.setattr(packing, "REMEMBERED", remembered)
+    monkeypatch.setattr(packing, "SLICE_BYTES", 50 * remembered)
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     odd = [None, "", " \n", "a", "İstanbul Σίσυφος ﬁ éx  nbsp em", "x" * 3000, "don't 12,345 <|endoftext|> ok", "a\x1cb \x85c​d"]
     odd += ["😀 👩‍👩‍👧 日本語テキスト", " ́lone mark", "word " * 5000]

@@ -83,5 +83,5 @@ def test_order_is_lexicographic(alphabet, n):
     bounds = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
     ends = np.repeat(bounds[1:], np.diff(bounds))
     raw = data.tobytes()
-    ordered = [raw[p : ends[p]] for p in corpus_order(data, bounds)]
+    ordered = [raw[p : ends[p]] for p in corpus_order(data, bounds, len(data))]
     assert sorted(ordered) == ordered and len(ordered) == len(data)
