@@ -69,7 +69,7 @@ def substring_dedup(
         _, bounds, probes, inside, full = rolled(rows, window)
         return distinct(full[around(inside & member(probes, live, ANCHOR_BITS), bounds)])
 
-    def resolve(rows: pa.Table, earlier: np.ndarray) -> pa.Table:
+    def resolve(rows: pa.Table, earlier: np.ndarray, settled: np.ndarray) -> pa.Table:
         values, bounds, probes, inside, full = rolled(rows, window)
         ids = rows["doc_id"].fill_null(0).to_numpy()
         lengths = np.diff(bounds)

@@ -7,7 +7,9 @@ copies in it.  Suffixes that share their first ``width`` bytes stand side by sid
 
 Over a corpus, chunks of documents are parsed.  What can repeat is found first by exchanging trigger hashes between
 chunks: each string of ``width`` bytes is named by the least hash of the strings of ``GRAM`` bytes in it, which equal
-strings share.  Only strings with a name that occurs again are sorted or compared.
+strings share.  Neighbouring strings of one name form a run; where all runs of a name are alike, as inside long repeats,
+the name settles them.  Only strings of other names that occur again are compared by hash between chunks, and only strings
+of names that occur again within a chunk are sorted there.
 """
 
 from __future__ import annotations
@@ -156,9 +158,16 @@ def suffix_dedup(documents: DataFrame, width: int = 50, chunk_bytes: int = CHUNK
         return out & inside
 
     def fingerprints(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        _, _, names, inside = named(rows)
-        found = distinct(names[turns(names, inside)])
-        return found[:0], found
+        _, _, names, inside, full = named(rows, width)
+        at = turns(names, inside)
+        # Beside each name a hash of all strings of its run; two different ones if its runs differ.
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(np.where(inside, mixed(full), 0), dtype=np.uint64)))
+        beside = mixed(total[np.append(at[1:], len(names))] - total[at] if len(at) else total[:0])
+        beside = (beside >> np.uint64(32)).astype(np.uint32)
+        order = np.lexsort((beside, names[at]))
+        found, beside = names[at][order], beside[order]
+        new = np.append(np.ones(min(len(found), 1), bool), (found[1:] != found[:-1]) | (beside[1:] != beside[:-1]))
+        return beside[new], found[new]
 
     def windows(rows: pa.Table, live: np.ndarray) -> np.ndarray:
         _, _, names, inside, full = named(rows, width)
@@ -167,11 +176,14 @@ def suffix_dedup(documents: DataFrame, width: int = 50, chunk_bytes: int = CHUNK
         known[at] = member(names[at], live, NAME_BITS)
         return distinct(full[spread(known, at, inside)])
 
-    def resolve(rows: pa.Table, earlier: np.ndarray) -> pa.Table:
+    def resolve(rows: pa.Table, earlier: np.ndarray, settled: np.ndarray) -> pa.Table:
         data, bounds, names, inside, full = named(rows, width)
         cut = member(full, earlier) & inside
         owner = np.repeat(rows["doc_id"].fill_null(0).to_numpy(), np.diff(bounds))
         at = turns(names, inside)
+        known = np.zeros(len(names), bool)
+        known[at] = member(names[at], settled, NAME_BITS)
+        cut |= spread(known, at, inside)
         row = np.repeat(np.arange(rows.num_rows, dtype=np.uint64), np.diff(bounds))
         pairs = distinct((names[at] << np.uint64(64 - NAME_BITS)) | row[at])
         known = np.zeros(len(names), bool)

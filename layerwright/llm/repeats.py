@@ -25,23 +25,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .tables import removed, small_batches, stored, text_bytes
+from .tables import released, small_batches, stored, text_bytes
 from .words import distinct, packed, slices, unpacked
 
 CHUNK_BYTES = 8 << 20
 SETS = "slot int, chunk int, anchors binary, probes binary"
-ANSWER = "chunk int, live binary"
+ANSWER = "chunk int, live binary, settled binary"
 Pair = tuple[np.ndarray, np.ndarray]
 
 
 def by_slot(chunk: int, anchors: np.ndarray, probes: np.ndarray, slots: int, bits: int) -> list[dict]:
-    """Cut two sorted sets of values of so many bits by hash range."""
+    """Cut two sorted sets of values of so many bits by hash range.
+
+    Anchors of 32 bits are no set of their own: they belong to the probes, one to each.
+    """
     cuts = np.array([(i << bits) // slots for i in range(1, slots)], np.uint64)
+    at = np.searchsorted(probes, cuts)
+    beside = anchors.dtype == np.uint32
+    pieces = zip(np.split(anchors, at if beside else np.searchsorted(anchors, cuts)), np.split(probes, at))
     rows = []
-    pieces = zip(np.split(anchors, np.searchsorted(anchors, cuts)), np.split(probes, np.searchsorted(probes, cuts)))
     for slot, (mine, asked) in enumerate(pieces):
         if len(mine) or len(asked):
-            rows.append({"slot": slot, "chunk": chunk, "anchors": packed(mine), "probes": packed(asked)})
+            mine = mine.tobytes() if beside else packed(mine)
+            rows.append({"slot": slot, "chunk": chunk, "anchors": mine, "probes": packed(asked)})
     return rows
 
 
@@ -61,17 +67,23 @@ def ends_of_runs(values: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.
     return values[first], owner[first], owner[last]
 
 
-def answers(found: list[Pair]) -> pa.Table:
-    """One row per chunk with its sorted set of values."""
+def by_chunk(found: list[Pair]) -> dict[int, bytes]:
+    """Each chunk's values as a sorted set."""
     values = np.concatenate([v for v, _ in found]) if found else np.zeros(0, np.uint64)
     owner = np.concatenate([o for _, o in found]) if found else np.zeros(0, np.int64)
     order = np.argsort(owner, kind="stable")
     values, owner = values[order], owner[order]
     heads = np.flatnonzero(np.diff(owner, prepend=-1))
-    rows = []
-    for a, b in zip(heads, np.append(heads[1:], len(owner))):
-        rows.append({"chunk": int(owner[a]), "live": packed(distinct(values[a:b]))})
-    return pa.Table.from_pylist(rows, schema=pa.schema([("chunk", pa.int32()), ("live", pa.binary())]))
+    return {int(owner[a]): packed(distinct(values[a:b])) for a, b in zip(heads, np.append(heads[1:], len(owner)))}
+
+
+def answers(live: list[Pair], settled: list[Pair]) -> pa.Table:
+    """One row per chunk: values to look into, and values that need no more."""
+    look, done = by_chunk(live), by_chunk(settled)
+    rows = [{"chunk": c, "live": look.get(c), "settled": done.get(c)} for c in sorted(look.keys() | done.keys())]
+    return pa.Table.from_pylist(
+        rows, schema=pa.schema([("chunk", pa.int32()), ("live", pa.binary()), ("settled", pa.binary())])
+    )
 
 
 def match_anchors(sets: pa.Table) -> pa.Table:
@@ -87,16 +99,27 @@ def match_anchors(sets: pa.Table) -> pa.Table:
             at = np.minimum(np.searchsorted(others, values), len(others) - 1)
             hit = (others[at] == values) & ((low[at] < owner) if later else (high[at] > owner))
             found.append((values[hit], owner[hit]))
-    return answers(found)
+    return answers(found, [])
 
 
 def match_shared(sets: pa.Table) -> pa.Table:
-    """Probes that occur in another chunk."""
-    values, owner = merged(sets["probes"], sets["chunk"].to_numpy())
+    """Probes that occur in several chunks; settled in the later ones if the value beside them is always the same."""
+    blobs, chunks = sets["probes"].to_pylist(), sets["chunk"].to_numpy()
+    parts = [unpacked(b) for b in blobs]
+    values = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+    beside = np.frombuffer(b"".join(sets["anchors"].to_pylist()), np.uint32)
+    owner = np.repeat(chunks, [len(p) for p in parts])
+    order = np.lexsort((owner, values))
+    values, owner, beside = values[order], owner[order], beside[order]
     known, low, high = ends_of_runs(values, owner)
-    at = np.searchsorted(known, values)
-    hit = low[at] < high[at] if len(values) else np.zeros(0, bool)
-    return answers([(values[hit], owner[hit])])
+    if not len(known):
+        return answers([], [])
+    heads = np.searchsorted(values, known)
+    alike = np.minimum.reduceat(beside, heads) == np.maximum.reduceat(beside, heads)
+    at = np.repeat(np.arange(len(known)), np.diff(heads, append=len(values)))
+    shared = low[at] < high[at]
+    look, done = shared & ~alike[at], shared & alike[at] & (owner > low[at])
+    return answers([(values[look], owner[look])], [(values[done], owner[done])])
 
 
 def match_earlier(sets: pa.Table) -> pa.Table:
@@ -104,11 +127,11 @@ def match_earlier(sets: pa.Table) -> pa.Table:
     values, owner = merged(sets["probes"], sets["chunk"].to_numpy())
     known, low, _ = ends_of_runs(values, owner)
     hit = low[np.searchsorted(known, values)] < owner if len(values) else np.zeros(0, bool)
-    return answers([(values[hit], owner[hit])])
+    return answers([(values[hit], owner[hit])], [])
 
 
-def joined_sets(table: pa.Table) -> np.ndarray:
-    parts = [unpacked(b) for b in table["live"].to_pylist()]
+def joined_sets(table: pa.Table, column: str) -> np.ndarray:
+    parts = [unpacked(b) for b in table[column].to_pylist()]
     return distinct(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
 
 
@@ -116,7 +139,7 @@ def resolve_repeats(
     documents: DataFrame,
     fingerprints: Callable[[pa.Table], Pair],
     windows: Callable[[pa.Table, np.ndarray], np.ndarray],
-    resolve: Callable[[pa.Table, np.ndarray], pa.Table],
+    resolve: Callable[[pa.Table, np.ndarray, np.ndarray], pa.Table],
     schema: str,
     match: Callable[[pa.Table], pa.Table] = match_anchors,
     bits: int = 40,
@@ -127,8 +150,8 @@ def resolve_repeats(
 
     ``fingerprints(rows)`` gives a chunk's sorted anchors and probes of ``bits`` bits; a chance hit among them costs
     time only, as windows carry full hashes.  ``match`` compares them between chunks.  ``windows(rows, live)`` gives
-    the sorted window hashes around the live ones, ``resolve(rows, earlier)`` the result rows, given the windows that
-    occur earlier.  ``documents`` has ``doc_id, text``; rows with a null id come first and must not publish anything.
+    the sorted window hashes around the live ones, ``resolve(rows, earlier, settled)`` the result rows, given the
+    windows that occur earlier and the probes that ``match`` has settled.  ``documents`` has ``doc_id, text``; rows with a null id come first and must not publish anything.
     Columns in ``carry`` reach ``resolve`` as ``carried_0`` and so on.  The laid-out texts and the answers stay in the shared folder, as the result reads them.
     """
     spark = documents.sparkSession
@@ -141,6 +164,8 @@ def resolve_repeats(
     laid_out = laid_out.withColumn("chunk", F.spark_partition_id())
     writer = laid_out.write.bucketBy(chunks, "chunk").option("path", path).option("compression", "zstd")
     writer.saveAsTable(name)
+    del laid_out, writer
+    released(spark)
     table = spark.table(name)
 
     def publish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +179,7 @@ def resolve_repeats(
                     yield from pa.Table.from_pylist(out, schema=SETS_ARROW).to_batches()
 
     def publish_windows(rows: pa.Table, live: pa.Table) -> pa.Table:
-        found = joined_sets(live)
+        found = joined_sets(live, "live")
         if not rows.num_rows or not len(found):
             return pa.Table.from_pylist([], schema=SETS_ARROW)
         hashes = windows(rows, found)
@@ -162,16 +187,21 @@ def resolve_repeats(
         return pa.Table.from_pylist(out, schema=SETS_ARROW)
 
     def finish(rows: pa.Table, earlier: pa.Table) -> pa.Table:
-        return resolve(rows, joined_sets(earlier))
+        return resolve(rows, joined_sets(earlier, "live"), joined_sets(earlier, "settled"))
 
     texts = table.select("doc_id", "text", "chunk")
     sets = texts.mapInArrow(publish, SETS)
     live = sets.repartition(slots, "slot").groupBy("slot").applyInArrow(match, ANSWER)
-    live, live_path = stored(live, "live")
+    live, _ = stored(live, "live")
+    released(spark)
     sets = texts.groupBy("chunk").cogroup(live.groupBy("chunk")).applyInArrow(publish_windows, SETS)
     earlier = sets.repartition(slots, "slot").groupBy("slot").applyInArrow(match_earlier, ANSWER)
     earlier, _ = stored(earlier, "earlier")
-    removed(spark, live_path)
+    released(spark)
+    none = F.lit(None).cast("binary")
+    earlier = earlier.select("chunk", "live", none.alias("settled")).unionAll(
+        live.select("chunk", none.alias("live"), "settled").where("settled IS NOT NULL")
+    )
     return table.groupBy("chunk").cogroup(earlier.groupBy("chunk")).applyInArrow(finish, schema)
 
 

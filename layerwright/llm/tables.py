@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,3 +37,9 @@ def small_batches(spark: SparkSession, rows: int = 2000) -> None:
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+
+
+def released(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files of steps that are over: it does so when both sides have collected garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
