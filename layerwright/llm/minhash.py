@@ -6,8 +6,9 @@ errors are enumerated by leaving places out: every chunk yields a key for each w
 chunks within that distance share a key.  So all pairs under the signature distance meet, whatever the documents are.
 
 Pairs are then confirmed on full shingle sets.  Only components are wanted, so copies are not expanded: equal sets form
-one class; in a first round each class of a key is compared with the smallest one of that key; in the second only
-classes of one key that are still in different components are compared, in blocks, so that no key makes a large task.
+one class, and the classes that share a key form a group around the smallest of them.  Two classes that share a key are
+in that key's group together; equal groups of many keys are one.  A group is compared in its task, large ones in pairs of
+blocks, and only the edges of a spanning forest leave it.
 """
 
 from __future__ import annotations
@@ -24,12 +25,12 @@ from pyspark.sql import functions as F
 
 from .components import connected
 from .tables import removed, small_batches, stored
-from .words import mixed, slices, split_words, whole, window_hashes, word_hashes
+from .words import dense_ranks, distinct, mixed, slices, split_words, tidy, whole, window_hashes, word_hashes
 
 SYMBOLS = 64
 ERRORS = 1
-SLICE_BYTES = 4 << 20
-BLOCK = 256
+SLICE_BYTES = 2 << 20
+BLOCK = 512
 # A pair at the similarity limit lies beyond the signature distance less often than this.
 MISSED = 1e-6
 SEEDS = mixed(np.arange(1, 2 * SYMBOLS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -54,7 +55,7 @@ def shingle_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     sets = []
     for a, b in zip(bounds[:-1], bounds[1:]):
         if b - a >= words:
-            sets.append(np.unique(rolled[a : b - words + 1]))
+            sets.append(distinct(rolled[a : b - words + 1]))
         elif b > a:
             sets.append(mixed(window_hashes(hashes[a:b], int(b - a)) + np.uint64(b - a)))
         else:
@@ -131,7 +132,7 @@ def signed(documents: DataFrame, words: int) -> DataFrame:
                 )
 
     return documents.select("doc_id", "text").mapInArrow(
-        sign, "doc_id long, n_shingles long, one long, two long, symbols binary"
+        tidy(sign), "doc_id long, n_shingles long, one long, two long, symbols binary"
     )
 
 
@@ -158,20 +159,9 @@ def keyed(chunks: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
     return keys
 
 
-def exact_links(pairs: DataFrame, documents: DataFrame, reps: DataFrame, words: int, percent: int, reach: int):
-    """Pairs ``a, b`` within the signature distance whose full sets are similar enough; also paths to delete."""
-    left = reps.select(F.col("rep").alias("a"), F.col("symbols").alias("symbols_a"))
-    right = reps.select(F.col("rep").alias("b"), F.col("symbols").alias("symbols_b"))
-
-    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            apart = distances(symbol_matrix(batch["symbols_a"]), symbol_matrix(batch["symbols_b"]))
-            yield batch.select(["a", "b"]).filter(pa.array(apart <= reach))
-
-    near = pairs.join(left, "a").join(right, "b").mapInArrow(close, "a long, b long")
-    near, near_path = stored(near, "near")
-    wanted = near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = documents.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+def shingle_table(documents: DataFrame, reps: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """``rep, symbols, members`` (the full set) of the classes in ``wanted``."""
+    texts = documents.select("doc_id", "text").join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
     texts = texts.groupBy("doc_id", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"))
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,30 +171,44 @@ def exact_links(pairs: DataFrame, documents: DataFrame, reps: DataFrame, words:
                 one, two = set_marks(values, bounds)
                 members = [values[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
                 yield pa.record_batch(
-                    {"id": whole(rows["doc_id"]).cast(pa.int64()), "one": one, "two": two, "members": members}
+                    {"rep": whole(rows["doc_id"]).cast(pa.int64()), "one": one, "two": two, "members": members}
                 )
 
-    sets = texts.mapInArrow(collect, "id long, one long, two long, members binary")
+    sets = texts.mapInArrow(tidy(collect), "rep long, one long, two long, members binary")
     # Of rows with one id the set that stands for the class.
-    sets = sets.join(reps.select(F.col("rep").alias("id"), "one", "two"), ["id", "one", "two"], "left_semi")
-    sets, sets_path = stored(sets, "sets")
+    own = reps.select("rep", "one", "two", "symbols")
+    return sets.join(own, ["rep", "one", "two"]).select("rep", "symbols", "members")
 
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = []
-            for x, y in zip(batch["members_a"], batch["members_b"]):
-                x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
-                short, long = (x, y) if len(x) <= len(y) else (y, x)
-                at = np.minimum(np.searchsorted(long, short), len(long) - 1)
-                both = int((long[at] == short).sum())
-                linked.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
-
-    left = sets.select(F.col("id").alias("a"), F.col("members").alias("members_a"))
-    right = sets.select(F.col("id").alias("b"), F.col("members").alias("members_b"))
-    links, links_path = stored(near.join(left, "a").join(right, "b").mapInArrow(confirm, "a long, b long"), "links")
-    removed(documents.sparkSession, near_path, sets_path)
-    return links, links_path
+
+def linked(symbols: np.ndarray, sets: list[np.ndarray], own: np.ndarray, mixed_only: bool, percent: int, reach: int):
+    """The smallest member that each member of a group is connected with.
+
+    Only pairs within the signature distance are compared, on full sets; pairs already connected need no more.
+    ``mixed_only`` leaves pairs of one block to another task.
+    """
+    sizes = np.array([len(x) for x in sets])
+    codes = dense_ranks(np.concatenate(sets))[0]
+    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    held = np.zeros(int(codes.max()) + 1, bool)
+    label = np.arange(len(sets))
+    for k in range(len(sets) - 1):
+        maybe = (label[k + 1 :] != label[k]) & (distances(symbols[k + 1 :], symbols[k]) <= reach)
+        if mixed_only:
+            maybe &= own[k + 1 :] != own[k]
+        others = np.flatnonzero(maybe) + k + 1
+        if not len(others):
+            continue
+        mine = codes[starts[k] : starts[k] + sizes[k]]
+        held[mine] = True
+        if len(others) < 16:
+            both = np.array([held[codes[starts[o] : starts[o] + sizes[o]]].sum() for o in others])
+        else:
+            both = np.add.reduceat(held[codes].astype(np.int64), starts)[others]
+        held[mine] = False
+        for o in others[100 * both >= percent * (sizes[others] + sizes[k] - both)]:
+            low, high = sorted((label[k], label[o]))
+            label[label == high] = low
+    return label
 
 
 def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -226,54 +230,39 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     classes = usable.groupBy("one", "two", "n_shingles")
     reps = classes.agg(F.min("doc_id").alias("rep"), F.min_by("symbols", "doc_id").alias("symbols"))
     reps, reps_path = stored(reps, "reps")
-    keys = reps.select("rep", "symbols").mapInArrow(keyed(chunks), "key long, rep long")
+    keys = reps.select("rep", "symbols").mapInArrow(tidy(keyed(chunks)), "key long, rep long")
     pivots = keys.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last")).where("pivot < last")
-    met, met_path = stored(keys.join(pivots.select("key", "pivot"), "key"), "met")
-    pairs = met.where("pivot < rep").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    links, links_path = exact_links(pairs, documents, reps, words, percent, reach)
-    found, found_path = stored(connected(links), "components")
-
-    # Second round: keys that still hold several components.
-    placed = met.join(found.withColumnRenamed("id", "rep"), "rep", "left")
-    placed = placed.select("key", "rep", F.coalesce("component", "rep").alias("component"))
-    open_keys = placed.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    open_keys = open_keys.where("low < high").selectExpr("key", f"CAST(ceil(n / {BLOCK}) AS INT) AS blocks")
-    rest = placed.join(open_keys, "key").join(reps.select("rep", "symbols"), "rep")
-    rest = rest.withColumn("own", F.expr("CAST(pmod(xxhash64(rep), blocks) AS INT)"))
-    rest = rest.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    rest = rest.selectExpr(
-        "key", "least(own, other) AS i", "greatest(own, other) AS j", "own", "rep", "component", "symbols"
-    )
+    groups = keys.join(pivots.select("key", "pivot"), "key").select("pivot", "rep").distinct()
+    groups, groups_path = stored(groups, "groups")
+    sets, sets_path = stored(shingle_table(documents, reps, groups.select("rep").distinct(), words), "sets")
+
+    # Groups in blocks: every pair of blocks is one unit of work.
+    blocks = groups.groupBy("pivot").agg(F.expr(f"CAST(ceil(count(*) / {BLOCK}) AS INT)").alias("blocks"))
+    dealt = groups.join(blocks, "pivot").withColumn("own", F.expr("CAST(pmod(xxhash64(rep), blocks) AS INT)"))
+    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    dealt = dealt.selectExpr("pivot", "least(own, other) AS i", "greatest(own, other) AS j", "own", "rep")
+    dealt = dealt.join(sets, "rep").repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j", "rep")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in sorted_groups(batches, ["key", "i", "j"]):
-            spot = np.stack([table[c].to_numpy() for c in ("key", "i", "j")], 1)
+        for table in sorted_groups(batches, ["pivot", "i", "j"]):
+            spot = np.stack([table[c].to_numpy() for c in ("pivot", "i", "j")], 1)
             heads = np.flatnonzero(np.append(True, (spot[1:] != spot[:-1]).any(axis=1)))
-            ids, part = table["rep"].to_numpy(), table["component"].to_numpy()
-            own, symbols = table["own"].to_numpy(), symbol_matrix(table["symbols"])
+            ids, own, symbols = table["rep"].to_numpy(), table["own"].to_numpy(), symbol_matrix(table["symbols"])
+            full = table["members"].to_pylist()
             a, b = [], []
             for start, end in zip(heads, np.append(heads[1:], len(ids))):
-                same_block = spot[start, 1] == spot[start, 2]
-                for k in range(start, end - 1):
-                    later = slice(k + 1, end)
-                    ok = (part[later] != part[k]) & (distances(symbols[later], symbols[k]) <= reach)
-                    if not same_block:
-                        ok &= own[later] != own[k]
-                    hits = ids[later][ok]
-                    a.append(np.minimum(hits, ids[k]))
-                    b.append(np.maximum(hits, ids[k]))
+                if end - start > 1:
+                    part = slice(start, end)
+                    members = [np.frombuffer(s, np.uint64) for s in full[part]]
+                    label = linked(symbols[part], members, own[part], spot[start, 1] != spot[start, 2], percent, reach)
+                    joined = np.flatnonzero(label != np.arange(end - start))
+                    a.append(ids[part][label[joined]])
+                    b.append(ids[part][joined])
             if a:
-                pairs = np.unique(np.stack((np.concatenate(a), np.concatenate(b)), 1), axis=0)
-                yield pa.record_batch({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    rest = rest.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    more = rest.mapInArrow(compare, "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
-    more_links, more_path = exact_links(more, documents, reps, words, percent, reach)
-    joined = links.unionAll(more_links)
-    found, _ = stored(connected(joined), "components")
-    removed(spark, found_path, met_path, links_path, more_path)
+                yield pa.record_batch({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    found, _ = stored(connected(dealt.mapInArrow(tidy(compare), "a long, b long")), "components")
+    removed(spark, groups_path, sets_path)
 
     # Every document: its class, the component of the class.
     grouped = reps.join(found.withColumnRenamed("id", "rep"), "rep", "left")
