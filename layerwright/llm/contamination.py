@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import small_batches, text_bytes
-from .words import MIX, distinct, member, mixed, runs, slices, split_words, text_units, whole
+from .words import MIX, distinct, member, mixed, runs, slices, split_words, text_units, tidy, whole
 
 SHARD_BYTES = 4 << 20
 # Test text one pass takes along; a larger test set takes more passes.
@@ -195,7 +195,7 @@ def decontaminated(
                     columns["matches"] = pa.array(matches, part.schema.field("matches").type)
                     yield from pa.table(columns).to_batches()
 
-        rows = rows.mapInArrow(scan, schema)
+        rows = rows.mapInArrow(tidy(scan), schema)
     n_hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
     result = rows.select(
         "doc_id",

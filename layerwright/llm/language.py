@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .tables import small_batches
-from .words import slices, text_units, whole
+from .words import slices, text_units, tidy, whole
 
 FEATURES = 4096
 CENTROIDS = 4
@@ -112,7 +112,7 @@ def fit_languages(training: DataFrame, fit_documents: int = FIT_DOCUMENTS, centr
                 total[FEATURES] += part.num_rows
         yield pa.record_batch({"place": np.arange(FEATURES + 1, dtype=np.int32), "n": total})
 
-    counted = known.select("text").mapInArrow(frequencies, "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    counted = known.select("text").mapInArrow(tidy(frequencies), "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
     found = np.zeros(FEATURES + 1, np.int64)
     for row in counted.collect():
         found[row.place] = row.n
@@ -139,7 +139,7 @@ def fit_languages(training: DataFrame, fit_documents: int = FIT_DOCUMENTS, centr
         langs = [rows["lang"][0].as_py()] * len(made)
         return pa.table({"lang": langs, "least": [least] * len(made), "vector": [v.tobytes() for v in made]})
 
-    shaped = sample.mapInArrow(vectors, "lang string, vector binary")
+    shaped = sample.mapInArrow(tidy(vectors), "lang string, vector binary")
     shaped = shaped.groupBy("lang").applyInArrow(centres, "lang string, least double, vector binary")
     rows = sorted(shaped.collect())
     found = np.frombuffer(b"".join(r.vector for r in rows), np.float32).reshape(-1, FEATURES)
@@ -167,7 +167,7 @@ def identified(documents: DataFrame, model: LanguageModel, carry: tuple[str, ...
                 columns |= {"lang_pred": named, "score": score, "rejected": rejected}
                 yield from pa.table(columns).to_batches()
 
-    result = rows.mapInArrow(predict, f"{schema}, lang_pred string, score double, rejected boolean")
+    result = rows.mapInArrow(tidy(predict), f"{schema}, lang_pred string, score double, rejected boolean")
     carried = (F.col(k).alias(c) for c, k in zip(carry, kept))
     return result.select("doc_id", *carried, "lang_pred", "score", "rejected")
 

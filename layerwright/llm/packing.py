@@ -17,11 +17,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from .tables import small_batches
-from .words import coded_words, slices, split_words, whole
+from .words import coded_words, slices, split_words, tidy, whole
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 # Distinct words whose tokens a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 Piece = tuple[int | None, int, int, bytes, int]
 
@@ -176,4 +176,4 @@ def packed_sequences(documents: DataFrame, tokenizer_path: str, capacity: int =
         bins.finish()
         yield from bins.table().to_batches()
 
-    return documents.select("doc_id", "text").mapInArrow(pack, SCHEMA)
+    return documents.select("doc_id", "text").mapInArrow(tidy(pack), SCHEMA)

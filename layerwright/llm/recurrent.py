@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import small_batches, stored
-from .words import coded_words, slices, split_words, string_hashes, whole
+from .words import coded_words, slices, split_words, string_hashes, tidy, whole
 
 # Closed classes, words in each (the end of a text is the first word), open classes, size of the state.
 CLOSED, MEMBERS, TAIL, STATE = 32, 32, 32, 16
@@ -35,7 +35,7 @@ HEAD = 1 << 18
 ONE_IN, ROUNDS = 16, 2
 LANES, STEPS, RATE = 48, 24, 0.01
 SCORE_LANES, SCORE_STEPS = 256, 32
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 6 << 20
 END = 0
 
 
@@ -102,7 +102,7 @@ def counted_words(training: DataFrame) -> DataFrame:
                 }
                 yield pa.record_batch(found)
 
-    rows = training.select("text").mapInArrow(count, "h long, tail int, n long")
+    rows = training.select("text").mapInArrow(tidy(count), "h long, tail int, n long")
     return rows.groupBy("h", "tail").agg(F.sum("n").alias("c"))
 
 
@@ -352,7 +352,7 @@ def fit_network(training: DataFrame, known: Vocabulary, one_in: int = ONE_IN, ro
             if seen:
                 yield pa.record_batch({"flat": [(mine.flat.astype(np.float64) * seen).tobytes()], "seen": [seen]})
 
-        found = own.mapInArrow(replica, "flat binary, seen long").rdd
+        found = own.mapInArrow(tidy(replica), "flat binary, seen long").rdd
         found = found.map(lambda r: (np.frombuffer(bytes(r.flat)), r.seen))
         total = found.treeAggregate(
             (0.0, 0), lambda a, b: (a[0] + b[0], a[1] + b[1]), lambda a, b: (a[0] + b[0], a[1] + b[1]), depth=3
@@ -420,7 +420,7 @@ def language_scores(documents: DataFrame, held_out: str, head: int = HEAD) -> Da
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     columns = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, model double"
-    first = rows.mapInArrow(score, f"{columns}, far array<long>, far_n array<long>")
+    first = rows.mapInArrow(tidy(score), f"{columns}, far array<long>, far_n array<long>")
     first, _ = stored(first.withColumn("row", F.monotonically_increasing_id()), "scores")
     far = first.select("row", F.explode(F.arrays_zip("far", "far_n")).alias("w"))
     far = far.select("row", F.col("w.far").alias("h"), F.col("w.far_n").alias("n"))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .tables import released, small_batches, stored, text_bytes
-from .words import distinct, packed, slices, unpacked
+from .words import distinct, give_back, packed, slices, tidy, unpacked
 
 CHUNK_BYTES = 8 << 20
 SETS = "slot int, chunk int, anchors binary, probes binary"
@@ -183,14 +183,17 @@ def resolve_repeats(
         if not rows.num_rows or not len(found):
             return pa.Table.from_pylist([], schema=SETS_ARROW)
         hashes = windows(rows, found)
+        give_back()
         out = by_slot(rows["chunk"][0].as_py(), hashes[:0], hashes, slots, 64)
         return pa.Table.from_pylist(out, schema=SETS_ARROW)
 
     def finish(rows: pa.Table, earlier: pa.Table) -> pa.Table:
-        return resolve(rows, joined_sets(earlier, "live"), joined_sets(earlier, "settled"))
+        result = resolve(rows, joined_sets(earlier, "live"), joined_sets(earlier, "settled"))
+        give_back()
+        return result
 
     texts = table.select("doc_id", "text", "chunk")
-    sets = texts.mapInArrow(publish, SETS)
+    sets = texts.mapInArrow(tidy(publish), SETS)
     live = sets.repartition(slots, "slot").groupBy("slot").applyInArrow(match, ANSWER)
     live, _ = stored(live, "live")
     released(spark)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -233,3 +235,22 @@ def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal runs of true values."""
     edges = np.flatnonzero(np.diff(np.concatenate(([0], mask.view(np.int8), [0]))))
     return edges[::2], edges[1::2]
+
+
+Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def tidy(task: Task) -> Task:
+    """The same task, giving freed memory back to the system at its end: later stages reuse its worker process."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        give_back()
+
+    return run
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
