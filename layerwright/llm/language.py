@@ -99,7 +99,7 @@ def fit_languages(training: DataFrame, fit_documents: int = FIT_DOCUMENTS, centr
     """Fit on ``doc_id, text, lang``; rows with a null text or language teach nothing.
 
     Document frequencies come from all rows.  The centroids come from the ``fit_documents`` rows of each language with
-    the smallest hash of their id and text: that bound is the only sample taken.
+    the smallest hash of their id, one for each id: that bound is the only sample taken.
     """
     small_batches(training.sparkSession)
     known = training.select("doc_id", "text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
@@ -118,11 +118,14 @@ def fit_languages(training: DataFrame, fit_documents: int = FIT_DOCUMENTS, centr
         found[row.place] = row.n
     idf = (np.log((1 + found[FEATURES]) / (1 + found[:FEATURES])) + 1).astype(np.float32)
 
-    # The cut of each language: the hash that so many of its rows do not exceed.
-    marked = known.withColumn("mark", F.xxhash64("doc_id", "text"))
-    cuts = marked.selectExpr("lang", "mark", "row_number() OVER (PARTITION BY lang ORDER BY mark) AS place")
+    # The cut of each language: the hash that so many of its rows do not exceed.  One row per language, like the model's
+    # centroids, so it goes to the texts and not they to it.
+    marked = known.withColumn("mark", F.xxhash64("doc_id"))
+    cuts = training.where("lang IS NOT NULL").select("lang", F.xxhash64("doc_id").alias("mark"))
+    cuts = cuts.selectExpr("lang", "mark", "row_number() OVER (PARTITION BY lang ORDER BY mark) AS place")
     cuts = cuts.where(f"place <= {int(fit_documents)}").groupBy("lang").agg(F.max("mark").alias("cut"))
-    sample = marked.join(cuts, "lang").where("mark <= cut").dropDuplicates(["lang", "mark"]).select("lang", "text")
+    sample = marked.join(F.broadcast(cuts), "lang").where("mark <= cut")
+    sample = sample.dropDuplicates(["lang", "mark"]).select("lang", "text")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
