@@ -80,7 +80,9 @@ def demand_tier(count: str, tiers: TierSpec = TierSpec()) -> str:
 
 def hour_boundaries(start: str, end: str) -> str:
     """Number of full-hour marks passed between two times, as warehouses count hour differences."""
-    return f"(floor(unix_timestamp({end}) / 3600) - floor(unix_timestamp({start}) / 3600))"
+    # Truncated by the clock: hours begin at another second where the zone is off by half an hour.
+    first, last = (f"unix_timestamp(date_trunc('hour', {time}))" for time in (start, end))
+    return f"floor(({last} - {first}) / 3600)"
 
 
 def holds(condition: str) -> str:

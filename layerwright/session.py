@@ -43,18 +43,16 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, name: str = "la
     return spark
 
 
-# Bytes per shuffle partition, and the most partitions a shuffle starts with: beyond this the number of
-# map-reduce block pairs costs more than letting the sorts of larger partitions spill.
+# Bytes per shuffle partition, whatever the size of the input.
 SHUFFLE_PARTITION_BYTES = 256 << 20
 LEAST_PARTITION_BYTES = 16 << 20
-MOST_SHUFFLE_PARTITIONS = 40_000
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 ADVISORY_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
 def shuffle_partitions(spark: SparkSession, input_bytes: int) -> int:
     """Shuffle partitions to start with for an input of this size, never fewer than configured."""
-    wanted = min(-(-input_bytes // SHUFFLE_PARTITION_BYTES), MOST_SHUFFLE_PARTITIONS)
+    wanted = -(-input_bytes // SHUFFLE_PARTITION_BYTES)
     return max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 

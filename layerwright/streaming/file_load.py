@@ -38,7 +38,10 @@ def load_new_files(
         .parquet(source)
     )
 
+    written: set[int] = set()
+
     def write(rows: DataFrame, batch: int) -> None:
+        written.add(batch)
         good = typed_load(rows, declared).withColumn("_loaded_at", F.current_timestamp())
         bad = typed_load_rejects(rows, declared)
         for part, path in ((good, target), (bad, rejects)):
@@ -52,4 +55,4 @@ def load_new_files(
         .start()
     )
     query.awaitTermination()
-    return sum(1 for p in query.recentProgress if p["numInputRows"])
+    return len(written)

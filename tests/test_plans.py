@@ -143,7 +143,7 @@ def test_shuffle_sizes_follow_the_input(spark):
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert session.shuffle_partitions(spark, 1 << 20) == configured
     assert session.shuffle_partitions(spark, 1 << 40) == 4096
-    assert session.shuffle_partitions(spark, 100 << 40) == session.MOST_SHUFFLE_PARTITIONS
+    assert session.shuffle_partitions(spark, 100 << 40) == 409_600
     before = spark.conf.get(session.INITIAL_PARTITIONS, None)
     with session.sized_shuffles(spark, 1 << 40):
         assert spark.conf.get(session.INITIAL_PARTITIONS) == "4096"
