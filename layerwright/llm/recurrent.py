@@ -108,8 +108,15 @@ def counted_words(training: DataFrame) -> DataFrame:
 
 def vocabulary(counts: DataFrame, ends: int, head: int) -> Vocabulary:
     """``head`` bounds the part of the counts that is collected."""
-    order = [F.desc("c"), F.asc("h")]
-    top = counts.orderBy(*order).limit(head).toPandas()
+    # The cut by classes of counts, so that no task sends more than its share of the head.
+    kind = F.floor(F.log2("c") * 64).cast("int")
+    least, held = 1 << 30, 0
+    for row in sorted(counts.groupBy(kind.alias("kind")).count().collect(), reverse=True):
+        held += row["count"]
+        if held > head:
+            break
+        least = row.kind
+    top = counts.where(kind >= least).toPandas().sort_values(["c", "h"], ascending=[False, True])
     ranks = np.arange(len(top))
     closed = top.head(WORDS - 1)
     tails = {r.tail: r for r in counts.groupBy("tail").agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect()}
