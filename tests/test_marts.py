@@ -124,8 +124,8 @@ def test_pipeline_health(spark):
     row = marts.stamped_health(trips(spark, *changes)).first()
     assert (row.total_rows, row.distinct_pickup_zones, row.distinct_vendors) == (3, 2, 2)
     assert (row.zero_fare_rows, row.null_passenger_rows, row.total_fare_volume) == (1, 1, 25.6)
-    assert (row.avg_fare, row.avg_duration_mins) == (10.33, 18.33)
-    assert (row.earliest_pickup, row.latest_pickup) == (AT, datetime(2024, 1, 15, 9))
+    assert (row.avg_fare, row.avg_duration_mins) == (8.53, 18.33)
+    assert (row.earliest_pickup, row.latest_pickup) == (AT, datetime(2024, 1, 22, 9, 4))
     assert row.health_run_at is not None
 
 
