@@ -1,10 +1,11 @@
 """Sums and means that do not depend on the order in which rows arrive.
 
 Adding doubles gives other last digits for every task layout, and a retried task can then flip a
-rounded cent.  Measures are therefore counted in whole units of ``10**-SCALE`` held in a bigint:
-integer addition is associative, so every run, partitioning and retry gives the same result, and the
-partial aggregates stay in the code-generated hash map.  With ANSI mode on, a total beyond the bigint
-range raises an error rather than wrapping round.  Missing, NaN and infinite values are skipped.
+rounded cent.  Measures are therefore added as decimals with ten digits after the point: decimal
+addition is associative, so every run, partitioning and retry gives the same result, and only the
+result is rounded.  Sums hold up to 10^28, more than 10^12 rows of 10^15 each.  Values that have no such
+decimal (NaN, infinite, 10^18 and beyond) are added beside it as doubles, so they show in the result
+instead of being dropped or stopping the job.  Missing values are skipped.
 
 Like all expressions of this package these are SQL text: a whole projection then crosses from Python to
 the JVM in one call.
@@ -12,14 +13,19 @@ the JVM in one call.
 
 from __future__ import annotations
 
-# Four digits keep cents and hundredths of a mile exactly, with two digits to spare.
-SCALE = 4
-RATIO_SCALE = 9
+# Spark's sum of these is a DECIMAL(38, 10).
+EXACT = "DECIMAL(28, 10)"
+LIMIT = "1e18D"
 
 
-def units(value: str, scale: int = SCALE) -> str:
-    """``value`` as a whole number of ``10**-scale`` steps, half rounded up."""
-    return f"CASE WHEN abs({value}) < double('Infinity') THEN floor({value} * {10**scale}D + 0.5D) END"
+def exact(value: str) -> str:
+    """``value`` as a decimal; null where it has none."""
+    return f"CAST(IF(abs({value}) < {LIMIT}, {value}, NULL) AS {EXACT})"
+
+
+def beyond(value: str) -> str:
+    """What :func:`exact` leaves out: 0 for values it holds, the value itself for others."""
+    return f"IF(abs({value}) < {LIMIT}, 0D, {value})"
 
 
 def half_up(numerator: str, denominator: str) -> str:
@@ -28,22 +34,33 @@ def half_up(numerator: str, denominator: str) -> str:
     return f"((({numerator}) * 2 + {step}) div (({denominator}) * 2))"
 
 
-def as_total(unit_sum: str, digits: int = 2, scale: int = SCALE) -> str:
-    """A sum of units as a double rounded to ``digits``."""
-    return f"{half_up(unit_sum, str(10 ** (scale - digits)))} / {10**digits}D"
+def as_total(exact_sum: str, beyond_sum: str, digits: int = 2) -> str:
+    """The two sums of a measure as one double rounded to ``digits``."""
+    return f"coalesce(CAST(round({exact_sum}, {digits}) AS DOUBLE), 0D) + {beyond_sum}"
 
 
-def as_mean(unit_sum: str, count: str, digits: int = 2, scale: int = SCALE) -> str:
-    """A sum of units over ``count`` values as a double rounded to ``digits``; null for no values."""
-    return f"{half_up(unit_sum, f'nullif({count}, 0) * {10 ** (scale - digits)}')} / {10**digits}D"
+def as_mean(exact_sum: str, beyond_sum: str, count: str, digits: int = 2) -> str:
+    """The two sums over ``count`` values as a double rounded to ``digits``; null for no values."""
+    rows = f"nullif({count}, 0)"
+    return f"coalesce(CAST(round({exact_sum} / {rows}, {digits}) AS DOUBLE), 0D) + {beyond_sum} / {rows}"
 
 
 def total(value: str, digits: int = 2) -> str:
-    return as_total(f"sum({units(value)})", digits)
+    return as_total(f"sum({exact(value)})", f"sum({beyond(value)})", digits)
 
 
 def mean(value: str, digits: int = 2) -> str:
-    return as_mean(f"sum({units(value)})", f"count({units(value)})", digits)
+    return as_mean(f"sum({exact(value)})", f"sum({beyond(value)})", f"count({value})", digits)
+
+
+def quotient(numerator: str, denominator: str, digits: int) -> str:
+    """``numerator / denominator`` of one row, halves rounded away from zero; null for a zero denominator.
+
+    Operands without a decimal are divided as doubles.
+    """
+    rounded = f"CAST(round({exact(numerator)} / nullif({exact(denominator)}, 0), {digits}) AS DOUBLE)"
+    held = f"abs({numerator}) < {LIMIT} AND abs({denominator}) < {LIMIT}"
+    return f"IF({held}, {rounded}, {numerator} / nullif(CAST({denominator} AS DOUBLE), 0D))"
 
 
 def share_pct(part: str, whole: str) -> str:
@@ -57,10 +74,8 @@ def ratio(numerator: str, denominator: str) -> str:
 
 
 def mean_ratio_pct(numerator: str, denominator: str, digits: int = 2) -> str:
-    """Mean of the row ratios in percent; rows with a zero denominator are skipped.
-
-    Ratios have no natural unit, so each is kept to nine digits; a decimal sum leaves room for them.
-    """
-    steps = f"CAST({units(ratio(numerator, denominator), RATIO_SCALE)} AS DECIMAL(20, 0))"
-    rows = f"CAST(nullif(count({steps}), 0) AS DECIMAL(20, 0)) * {10 ** (RATIO_SCALE - 2 - digits)}"
-    return f"{half_up(f'sum({steps})', rows)} / {10**digits}D"
+    """Mean of the row ratios in percent; rows with a zero denominator are skipped."""
+    each = ratio(numerator, denominator)
+    rows = f"nullif(count({each}), 0)"
+    rounded = f"CAST(round(sum({exact(each)}) / {rows}, {digits + 2}) * 100 AS DOUBLE)"
+    return f"coalesce({rounded}, 0D) + sum({beyond(each)}) * 100D / {rows}"

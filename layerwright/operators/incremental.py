@@ -33,16 +33,11 @@ def staging_demand(loaded: DataFrame) -> DataFrame:
 
 
 def enriched_demand(staged: DataFrame) -> DataFrame:
-    """Add revenue per trip, tip rate and a weekend flag that is never null.
-
-    The averages and totals are whole cents, so both quotients are rounded as integers.
-    """
-    tip, fare = m.units("avg_tip_amount", 2), m.units("avg_fare_amount", 2)
-    revenue = m.units("total_fare_amount", 2)
+    """Add revenue per trip, tip rate and a weekend flag that is never null."""
     return staged.selectExpr(
         "*",
-        f"{m.half_up(revenue, 'nullif(trip_count, 0)')} / 100D AS revenue_per_trip",
-        f"{m.half_up(f'{tip} * 1000', f'nullif({fare}, 0)')} / 1000D AS tip_rate",
+        f"{m.quotient('total_fare_amount', 'trip_count', 2)} AS revenue_per_trip",
+        f"{m.quotient('avg_tip_amount', 'avg_fare_amount', 3)} AS tip_rate",
         "coalesce(is_weekend, false) AS is_weekend_flag",
     )
 

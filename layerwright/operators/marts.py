@@ -139,8 +139,9 @@ def health_by(
         df,
         (*by, *dict.fromkeys(distinct.values())),
         _rows="count(*)",
-        **{f"_sum_{c}": f"sum({m.units(c)})" for c in measured},
-        **{f"_n_{c}": f"count({m.units(c)})" for c in measured},
+        **{f"_sum_{c}": f"sum({m.exact(c)})" for c in measured},
+        **{f"_beyond_{c}": f"sum({m.beyond(c)})" for c in measured},
+        **{f"_n_{c}": f"count({c})" for c in measured},
         _first=f"min({column})",
         _last=f"max({column})",
         **{f"_flag_{n}": f"count_if({c})" for n, c in flags.items()},
@@ -149,8 +150,8 @@ def health_by(
         folded,
         by,
         total_rows="sum(_rows)",
-        **{n: m.as_total(f"sum(_sum_{c})") for n, c in sums.items()},
-        **{n: m.as_mean(f"sum(_sum_{c})", f"sum(_n_{c})") for n, c in means.items()},
+        **{n: m.as_total(f"sum(_sum_{c})", f"sum(_beyond_{c})") for n, c in sums.items()},
+        **{n: m.as_mean(f"sum(_sum_{c})", f"sum(_beyond_{c})", f"sum(_n_{c})") for n, c in means.items()},
         **{first: "min(_first)", last: "max(_last)"},
         **{n: f"count(DISTINCT {c})" for n, c in distinct.items()},
         **{n: f"sum(_flag_{n})" for n in flags},

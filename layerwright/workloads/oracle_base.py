@@ -100,18 +100,26 @@ def half_up(num: str, den: str) -> str:
     return f"(sign({num}) * ((2 * abs({num}) + ({den})) // (2 * ({den}))))"
 
 
+def exact_sum(value: str) -> str:
+    return f"sum(CAST({value} AS DECIMAL(28, 10)))"
+
+
+def steps(value: str) -> str:
+    """The decimal sum in whole steps of 10^-10."""
+    return f"CAST({exact_sum(value)} * 10000000000 AS HUGEINT)"
+
+
 def total(column: str) -> str:
-    return f"CAST(sum({cents(column)}) AS DOUBLE) / 100"
+    return f"CAST(round({exact_sum(column)}, 2) AS DOUBLE)"
 
 
 def mean(column: str) -> str:
-    return f"CAST({half_up(f'sum({cents(column)})', f'nullif(count({column}), 0)')} AS DOUBLE) / 100"
+    return f"CAST({half_up(steps(column), f'nullif(count({column}), 0) * 100000000')} AS DOUBLE) / 100"
 
 
 def tip_rate_pct() -> str:
-    step = "CAST(floor(tip_amount / nullif(fare_amount, 0) * 1e9::DOUBLE + 0.5) AS BIGINT)"
-    rows = "nullif(count(tip_amount / nullif(fare_amount, 0)), 0) * 100000"
-    return f"CAST({half_up(f'sum({step})', rows)} AS DOUBLE) / 100"
+    ratio = "(tip_amount / nullif(fare_amount, 0))"
+    return f"CAST({half_up(steps(ratio), f'nullif(count({ratio}), 0) * 1000000')} AS DOUBLE) / 100"
 
 
 DEMAND_COLUMNS = f"""pickup_date, pickup_hour, pickup_year, pickup_month, pickup_location_id, time_segment, is_weekend,

@@ -1,5 +1,6 @@
 """Marts: definitions, rounding, shares, tiers and hot keys."""
 
+import math
 import random
 from datetime import datetime, timedelta
 from decimal import ROUND_HALF_UP, Decimal
@@ -42,12 +43,47 @@ def test_mean_and_total_are_exact(spark, cents):
     assert row.mean == float(mean)
 
 
-def test_measures_skip_missing_and_infinite_values(spark):
-    df = spark.createDataFrame([(1.0,), (None,), (float("nan"),), (float("inf"),), (2.0,)], "x double")
-    row = marts.grouped(df, (), total=m.total("x"), mean=m.mean("x")).first()
-    assert (row.total, row.mean) == (3.0, 1.5)
-    empty = marts.grouped(df.where("x IS NULL"), (), total=m.total("x"), mean=m.mean("x")).first()
-    assert (empty.total, empty.mean) == (None, None)
+def sum_and_mean(spark, *values):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    return tuple(marts.grouped(df, (), total=m.total("x", 4), mean=m.mean("x", 5)).first())
+
+
+def test_missing_values_are_skipped_and_none_give_null(spark):
+    assert sum_and_mean(spark, 1.0, None, 2.0) == (3.0, 1.5)
+    assert sum_and_mean(spark, None) == (None, None)
+
+
+@pytest.mark.parametrize("odd", [math.nan, math.inf, -math.inf])
+def test_values_without_a_decimal_show_in_the_result(spark, odd):
+    for values in ((1.0, odd, 2.0), (odd,)):
+        assert all(v == odd or math.isnan(v) and math.isnan(odd) for v in sum_and_mean(spark, *values))
+
+
+def test_small_values_are_rounded_after_the_sum(spark):
+    assert sum_and_mean(spark, 0.00004, 0.00004) == (0.0001, 0.00004)
+
+
+@pytest.mark.parametrize("large", [1e15, 1e17, 1e18, 1e30])
+def test_large_values_stop_nothing(spark, large):
+    assert sum_and_mean(spark, large, large) == (2 * large, large)
+
+
+def test_total_beyond_a_bigint_of_steps(spark):
+    row = marts.grouped(spark.range(3000).selectExpr("9e17 + 0D AS x"), (), t=m.total("x"), m=m.mean("x")).first()
+    assert (row.t, row.m) == (2.7e21, 9e17)
+
+
+def test_one_corrupt_fare_stops_no_mart(spark):
+    df = trips(spark, {"fare_amount": 1e15, "tip_amount": 0.0}, {"fare_amount": 3.0, "tip_amount": 0.0})
+    assert marts.daily_vendor_revenue(df).first().total_fare_revenue == 1e15 + 3
+    assert marts.pipeline_health(df).first().total_fare_volume == 1e15 + 3
+    assert marts.monthly_payment_mix(df).first().total_fare == 1e15 + 3
+
+
+@pytest.mark.parametrize("a,b,digits,result", [("5D", "8L", 2, 0.63), ("-5D", "8L", 2, -0.63), ("1D", "0D", 3, None),
+                                               ("CAST(NULL AS DOUBLE)", "2L", 2, None), ("1e20D", "2L", 2, 5e19)])
+def test_quotient(spark, a, b, digits, result):
+    assert value(spark, m.quotient(a, b, digits)) == result
 
 
 def test_result_does_not_depend_on_the_layout(spark):
