@@ -122,10 +122,14 @@ def land(
     All months are validated by one job that reads only the checked columns.  Bronze then receives every
     delivered row unchanged, and rejected rows are copied to quarantine.  The driver handles one record
     per month.
+
+    A month counts as landed once its file manifest is complete.  The manifest is written last, after the
+    control record, and taken away before a month is written again, so a run that dies on the way leaves no
+    month that later runs would skip.  A month landed again may then have two control records.
     """
     stamp = (run_time or datetime.now(timezone.utc)).strftime("%Y-%m-%dT%H:%M:%SZ")
     published = bronze.month_dirs(spark, deliveries)
-    landed = bronze.month_dirs(spark, layout.path("bronze"))
+    landed = bronze.month_dirs(spark, layout.path("control", "bronze_files"), holding="_SUCCESS")
     records, opened = {}, {}
     for key in months:
         if key in landed and not force:
@@ -142,6 +146,7 @@ def land(
         for row in counts.collect():
             counted.setdefault((row.year, row.month), []).append(row)
     for key, delivery in opened.items():
+        tables.delete_path(spark, manifest_path(layout, *key))
         records[key] = land_month(spark, delivery, counted[key], layout, spec)
     rows = [
         {
@@ -161,21 +166,20 @@ def land(
     names = tables.CONTROL_SCHEMA.names
     control = spark.createDataFrame([tuple(r[n] for n in names) for r in rows], tables.CONTROL_SCHEMA)
     tables.append_control(control, layout.path("control", "bronze_runs"))
+    for key, delivery in opened.items():
+        commit_month(spark, delivery, counted[key], layout)
     return control
 
 
-def land_month(spark: SparkSession, delivery: Delivery, counts: list, layout: Layout, spec: IngestSpec) -> dict:
-    """Write one delivery's bronze rows, quarantine copy and file manifest; returns its record fields."""
+def manifest_path(layout: Layout, year: int, month: int) -> str:
+    return f"{layout.path('control', 'bronze_files')}/year={year:04d}/month={month:02d}"
+
+
+def commit_month(spark: SparkSession, delivery: Delivery, counts: list, layout: Layout) -> None:
+    """Write the file manifest of a landed month, which marks it as complete."""
     year, month = delivery.year, delivery.month
     total, rejects = counts[0].total_rows, counts[0].reject_rows
-    issues = issue_texts(counts, spec)
-    target = layout.month("bronze", year, month)
-    delivery.rows.write.mode("overwrite").parquet(target)
-    if rejects:
-        rejected(delivery, spec).write.mode("overwrite").parquet(layout.month("quarantine", year, month))
-        note = {"year": year, "month": month, "reject_rows": rejects, "error_message": "; ".join(issues[:3])}
-        tables.append_json(spark, note, layout.path("control", "quarantine_notes"))
-    manifest = files.checksum_manifest(spark, target).withColumns(
+    manifest = files.checksum_manifest(spark, layout.month("bronze", year, month)).withColumns(
         {
             "year": F.lit(year),
             "month": F.lit(month),
@@ -185,8 +189,20 @@ def land_month(spark: SparkSession, delivery: Delivery, counts: list, layout: La
             "source": F.lit(delivery.folder),
         }
     )
-    log = layout.path("control", "bronze_files")
-    manifest.write.mode("overwrite").parquet(f"{log}/year={year:04d}/month={month:02d}")
+    manifest.write.mode("overwrite").parquet(manifest_path(layout, year, month))
+
+
+def land_month(spark: SparkSession, delivery: Delivery, counts: list, layout: Layout, spec: IngestSpec) -> dict:
+    """Write one delivery's bronze rows and quarantine copy; returns its record fields."""
+    year, month = delivery.year, delivery.month
+    total, rejects = counts[0].total_rows, counts[0].reject_rows
+    issues = issue_texts(counts, spec)
+    target = layout.month("bronze", year, month)
+    delivery.rows.write.mode("overwrite").parquet(target)
+    if rejects:
+        rejected(delivery, spec).write.mode("overwrite").parquet(layout.month("quarantine", year, month))
+        note = {"year": year, "month": month, "reject_rows": rejects, "error_message": "; ".join(issues[:3])}
+        tables.append_json(spark, note, layout.path("control", "quarantine_notes"))
     size = files.file_manifest(spark, target).agg(F.sum("size")).first()[0]
     return {
         "status": "success_with_warnings" if issues else "success",

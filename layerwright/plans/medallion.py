@@ -99,10 +99,14 @@ LOAD_SOURCES = {
 }
 
 
-def month_condition(months: Sequence[tuple[int, int]]) -> str:
-    """Partition filter for the given months, known when the query is planned."""
+def month_condition(months: Sequence[tuple[int | None, int | None]]) -> str:
+    """Partition filter for the given months, known when the query is planned; a missing part is a null partition."""
     year, month = PARTITIONS
-    return disjunction(f"{year} = {y} AND {month} = {m}" for y, m in months)
+
+    def equal(column: str, value: int | None) -> str:
+        return f"{column} IS NULL" if value is None else f"{column} = {value}"
+
+    return disjunction(f"{equal(year, y)} AND {equal(month, m)}" for y, m in months)
 
 
 def load_table(spark: SparkSession, layout: Layout, table: str) -> int:

@@ -18,21 +18,23 @@ MONTH_COLUMNS = ("year", "month")
 READ_ERRORS = (PySparkException, Py4JJavaError)
 
 
-def month_dirs(spark: SparkSession, root: str) -> dict[tuple[int, int], str]:
+def month_dirs(spark: SparkSession, root: str, holding: str = "") -> dict[tuple[int, int], str]:
     """``(year, month) -> folder`` of the ``year=/month=`` layout below ``root``, in order.
 
     One driver-side listing of the partition folders, the same that partition discovery does; it grows
-    with the number of months, not with files or rows.
+    with the number of months, not with files or rows.  ``holding`` leaves out folders without such a file;
+    folders of null or malformed months are none of the layout.
     """
     jvm = spark.sparkContext._jvm
     base = jvm.org.apache.hadoop.fs.Path(root)
     filesystem = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = filesystem.globStatus(jvm.org.apache.hadoop.fs.Path(base, "year=*/month=*"))
+    found = filesystem.globStatus(jvm.org.apache.hadoop.fs.Path(base, f"year=*/month=*/{holding}".rstrip("/")))
     folders = {}
     for status in found or []:
-        path = status.getPath()
-        year, month = path.getParent().getName(), path.getName()
-        folders[int(year.removeprefix("year=")), int(month.removeprefix("month="))] = path.toString()
+        path = status.getPath().getParent() if holding else status.getPath()
+        year, month = path.getParent().getName().removeprefix("year="), path.getName().removeprefix("month=")
+        if year.isdecimal() and month.isdecimal():
+            folders[int(year), int(month)] = path.toString()
     return dict(sorted(folders.items()))
 
 

@@ -263,3 +263,32 @@ def test_control_record_is_plain_json(spark, deliveries, tmp_path):
     text = next(Path(layout.path("control", "bronze_runs")).glob("*.json")).read_text()
     record = json.loads(text)
     assert record["status"] == "not_published" and record["run_timestamp"] == "2024-04-01T09:00:00Z"
+
+
+@pytest.mark.parametrize("left", ["bronze only", "old rewrite"])
+def test_a_month_that_was_not_finished_is_landed_again(spark, deliveries, tmp_path, monkeypatch, left):
+    layout = Layout(str(tmp_path / "lake"))
+    if left == "old rewrite":
+        landing.land(spark, deliveries, layout, [(2024, 2)], spec=SPEC)
+
+    def dies(*args):
+        raise RuntimeError("lost driver")
+
+    with monkeypatch.context() as broken, pytest.raises(RuntimeError):
+        broken.setattr(landing, "rejected", dies)
+        landing.land(spark, deliveries, layout, [(2024, 2)], force=True, spec=SPEC)
+    record = landing.land(spark, deliveries, layout, [(2024, 2)], spec=SPEC).first()
+    assert (record.status, record.rows_ingested, record.reject_rows) == ("success_with_warnings", 5, 2)
+    assert bronze.read_parquet(spark, layout.month("quarantine", 2024, 2)).count() == 2
+    assert landing.land(spark, deliveries, layout, [(2024, 2)], spec=SPEC).first().status == "skipped"
+
+
+def test_null_months(spark, tmp_path):
+    from layerwright.plans.medallion import month_condition
+
+    path = str(tmp_path / "t")
+    spark.sql("SELECT 1 AS v, 2024 AS pickup_year, 1 AS pickup_month UNION ALL SELECT 2, NULL, NULL").write.partitionBy(
+        "pickup_year", "pickup_month").parquet(path)
+    assert [r.v for r in tables.read_table(spark, path).where(month_condition([(None, None)])).collect()] == [2]
+    (tmp_path / "b" / "year=__HIVE_DEFAULT_PARTITION__" / "month=1").mkdir(parents=True)
+    assert bronze.month_dirs(spark, str(tmp_path / "b")) == {}
