@@ -13,7 +13,7 @@ the JVM in one call.
 
 from __future__ import annotations
 
-# Spark's sum of these is a DECIMAL(38, 10).
+# Spark adds these as DECIMAL(38, 10).
 EXACT = "DECIMAL(28, 10)"
 LIMIT = "1e18D"
 
