@@ -159,25 +159,30 @@ def keyed(chunks: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
     return keys
 
 
-def shingle_table(documents: DataFrame, reps: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``rep, symbols, members`` (the full set) of the classes in ``wanted``."""
-    texts = documents.select("doc_id", "text").join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
+def class_texts(documents: DataFrame, reps: DataFrame, groups: DataFrame) -> DataFrame:
+    """``rep, one, two, symbols, text`` of the classes in ``groups``, and ``places``, the groups each belongs to.
+
+    Everything meets by document id, so texts move once; an id has at most one place per key.  Rows with one id may
+    have several texts, which are paired with all classes of the id; who computes the sets keeps the fitting ones.
+    """
+    texts = documents.select("doc_id", "text").join(groups.selectExpr("rep AS doc_id"), "doc_id", "left_semi")
     texts = texts.groupBy("doc_id", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"))
+    blocks = groups.groupBy("pivot").agg(F.expr(f"CAST(ceil(count(*) / {BLOCK}) AS INT)").alias("blocks"))
+    dealt = groups.join(blocks, "pivot").withColumn("own", F.expr("CAST(pmod(xxhash64(rep), blocks) AS INT)"))
+    places = dealt.groupBy("rep").agg(F.collect_list(F.struct("pivot", "blocks", "own")).alias("places"))
+    placed = reps.select("rep", "one", "two", "symbols").join(places, "rep")
+    return texts.withColumnRenamed("doc_id", "rep").join(placed, "rep").drop("h")
 
-    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows in slices(batch, "text", SLICE_BYTES):
-                values, bounds = shingle_sets(whole(rows["text"]), words)
-                one, two = set_marks(values, bounds)
-                members = [values[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
-                yield pa.record_batch(
-                    {"rep": whole(rows["doc_id"]).cast(pa.int64()), "one": one, "two": two, "members": members}
-                )
 
-    sets = texts.mapInArrow(tidy(collect), "rep long, one long, two long, members binary")
-    # Of rows with one id the set that stands for the class.
-    own = reps.select("rep", "one", "two", "symbols")
-    return sets.join(own, ["rep", "one", "two"]).select("rep", "symbols", "members")
+def fitting_sets(rows: pa.Table, words: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The shingle set of each row's text, and whether it is the set of the row's class."""
+    sets, fits = [], []
+    for part in slices(rows, "text", SLICE_BYTES):
+        values, bounds = shingle_sets(whole(part["text"]), words)
+        one, two = set_marks(values, bounds)
+        fits.append((one == part["one"].to_numpy()) & (two == part["two"].to_numpy()))
+        sets += [values[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+    return sets, np.concatenate(fits)
 
 
 def linked(symbols: np.ndarray, sets: list[np.ndarray], own: np.ndarray, mixed_only: bool, percent: int, reach: int):
@@ -234,27 +239,27 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     pivots = keys.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last")).where("pivot < last")
     groups = keys.join(pivots.select("key", "pivot"), "key").select("pivot", "rep").distinct()
     groups, groups_path = stored(groups, "groups")
-    sets, sets_path = stored(shingle_table(documents, reps, groups.select("rep").distinct(), words), "sets")
 
     # Groups in blocks: every pair of blocks is one unit of work.
-    blocks = groups.groupBy("pivot").agg(F.expr(f"CAST(ceil(count(*) / {BLOCK}) AS INT)").alias("blocks"))
-    dealt = groups.join(blocks, "pivot").withColumn("own", F.expr("CAST(pmod(xxhash64(rep), blocks) AS INT)"))
+    dealt = class_texts(documents, reps, groups).selectExpr("* EXCEPT (places)", "inline(places)")
     dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    dealt = dealt.selectExpr("pivot", "least(own, other) AS i", "greatest(own, other) AS j", "own", "rep")
-    dealt = dealt.join(sets, "rep").repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j", "rep")
+    dealt = dealt.selectExpr(
+        "pivot", "least(own, other) AS i", "greatest(own, other) AS j", "own", "rep", "one", "two", "symbols", "text"
+    )
+    dealt = dealt.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j", "rep")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in sorted_groups(batches, ["pivot", "i", "j"]):
+            sets, fits = fitting_sets(table, words)
+            table, sets = table.drop(["text"]).filter(pa.array(fits)), [s for s, fit in zip(sets, fits) if fit]
             spot = np.stack([table[c].to_numpy() for c in ("pivot", "i", "j")], 1)
             heads = np.flatnonzero(np.append(True, (spot[1:] != spot[:-1]).any(axis=1)))
             ids, own, symbols = table["rep"].to_numpy(), table["own"].to_numpy(), symbol_matrix(table["symbols"])
-            full = table["members"].to_pylist()
             a, b = [], []
             for start, end in zip(heads, np.append(heads[1:], len(ids))):
                 if end - start > 1:
                     part = slice(start, end)
-                    members = [np.frombuffer(s, np.uint64) for s in full[part]]
-                    label = linked(symbols[part], members, own[part], spot[start, 1] != spot[start, 2], percent, reach)
+                    label = linked(symbols[part], sets[part], own[part], spot[start, 1] != spot[start, 2], percent, reach)
                     joined = np.flatnonzero(label != np.arange(end - start))
                     a.append(ids[part][label[joined]])
                     b.append(ids[part][joined])
@@ -262,7 +267,7 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
                 yield pa.record_batch({"a": np.concatenate(a), "b": np.concatenate(b)})
 
     found, _ = stored(connected(dealt.mapInArrow(tidy(compare), "a long, b long")), "components")
-    removed(spark, groups_path, sets_path)
+    removed(spark, groups_path)
 
     # Every document: its class, the component of the class.
     grouped = reps.join(found.withColumnRenamed("id", "rep"), "rep", "left")
