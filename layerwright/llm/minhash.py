@@ -159,28 +159,53 @@ def keyed(chunks: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
     return keys
 
 
+def compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts on their way through shuffles, which compress single texts less well."""
+    for batch in batches:
+        for rows in slices(batch, "text", SLICE_BYTES):
+            raw = [text.as_buffer() for text in whole(rows["text"])]
+            packed = [pa.compress(text, codec="zstd", asbytes=True) for text in raw]
+            sizes = pa.array([text.size for text in raw], pa.int64())
+            yield pa.record_batch(
+                {
+                    "rep": whole(rows["doc_id"]).cast(pa.int64()),
+                    "n_bytes": sizes,
+                    "packed": pa.array(packed, pa.binary()),
+                }
+            )
+
+
 def class_texts(documents: DataFrame, reps: DataFrame, groups: DataFrame) -> DataFrame:
-    """``rep, one, two, symbols, text`` of the classes in ``groups``, and ``places``, the groups each belongs to.
+    """``rep, one, two, symbols`` and the text of the classes in ``groups``, and ``places``, the groups of each.
 
     Everything meets by document id, so texts move once; an id has at most one place per key.  Rows with one id may
     have several texts, which are paired with all classes of the id; who computes the sets keeps the fitting ones.
     """
-    texts = documents.select("doc_id", "text").join(groups.selectExpr("rep AS doc_id"), "doc_id", "left_semi")
-    texts = texts.groupBy("doc_id", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"))
+    texts = documents.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
+    texts = texts.mapInArrow(tidy(compressed), "rep long, n_bytes long, packed binary")
+    texts = texts.join(groups.select("rep"), "rep", "left_semi")
+    texts = texts.groupBy("rep", "n_bytes", F.xxhash64("packed").alias("h")).agg(F.first("packed").alias("packed"))
     blocks = groups.groupBy("pivot").agg(F.expr(f"CAST(ceil(count(*) / {BLOCK}) AS INT)").alias("blocks"))
     dealt = groups.join(blocks, "pivot").withColumn("own", F.expr("CAST(pmod(xxhash64(rep), blocks) AS INT)"))
     places = dealt.groupBy("rep").agg(F.collect_list(F.struct("pivot", "blocks", "own")).alias("places"))
     placed = reps.select("rep", "one", "two", "symbols").join(places, "rep")
-    return texts.withColumnRenamed("doc_id", "rep").join(placed, "rep").drop("h")
+    return texts.join(placed, "rep").drop("h")
 
 
 def fitting_sets(rows: pa.Table, words: int) -> tuple[list[np.ndarray], np.ndarray]:
     """The shingle set of each row's text, and whether it is the set of the row's class."""
+    sizes, packed = rows["n_bytes"].to_numpy(), rows["packed"]
+    one, two = rows["one"].to_numpy(), rows["two"].to_numpy()
     sets, fits = [], []
-    for part in slices(rows, "text", SLICE_BYTES):
-        values, bounds = shingle_sets(whole(part["text"]), words)
-        one, two = set_marks(values, bounds)
-        fits.append((one == part["one"].to_numpy()) & (two == part["two"].to_numpy()))
+    # Runs of about SLICE_BYTES of text; a longer text is a run of its own.
+    runs = np.cumsum(sizes) // SLICE_BYTES
+    heads = np.flatnonzero(np.append(True, runs[1:] != runs[:-1]))
+    for start, end in zip(heads, np.append(heads[1:], len(sizes))):
+        part = range(start, end)
+        texts = [pa.decompress(packed[k].as_buffer(), int(sizes[k]), "zstd", asbytes=True) for k in part]
+        values, bounds = shingle_sets(pa.array(texts, pa.binary()).view(pa.string()), words)
+        marks = set_marks(values, bounds)
+        fits.append((marks[0] == one[start:end]) & (marks[1] == two[start:end]))
         sets += [values[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
     return sets, np.concatenate(fits)
 
@@ -243,15 +268,14 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     # Groups in blocks: every pair of blocks is one unit of work.
     dealt = class_texts(documents, reps, groups).selectExpr("* EXCEPT (places)", "inline(places)")
     dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    dealt = dealt.selectExpr(
-        "pivot", "least(own, other) AS i", "greatest(own, other) AS j", "own", "rep", "one", "two", "symbols", "text"
-    )
+    spot = ("pivot", "least(own, other) AS i", "greatest(own, other) AS j", "own")
+    dealt = dealt.selectExpr(*spot, "rep", "one", "two", "symbols", "n_bytes", "packed")
     dealt = dealt.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j", "rep")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in sorted_groups(batches, ["pivot", "i", "j"]):
             sets, fits = fitting_sets(table, words)
-            table, sets = table.drop(["text"]).filter(pa.array(fits)), [s for s, fit in zip(sets, fits) if fit]
+            table, sets = table.drop(["packed"]).filter(pa.array(fits)), [s for s, fit in zip(sets, fits) if fit]
             spot = np.stack([table[c].to_numpy() for c in ("pivot", "i", "j")], 1)
             heads = np.flatnonzero(np.append(True, (spot[1:] != spot[:-1]).any(axis=1)))
             ids, own, symbols = table["rep"].to_numpy(), table["own"].to_numpy(), symbol_matrix(table["symbols"])
