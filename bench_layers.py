@@ -10,7 +10,7 @@ import json
 import os
 import sys
 import time
-from datetime import datetime
+from datetime import datetime, timezone
 
 from layerwright.config import IngestSpec
 from layerwright.plans import landing, medallion
@@ -54,7 +54,7 @@ def main() -> None:
     counts = timed("silver", lambda: medallion.build_silver(spark, layout))
     timed("gold", lambda: medallion.build_gold(spark, layout))
     timed("load", lambda: [medallion.load_table(spark, layout, t) for t in medallion.LOAD_SOURCES])
-    mart = timed("mart", lambda: medallion.refresh_mart(spark, layout, datetime.now()).count())
+    mart = timed("mart", lambda: medallion.refresh_mart(spark, layout, datetime.now(timezone.utc)).count())
     size = {layer: tables.path_bytes(spark, f"{root}/lake/{layer}") for layer in ("bronze", "silver", "gold")}
     print(json.dumps({"seconds": seconds, "total": round(sum(seconds.values()), 2), "rows": counts, "mart_rows": mart,
                       "bytes": size, "silver_rows_per_sec": round(counts["rows_in"] / seconds["silver"])}))

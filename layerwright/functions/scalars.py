@@ -24,9 +24,9 @@ def literal(value) -> str:
 
 
 def time_literal(time: datetime) -> str:
-    """A point in time; one without a zone is taken in the session's."""
+    """A point in time; one without a zone is refused, for machine and session may differ in theirs."""
     if time.tzinfo is None:
-        return f"TIMESTAMP'{time:%Y-%m-%d %H:%M:%S}'"
+        raise ValueError("a point in time needs a zone")
     return f"TIMESTAMP'{time.astimezone(timezone.utc):%Y-%m-%d %H:%M:%S}+00:00'"
 
 

@@ -15,7 +15,7 @@ from ..config import PAYMENT_LABELS, VENDOR_LABELS, SilverSpec
 from ..functions import scalars as s
 
 # Columns a bronze read adds so that the newest delivery of a trip can be told apart.
-FILE_COLUMNS = ("_file_modified_at", "_file_path")
+FILE_COLUMNS = ("_delivered_month", "_file_modified_at", "_file_path")
 
 
 def typed(raw: DataFrame, spec: SilverSpec = SilverSpec()) -> DataFrame:
@@ -89,7 +89,8 @@ def keep_newest(
 ) -> DataFrame:
     """One trip per dedup key.
 
-    By default the one delivered last stays; among trips of one file the remaining columns decide, so that
+    By default the one of the latest delivered month stays, then the one written last, for months need not land in
+    their order; among trips of one file the remaining columns decide, so that
     only exact copies are interchangeable and reruns agree.  ``newest_by`` replaces that order; columns
     that tell all trips apart make it a total one, and then no other column has to be read for it.
     """
@@ -142,6 +143,29 @@ def filter_reject_counts(raw: DataFrame, spec: SilverSpec = SilverSpec()) -> Dat
     return counted.unpivot([], list(rules), "rule", "rows")
 
 
+def run_counts(raw: DataFrame, spec: SilverSpec = SilverSpec()) -> DataFrame:
+    """One row of accounting for a silver run: rows in, filtered, duplicate and out, and failures per rule.
+
+    One pass that reads the columns of the rules and the key; rows are counted per key before the shuffle.
+    """
+    rules = quality_rules(spec)
+    failed = {f"failed_{label}": f"count_if(NOT {s.holds(rule)})" for label, rule in rules.items()}
+    passed = s.holds(s.conjunction([year_window(spec), *rules.values()]))
+    per_key = derived(typed(raw, spec)).groupBy(*spec.dedup_key).agg(
+        F.expr("count(*) AS copies"),
+        F.expr(f"count_if({passed}) AS clean"),
+        *[F.expr(f"{count} AS {label}") for label, count in failed.items()],
+    )
+    totals = {
+        "rows_in": "sum(copies)",
+        **{label: f"sum({label})" for label in failed},
+        "rows_filtered": "sum(copies - clean)",
+        "rows_duplicate": "sum(greatest(clean - 1, 0))",
+        "rows_out": "count_if(clean > 0)",
+    }
+    return per_key.agg(*[F.expr(f"coalesce({total}, 0) AS {label}") for label, total in totals.items()])
+
+
 def dedup_counts(trips: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows in, rows kept and duplicates under ``key``; only the key columns are read and shuffled."""
     per_key = trips.groupBy(*key).agg(F.expr("count(*) AS copies"))

@@ -120,6 +120,18 @@ def mart_to_load_table(mart: DataFrame, table: str) -> DataFrame:
     return with_load_time(typed_load(mart.withColumnsRenamed(LOAD_RENAMES.get(table, {})), LOAD_TABLES[table]))
 
 
+def mart_load_rejects(mart: DataFrame, table: str) -> DataFrame:
+    """The rows :func:`mart_to_load_table` leaves out, their file, their unreadable columns and the load time.
+
+    Values are kept as JSON, so that the log has one schema whatever the mart's was.  Needs a file-based ``mart``.
+    """
+    renamed = mart.selectExpr("*", "_metadata.file_path AS _file_path")
+    renamed = renamed.withColumnsRenamed(LOAD_RENAMES.get(table, {}))
+    rejects = typed_load_rejects(renamed, LOAD_TABLES[table])
+    values = ", ".join(name(c) for c in renamed.columns if c != "_file_path")
+    return with_load_time(rejects.selectExpr("_file_path", "_unreadable", f"to_json(struct({values})) AS row"))
+
+
 def evolve(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Append ``incoming`` to ``existing``; columns only one side has are null on the other."""
     return existing.unionByName(incoming, allowMissingColumns=True)

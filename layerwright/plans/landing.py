@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
@@ -15,6 +16,8 @@ from ..functions.scalars import quoted
 from ..operators import validate as v
 from ..sources import bronze, files, tables
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -121,7 +124,7 @@ def land(
 
     All months are validated by one job that reads only the checked columns.  Bronze then receives every
     delivered row unchanged, and rejected rows are copied to quarantine.  The driver handles one record
-    per month.
+    per month.  Months whose reject rate exceeds the limit are logged as warnings and in ``bronze_alerts``.
 
     A month counts as landed once its file manifest is complete.  The manifest is written last, after the
     control record, and taken away before a month is written again, so a run that dies on the way leaves no
@@ -166,6 +169,13 @@ def land(
     names = tables.CONTROL_SCHEMA.names
     control = spark.createDataFrame([tuple(r[n] for n in names) for r in rows], tables.CONTROL_SCHEMA)
     tables.append_control(control, layout.path("control", "bronze_runs"))
+    over = alerts(control, spec).where("alert").select("year", "month", "reject_rows", "total_rows", "reject_pct")
+    found = over.collect()
+    if found:
+        stamped = over.withColumn("run_timestamp", F.lit(stamp)).coalesce(1)
+        stamped.write.mode("append").json(layout.path("control", "bronze_alerts"))
+        for r in found:
+            log.warning("%04d-%02d: %.2f %% of the rows rejected", r.year, r.month, r.reject_pct)
     for key, delivery in opened.items():
         commit_month(spark, delivery, counted[key], layout)
     return control

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import IngestSpec
-from .files import PARQUET_ONLY
+from .files import PARQUET_ONLY, path_value
 
 MONTH_COLUMNS = ("year", "month")
 
@@ -61,8 +61,10 @@ def as_declared(df: DataFrame, declared: dict[str, str]) -> DataFrame:
 
 
 def _with_file_columns(df: DataFrame) -> DataFrame:
+    path = F.col("_metadata.file_path")
     return df.select(
         "*",
+        (path_value(path, "year") * 12 + path_value(path, "month")).alias("_delivered_month"),
         F.col("_metadata.file_modification_time").alias("_file_modified_at"),
         F.col("_metadata.file_path").alias("_file_path"),
     )

@@ -30,10 +30,20 @@ CONTROL_SCHEMA = T.StructType(
     ]
 )
 
+# A silver run also says how many rows it read and how many of them were copies.
+SILVER_RUN_SCHEMA = T.StructType(
+    CONTROL_SCHEMA.fields + [T.StructField("rows_in", T.LongType()), T.StructField("rows_duplicate", T.LongType())]
+)
+
+
+def read_table(
+    spark: SparkSession, path: str, fmt: str = "parquet", view: str | None = None, merge: bool = False
+) -> DataFrame:
+    """A table snapshot, registered as a temporary view when a name is given.
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet", view: str | None = None) -> DataFrame:
-    """A table snapshot, registered as a temporary view when a name is given."""
-    reader = spark.read.format(fmt)
+    ``merge`` shows columns that only some files have, at the price of reading every footer; for marts.
+    """
+    reader = spark.read.format(fmt).option("mergeSchema", merge)
     if fmt == "parquet":
         reader = reader.option("pathGlobFilter", PARQUET_ONLY)
     df = reader.load(path)
@@ -109,6 +119,11 @@ def replace_read_partitions(df: DataFrame, path: str, partitions: Sequence[str],
     delete_path(spark, staged)
 
 
+def append_rows(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Add rows to a table or log."""
+    df.write.format(fmt).mode("append").save(path)
+
+
 def append_json(spark: SparkSession, record: Mapping, path: str, schema: T.StructType = CONTROL_SCHEMA) -> None:
     """Append one record to a JSON log."""
     row = tuple(record.get(f.name) for f in schema.fields)

@@ -2,7 +2,7 @@
 
 import hashlib
 import json
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 from pathlib import Path
 
 import pytest
@@ -135,12 +135,12 @@ def test_month_targets(spark, as_of, n, months):
 
 
 def test_time_literals(spark):
-    from datetime import timezone
-
     from layerwright.functions.scalars import time_literal
 
-    naive, aware = datetime(2024, 1, 1, 12), datetime(2024, 1, 1, 13, tzinfo=timezone(timedelta(hours=1)))
-    assert spark.sql(f"SELECT {time_literal(naive)} = {time_literal(aware)} AS same").first().same
+    utc, east = datetime(2024, 1, 1, 12, tzinfo=timezone.utc), datetime(2024, 1, 1, 13, tzinfo=timezone(timedelta(hours=1)))
+    assert spark.sql(f"SELECT {time_literal(utc)} = {time_literal(east)} AS same").first().same
+    with pytest.raises(ValueError):
+        time_literal(datetime(2024, 1, 1, 12))
 
 
 def test_single_month_target():
@@ -183,6 +183,8 @@ def test_landing(spark, deliveries, tmp_path):
     assert tables.read_control(spark, layout.path("control", "bronze_runs")).count() == 8
     rates = {r.month: r.alert for r in landing.alerts(spark.createDataFrame(list(control.values()))).collect()}
     assert rates == {1: False, 2: True, 3: True, 4: False, 5: False}
+    alerts = spark.read.json(layout.path("control", "bronze_alerts")).orderBy("month").collect()
+    assert [(r.month, r.reject_rows, r.total_rows) for r in alerts] == [(2, 2, 7), (3, 3, 3)]
 
 
 def test_layers_end_to_end(spark, deliveries, tmp_path):
@@ -203,7 +205,7 @@ def test_layers_end_to_end(spark, deliveries, tmp_path):
     assert all(loaded.values())
     assert not any(medallion.load_table(spark, layout, t) for t in medallion.LOAD_SOURCES)
 
-    now = datetime.now()
+    now = datetime.now(timezone.utc)
     mart = medallion.refresh_mart(spark, layout, now)
     assert mart.count() == 10 and mart.where("updated_at IS NULL").count() == 0
     assert medallion.refresh_mart(spark, layout, now).count() == 10
@@ -216,7 +218,7 @@ def test_layers_end_to_end(spark, deliveries, tmp_path):
     refreshed = medallion.refresh_mart(spark, layout, later)
     assert refreshed.count() == 10
     stamps = [r[0] for r in refreshed.select("updated_at").distinct().collect()]
-    assert stamps == [later.replace(microsecond=0)]
+    assert stamps == [later.astimezone().replace(microsecond=0, tzinfo=None)]
     with pytest.raises(contracts.ContractError):
         from layerwright.config import FreshnessSpec
 
@@ -292,3 +294,56 @@ def test_null_months(spark, tmp_path):
     assert [r.v for r in tables.read_table(spark, path).where(month_condition([(None, None)])).collect()] == [2]
     (tmp_path / "b" / "year=__HIVE_DEFAULT_PARTITION__" / "month=1").mkdir(parents=True)
     assert bronze.month_dirs(spark, str(tmp_path / "b")) == {}
+
+
+def test_correction_in_a_later_month_stays(spark, tmp_path):
+    deliveries, layout = str(tmp_path / "deliveries"), Layout(str(tmp_path / "lake"))
+    trip = pickup(date(2024, 1, 31))
+    raw(spark, {**trip, "tip_amount": 1.0}).write.parquet(month(deliveries, 2024, 1))
+    raw(spark, {**trip, "tip_amount": 9.0}).write.parquet(month(deliveries, 2024, 2))
+    landing.land(spark, deliveries, layout, landing.month_targets(date(2024, 3, 5), 2), spec=IngestSpec(min_rows=1))
+    counts = medallion.build_silver(spark, layout)
+    assert (counts["rows_in"], counts["rows_duplicate"], counts["rows_out"]) == (2, 1, 1)
+    assert [r.tip_amount for r in tables.read_table(spark, layout.path("silver")).collect()] == [9.0]
+    log = spark.read.schema(tables.SILVER_RUN_SCHEMA).json(layout.path("control", "silver_runs")).first()
+    assert (log.status, log.rows_in, log.rows_duplicate, log.error_message) == ("success", 2, 1, "")
+
+
+def test_lost_rows_are_noticed(spark, deliveries, tmp_path, monkeypatch):
+    layout, write = Layout(str(tmp_path / "lake")), tables.overwrite_all
+    landing.land(spark, deliveries, layout, [(2024, 1)], spec=SPEC)
+    monkeypatch.setattr(tables, "overwrite_all", lambda df, *rest, **named: write(df.limit(3), *rest, **named))
+    with pytest.raises(contracts.ContractError, match="read back 3 rows, expected 5"):
+        medallion.build_silver(spark, layout)
+    assert tables.read_control(spark, layout.path("control", "silver_runs")).first().status == "failed"
+
+
+def test_unreadable_rows_are_logged(spark, tmp_path):
+    layout = Layout(str(tmp_path / "lake"))
+    rows = [("2024-01-02", 3, "7", 2024, 1), ("2024-01-02", 4, "many", 2024, 1)]
+    mart = spark.createDataFrame(rows, "pickup_date string, pickup_hour int, trip_count string, pickup_year int, pickup_month int")
+    mart.coalesce(1).write.partitionBy("pickup_year", "pickup_month").parquet(layout.path("gold", "hourly_zone_demand"))
+    assert medallion.load_table(spark, layout, "hourly_zone_demand") == 1
+    loaded = tables.read_table(spark, layout.path("raw", "hourly_zone_demand")).collect()
+    assert [(r.pickup_hour, r.trip_count) for r in loaded] == [(3, 7)]
+    (reject,) = tables.read_table(spark, medallion.rejects_path(layout, "hourly_zone_demand")).collect()
+    assert reject["_unreadable"] == ["trip_count"] and "pickup_month=1" in reject["_file_path"]
+    assert json.loads(reject["row"])["trip_count"] == "many"
+
+
+def test_column_of_one_month_shows(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    spark.sql("SELECT 1 AS a, 1 AS m").write.partitionBy("m").parquet(path)
+    tables.overwrite_partitions(spark.sql("SELECT 2 AS a, 'x' AS b, 2 AS m"), path, ["m"])
+    found = tables.read_table(spark, path, merge=True).orderBy("m").select("a", "b").collect()
+    assert [tuple(r) for r in found] == [(1, None), (2, "x")]
+
+
+def test_health_keeps_earlier_runs_in_any_format(spark, deliveries, tmp_path):
+    layout, now = Layout(str(tmp_path / "lake")), datetime.now(timezone.utc)
+    landing.land(spark, deliveries, layout, [(2024, 1), (2024, 2)], spec=SPEC)
+    for runs in (1, 2):
+        assert medallion.run_all(spark, layout, now, fmt="orc").count() == 10
+        log = tables.read_table(spark, layout.path("raw", "pipeline_health_log"), "orc")
+        assert (log.count(), log.select("health_run_at").distinct().count()) == (2 * runs, runs)
+    assert tables.read_table(spark, layout.path("raw", "hourly_zone_demand"), "orc").count() == 10
