@@ -111,6 +111,16 @@ def unaccepted_values(df: DataFrame, contract: Accepted) -> DataFrame:
     return df.where(unaccepted(contract)).groupBy(value).agg(F.expr("count(*) AS rows"))
 
 
+def unaccepted_by_column(df: DataFrame, contracts: Sequence[Accepted]) -> DataFrame:
+    """(column_name, value, rows) of the values outside each accepted list, in one pass; the columns share a type."""
+    pairs = [
+        f"named_struct('column_name', {quoted(c.column)}, 'value', {name(c.column)}, 'broken', {unaccepted(c)})"
+        for c in contracts
+    ]
+    found = df.selectExpr(f"inline(array({', '.join(pairs)}))").where("broken")
+    return found.groupBy("column_name", "value").agg(F.expr("count(*) AS rows"))
+
+
 def freshness(
     df: DataFrame, as_of: str, date: str = "pickup_date", loaded: str = "_loaded_at", stale_hours: int = 48
 ) -> DataFrame:

@@ -6,11 +6,9 @@ from collections.abc import Sequence
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .contracts import ContractError, duplicate_keys
-
 
 def _all(conditions: Sequence[Column]) -> Column:
     return reduce(Column.__and__, conditions, F.lit(True))
@@ -58,13 +56,24 @@ def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], check: bool
     """``target`` with the rows of ``source`` replacing those of equal key and new keys added.
 
     Columns missing on one side are filled with null.  Two source rows with one key would have no defined
-    winner; ``check`` runs a keys-only job that raises in that case.  A null in the key equals nothing, as
-    in a SQL MERGE, so such source rows are added.
+    winner; with ``check`` the query then fails when it runs.  A null in the key equals nothing, as in a SQL MERGE, so
+    such rows are all kept; they are dealt by their content, not by the null.  Both sides are read once and meet in one
+    shuffle by key.
     """
-    if check and duplicate_keys(source.where(_all([F.col(f"`{k}`").isNotNull() for k in key])), key).head(1):
-        raise ContractError(f"several source rows share one key {tuple(key)}")
-    untouched = target.join(source.select(*key), list(key), "left_anti")
-    return untouched.select(*target.columns).unionByName(source, allowMissingColumns=True)
+    null_key = reduce(Column.__or__, [F.col(f"`{k}`").isNull() for k in key], F.lit(False))
+    both = target.withColumn("_from_source", F.lit(False)).unionByName(
+        source.withColumn("_from_source", F.lit(True)), allowMissingColumns=True
+    )
+    hashed = [F.col(f"`{f.name}`") for f in both.schema if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    both = both.withColumn("_spread", F.when(null_key, F.xxhash64(*hashed)))
+    same_key = Window.partitionBy(*[F.col(f"`{k}`") for k in key], "_spread")
+    newest = F.max("_from_source").over(same_key)
+    if check:
+        several = F.lit(f"several source rows share one key {tuple(key)}")
+        copies = F.count_if(F.col("_from_source")).over(same_key)
+        newest = F.when((copies > 1) & ~null_key, F.raise_error(several).cast("boolean")).otherwise(newest)
+    kept = both.withColumn("_newest", newest).where(null_key | (F.col("_from_source") == F.col("_newest")))
+    return kept.drop("_from_source", "_spread", "_newest")
 
 
 def not_yet_landed(candidates: DataFrame, landed: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -87,9 +87,10 @@ def dedup_counts(spark, sf):
 
 def row_counts(spark, sf):
     """Rows of raw, filtered and deduplicated trips side by side."""
-    stages = {"raw": raw_trips(spark, sf), "clean": clean_trips(spark, sf), "silver": silver_trips(spark, sf)}
-    counts = [df.agg(F.lit(n).alias("stage"), F.count(F.lit(1)).alias("row_count")) for n, df in stages.items()]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    counts = silver.run_counts(raw_trips(spark, sf))
+    return counts.selectExpr(
+        "stack(3, 'raw', rows_in, 'clean', rows_in - rows_filtered, 'silver', rows_out) AS (stage, row_count)"
+    )
 
 
 def rows_by_month(spark, sf):

@@ -138,11 +138,8 @@ def contract_not_null(spark, sf):
 
 
 def contract_accepted_values(spark, sf):
-    vendors = contracts.unaccepted_values(raw_trips(spark, sf), contracts.Accepted("VendorID", (1, 2)))
-    payments = contracts.unaccepted_values(raw_trips(spark, sf), contracts.Accepted("payment_type", (1, 2, 3, 4)))
-    return vendors.select(F.lit("VendorID").alias("column_name"), "*").unionByName(
-        payments.select(F.lit("payment_type").alias("column_name"), "*")
-    )
+    accepted = [contracts.Accepted("VendorID", (1, 2)), contracts.Accepted("payment_type", (1, 2, 3, 4))]
+    return contracts.unaccepted_by_column(raw_trips(spark, sf), accepted)
 
 
 def contract_unique(spark, sf):

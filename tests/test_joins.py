@@ -3,9 +3,9 @@
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.errors import PySparkException
 
 from layerwright.operators import joins
-from layerwright.operators.contracts import ContractError
 
 PAIRS = st.lists(st.tuples(st.sampled_from([None, 1, 2]), st.sampled_from([None, 1, 2])), max_size=6)
 RELAXED = settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -77,8 +77,15 @@ def test_upsert_adds_new_columns(spark):
 def test_upsert_refuses_ambiguous_sources(spark):
     t = spark.createDataFrame([(1, 1)], "k int, v int")
     s = spark.createDataFrame([(1, 2), (1, 3)], "k int, v int")
-    with pytest.raises(ContractError):
-        joins.upsert(t, s, ("k",))
+    with pytest.raises(PySparkException, match="several source rows share one key"):
+        joins.upsert(t, s, ("k",)).collect()
+
+
+def test_upsert_keeps_repeated_target_rows_of_other_keys(spark):
+    t = spark.createDataFrame([(1, 1), (1, 1), (2, 2), (2, 3), (None, 4), (None, 4)], "k int, v int")
+    s = spark.createDataFrame([(2, 5)], "k int, v int")
+    found = sorted(r.v for r in joins.upsert(t, s, ("k",)).collect())
+    assert found == [1, 1, 4, 4, 5]
 
 
 def test_upsert_lets_null_keys_match_nothing(spark):
