@@ -5,9 +5,9 @@ by rank; every other word belongs to one of ``TAIL`` open classes by its last tw
 predicts the class from its state, then, in a closed class, the word; in an open class the word follows the class's
 smoothed counts.  The probabilities of all words, unseen ones included, so add up to one.
 
-The network is trained by truncated backpropagation on a fixed share of the training documents: every task trains a
-replica on its own documents, replicas are averaged over a tree, weighted by their tokens, and the next round goes on from
-the average.  In training and in scoring the state is carried across windows from the first word of a document to its
+The network is trained by truncated backpropagation on all training documents, each in one of the rounds: every task trains
+a replica on its own documents, replicas are averaged over a tree, weighted by their tokens, and the next round goes on
+from the average.  In training and in scoring the state is carried across windows from the first word of a document to its
 end, so a score is the log-likelihood of the complete document.
 """
 
@@ -31,8 +31,8 @@ CLOSED, MEMBERS, TAIL, STATE = 32, 32, 32, 16
 WORDS = CLOSED * MEMBERS
 # Words whose counts travel to the tasks; the rest meets its counts in a join.
 HEAD = 1 << 18
-# One training document in so many trains the network, half of them in each round.
-ONE_IN, ROUNDS = 16, 2
+# Every training document trains the network in one of so many rounds.
+ROUNDS = 2
 LANES, STEPS, RATE = 48, 24, 0.01
 SCORE_LANES, SCORE_STEPS = 256, 32
 SLICE_BYTES = 6 << 20
@@ -40,12 +40,29 @@ END = 0
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+    out = np.tanh(0.5 * x)
+    out *= 0.5
+    out += 0.5
+    return out
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def in_order(targets: np.ndarray) -> np.ndarray:
+    """The stable order of the targets; numbers of 16 bits are sorted by radix."""
+    return np.argsort(targets.astype(np.uint16), kind="stable")
+
+
+def errors(logits: np.ndarray, targets: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Log-probability of each column's target and, if there are weights, the gradient of minus its weighted value for the
+    logits, which it replaces."""
+    columns = np.arange(len(targets))
+    logits -= logits.max(axis=0, initial=-np.inf)
+    own = logits[targets, columns]
+    np.exp(logits, out=logits)
+    total = logits.sum(axis=0)
+    if weight is not None:
+        logits *= weight / total
+        logits[targets, columns] -= weight
+    return own - np.log(total), logits
 
 
 @dataclass
@@ -180,72 +197,102 @@ class Network:
         new = np.tanh(given[:, 2 * STATE :] + reset * pushed[:, 2 * STATE :])
         return new + update * (state - new), (update, reset, new, pushed)
 
-    def by_class(self, targets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """Rows of the targets of each closed class."""
-        order = np.argsort(targets, kind="stable")
-        cuts = np.searchsorted(targets[order], np.arange(0, WORDS + 1, MEMBERS))
-        for c in range(CLOSED):
-            if cuts[c + 1] > cuts[c]:
-                yield c, order[cuts[c] : cuts[c + 1]]
+    def logits(self, states: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
+        """For targets in order: logits and numbers of the classes, logits of the words of the closed classes, which come
+        first, and these classes' runs of targets with their words.  Logits have a column for each target."""
+        kind = np.where(targets < WORDS, targets // MEMBERS, targets - WORDS + CLOSED)
+        cuts = np.searchsorted(targets, np.arange(0, WORDS + 1, MEMBERS)).tolist()
+        runs = [(cuts[c], cuts[c + 1], slice(c * MEMBERS, (c + 1) * MEMBERS)) for c in range(CLOSED)]
+        runs = [r for r in runs if r[1] > r[0]]
+        words = np.empty((MEMBERS, cuts[-1]), np.float32)
+        for start, stop, span in runs:
+            own = self.part["words"][:, span].T @ states[start:stop].T
+            np.add(own, self.part["word_bias"][span, None], out=words[:, start:stop])
+        return self.part["classes"].T @ states.T + self.part["class_bias"][:, None], kind, words, runs
 
     def log_probability(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log of the class and, in a closed class, of the word."""
-        rows = np.arange(len(targets))
-        kind = np.where(targets < WORDS, targets // MEMBERS, targets - WORDS + CLOSED)
-        out = log_softmax(states @ self.part["classes"] + self.part["class_bias"])[rows, kind]
-        for c, own in self.by_class(targets):
-            span = slice(c * MEMBERS, (c + 1) * MEMBERS)
-            logits = states[own] @ self.part["words"][:, span] + self.part["word_bias"][span]
-            out[own] += log_softmax(logits)[np.arange(len(own)), targets[own] - c * MEMBERS]
+        order = in_order(targets)
+        targets = targets[order]
+        classes, kind, words, _ = self.logits(states[order], targets)
+        found = errors(classes, kind)[0]
+        found[: words.shape[1]] += errors(words, targets[: words.shape[1]] % MEMBERS)[0]
+        out = np.empty_like(found)
+        out[order] = found
         return out
 
     def gradient(self, state: np.ndarray, tokens: np.ndarray, first: np.ndarray, real: np.ndarray):
         """Gradient of the mean loss over a window (steps by lanes), the loss, and the state after it."""
         steps, lanes = tokens.shape
-        states, kept = [], []
-        for t in range(steps):
-            state = np.where(first[t][:, None], np.float32(0), state)
-            states.append(state)
-            state, memory = self.step(state, tokens[t])
-            kept.append(memory)
+        # The update, reset and new parts each lie in one piece, which numpy goes through fastest.
+        given = self.part["inputs"][tokens].reshape(steps, lanes, 3, STATE).transpose(0, 2, 1, 3).copy()
+        recurrent = self.part["recurrent"].reshape(STATE, 3, STATE).transpose(1, 0, 2).copy()
+        begins = first.any(axis=1).tolist()
+        states = np.empty((steps, lanes, STATE), np.float32)
+        pushed = np.empty((steps, 3, lanes, STATE), np.float32)
+        for t, (own, moved) in enumerate(zip(given, pushed)):
+            if begins[t]:
+                state = np.where(first[t][:, None], np.float32(0), state)
+            states[t] = state
+            np.matmul(state, recurrent, out=moved)
+            gates, new = own[:2], own[2]
+            gates += moved[:2]
+            gates *= 0.5
+            np.tanh(gates, out=gates)
+            gates *= 0.5
+            gates += 0.5
+            new += gates[1] * moved[2]
+            np.tanh(new, out=new)
+            state = state - new
+            state *= gates[0]
+            state += new
         grad = Network(np.zeros(self.size(), np.float32))
-        flat, targets, weight = np.concatenate(states), tokens.reshape(-1), real.reshape(-1)
+        # Everything about the targets goes by their order, in which classes and words are runs.
+        targets = tokens.reshape(-1)
+        order = in_order(targets)
+        targets, flat, weight = targets[order], states.reshape(-1, STATE)[order], real.reshape(-1)[order]
         scale = np.float32(1 / max(weight.sum(), 1))
-        kind = np.where(targets < WORDS, targets // MEMBERS, targets - WORDS + CLOSED)
-        rows = np.arange(len(targets))
-        logs = log_softmax(flat @ self.part["classes"] + self.part["class_bias"])
-        loss = float((logs[rows, kind] * weight).sum())
-        error = np.exp(logs)
-        error[rows, kind] -= 1
-        error *= (weight * scale)[:, None]
-        grad.part["classes"][:] = flat.T @ error
-        grad.part["class_bias"][:] = error.sum(axis=0)
-        back = error @ self.part["classes"].T
-        for c, own in self.by_class(targets):
-            span = slice(c * MEMBERS, (c + 1) * MEMBERS)
-            logs = log_softmax(flat[own] @ self.part["words"][:, span] + self.part["word_bias"][span])
-            place = (np.arange(len(own)), targets[own] - c * MEMBERS)
-            loss += float((logs[place] * weight[own]).sum())
-            error = np.exp(logs)
-            error[place] -= 1
-            error *= (weight[own] * scale)[:, None]
-            grad.part["words"][:, span] = flat[own].T @ error
-            grad.part["word_bias"][span] = error.sum(axis=0)
-            back[own] += error @ self.part["words"][:, span].T
-        back = back.reshape(steps, lanes, STATE)
+        classes, kind, words, runs = self.logits(flat, targets)
+        closed = words.shape[1]
+        logs, error = errors(classes, kind, weight * scale)
+        loss = float(logs @ weight)
+        grad.part["classes"][:] = (error @ flat).T
+        grad.part["class_bias"][:] = error.sum(axis=1)
+        back = error.T @ self.part["classes"].T
+        logs, error = errors(words, targets[:closed] % MEMBERS, weight[:closed] * scale)
+        loss += float(logs @ weight[:closed])
+        for start, stop, span in runs:
+            own = error[:, start:stop]
+            grad.part["words"][:, span] = (own @ flat[start:stop]).T
+            grad.part["word_bias"][span] = own.sum(axis=1)
+            back[start:stop] += own.T @ self.part["words"][:, span].T
+        into = np.empty_like(back)
+        into[order] = back
+        into = into.reshape(steps, lanes, STATE)
+        update, reset, new = given[:, 0], given[:, 1], given[:, 2]
+        by_new = (1 - update) * (1 - new * new)
+        by = np.empty_like(pushed)
+        by[:, 0] = (states - new) * update * (1 - update)
+        by[:, 1] = by_new * pushed[:, 2] * reset * (1 - reset)
+        by[:, 2] = by_new * reset
+        back_recurrent = recurrent.transpose(0, 2, 1).copy()
         later = np.zeros((lanes, STATE), np.float32)
-        given = np.empty((steps, lanes, 3 * STATE), np.float32)
+        laters = np.empty((steps, lanes, STATE), np.float32)
         for t in range(steps - 1, -1, -1):
-            update, reset, new, pushed = kept[t]
-            d_new = later * (1 - update) * (1 - new * new)
-            d_update = later * (states[t] - new) * update * (1 - update)
-            d_reset = d_new * pushed[:, 2 * STATE :] * reset * (1 - reset)
-            given[t] = np.concatenate((d_update, d_reset, d_new), axis=1)
-            d_pushed = np.concatenate((d_update, d_reset, d_new * reset), axis=1)
-            grad.part["recurrent"][:] += states[t].T @ d_pushed
-            later = later * update + d_pushed @ self.part["recurrent"].T + back[t]
-            later[first[t]] = 0
-        np.add.at(grad.part["inputs"], targets, given.reshape(-1, 3 * STATE))
+            laters[t] = later
+            # From here on what reaches the recurrent products.
+            by[t] *= later
+            later = later * update[t]
+            later += into[t]
+            for moved in np.matmul(by[t], back_recurrent):
+                later += moved
+            if begins[t]:
+                later[first[t]] = 0
+        by = by.transpose(0, 2, 1, 3).reshape(-1, 3 * STATE)
+        grad.part["recurrent"][:] = states.reshape(-1, STATE).T @ by
+        by[:, 2 * STATE :] = (by_new * laters).reshape(-1, STATE)
+        heads = np.flatnonzero(np.diff(targets, prepend=-1))
+        grad.part["inputs"][targets[heads]] = np.add.reduceat(by[order], heads)
         return grad.flat, loss, state
 
 
@@ -315,12 +362,20 @@ def trained(net: Network, tokens: np.ndarray, edges: np.ndarray, moments: list[n
         own, texts = table[at : at + STEPS], text[at : at + STEPS]
         grad, _, state = net.gradient(state, own, starts_of(texts, before), (texts >= 0).astype(np.float32))
         before = texts[-1]
-        grad *= min(1.0, 1.0 / max(float(np.sqrt((grad * grad).sum())), 1e-9))
+        grad *= np.float32(min(1.0, 1.0 / max(float(np.sqrt(grad @ grad)), 1e-9)))
         moments[2] += 1
-        moments[0] += 0.1 * (grad - moments[0])
-        moments[1] += 0.01 * (grad * grad - moments[1])
-        steady = np.sqrt(moments[1] / (1 - 0.99 ** moments[2][0])) + 1e-6
-        net.flat -= (RATE * moments[0] / (1 - 0.9 ** moments[2][0]) / steady).astype(np.float32)
+        moments[0] *= np.float32(0.9)
+        moments[0] += grad * np.float32(0.1)
+        grad *= grad
+        grad *= np.float32(0.01)
+        moments[1] *= np.float32(0.99)
+        moments[1] += grad
+        steady = np.sqrt(moments[1], out=grad)
+        steady *= np.float32(1 / np.sqrt(1 - 0.99 ** moments[2][0]))
+        steady += np.float32(1e-6)
+        change = moments[0] / steady
+        change *= np.float32(RATE / (1 - 0.9 ** moments[2][0]))
+        net.flat -= change
     return int(edges[-1])
 
 
@@ -340,17 +395,16 @@ def network_tokens(
     return out, bounds + np.arange(len(bounds)), place, tail
 
 
-def fit_network(training: DataFrame, known: Vocabulary, one_in: int = ONE_IN, rounds: int = ROUNDS) -> Network:
-    """Train on one document in ``one_in``, chosen by the hash of id and text, in equal parts by round."""
+def fit_network(training: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> Network:
+    """Train on every document once; the hash of id and text deals the documents to the rounds."""
     net = Network.start(known)
-    parts = one_in * rounds
     for n in range(rounds):
-        own = training.where(F.expr(f"pmod(xxhash64(doc_id, text), {parts}) = {n}")).select("text")
+        own = training.where(F.expr(f"pmod(xxhash64(doc_id, text), {rounds}) = {n}")).select("text")
         begun = net.flat
 
         def replica(batches: Iterator[pa.RecordBatch], begun: np.ndarray = begun) -> Iterator[pa.RecordBatch]:
             mine, seen = Network(begun.copy()), 0
-            moments = [np.zeros(len(begun)), np.zeros(len(begun)), np.zeros(1)]
+            moments = [np.zeros(len(begun), np.float32), np.zeros(len(begun), np.float32), np.zeros(1)]
             for batch in batches:
                 for part in slices(batch, "text", SLICE_BYTES):
                     codes, distinct, bounds = lowered_words(whole(part["text"]))

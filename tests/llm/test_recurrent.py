@@ -113,3 +113,16 @@ def test_gradient():
         moved[1][k] -= 1e-2
         slope = (loss(moved[0]) - loss(moved[1])) / 2e-2
         assert slope == pytest.approx(float(grad[k]), rel=0.05, abs=2e-4)
+
+
+def test_every_training_document_reaches_the_network(spark):
+    texts = [f"w{k} v{k} u{k}" for k in range(8)]
+
+    def fitted(texts):
+        table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+        return R.fit_network(table, R.vocabulary(R.counted_words(table), len(texts), R.HEAD)).flat
+
+    whole = fitted(texts)
+    # The same words in another order leave all counts as they are.
+    for k in range(len(texts)):
+        assert (fitted(texts[:k] + [f"u{k} v{k} w{k}"] + texts[k + 1 :]) != whole).any()
