@@ -23,6 +23,8 @@ FEATURES = 4096
 CENTROIDS = 4
 # Documents per language that the centroids are fitted on.
 FIT_DOCUMENTS = 1500
+# Bits of a mark that tell its range.
+RANGE_BITS = 12
 # Part of the least cosine seen in fitting that a text must still reach.
 MARGIN = 0.6
 SLICE_BYTES, SLICE_ROWS = 1 << 20, 256
@@ -95,6 +97,22 @@ class LanguageModel:
         return named, np.where(lettered, score, 0.0), ~lettered | (score < self.floors[best])
 
 
+def smallest_marks(marks: DataFrame, most: int) -> DataFrame:
+    """``lang, cut``: the mark of the ``most``-th row of each language by ``mark``, or its last one.
+
+    Rows are counted by ranges of marks first, so that only those of the ranges up to the cut are ranked.
+    """
+
+    def last(counted: DataFrame, by: str, name: str) -> DataFrame:
+        before = counted.selectExpr("lang", by, f"sum(n) OVER (PARTITION BY lang ORDER BY {by}) - n AS before")
+        return before.where(f"before < {int(most)}").groupBy("lang").agg(F.max(by).alias(name))
+
+    ranged = marks.withColumn("range", F.shiftright("mark", 64 - RANGE_BITS))
+    ranges = last(ranged.groupBy("lang", "range").agg(F.count("*").alias("n")), "range", "last_range")
+    near = ranged.join(F.broadcast(ranges), "lang").where("range <= last_range")
+    return last(near.groupBy("lang", "mark").agg(F.count("*").alias("n")), "mark", "cut")
+
+
 def fit_languages(training: DataFrame, fit_documents: int = FIT_DOCUMENTS, centroids: int = CENTROIDS) -> LanguageModel:
     """Fit on ``doc_id, text, lang``; rows with a null text or language teach nothing.
 
@@ -121,9 +139,7 @@ def fit_languages(training: DataFrame, fit_documents: int = FIT_DOCUMENTS, centr
     # The cut of each language: the hash that so many of its rows do not exceed.  One row per language, like the model's
     # centroids, so it goes to the texts and not they to it.
     marked = known.withColumn("mark", F.xxhash64("doc_id"))
-    cuts = training.where("lang IS NOT NULL").select("lang", F.xxhash64("doc_id").alias("mark"))
-    cuts = cuts.selectExpr("lang", "mark", "row_number() OVER (PARTITION BY lang ORDER BY mark) AS place")
-    cuts = cuts.where(f"place <= {int(fit_documents)}").groupBy("lang").agg(F.max("mark").alias("cut"))
+    cuts = smallest_marks(training.where("lang IS NOT NULL").select("lang", F.xxhash64("doc_id").alias("mark")), fit_documents)
     sample = marked.join(F.broadcast(cuts), "lang").where("mark <= cut")
     sample = sample.dropDuplicates(["lang", "mark"]).select("lang", "text")
 

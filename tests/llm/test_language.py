@@ -3,7 +3,7 @@
 import numpy as np
 import pyarrow as pa
 
-from layerwright.llm.language import FEATURES, clustered, fit_languages, gram_counts, identified
+from layerwright.llm.language import FEATURES, clustered, fit_languages, gram_counts, identified, smallest_marks
 from layerwright.llm.queries import op6_language_id
 
 
@@ -52,3 +52,18 @@ def test_clusters_are_unit_length():
     made = clustered(vectors, 4)
     assert made.shape == (4, 8) and np.allclose(np.linalg.norm(made, axis=1), 1, atol=1e-5)
     assert len(clustered(vectors[:2], 4)) == 2
+
+
+def test_few_marks_are_ranked(spark):
+    rng = np.random.default_rng(2)
+    rows = [(lang, int(m)) for lang, n in (("en", 30000), ("de", 3000), ("fr", 5)) for m in rng.integers(-(1 << 63), 1 << 63, n)]
+    rows += [("en", 42)] * 500 + [("en", min(m for k, m in rows if k == "en"))] * 20
+    marks = spark.createDataFrame(rows, "lang string, mark long")
+    cuts = smallest_marks(marks, 1500)
+    want = {k: sorted(m for lang, m in rows if lang == k)[:1500][-1] for k in ("en", "de", "fr")}
+    assert {r.lang: r.cut for r in cuts.collect()} == want
+    assert {r.lang: r.cut for r in smallest_marks(marks.where("mark = 42"), 1500).collect()} == {"en": 42}
+    # No window sees the rows themselves, only counts of them.
+    plan = cuts._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    windows = [i for i, line in enumerate(plan) if "Window [" in line]
+    assert len(windows) == 2 and all("Aggregate" in plan[i + 1] for i in windows)
