@@ -3,7 +3,7 @@
 A text is a vector of the byte pairs and triples of its lower-cased letters, hashed into ``FEATURES`` places, weighted by
 TF-IDF and scaled to length one.  Document frequencies cover all training documents.  Each language is described by a few
 centroids, found by clustering a bounded sample of its documents; a text takes the language of the centroid with the
-largest cosine.  It is rejected if that is further away than documents of the language ever were, by a margin.
+largest cosine.  It is rejected if that is further away than nearly all documents of the language were, by a margin.
 """
 
 from __future__ import annotations
@@ -25,10 +25,12 @@ CENTROIDS = 4
 FIT_DOCUMENTS = 1500
 # Bits of a mark that tell its range.
 RANGE_BITS = 12
-# Part of the least cosine seen in fitting that a text must still reach.
+# The cosine that but such a part of the fitted documents reach, and the part of it that a text must still reach.
+LOWEST = 0.002
 MARGIN = 0.6
 SLICE_BYTES, SLICE_ROWS = 1 << 20, 256
 UNKNOWN = "und"
+LETTER = r"\p{L}"
 # Bytes that are not letters, of the first 128, become spaces.
 LETTERS = np.array([b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)], np.uint8)
 
@@ -87,7 +89,7 @@ class LanguageModel:
 
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score and rejection of each text."""
-        lettered = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_numpy(zero_copy_only=False)
+        lettered = pc.fill_null(pc.match_substring_regex(texts, LETTER), False).to_numpy(zero_copy_only=False)
         if not self.languages:
             return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
         cosines = weighted(gram_counts(texts), self.idf) @ self.centroids.T
@@ -114,13 +116,13 @@ def smallest_marks(marks: DataFrame, most: int) -> DataFrame:
 
 
 def fit_languages(training: DataFrame, fit_documents: int = FIT_DOCUMENTS, centroids: int = CENTROIDS) -> LanguageModel:
-    """Fit on ``doc_id, text, lang``; rows with a null text or language teach nothing.
+    """Fit on ``doc_id, text, lang``; rows with a null language or a text that is null or has no letter teach nothing.
 
     Document frequencies come from all rows.  The centroids come from the ``fit_documents`` rows of each language with
     the smallest hash of their id, one for each id: that bound is the only sample taken.
     """
     small_batches(training.sparkSession)
-    known = training.select("doc_id", "text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
+    known = training.select("doc_id", "text", "lang").where("lang IS NOT NULL").where(F.col("text").rlike(LETTER))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(FEATURES + 1, np.int64)
@@ -139,7 +141,7 @@ def fit_languages(training: DataFrame, fit_documents: int = FIT_DOCUMENTS, centr
     # The cut of each language: the hash that so many of its rows do not exceed.  One row per language, like the model's
     # centroids, so it goes to the texts and not they to it.
     marked = known.withColumn("mark", F.xxhash64("doc_id"))
-    cuts = smallest_marks(training.where("lang IS NOT NULL").select("lang", F.xxhash64("doc_id").alias("mark")), fit_documents)
+    cuts = smallest_marks(marked.select("lang", "mark"), fit_documents)
     sample = marked.join(F.broadcast(cuts), "lang").where("mark <= cut")
     sample = sample.dropDuplicates(["lang", "mark"]).select("lang", "text")
 
@@ -154,7 +156,7 @@ def fit_languages(training: DataFrame, fit_documents: int = FIT_DOCUMENTS, centr
     def centres(rows: pa.Table) -> pa.Table:
         own = np.frombuffer(b"".join(sorted(rows["vector"].to_pylist())), np.float32).reshape(-1, FEATURES)
         made = clustered(own, centroids)
-        least = float(np.max(own @ made.T, axis=1).min())
+        least = float(np.quantile(np.max(own @ made.T, axis=1), LOWEST))
         langs = [rows["lang"][0].as_py()] * len(made)
         return pa.table({"lang": langs, "least": [least] * len(made), "vector": [v.tobytes() for v in made]})
 

@@ -67,3 +67,15 @@ def test_few_marks_are_ranked(spark):
     plan = cuts._jdf.queryExecution().optimizedPlan().toString().split("\n")
     windows = [i for i, line in enumerate(plan) if "Window [" in line]
     assert len(windows) == 2 and all("Aggregate" in plan[i + 1] for i in windows)
+
+
+def test_labelled_junk_does_not_admit_other_languages(spark):
+    words = "the cat and dog sat on mat with some people who were going to their house".split()
+    rng = np.random.default_rng(4)
+    clean = [" ".join(rng.choice(words, 12)) for _ in range(1490)]
+    russian, short = "Это простой русский текст о погоде", "the dog"
+    # Texts without letters, and more kinds of junk than there are centroids.
+    for junk in (["12 34", "!?"], [f"{c * 5} " * 4 for c in "zxjqv"]):
+        table = spark.createDataFrame([(k, t, "en") for k, t in enumerate(clean + junk)], "doc_id long, text string, lang string")
+        _, _, rejected = fit_languages(table).predict(pa.array([russian, short]))
+        assert rejected.tolist() == [True, False]
