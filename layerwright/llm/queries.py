@@ -10,11 +10,14 @@ from .blocks import substring_dedup
 from .chat import format_chats, read_loss, read_turns
 from .contamination import decontaminated
 from .cover import embedding_duplicates
+from .divergence import source_divergence
 from .language import fit_languages, fold, identified
 from .minhash import near_duplicates
+from .mixing import mixed
 from .packing import packed_sequences
 from .prefix_free import suffix_dedup
 from .recurrent import language_scores
+from .trie import conversation_trie
 from .url_rules import judge_urls
 
 # The URL rules of op5 as verdict, host, path.
@@ -125,6 +128,22 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_scores(table(spark, sf_dir, "documents"), held_out)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each language differ from one another, and the terms that set them apart."""
+    return source_divergence(table(spark, sf_dir, "documents"), least_docs=3, ranks=200)
+
+
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document a mix by source weights takes."""
+    mix = mixed(table(spark, sf_dir, "documents"), weights=(5, 2, 1), percent=150, most=2)
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of conversations rebuilt to share beginnings, with totals of every subtree."""
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -138,6 +157,9 @@ QUERIES = {
         op8_benchmark_decontamination,
         op9_suffix_dedup,
         op10_lm_scoring,
+        op11_source_divergence,
+        op12_source_mix,
+        op13_conversation_trie,
     )
 }
 ORACLES: dict[str, str] = {
@@ -162,4 +184,78 @@ ORACLES: dict[str, str] = {
                 + length('<|end|>') + 1 ELSE length('<|next|>') END) AS BIGINT) AS formatted_chars
         FROM laid GROUP BY conv_id
     """,
+    "op11_source_divergence": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents
+        ), found AS (
+            SELECT doc, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+        ), kept AS (SELECT lang, term FROM found GROUP BY ALL HAVING count(DISTINCT doc) >= 3
+        ), counts AS (SELECT lang, source, term, count(*) AS n FROM found SEMI JOIN kept USING (lang, term) GROUP BY ALL
+        ), vocabulary AS (SELECT lang, count(*) AS v FROM kept GROUP BY ALL
+        ), groups AS (
+            SELECT g.lang, g.source, coalesce(v, 0) AS v, coalesce(sum(n), 0) AS total
+            FROM (SELECT DISTINCT lang, source FROM docs) AS g LEFT JOIN vocabulary USING (lang)
+            LEFT JOIN counts USING (lang, source) GROUP BY ALL
+        ), shares AS (
+            SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n,
+                1 + (1000000000 * (coalesce(n, 0) + 1)::HUGEINT) // (g.total + g.v) AS p
+            FROM groups AS g JOIN kept AS k USING (lang) LEFT JOIN counts AS c USING (lang, source, term)
+        ), pairs AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+                CAST(coalesce(sum((x.p - y.p) * (x.p - y.p) // y.p), 0) AS BIGINT) AS value
+            FROM groups AS a JOIN groups AS b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN shares AS x ON x.lang = a.lang AND x.source = a.source
+            LEFT JOIN shares AS y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+            GROUP BY ALL
+        ), languages AS (
+            SELECT *, sum(n) OVER (PARTITION BY lang) AS total
+            FROM (SELECT lang, term, sum(n) AS n FROM counts GROUP BY lang, term)
+        ), terms AS (
+            SELECT s.lang, s.source, 'term' AS part, s.term AS item, s.p,
+                1 + (1000000000 * (l.n + 1)::HUGEINT) // (l.total + v.v) AS q
+            FROM shares AS s JOIN languages AS l USING (lang, term) JOIN vocabulary AS v USING (lang) WHERE s.n > 0
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (
+                SELECT * FROM pairs UNION ALL
+                SELECT lang, source, part, item, CAST((p - q) * (p - q) // q AS BIGINT) FROM terms WHERE p > q)
+        )
+        SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+    """,
+    "op12_source_mix": r"""
+        WITH sizes AS (
+            SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+            FROM documents
+        ), sources AS (
+            SELECT source, sum(size) AS source_size,
+                [5, 2, 1][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS BIGINT)] AS weight
+            FROM sizes GROUP BY source
+        ), lined AS (
+            SELECT *, 3 * sum(source_size) OVER () - 4 * (sum(source_size) OVER up - source_size) AS left_2,
+                sum(weight) OVER () - (sum(weight) OVER up - weight) AS rest
+            FROM sources WINDOW up AS (ORDER BY source_size / weight, source NULLS LAST)
+        ), stops AS (SELECT *, 4 * source_size * rest < left_2 * weight AS stops FROM lined
+        ), shared AS (
+            SELECT *, 3 * sum(source_size) OVER () - 4 * coalesce(sum(source_size) FILTER (stops) OVER (), 0) AS shared_2,
+                sum(weight) FILTER (NOT stops) OVER () AS heft
+            FROM stops
+        ), targets AS (
+            SELECT source, source_size,
+                CASE WHEN stops THEN CAST(2 * source_size AS DOUBLE)
+                    ELSE CAST(shared_2 * weight * 50 AS DOUBLE) / CAST(100 * heft AS DOUBLE) END AS target,
+                CASE WHEN source_size = 0 THEN 0 WHEN stops THEN 2 * 1099511627776
+                    ELSE (CAST(shared_2 AS HUGEINT) * weight * 50 * 1099511627776) // (source_size * 100 * heft) END AS per_copy,
+                CAST(concat('0x', substr(md5(CASE WHEN source IS NULL THEN '0' ELSE concat('0:', source) END), 1, 10)) AS BIGINT)
+                    AS start
+            FROM shared
+        ), lines AS (
+            SELECT s.*, CAST(row_number() OVER (PARTITION BY s.source ORDER BY size, doc_id NULLS FIRST) AS HUGEINT) AS place
+            FROM sizes AS s
+        )
+        SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
+            CAST(size * ((per_copy * place + start) // 1099511627776 - (per_copy * (place - 1) + start) // 1099511627776)
+                AS BIGINT) AS taken
+        FROM lines JOIN targets ON lines.source IS NOT DISTINCT FROM targets.source
+    """,
 }
