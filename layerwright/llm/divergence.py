@@ -1,9 +1,8 @@
 """How far the sources of a language differ in their terms, counted by digests of terms.
 
-Tasks cut texts into terms and count them, with their spelling, in a table that stays where it is written.  Shuffles for
-counts carry a 64-bit digest in place of the term.  The smallest and largest spelling of every digest are looked up once;
-where they differ, terms collide, and the spelling joins the key to part them.  Only terms that get into the result are
-spelled out again.
+Tasks cut texts into terms and count them under a 64-bit digest, which takes the term's place in the shuffles of counts.
+The smallest and largest spelling of every digest and language are looked up once; where they differ, terms collide, and
+those are counted anew with the spelling in their key.  Only terms that get into the result are spelled out again.
 """
 
 from __future__ import annotations
@@ -13,14 +12,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tables import small_batches, stored
 from .words import coded_words, slices, split_words, string_hashes, text_units, tidy, whole
 
 # Text counted at a time.
-PIECE_BYTES = 16 << 20
+PIECE_BYTES = 24 << 20
 SCALE = 1_000_000_000
 # Bytes of terms are letters and everything beyond ASCII; A-Z are lower-cased.
 TERM_BYTES = np.array([b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)], np.uint8)
@@ -44,41 +43,58 @@ def summed(keys: np.ndarray, *columns: np.ndarray) -> list[np.ndarray]:
     return [ordered[first], *[np.add.reduceat(c[order], first) if len(first) else c[:0] for c in columns]]
 
 
-def counted_terms(piece: pa.Table, bits: int) -> pa.RecordBatch:
-    """Rows of ``COUNTED`` for some documents; each of their groups also has a row without a term."""
+def counted_terms(piece: pa.Table, bits: int, spelled: bool) -> pa.RecordBatch:
+    """Rows of ``COUNTED`` for some documents: terms per language with ``docs``, without a source; terms per language
+    and source with ``n``, spelled out on request only; and every group of the documents, without a digest."""
     values, bounds = terms_of(whole(piece["text"]))
     codes, distinct = coded_words(values)
     names = [whole(piece[c]).dictionary_encode() for c in ("lang", "source")]
     lang, source = (n.indices.to_numpy(zero_copy_only=False).astype(np.int64) for n in names)
-    wide = len(names[1].dictionary)
+    wide, size = len(names[1].dictionary), max(len(distinct), 1)
     group_of = lang * wide + source
-    size = max(len(distinct), 1)
     documents = np.repeat(np.arange(piece.num_rows), np.diff(bounds))
     in_document, n = summed(documents * size + codes, np.ones(len(codes), np.int64))
-    keys = group_of[in_document // size] * size + in_document % size
-    keys, n, docs = summed(keys, n, np.ones(len(keys), np.int64))
+    document, code = in_document // size, in_document % size
+    per_group, n = summed(group_of[document] * size + code, n)
+    per_lang, docs = summed(lang[document] * size + code, np.ones(len(code), np.int64))
     groups = np.unique(group_of)
     digests = (string_hashes(distinct) >> np.uint64(64 - bits)).astype(np.int64)
-    group = np.concatenate((keys // size, groups))
-    none = np.zeros(len(groups), np.int64)
+    count = [len(per_group), len(per_lang), len(groups)]
+    column = lambda *parts: pa.array(np.concatenate(parts))
+    absent = np.repeat([False, True, False], count)
+    code = np.concatenate((per_group % size, per_lang % size))
+    terms = distinct.take(pa.array(code, mask=np.repeat([not spelled, False], count[:2])))
     return pa.RecordBatch.from_arrays(
         [
-            names[0].dictionary.take(pa.array(group // wide)),
-            names[1].dictionary.take(pa.array(group % wide)),
-            pa.array(np.concatenate((digests[keys % size], none))),
-            pa.concat_arrays([distinct.take(pa.array(keys % size)), pa.nulls(len(groups), pa.string())]),
-            pa.array(np.concatenate((n, none))),
-            pa.array(np.concatenate((docs, none))),
+            names[0].dictionary.take(column(per_group // size // wide, per_lang // size, groups // wide)),
+            names[1].dictionary.take(
+                pa.array(np.concatenate((per_group // size % wide, np.zeros(count[1], np.int64), groups % wide)), mask=absent)
+            ),
+            pa.concat_arrays([pa.array(digests[code]), pa.nulls(count[2], pa.int64())]),
+            pa.concat_arrays([terms, pa.nulls(count[2], pa.string())]),
+            column(n, np.zeros(count[1] + count[2], np.int64)),
+            column(np.zeros(count[0], np.int64), docs, np.zeros(count[2], np.int64)),
         ],
         ["lang", "source", "digest", "term", "n", "docs"],
     )
 
 
-def counter(bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def counter(bits: int, spelled: bool):
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        kept, size = [], 0
         for batch in batches:
-            for piece in slices(batch, "text", PIECE_BYTES):
-                yield counted_terms(piece, bits)
+            for part in slices(batch, "text", PIECE_BYTES):
+                kept.append(part)
+                size += pc.sum(pc.binary_length(part["text"])).as_py() or 0
+                if size >= PIECE_BYTES:
+                    yield pa.concat_tables(kept)
+                    kept, size = [], 0
+        if kept:
+            yield pa.concat_tables(kept)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches):
+            yield counted_terms(piece, bits, spelled)
 
     return tidy(run)
 
@@ -88,43 +104,55 @@ def exact(expression: str) -> str:
 
 
 def share(count: str, total: str, terms: str) -> str:
-    """A count as a share, one added to each count, in parts of 10^9 and never 0."""
-    return f"(1 + ({exact(SCALE)} * ({count} + 1)) div {exact(f'{total} + {terms}')})"
+    """A count as a share, one added to each count, in parts of 10^9 and never 0; decimals only where longs overflow."""
+    wide = f"({exact(SCALE)} * ({count} + 1)) div {exact(f'{total} + {terms}')}"
+    return f"(1 + CASE WHEN {count} < 9000000000 THEN ({SCALE}L * ({count} + 1)) div ({total} + {terms}) ELSE {wide} END)"
 
 
 def gap(p: str, q: str) -> str:
     return f"(({p} - {q}) * ({p} - {q}) div {q})"
 
 
+def times(value: str, count: str) -> Column:
+    """The sum of products, exactly, added in two parts of nine digits and the rest."""
+    high, low = (F.sum(F.expr(f"{count} * ({value} {part} {SCALE}L)")) for part in ("div", "%"))
+    return F.coalesce(high.cast("decimal(38,0)") * SCALE + low, F.lit(0)).cast("decimal(38,0)")
+
+
 def kept_terms(documents: DataFrame, least_docs: int, bits: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The kept terms ``lang, digest, split, total, spread``, their spellings, and all groups ``lang, source``.
 
-    ``spread`` lists ``source, n`` of a term, ``split`` is the term itself where its digest stands for several.
+    ``spread`` lists ``source, n`` of a term, ``split`` is the term itself where its digest stands for several, else empty.
     """
     spark = documents.sparkSession
     small_batches(spark)
     texts = documents.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    local, _ = stored(texts.mapInArrow(counter(bits), COUNTED), "audit-counts")
-    groups, _ = stored(local.select("lang", "source").distinct(), "audit-groups")
-    local = local.where("term IS NOT NULL")
+    local, _ = stored(texts.mapInArrow(counter(bits, False), COUNTED), "audit-counts")
+    groups, _ = stored(local.where("digest IS NULL").select("lang", "source").distinct(), "audit-groups")
+
+    def in_langs(rows: DataFrame) -> DataFrame:
+        return rows.where("digest IS NOT NULL AND source IS NULL")
+
     # Two terms of one digest count together here, so this keeps too many digests, never too few.
-    spellings = local.groupBy("lang", "digest").agg(
+    spellings = in_langs(local).groupBy("lang", "digest").agg(
         F.sum("docs").alias("docs"), F.min("term").alias("low"), F.max("term").alias("high")
     )
-    spellings, _ = stored(spellings.where(f"docs >= {least_docs}").drop("docs"), "audit-spellings")
-    several = spellings.where("low <> high").select("lang", "digest")
-    split = F.lit(None).cast("string")
+    spellings, _ = stored(spellings.where(f"docs >= {least_docs}"), "audit-spellings")
+    split = F.lit("")
+    seen = spellings.select("lang", "digest", split.alias("split"), "docs")
+    several = spellings.where("low <> high").select("lang", "digest", F.lit(True).alias("several"))
     if not several.isEmpty():
-        local = local.join(several.withColumn("several", F.lit(True)), ["lang", "digest"], "left")
-        split = F.expr("CASE WHEN several THEN term END")
-    counts = local.groupBy("lang", "source", "digest", split.alias("split")).agg(
-        F.sum("n").alias("n"), F.sum("docs").alias("docs")
-    )
-    # One entry per source of the language.
-    terms = counts.groupBy("lang", "digest", "split").agg(
-        F.sum("docs").alias("docs"), F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("spread")
+        local, _ = stored(texts.mapInArrow(counter(bits, True), COUNTED), "audit-split-counts")
+        local = local.join(several, ["lang", "digest"], "left")
+        split = F.expr("CASE WHEN several THEN term ELSE '' END")
+        seen = in_langs(local).groupBy("lang", "digest", split.alias("split")).agg(F.sum("docs").alias("docs"))
+    counts = local.where("digest IS NOT NULL AND source IS NOT NULL")
+    counts = counts.groupBy("lang", "source", "digest", split.alias("split")).agg(F.sum("n").alias("n"))
+    counts = counts.groupBy("lang", "digest", "split").agg(
+        F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("spread")
     )
-    terms, _ = stored(terms.where(f"docs >= {least_docs}").drop("docs"), "audit-terms")
+    kept = seen.where(f"docs >= {least_docs}")
+    terms, _ = stored(counts.join(kept.drop("docs"), ["lang", "digest", "split"], "left_semi"), "audit-terms")
     return terms, spellings.select("lang", "digest", "low"), groups
 
 
@@ -144,41 +172,40 @@ def source_pairs(terms: DataFrame, groups: DataFrame) -> DataFrame:
     in none, are not listed pair by pair: they follow from how many terms have each count in each source.
     """
     ends = groups.select("lang", F.col("source").alias("item"), F.col("in_group").alias("in_item"))
-    pairs = groups.join(ends, "lang").where("source <> item")
-    pairs, _ = stored(pairs.select("lang", "source", "item", "in_group", "in_item", "terms"), "audit-pairs")
+    pairs = groups.join(ends, "lang").where("source <> item").select("lang", "source", "item", "in_group", "in_item", "terms")
+    p, q = share("0L", "in_group", "terms"), share("0L", "in_item", "terms")
+    pairs, _ = stored(pairs.withColumn("p", F.expr(p)).withColumn("q", F.expr(q)), "audit-pairs")
+    key = ["lang", "source", "item"]
 
     spread = terms.select("lang", F.explode("spread").alias("x"), "spread")
-    both = spread.select("lang", "x.source", F.col("x.n").alias("a"), F.explode("spread").alias("y"))
-    both = both.select("lang", "source", F.col("y.source").alias("item"), "a", F.col("y.n").alias("b"))
-    both = both.where("source <> item").groupBy("lang", "source", "item", "a", "b").agg(F.count("*").alias("m"))
     alone = spread.groupBy("lang", F.col("x.source").alias("source"), F.col("x.n").alias("a")).agg(F.count("*").alias("m"))
     alone, _ = stored(alone, "audit-alone")
-    ones = pairs.select("lang", "source", "item").join(alone, ["lang", "source"]).withColumn("b", F.lit(0).cast("bigint"))
-    others = alone.select("lang", F.col("source").alias("item"), F.lit(0).cast("bigint").alias("a"), F.col("a").alias("b"), "m")
-    others = pairs.select("lang", "source", "item").join(others, ["lang", "item"])
-    # Terms in both stand in both lists of single counts too, and those lists are taken off the terms in none.
-    rows = F.array(
-        F.struct(F.col("a"), F.col("b"), F.col("m")),
-        F.struct(F.col("a"), F.lit(0).cast("bigint").alias("b"), (-F.col("m")).alias("m")),
-        F.struct(F.lit(0).cast("bigint").alias("a"), F.col("b"), (-F.col("m")).alias("m")),
-        F.struct(F.lit(0).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("b"), F.col("m")),
+    both = spread.select("lang", "x.source", F.col("x.n").alias("a"), F.explode("spread").alias("y"))
+    both = both.select("lang", "source", F.col("y.source").alias("item"), "a", F.col("y.n").alias("b"))
+    both = both.where("source < item").groupBy(*key, "a", "b").agg(F.count("*").alias("m"))
+    ways = F.array(
+        F.struct(F.col("source"), F.col("item"), F.col("a"), F.col("b")),
+        F.struct(F.col("item").alias("source"), F.col("source").alias("item"), F.col("b").alias("a"), F.col("a").alias("b")),
     )
-    cells = both.select("lang", "source", "item", F.explode(rows).alias("c"))
-    for single in (ones, others):
-        pair = F.array(
-            F.struct("a", "b", "m"),
-            F.struct(F.lit(0).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("b"), (-F.col("m")).alias("m")),
-        )
-        cells = cells.unionByName(single.select("lang", "source", "item", F.explode(pair).alias("c")))
-    none = F.struct(F.lit(0).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("b"), F.col("terms").alias("m"))
-    cells = cells.unionByName(pairs.select("lang", "source", "item", none.alias("c")))
-    cells = cells.groupBy("lang", "source", "item", "c.a", "c.b").agg(F.sum("c.m").alias("m")).where("m <> 0")
-    cells, _ = stored(cells, "audit-cells")
-    sized = pairs.join(cells, ["lang", "source", "item"], "left")
-    sized = sized.withColumn("p", F.expr(share("a", "in_group", "terms"))).withColumn("q", F.expr(share("b", "in_item", "terms")))
-    value = F.sum(F.expr(f"{exact(gap('p', 'q'))} * m"))
-    sized = sized.groupBy("lang", "source", "item").agg(F.coalesce(value, F.lit(0)).cast("bigint").alias("value"))
-    return sized
+    both = both.select("lang", F.explode(ways).alias("w"), "m").select("lang", "w.*", "m")
+
+    p_a, q_b = F.expr(share("a", "in_group", "terms")), F.expr(share("b", "in_item", "terms"))
+    neither, first, second = gap("p", "q"), gap("pa", "q"), gap("p", "qb")
+    extra = f"({gap('pa', 'qb')} - {first} - {second} + {neither})"
+    both = both.join(pairs, key).withColumn("pa", p_a).withColumn("qb", q_b)
+    in_first = pairs.join(alone, ["lang", "source"]).withColumn("pa", p_a)
+    in_second = pairs.join(alone.withColumnsRenamed({"source": "item", "a": "b"}), ["lang", "item"]).withColumn("qb", q_b)
+    # As if all terms were in neither; then what each term in one of the two changes; then what being in both adds.
+    parts = [
+        pairs.select(*key, F.expr(f"{exact(neither)} * terms").cast("decimal(38,0)").alias("value")),
+        in_first.groupBy(*key).agg(times(f"({first} - {neither})", "m").alias("value")),
+        in_second.groupBy(*key).agg(times(f"({second} - {neither})", "m").alias("value")),
+        both.groupBy(*key).agg(times(extra, "m").alias("value")),
+    ]
+    total = parts[0]
+    for part in parts[1:]:
+        total = total.unionByName(part)
+    return total.groupBy(*key).agg(F.sum("value").cast("bigint").alias("value"))
 
 
 def leading_terms(terms: DataFrame, spellings: DataFrame, groups: DataFrame, ranks: int) -> DataFrame:
@@ -195,7 +222,7 @@ def leading_terms(terms: DataFrame, spellings: DataFrame, groups: DataFrame, ran
     least = first.groupBy("lang", "source").agg(F.min("value").alias("least"))
     leading = valued.join(least, ["lang", "source"]).where("value >= least")
     leading, _ = stored(leading.drop("least"), "audit-leading")
-    item = F.coalesce("split", "low").alias("item")
+    item = F.expr("CASE WHEN split = '' THEN low ELSE split END").alias("item")
     return leading.join(spellings, ["lang", "digest"]).select("lang", "source", item, "value")
 
 
