@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import small_batches, stored
+from .tables import removed, small_batches, stored
 from .words import coded_words, slices, split_words, string_hashes, text_units, tidy, whole
 
 # Text counted at a time.
@@ -127,7 +127,8 @@ def kept_terms(documents: DataFrame, least_docs: int, bits: int) -> tuple[DataFr
     spark = documents.sparkSession
     small_batches(spark)
     texts = documents.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    local, _ = stored(texts.mapInArrow(counter(bits, False), COUNTED), "audit-counts")
+    local, path = stored(texts.mapInArrow(counter(bits, False), COUNTED), "audit-counts")
+    scratch = [path]
     groups, _ = stored(local.where("digest IS NULL").select("lang", "source").distinct(), "audit-groups")
 
     def in_langs(rows: DataFrame) -> DataFrame:
@@ -142,7 +143,8 @@ def kept_terms(documents: DataFrame, least_docs: int, bits: int) -> tuple[DataFr
     seen = spellings.select("lang", "digest", split.alias("split"), "docs")
     several = spellings.where("low <> high").select("lang", "digest", F.lit(True).alias("several"))
     if not several.isEmpty():
-        local, _ = stored(texts.mapInArrow(counter(bits, True), COUNTED), "audit-split-counts")
+        local, path = stored(texts.mapInArrow(counter(bits, True), COUNTED), "audit-split-counts")
+        scratch.append(path)
         local = local.join(several, ["lang", "digest"], "left")
         split = F.expr("CASE WHEN several THEN term ELSE '' END")
         seen = in_langs(local).groupBy("lang", "digest", split.alias("split")).agg(F.sum("docs").alias("docs"))
@@ -153,6 +155,7 @@ def kept_terms(documents: DataFrame, least_docs: int, bits: int) -> tuple[DataFr
     )
     kept = seen.where(f"docs >= {least_docs}")
     terms, _ = stored(counts.join(kept.drop("docs"), ["lang", "digest", "split"], "left_semi"), "audit-terms")
+    removed(spark, *scratch)
     return terms, spellings.select("lang", "digest", "low"), groups
 
 

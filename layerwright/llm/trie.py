@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .mixing import word_count
 from .ranking import ranged_sums
-from .tables import stored
+from .tables import removed, stored
 
 HEIGHT = 16
 ROOT = "X''"
@@ -199,10 +199,11 @@ def conversation_trie(conversations: DataFrame, height: int = HEIGHT) -> DataFra
         F.monotonically_increasing_id().alias("row"),
         F.lit(1).alias("one"),
     )
-    rows, _ = stored(rows, "trie-rows")
+    rows, path = stored(rows, "trie-rows")
     order = [F.col("place").asc_nulls_first(), F.col("turn").asc(), F.col("row").asc()]
     placed = ranged_sums(rows, ["conv_id"], order, "one", "trie-ranges")
     placed, _ = stored(placed.select("conv_id", (F.col("before") + 1).alias("i"), "turn", "words"), "trie-turns")
+    removed(spark, path)
     items, convs = rebuilt(placed)
     n_convs, least, longest = convs.agg(F.count("*"), F.min("conv_id"), F.coalesce(F.max("n"), F.lit(0))).first()
     bands, _ = stored(named(items, height, longest), "trie-bands")

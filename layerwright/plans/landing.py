@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 from functools import reduce
@@ -122,17 +123,18 @@ def land(
 ) -> DataFrame:
     """Land ``months`` from the ``year=/month=`` folders below ``deliveries`` and return control records.
 
-    All months are validated by one job that reads only the checked columns.  Bronze then receives every
-    delivered row unchanged, and rejected rows are copied to quarantine.  The driver handles one record
-    per month.  Months whose reject rate exceeds the limit are logged as warnings and in ``bronze_alerts``.
+    All months are validated by one job that reads only the checked columns.  Bronze then receives the delivered files,
+    byte for byte and under their names, and rejected rows are copied to quarantine, whose earlier copy of the month
+    goes in any case.  Each step is one job for all months; the driver handles one record per month and file.  Months
+    whose reject rate exceeds the limit are logged as warnings and in ``bronze_alerts``.
 
-    A month counts as landed once its file manifest is complete.  The manifest is written last, after the
-    control record, and taken away before a month is written again, so a run that dies on the way leaves no
-    month that later runs would skip.  A month landed again may then have two control records.
+    A month counts as landed once its file manifest is there.  The manifests are written last, after the control
+    records, and taken away before a month is written again, so a run that dies on the way leaves no month that later
+    runs would skip.  A month landed again may then have two control records.
     """
     stamp = (run_time or datetime.now(timezone.utc)).strftime("%Y-%m-%dT%H:%M:%SZ")
     published = bronze.month_dirs(spark, deliveries)
-    landed = bronze.month_dirs(spark, layout.path("control", "bronze_files"), holding="_SUCCESS")
+    landed = landed_months(spark, layout)
     records, opened = {}, {}
     for key in months:
         if key in landed and not force:
@@ -148,9 +150,21 @@ def land(
         counts = reduce(DataFrame.unionByName, [delivery_counts(d, spec) for d in opened.values()])
         for row in counts.collect():
             counted.setdefault((row.year, row.month), []).append(row)
-    for key, delivery in opened.items():
-        tables.delete_path(spark, manifest_path(layout, *key))
-        records[key] = land_month(spark, delivery, counted[key], layout, spec)
+        for key in opened:
+            tables.delete_path(spark, manifest_path(layout, *key))
+        manifest = land_files(spark, opened, layout)
+        replace_quarantine(spark, opened, counted, layout, spec)
+        sizes = {(r.year, r.month): r.bytes for r in manifest.groupBy("year", "month").agg(F.sum("size").alias("bytes")).collect()}
+    for key in opened:
+        issues = issue_texts(counted[key], spec)
+        total, rejects = counted[key][0].total_rows, counted[key][0].reject_rows
+        records[key] = {
+            "status": "success_with_warnings" if issues else "success",
+            "rows_ingested": total - rejects,
+            "reject_rows": rejects,
+            "file_size_bytes": sizes.get(key, 0),
+            "error_message": "; ".join(issues),
+        }
     rows = [
         {
             "pipeline": spec.dataset,
@@ -176,51 +190,93 @@ def land(
         stamped.write.mode("append").json(layout.path("control", "bronze_alerts"))
         for r in found:
             log.warning("%04d-%02d: %.2f %% of the rows rejected", r.year, r.month, r.reject_pct)
-    for key, delivery in opened.items():
-        commit_month(spark, delivery, counted[key], layout)
+    if opened:
+        commit_months(manifest, opened, counted, layout)
     return control
 
 
+def landed_months(spark: SparkSession, layout: Layout) -> set[tuple[int, int]]:
+    """Months with a file manifest; a month's manifest appears with all its rows at once."""
+    return set(bronze.month_dirs(spark, layout.path("control", "bronze_files"), holding="part-*"))
+
+
 def manifest_path(layout: Layout, year: int, month: int) -> str:
     return f"{layout.path('control', 'bronze_files')}/year={year:04d}/month={month:02d}"
 
 
-def commit_month(spark: SparkSession, delivery: Delivery, counts: list, layout: Layout) -> None:
-    """Write the file manifest of a landed month, which marks it as complete."""
-    year, month = delivery.year, delivery.month
-    total, rejects = counts[0].total_rows, counts[0].reject_rows
-    manifest = files.checksum_manifest(spark, layout.month("bronze", year, month)).withColumns(
-        {
-            "year": F.lit(year),
-            "month": F.lit(month),
-            "row_count": F.lit(total),
-            "valid_rows": F.lit(total - rejects),
-            "reject_rows": F.lit(rejects),
-            "source": F.lit(delivery.folder),
-        }
-    )
-    manifest.write.mode("overwrite").parquet(manifest_path(layout, year, month))
-
-
-def land_month(spark: SparkSession, delivery: Delivery, counts: list, layout: Layout, spec: IngestSpec) -> dict:
-    """Write one delivery's bronze rows and quarantine copy; returns its record fields."""
-    year, month = delivery.year, delivery.month
-    total, rejects = counts[0].total_rows, counts[0].reject_rows
-    issues = issue_texts(counts, spec)
-    target = layout.month("bronze", year, month)
-    delivery.rows.write.mode("overwrite").parquet(target)
-    if rejects:
-        rejected(delivery, spec).write.mode("overwrite").parquet(layout.month("quarantine", year, month))
-        note = {"year": year, "month": month, "reject_rows": rejects, "error_message": "; ".join(issues[:3])}
-        tables.append_json(spark, note, layout.path("control", "quarantine_notes"))
-    size = files.file_manifest(spark, target).agg(F.sum("size")).first()[0]
-    return {
-        "status": "success_with_warnings" if issues else "success",
-        "rows_ingested": total - rejects,
-        "reject_rows": rejects,
-        "file_size_bytes": size or 0,
-        "error_message": "; ".join(issues),
-    }
+def month_folders(df: DataFrame) -> DataFrame:
+    """``year`` and ``month`` as they stand in folder names, so that partitioned writes use :meth:`Layout.month`."""
+    return df.withColumns({"year": F.format_string("%04d", "year"), "month": F.format_string("%02d", "month")})
+
+
+def land_files(spark: SparkSession, opened: Mapping[tuple[int, int], Delivery], layout: Layout) -> DataFrame:
+    """Put the delivered files of all months into bronze as they are: ``year, month, path, size, md5, source``.
+
+    Files are copied beside bronze and moved in once every copy has the size and md5 of its original.
+    """
+    staging = layout.path("staging", f"landing-{uuid.uuid4().hex}")
+    copies = files.copy_parquet(spark, [d.folder for d in opened.values()], staging)
+    moved = []
+    for row in copies.collect():
+        key, delivery = next((k, d) for k, d in opened.items() if row.path.startswith(f"{d.folder.rstrip('/')}/"))
+        if row.copy is None:
+            raise OSError(f"{row.path}: no copy with its {row.size} bytes and md5 {row.md5}")
+        target = f"{layout.month('bronze', *key)}/{row.path.removeprefix(delivery.folder.rstrip('/') + '/')}"
+        moved.append((*key, target, row.size, row.md5, row.path, row.copy))
+    for key in opened:
+        tables.delete_path(spark, layout.month("bronze", *key))
+    for row in moved:
+        tables.move_file(spark, row[-1], row[2])
+    tables.delete_path(spark, staging)
+    schema = "year int, month int, path string, size bigint, md5 string, source string"
+    return spark.createDataFrame([row[:-1] for row in moved], schema)
+
+
+def replace_quarantine(
+    spark: SparkSession, opened: Mapping[tuple[int, int], Delivery], counted: Mapping, layout: Layout, spec: IngestSpec
+) -> None:
+    """Make quarantine hold the rejected rows of these months as now delivered: replaced, or taken away.
+
+    Deliveries may disagree in columns outside the declared ones; such a column is kept as text where types differ.
+    """
+    notes, parts = [], []
+    for (year, month), delivery in opened.items():
+        tables.delete_path(spark, layout.month("quarantine", year, month))
+        first = counted[year, month][0]
+        if first.reject_rows:
+            text = "; ".join(issue_texts(counted[year, month], spec)[:3])
+            notes.append({"year": year, "month": month, "reject_rows": first.reject_rows, "error_message": text})
+            rows = rejected(delivery, spec).drop(*bronze.MONTH_COLUMNS)
+            parts.append(rows.withColumns({"year": F.lit(year), "month": F.lit(month)}))
+    if not parts:
+        return
+    types: dict[str, set[str]] = {}
+    for part in parts:
+        for column, kind in part.dtypes:
+            types.setdefault(column, set()).add(kind)
+    parts = [
+        p.select(*[F.col(f"`{c}`").cast("string").alias(c) if len(types[c]) > 1 else F.col(f"`{c}`") for c in p.columns])
+        for p in parts
+    ]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    tables.overwrite_partitions(month_folders(rows), layout.path("quarantine"), bronze.MONTH_COLUMNS)
+    names = tables.CONTROL_SCHEMA.names
+    noted = spark.createDataFrame([tuple(n.get(c) for c in names) for n in notes], tables.CONTROL_SCHEMA)
+    tables.append_control(noted, layout.path("control", "quarantine_notes"))
+
+
+def read_quarantine(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Every rejected row with its ``year`` and ``month``; months whose files differ in columns show all of them."""
+    return tables.read_table(spark, layout.path("quarantine"), merge=True)
+
+
+def commit_months(manifest: DataFrame, opened: Iterable[tuple[int, int]], counted: Mapping, layout: Layout) -> None:
+    """Write the file manifests of landed months, which mark them as complete."""
+    counts = [(*key, counted[key][0].total_rows, counted[key][0].reject_rows) for key in opened]
+    schema = "year int, month int, row_count bigint, reject_rows bigint"
+    counts = manifest.sparkSession.createDataFrame(counts, schema).withColumn("valid_rows", F.expr("row_count - reject_rows"))
+    rows = month_folders(counts.join(manifest, ["year", "month"], "left"))
+    tables.overwrite_partitions(rows, layout.path("control", "bronze_files"), bronze.MONTH_COLUMNS)
 
 
 def alerts(control: DataFrame, spec: IngestSpec = IngestSpec()) -> DataFrame:

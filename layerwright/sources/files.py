@@ -1,17 +1,19 @@
-"""File-level sources: listings, checksums and partition values taken from paths."""
+"""File-level sources: listings, byte-true copies, checksums and partition values taken from paths."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 PARQUET_ONLY = "*.parquet"
-# Spark holds one binary file as one value; beyond this size a file is streamed instead.
-WHOLE_FILE_LIMIT = 256 << 20
-CHUNK = 8 << 20
+# Fixed value: the last byte of the mark that ends every Parquet file.
+LAST_BYTE = "1"
+UNCUT = str(1 << 60)
 
 
 def file_manifest(spark: SparkSession, path: str, pattern: str = PARQUET_ONLY) -> DataFrame:
@@ -25,46 +27,79 @@ def file_manifest(spark: SparkSession, path: str, pattern: str = PARQUET_ONLY) -
     return listed.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified_at"))
 
 
-def _stream_md5(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """md5 of files too large for one value, read in chunks."""
-    import hashlib
+def cut_bytes(spark: SparkSession, paths: str | Sequence[str], pattern: str) -> DataFrame:
+    """The files below ``paths`` as rows, cut after every :data:`LAST_BYTE`; each file lies in one partition, in order.
 
-    from pyarrow import fs
+    Spark's text source reads the bytes as they are, with the session's own credentials and whatever the size of a
+    file.  It runs in a session of its own, where no file is cut or shares a partition; the caller's keeps its settings.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", UNCUT)
+    own.conf.set("spark.sql.files.openCostInBytes", UNCUT)
+    reader = own.read.option("lineSep", LAST_BYTE).option("pathGlobFilter", pattern)
+    return reader.option("recursiveFileLookup", "true").text([paths] if isinstance(paths, str) else list(paths))
+
+
+def _md5(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(path, md5) of rows ``path, size, data`` that hold whole files in order; a file in pieces is an error."""
+    path, left, digest = None, 0, None
+
+    def done() -> pa.RecordBatch:
+        if left:
+            raise ValueError(f"{path}: {left} bytes were not seen here, the file was cut or changed while it was read")
+        return pa.RecordBatch.from_pydict({"path": [path], "md5": [digest.hexdigest()]})
 
     for batch in batches:
-        sums = []
-        for path in batch["path"]:
-            filesystem, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-            digest = hashlib.md5()
-            with filesystem.open_input_stream(inner) as stream:
-                while chunk := stream.read(CHUNK):
-                    digest.update(chunk)
-            sums.append(digest.hexdigest())
-        yield batch.assign(md5=sums)
-
-
-def checksum_manifest(
-    spark: SparkSession, path: str, pattern: str = PARQUET_ONLY, whole_limit: int = WHOLE_FILE_LIMIT
-) -> DataFrame:
-    """(path, size, md5) of each matching file.
-
-    Files up to ``whole_limit`` bytes are hashed by Spark's own ``md5``; larger ones, if the listing shows
-    any, are streamed by the task that owns them, so memory per task stays bounded for any file size.  The
-    size filter reaches the reader, which opens only the files on its side of the limit.
+        paths, data = batch["path"], batch["data"].cast(pa.large_binary())
+        edges = [0, *pc.indices_nonzero(pc.not_equal(paths[1:], paths[:-1])).to_pylist()] if len(paths) else []
+        starts = edges[:1] + [e + 1 for e in edges[1:]]
+        for start, stop in zip(starts, [*starts[1:], len(paths)]):
+            if paths[start].as_py() != path:
+                if digest:
+                    yield done()
+                path, left, digest = paths[start].as_py(), batch["size"][start].as_py(), hashlib.md5()
+            part = data[start:stop]
+            offsets = memoryview(part.buffers()[1]).cast("q")[part.offset : part.offset + len(part) + 1]
+            # The file's last piece may have got a byte too many: a file need not end with the byte it is cut at.
+            piece = memoryview(part.buffers()[2])[offsets[0] : min(offsets[-1], offsets[0] + left)]
+            digest.update(piece)
+            left -= len(piece)
+    if digest:
+        yield done()
+
+
+def checksum_manifest(spark: SparkSession, path: str | Sequence[str], pattern: str = PARQUET_ONLY) -> DataFrame:
+    """(path, size, md5) of each matching file; no job runs before the result is asked for.
+
+    One task streams a file's bytes, so memory is bounded for files of any size.  Empty files are left out, as Spark's
+    sources do not list them.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", "true")
-        .load(path)
-    )
-    whole = files.where(F.col("length") <= whole_limit).select(
-        "path", F.col("length").alias("size"), F.md5("content").alias("md5")
+    cut = cut_bytes(spark, path, pattern)
+    rows = cut.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_size").alias("size"),
+        F.concat("value", F.lit(LAST_BYTE)).cast("binary").alias("data"),
     )
-    large = files.where(F.col("length") > whole_limit).select("path", F.col("length").alias("size"))
-    if large.isEmpty():
-        return whole
-    return whole.unionByName(large.mapInPandas(_stream_md5, "path string, size bigint, md5 string"))
+    sums = rows.mapInArrow(_md5, "path string, md5 string").withColumnRenamed("path", "summed")
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+    listed = listed.load([path] if isinstance(path, str) else list(path))
+    listed = listed.select("path", F.col("length").alias("size"), F.col("_metadata.file_path").alias("listed"))
+    summed = listed.join(sums, F.col("listed") == F.col("summed"), "left")
+    return summed.select("path", "size", "md5")
+
+
+def copy_parquet(spark: SparkSession, folders: Sequence[str], staging: str) -> DataFrame:
+    """Copy the Parquet files below ``folders`` byte for byte into ``staging``: (path, size, md5, copy).
+
+    One job copies all files, a task each; a second one reads originals and copies and pairs them by size and md5.
+    An original whose copy is missing has a null ``copy``.
+    """
+    cut = cut_bytes(spark, folders, PARQUET_ONLY)
+    cut.write.option("lineSep", LAST_BYTE).option("compression", "none").text(staging)
+    same = Window.partitionBy("size", "md5").orderBy("path")
+    originals = checksum_manifest(spark, folders).withColumn("k", F.row_number().over(same))
+    copies = checksum_manifest(spark, staging, "part-*").withColumn("k", F.row_number().over(same))
+    return originals.join(copies.withColumnRenamed("path", "copy"), ["size", "md5", "k"], "left").drop("k")
 
 
 def file_name(path: Column) -> Column:

@@ -74,6 +74,15 @@ def delete_path(spark: SparkSession, path: str) -> None:
     filesystem.delete(target, True)
 
 
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file, making the folders above ``target``; raises when it can't be moved."""
+    filesystem, to = _located(spark, target)
+    _, origin = _located(spark, source)
+    filesystem.mkdirs(to.getParent())
+    if not filesystem.rename(origin, to):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def gathered(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """``df`` with the rows of each table partition brought together for writing.
 

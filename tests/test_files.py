@@ -72,15 +72,115 @@ def test_clashing_types_without_months_are_an_error(spark, tmp_path):
         bronze.read_bronze(spark, str(tmp_path / "a"))
 
 
-def test_manifest_and_checksums_of_small_and_large_files(spark, deliveries):
+def test_manifest_and_checksums(spark, deliveries):
     paths = list(Path(deliveries).rglob("*.parquet"))
     expected = {p.name: (p.stat().st_size, hashlib.md5(p.read_bytes()).hexdigest()) for p in paths}
-    limit = sorted(p.stat().st_size for p in paths)[len(paths) // 2]
     listed = files.file_manifest(spark, deliveries)
     assert {Path(r.path).name: r["size"] for r in listed.collect()} == {n: s for n, (s, _) in expected.items()}
-    for whole_limit in (files.WHOLE_FILE_LIMIT, limit, 0):
-        rows = files.checksum_manifest(spark, deliveries, whole_limit=whole_limit).collect()
-        assert {Path(r.path).name: (r["size"], r.md5) for r in rows} == expected
+    rows = files.checksum_manifest(spark, deliveries).collect()
+    assert {Path(r.path).name: (r["size"], r.md5) for r in rows} == expected
+
+
+def test_checksums_of_any_bytes(spark, tmp_path):
+    contents = {
+        "empty": b"", "one": b"1", "ones": b"1" * 70_000, "none": b"\x00\xff\n\r" * 50_000, "last": b"ab1", "not": b"1ab",
+        "with space": bytes(range(256)) * 3000 + b"\xef\xbb\xbf",
+    }
+    for name, data in contents.items():
+        (tmp_path / f"{name}.bin").write_bytes(data)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    rows = files.checksum_manifest(spark, str(tmp_path), "*.bin").collect()
+    found = {Path(r.path).stem: (r["size"], r.md5) for r in rows}
+    assert found == {n: (len(d), hashlib.md5(d).hexdigest()) for n, d in contents.items() if d}
+    assert before == {k: spark.conf.get(k) for k in before}
+
+
+def test_a_file_read_in_pieces_is_an_error():
+    import pyarrow as pa
+
+    columns = {"path": ["f", "f"], "size": [9, 9], "data": [b"ab1", b"cd1"]}
+    with pytest.raises(ValueError, match="3 bytes"):
+        list(files._md5(iter([pa.RecordBatch.from_pydict(columns)])))
+
+
+def test_building_a_manifest_runs_no_job(spark, deliveries):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "build")
+    try:
+        files.checksum_manifest(spark, deliveries)
+        assert list(tracker.getJobIdsForGroup("build")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_landing_keeps_a_foreign_writers_bytes(spark, tmp_path):
+    """pandas writes times in nanoseconds; the file is landed as it is, and read to the microsecond."""
+    import pandas as pd
+
+    rows = raw(spark, *[pickup(date(2024, 4, d)) for d in range(1, 8)], {"fare_amount": -3.0, **pickup(date(2024, 4, 9))}).toPandas()
+    odd = pd.Timestamp("2024-04-30 23:59:59.123456789")
+    for column in ("tpep_pickup_datetime", "tpep_dropoff_datetime"):
+        rows[column] = rows[column].astype("datetime64[ns]")
+    rows.loc[0, ["tpep_pickup_datetime", "tpep_dropoff_datetime"]] = [odd, odd + pd.Timedelta("1h")]
+    folder = Path(month(tmp_path / "in", 2024, 4))
+    folder.mkdir(parents=True)
+    delivered = folder / "trips of april.parquet"
+    rows.to_parquet(delivered, index=False, version="2.6", coerce_timestamps=None)
+    (folder / "trips.md5").write_text("beside")
+    layout = Layout(str(tmp_path / "lake"))
+    control = landing.land(spark, str(tmp_path / "in"), layout, [(2024, 4)], spec=SPEC).collect()
+    assert [(r.status, r.rows_ingested, r.reject_rows) for r in control] == [("success_with_warnings", 7, 1)]
+    landed = Path(layout.month("bronze", 2024, 4)) / delivered.name
+    assert landed.read_bytes() == delivered.read_bytes()
+    assert control[0].file_size_bytes == delivered.stat().st_size
+    manifest = tables.read_table(spark, layout.path("control", "bronze_files")).collect()
+    assert [(Path(r.path).name, r["size"], r.md5) for r in manifest] == [
+        (delivered.name, delivered.stat().st_size, hashlib.md5(delivered.read_bytes()).hexdigest())]
+    assert not list(Path(layout.path("staging")).rglob("part-*")) if Path(layout.path("staging")).exists() else True
+    read = bronze.read_bronze(spark, layout.path("bronze"))
+    assert dict(read.dtypes)["tpep_pickup_datetime"] == "timestamp_ntz"
+    times = {r.tpep_pickup_datetime for r in read.collect()}
+    assert datetime(2024, 4, 30, 23, 59, 59, 123456) in times and datetime(2024, 4, 2, 9, 0) in times
+
+
+def test_nanoseconds_before_1970(spark):
+    df = spark.sql("SELECT -1L AS t, -1L AS u UNION ALL SELECT 1500L, 1500L")
+    rows = bronze.as_declared(df, {"t": "timestamp_ntz", "u": "timestamp"}).collect()
+    assert sorted(r.t for r in rows) == [datetime(1969, 12, 31, 23, 59, 59, 999999), datetime(1970, 1, 1, 0, 0, 0, 1)]
+    assert sorted(r.u.microsecond for r in rows) == [1, 999999]
+
+
+def test_one_scan_per_distinct_schema(spark, tmp_path):
+    """Months of two schemas that clash, in turns, and columns that only some months have."""
+    root = str(tmp_path)
+    for number in range(1, 9):
+        rows = raw(spark, copies=number)
+        if number % 2:
+            rows = rows.withColumn("passenger_count", F.lit(1).cast("bigint"))
+        if number > 6:
+            rows = rows.withColumn("new_fee", F.lit(1.0))
+        rows.coalesce(1).write.parquet(month(root, 2024, number))
+    df = bronze.read_bronze(spark, root)
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+    assert {r.month: r["count"] for r in df.groupBy("month").count().collect()} == {n: n for n in range(1, 9)}
+    assert df.where("new_fee IS NOT NULL").count() == 15 and df.where("passenger_count IS NULL").count() == 0
+
+
+def test_a_corrected_month_replaces_its_quarantine(spark, tmp_path):
+    root, layout = str(tmp_path / "in"), Layout(str(tmp_path / "lake"))
+    good, bad = pickup(date(2024, 1, 5)), {**pickup(date(2024, 1, 6)), "fare_amount": -1.0}
+    for number in (1, 2):
+        raw(spark, good, bad, bad).withColumn("note", F.lit(number) if number == 1 else F.lit("x")).write.parquet(month(root, 2024, number))
+    months = [(2024, 1), (2024, 2)]
+    landing.land(spark, root, layout, months, spec=SPEC)
+    held = landing.read_quarantine(spark, layout)
+    assert {(r.month, r.note) for r in held.collect()} == {(1, "1"), (2, "x")} and held.count() == 4
+    raw(spark, good, good, good).write.mode("overwrite").parquet(month(root, 2024, 1))
+    raw(spark, good, good, bad).write.mode("overwrite").parquet(month(root, 2024, 2))
+    control = landing.land(spark, root, layout, months, force=True, spec=SPEC).collect()
+    assert [(r.status, r.reject_rows) for r in control] == [("success", 0), ("success_with_warnings", 1)]
+    assert [(r.year, r.month, r.fare_amount) for r in landing.read_quarantine(spark, layout).collect()] == [(2024, 2, -1.0)]
+    assert not Path(layout.month("quarantine", 2024, 1)).exists()
 
 
 def test_path_values(spark, deliveries):
