@@ -153,13 +153,29 @@ def source_freshness(
     )
 
 
+def gate_result(
+    df: DataFrame, as_of: str, loaded: str = "_loaded_at", limits: FreshnessSpec = FreshnessSpec()
+) -> DataFrame:
+    """One row: the newest load, its age in hour marks, the gate's limit, and ``pass`` or ``fail``.
+
+    Nothing loaded has no age and fails.
+    """
+    newest = df.agg(F.max(loaded).alias("last_load_time"))
+    return newest.selectExpr(
+        "last_load_time",
+        f"CAST({hour_boundaries('last_load_time', as_of)} AS BIGINT) AS hours_since_load",
+        f"{limits.gate} AS limit_hours",
+        f"IF({hour_boundaries('last_load_time', as_of)} <= {limits.gate}, 'pass', 'fail') AS status",
+    )
+
+
 def freshness_gate(
     df: DataFrame, as_of: str, loaded: str = "_loaded_at", limits: FreshnessSpec = FreshnessSpec()
 ) -> None:
     """Raise when the newest load is older than the gate, or nothing was loaded."""
-    hours = df.agg(F.expr(f"{hour_boundaries(f'max({loaded})', as_of)} AS hours")).first().hours
-    if hours is None or hours > limits.gate:
-        raise ContractError(f"newest load is {hours} hours old, limit {limits.gate}")
+    gate = gate_result(df, as_of, loaded, limits).first()
+    if gate.status == "fail":
+        raise ContractError(f"newest load is {gate.hours_since_load} hours old, limit {gate.limit_hours}")
 
 
 def span(df: DataFrame, column: str) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from ..config import DEMAND_KEY, PARTITIONS
 from ..functions import measures as m
+from ..functions.scalars import name
 from .joins import anti_join_nullsafe, not_in, upsert
 
 STAGED = (
@@ -26,10 +29,10 @@ STAGED = (
 )
 
 
-def staging_demand(loaded: DataFrame) -> DataFrame:
-    """Staged columns of the loaded demand rows that have a date and at least one trip."""
+def staging_demand(loaded: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Staged columns, and ``extra`` ones, of the loaded demand rows that have a date and at least one trip."""
     usable = loaded.where("pickup_date IS NOT NULL AND trip_count > 0")
-    return usable.selectExpr(*STAGED, "_loaded_at AS loaded_at")
+    return usable.selectExpr(*STAGED, "_loaded_at AS loaded_at", *map(name, extra))
 
 
 def enriched_demand(staged: DataFrame) -> DataFrame:

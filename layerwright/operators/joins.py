@@ -32,17 +32,24 @@ def not_in(outer: DataFrame, inner: DataFrame, key: Sequence[str]) -> DataFrame:
     equality: for each set, the inner side shrinks to the distinct values of those columns plus a null
     flag per remaining column, and the rest is an ordinary equi anti join.  Only the empty set has no
     equality; its inner side is the distinct null flags, at most ``2 ** len(key)`` rows, hence broadcast.
+    All sides come from the distinct inner keys, which Spark works out once: their count stands in every expression, so
+    no side's own condition is moved below that step and makes it another one.
     """
     null_possible = {k: outer.schema[k].nullable or inner.schema[k].nullable for k in key}
     result = outer
+    keys = inner.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+
+    def of_keys(value: Column) -> Column:
+        return F.when(F.col("_n") > 0, value)
+
     for size in range(len(key), -1, -1):
         for compared in combinations(key, size):
             flagged = [k for k in key if k not in compared]
             if not all(null_possible[k] for k in flagged):
                 continue
-            side = inner.where(_all([F.col(f"`{k}`").isNotNull() for k in compared])).select(
-                *[F.col(f"`{k}`").alias(f"_v_{k}") for k in compared],
-                *[F.col(f"`{k}`").isNull().alias(f"_n_{k}") for k in flagged],
+            side = keys.where(of_keys(_all([F.col(f"`{k}`").isNotNull() for k in compared]))).select(
+                *[of_keys(F.col(f"`{k}`")).alias(f"_v_{k}") for k in compared],
+                *[of_keys(F.col(f"`{k}`").isNull()).alias(f"_n_{k}") for k in flagged],
             ).distinct()
             condition = _all(
                 [F.col(f"`{k}`") == F.col(f"`_v_{k}`") for k in compared]

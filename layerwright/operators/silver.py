@@ -174,3 +174,14 @@ def dedup_counts(trips: DataFrame, key: Sequence[str]) -> DataFrame:
         F.expr("count(*) AS rows_out"),
         F.expr("coalesce(sum(copies - 1), 0) AS duplicates"),
     )
+
+
+def sampled_by_key(df: DataFrame, key: Sequence[str], percent: float, seed: int = 0) -> DataFrame:
+    """About ``percent`` % of the keys, with all their rows: those whose hash falls below that share.
+
+    The same keys are chosen in any table, order and layout, so samples of two tables join, and a repeated task takes
+    the same rows.  A null counts as a value of its own.
+    """
+    parts = ", ':', ".join(f"coalesce(CAST({s.name(k)} AS STRING), 'null')" for k in key)
+    mark = f"CAST(conv(substr(md5(concat('{seed}', ':', {parts})), 1, 8), 16, 10) AS BIGINT)"
+    return df.where(f"{mark} < {round(percent / 100 * (1 << 32))}")

@@ -132,6 +132,12 @@ def mart_load_rejects(mart: DataFrame, table: str) -> DataFrame:
     return with_load_time(rejects.selectExpr("_file_path", "_unreadable", f"to_json(struct({values})) AS row"))
 
 
+def undeclared(df: DataFrame, table: str) -> list[str]:
+    """Columns that ``df`` has beside those the load table declares and its load time."""
+    known = {c.lower() for c in (*LOAD_TABLES[table], "_loaded_at")}
+    return [c for c in df.columns if c.lower() not in known]
+
+
 def evolve(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Append ``incoming`` to ``existing``; columns only one side has are null on the other."""
     return existing.unionByName(incoming, allowMissingColumns=True)

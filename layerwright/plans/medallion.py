@@ -105,13 +105,26 @@ def rejects_path(layout: Layout, table: str) -> str:
     return layout.path("control", f"rejected_{table}")
 
 
+def replace_rejects(spark: SparkSession, rejects: DataFrame, path: str, months: Sequence | None) -> None:
+    """Make the rejects of ``months`` those given, none included; without months, replace them all."""
+    if months is None:
+        tables.overwrite_all(rejects, path)
+        return
+    for values in months:
+        parts = [f"{p}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for p, v in zip(PARTITIONS, values)]
+        tables.delete_path(spark, "/".join([path, *parts]))
+    of_month = {p: files.path_value(F.col("_file_path"), p) for p in PARTITIONS}
+    tables.overwrite_partitions(rejects.withColumns(of_month), path, PARTITIONS)
+
+
 def load_table(spark: SparkSession, layout: Layout, table: str, fmt: str = "parquet") -> int:
     """Load the mart files not loaded before into ``table`` and return how many there were.
 
     A month with a new file is reloaded whole from the mart's snapshot, so rewriting a mart does not leave
     its earlier rows in the load table; the health table is a log that keeps the rows of every run.  Rows that do
-    not fit the declared types are added to a log of rejects, with their file and columns.  The log of loaded paths is
-    written last; a load that dies before loads the same files again.  The driver sees only the months.
+    not fit the declared types go to a table of rejects, with their file and columns; those of the months loaded replace
+    the ones there, so a month loaded again, corrected or after a crash, shows each reject once.  The log of loaded
+    paths is written last; a load that dies before loads the same files again.  The driver sees only the months.
     """
     mart_path, target = layout.path("gold", LOAD_SOURCES[table]), layout.path("raw", table)
     log_path = layout.path("control", f"loaded_{table}")
@@ -125,18 +138,19 @@ def load_table(spark: SparkSession, layout: Layout, table: str, fmt: str = "parq
     if not count:
         return 0
     if LOAD_SOURCES[table] == "pipeline_health":
-        touched = "true"
+        touched, months = "true", None
         rows = typed.mart_to_load_table(mart, table)
         if tables.path_exists(spark, target):
             run = (*PARTITIONS, "health_run_at")
             rows = joins.anti_join_nullsafe(rows, tables.read_table(spark, target, fmt), run)
         tables.append_rows(rows, target, fmt)
     else:
-        months = new.select(*[files.path_value(F.col("path"), p).alias(p) for p in PARTITIONS]).distinct()
-        touched = month_condition([tuple(r) for r in months.collect()])
+        loaded = new.select(*[files.path_value(F.col("path"), p).alias(p) for p in PARTITIONS]).distinct()
+        months = [tuple(r) for r in loaded.collect()]
+        touched = month_condition(months)
         rows = typed.mart_to_load_table(mart.where(touched), table)
         tables.overwrite_partitions(rows, target, PARTITIONS, fmt)
-    tables.append_rows(typed.mart_load_rejects(mart.where(touched), table), rejects_path(layout, table))
+    replace_rejects(spark, typed.mart_load_rejects(mart.where(touched), table), rejects_path(layout, table), months)
     manifest.write.mode("overwrite").parquet(log_path)
     return count
 
@@ -148,12 +162,16 @@ def refresh_mart(
     limits: FreshnessSpec | None = None,
     fmt: str = "parquet",
 ) -> DataFrame:
-    """Refresh the demand mart from its load table, check both contracts and return the mart."""
+    """Refresh the demand mart from its load table, check both contracts and return the mart.
+
+    Columns that the load table holds beside its declared ones come into the mart with the months that are merged, and
+    are null in the others.
+    """
     now = time_literal(as_of)
     loaded = tables.read_table(spark, layout.path("raw", "hourly_zone_demand"), fmt, merge=True)
     if limits is not None:
         contracts.freshness_gate(loaded, now, limits=limits)
-    staged = incremental.staging_demand(loaded)
+    staged = incremental.staging_demand(loaded, typed.undeclared(loaded, "hourly_zone_demand"))
     contracts.assert_contract(staged, contracts.STAGING_CONTRACT)
     path = layout.path("mart", "demand_intelligence")
     if not tables.path_exists(spark, path):

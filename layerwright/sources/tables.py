@@ -6,6 +6,7 @@ transactional format.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -154,6 +155,33 @@ def run_history(control: DataFrame, order: Sequence[str] = ("run_timestamp",), l
     return control.orderBy(*[F.col(c).desc() for c in order]).limit(limit)
 
 
+# A null is nothing between two commas, an empty text two quotes; quotes inside a text are doubled.
+CSV_OPTIONS = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "nullValue": "",
+    "emptyValue": '""',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """Write a mart as CSV files with a header each."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """An exported mart as it was; a value that does not fit ``schema`` is an error.
+
+    Texts may hold line feeds, so Spark reads each file by one task; the export has one file per partition of the mart.
+    """
+    # Spark's reader takes what it reads for an empty text as null when that is empty itself.
+    empty = f"empty-{uuid.uuid4().hex}"
+    options = {**CSV_OPTIONS, "emptyValue": empty, "multiLine": "true", "mode": "FAILFAST"}
+    read = spark.read.schema(schema).options(**options).csv(path)
+    texts = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
+    return read.withColumns({c: F.when(F.col(f"`{c}`") == empty, "").otherwise(F.col(f"`{c}`")) for c in texts})

@@ -12,8 +12,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.typed import typed_load, typed_load_rejects
+from ..functions.scalars import name
+from ..operators.typed import readable, unreadable
 from ..sources.files import PARQUET_ONLY
+from ..sources.tables import read_table
+
+REJECT_COLUMNS = ("_unreadable", "row")
+
+
+def split_rows(rows: DataFrame, declared: Mapping[str, str]) -> DataFrame:
+    """Every row once, in the declared types, or with ``outcome`` rejected, its bad columns and its values as JSON."""
+    bad = f"NOT ({readable(rows, declared)})"
+    typed = [
+        f"IF({bad}, NULL, try_cast({name(c) if c in rows.columns else 'CAST(NULL AS STRING)'} AS {t})) AS {name(c)}"
+        for c, t in declared.items()
+    ]
+    values = ", ".join(name(c) for c in rows.columns)
+    return rows.selectExpr(
+        *typed, f"IF({bad}, {unreadable(rows, declared)}, NULL) AS _unreadable",
+        f"IF({bad}, to_json(struct({values})), NULL) AS row", f"IF({bad}, 'rejected', 'loaded') AS outcome",
+    )
 
 
 def load_new_files(
@@ -22,14 +40,14 @@ def load_new_files(
     schema: T.StructType,
     declared: Mapping[str, str],
     target: str,
-    rejects: str,
     checkpoint: str,
     max_files: int = 10_000,
 ) -> int:
     """Load the files below ``source`` that were not loaded before; returns the number of batches run.
 
-    Files are taken ``max_files`` at a time until none are left.  A batch writes its own ``load_batch``
-    partition of the good and the rejected rows, so a batch repeated after a failure replaces itself.
+    Files are taken ``max_files`` at a time until none are left.  A batch reads its files once and writes its own
+    ``load_batch`` partitions of good and rejected rows, so a batch repeated after a failure replaces itself.  Read them
+    with :func:`loaded` and :func:`rejected`.
     """
     stream = (
         spark.readStream.schema(schema)
@@ -42,11 +60,9 @@ def load_new_files(
 
     def write(rows: DataFrame, batch: int) -> None:
         written.add(batch)
-        good = typed_load(rows, declared).withColumn("_loaded_at", F.current_timestamp())
-        bad = typed_load_rejects(rows, declared)
-        for part, path in ((good, target), (bad, rejects)):
-            out = part.withColumn("load_batch", F.lit(batch)).write.mode("overwrite").partitionBy("load_batch")
-            out.option("partitionOverwriteMode", "dynamic").parquet(path)
+        marked = split_rows(rows, declared).withColumns({"_loaded_at": F.current_timestamp(), "load_batch": F.lit(batch)})
+        out = marked.write.mode("overwrite").partitionBy("outcome", "load_batch")
+        out.option("partitionOverwriteMode", "dynamic").parquet(target)
 
     query = (
         stream.writeStream.foreachBatch(write)
@@ -56,3 +72,13 @@ def load_new_files(
     )
     query.awaitTermination()
     return len(written)
+
+
+def loaded(spark: SparkSession, target: str) -> DataFrame:
+    """The rows that fitted the declared types."""
+    return read_table(spark, target).where("outcome = 'loaded'").drop("outcome", *REJECT_COLUMNS)
+
+
+def rejected(spark: SparkSession, target: str) -> DataFrame:
+    """The rows that did not fit: their unreadable columns, their values as JSON, their load."""
+    return read_table(spark, target).where("outcome = 'rejected'").select(*REJECT_COLUMNS, "_loaded_at", "load_batch")

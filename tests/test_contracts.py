@@ -71,6 +71,13 @@ def test_gate_raises_on_late_and_missing_loads(spark):
             c.freshness_gate(df, NOW, limits=FreshnessSpec(gate=2))
 
 
+def test_gate_result_is_a_row(spark):
+    rows = c.gate_result(loaded(spark, datetime(2024, 2, 1, 8, 0)), NOW).collect()
+    rows += c.gate_result(loaded(spark, datetime(2024, 2, 1, 7, 59)), NOW).collect()
+    rows += c.gate_result(loaded(spark, datetime(2024, 1, 1)).limit(0), NOW).collect()
+    assert [(r.hours_since_load, r.limit_hours, r.status) for r in rows] == [(2, 2, "pass"), (3, 2, "fail"), (None, 2, "fail")]
+
+
 def test_span_and_verify(spark):
     df = spark.range(3, 9)
     assert tuple(c.span(df, "id").first()) == (6, 3, 8)

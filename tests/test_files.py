@@ -14,7 +14,7 @@ from layerwright.plans import landing, medallion
 from layerwright.plans.landing import Layout
 from layerwright.session import scratch_path, shared_dir
 from layerwright.sources import bronze, files, tables
-from layerwright.streaming.file_load import load_new_files
+from layerwright.streaming.file_load import load_new_files, loaded, rejected, split_rows
 from rows import raw
 
 SPEC = IngestSpec(min_rows=3)
@@ -337,11 +337,11 @@ def test_unreadable_values_are_quarantined_not_fatal(spark, tmp_path):
 
 
 def test_stream_loads_each_file_once(spark, tmp_path):
-    source, target, rejects, checkpoint = (str(tmp_path / n) for n in ("in", "out", "bad", "check"))
+    source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
     schema = spark.createDataFrame([], "a string, b int").schema
 
     def load():
-        return load_new_files(spark, source, schema, {"a": "int", "b": "int"}, target, rejects, checkpoint, max_files=1)
+        return load_new_files(spark, source, schema, {"a": "int", "b": "int"}, target, checkpoint, max_files=1)
 
     def deliver(*rows):
         spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(source)
@@ -350,11 +350,11 @@ def test_stream_loads_each_file_once(spark, tmp_path):
     deliver(("3", 3))
     assert load() == 2
     assert load() == 0
-    assert sorted(r.a for r in tables.read_table(spark, target).collect()) == [1, 3]
-    assert [r._unreadable for r in tables.read_table(spark, rejects).collect()] == [["a"]]
+    assert sorted(r.a for r in loaded(spark, target).collect()) == [1, 3]
+    assert [(r._unreadable, json.loads(r["row"])) for r in rejected(spark, target).collect()] == [(["a"], {"a": "x", "b": 2})]
     deliver(("4", 4))
     assert load() == 1
-    read = tables.read_table(spark, target)
+    read = loaded(spark, target)
     assert sorted(r.a for r in read.collect()) == [1, 3, 4]
     assert read.where("_loaded_at IS NULL").count() == 0
 
@@ -447,3 +447,65 @@ def test_health_keeps_earlier_runs_in_any_format(spark, deliveries, tmp_path):
         log = tables.read_table(spark, layout.path("raw", "pipeline_health_log"), "orc")
         assert (log.count(), log.select("health_run_at").distinct().count()) == (2 * runs, runs)
     assert tables.read_table(spark, layout.path("raw", "hourly_zone_demand"), "orc").count() == 10
+
+
+def test_a_batch_is_split_by_one_scan(spark, tmp_path):
+    spark.createDataFrame([("1", 1), ("x", 2)], "a string, b int").write.parquet(str(tmp_path / "in"))
+    rows = split_rows(spark.read.parquet(str(tmp_path / "in")), {"a": "int", "b": "int", "c": "double"})
+    assert rows._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert sorted((r.a, r.b) for r in rows.collect() if r.outcome == "loaded") == [(1, 1)]
+
+
+def test_a_load_after_a_crash_shows_each_reject_once(spark, tmp_path, monkeypatch):
+    layout, table = Layout(str(tmp_path / "lake")), "hourly_zone_demand"
+    schema = "pickup_date string, pickup_hour int, trip_count string, pickup_year int, pickup_month int"
+
+    def deliver(*rows):
+        marts = spark.createDataFrame(list(rows), schema)
+        tables.overwrite_partitions(marts, layout.path("gold", table), medallion.PARTITIONS)
+
+    def rejects():
+        read = tables.read_table(spark, medallion.rejects_path(layout, table))
+        return sorted((r.pickup_month, json.loads(r["row"])["trip_count"]) for r in read.collect())
+
+    deliver(("2024-01-02", 3, "many", 2024, 1), ("2024-02-02", 4, "few", 2024, 2), ("2024-02-02", 5, "6", 2024, 2))
+
+    def dies(*args):
+        raise RuntimeError("lost driver")
+
+    with monkeypatch.context() as broken, pytest.raises(RuntimeError):
+        broken.setattr(type(spark.range(1).write), "parquet", dies)
+        medallion.load_table(spark, layout, table)
+    assert rejects() == [(1, "many"), (2, "few")]
+    assert medallion.load_table(spark, layout, table) > 0 and rejects() == [(1, "many"), (2, "few")]
+    deliver(("2024-02-02", 4, "4", 2024, 2))
+    assert medallion.load_table(spark, layout, table) == 1 and rejects() == [(1, "many")]
+
+
+def test_csv_comes_back_as_it_was(spark, tmp_path):
+    rows = [(None, None, 1.5), ("", datetime(2024, 1, 2, 3, 4, 5, 678901), None), (' "a", b\n\r\n\\n ', datetime(1999, 12, 31), float("inf")), ("\\", None, -0.1)]
+    df = spark.createDataFrame(rows, "s string, t timestamp_ntz, d double")
+    tables.export_csv(df, str(tmp_path / "csv"))
+    back = tables.read_csv(spark, str(tmp_path / "csv"), df.schema)
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+
+
+def test_new_column_reaches_the_months_merged(spark, tmp_path):
+    from layerwright.operators.typed import HOURLY_ZONE_DEMAND
+
+    layout, path = Layout(str(tmp_path / "lake")), str(tmp_path / "lake" / "raw" / "hourly_zone_demand")
+    values = {c: "1" for c, t in HOURLY_ZONE_DEMAND.items() if t not in ("date", "boolean")}
+    values |= {"time_segment": "'Night'", "demand_tier": "'LOW'", "is_weekend": "false", "pickup_year": "2024"}
+
+    def load(number, count, *extra):
+        row = {**values, "pickup_date": f"DATE'2024-{number:02d}-05'", "pickup_month": str(number), "trip_count": str(count)}
+        row["_loaded_at"] = f"TIMESTAMP'2024-{number:02d}-06 00:00:00'"
+        columns = [f"CAST({row[c]} AS {t}) AS {c}" for c, t in HOURLY_ZONE_DEMAND.items()]
+        tables.overwrite_partitions(spark.sql(f"SELECT {', '.join([*columns, row['_loaded_at'] + ' AS _loaded_at', *extra])}"), path, medallion.PARTITIONS)
+
+    load(1, 10)
+    load(3, 30)
+    medallion.refresh_mart(spark, layout, datetime(2024, 3, 6, tzinfo=timezone.utc))
+    load(1, 11, "2.5D AS surge")
+    mart = medallion.refresh_mart(spark, layout, datetime(2024, 3, 7, tzinfo=timezone.utc))
+    assert sorted((r.pickup_month, r.trip_count, r.surge) for r in mart.collect()) == [(1, 11, 2.5), (3, 30, None)]

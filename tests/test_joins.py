@@ -50,6 +50,23 @@ def test_only_the_null_flags_are_looped_over(spark):
     assert "CartesianProduct" not in plan
 
 
+def test_not_in_reads_each_side_once(spark, tmp_path):
+    for side in ("o", "i"):
+        spark.range(50).selectExpr("IF(id % 9 = 0, NULL, id % 20) AS a", "IF(id % 7 = 0, NULL, id % 11) AS b", f"id AS {side}").write.parquet(
+            str(tmp_path / side))
+    outer, inner = (spark.read.parquet(str(tmp_path / side)) for side in ("o", "i"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for limit in (threshold, "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            result = joins.not_in(outer, inner.where("i % 13 = 1"), ("a", "b"))
+            result.collect()
+            final = result._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        assert final.count("FileScan") == 2
+
+
 @RELAXED
 @given(PAIRS, PAIRS)
 def test_null_safe_anti_join(spark, outer, inner):

@@ -150,3 +150,14 @@ def test_values_that_do_not_fit_become_null(spark):
     rows = silver.to_silver(df).orderBy("pickup_location_id").collect()
     assert [r.passenger_count for r in rows] == [1, None]
     assert {r.payment_type_desc for r in rows} == {"Unknown"}
+
+
+def test_sample_takes_the_same_keys_everywhere(spark):
+    from layerwright.operators.silver import sampled_by_key
+
+    keys = spark.range(4000).selectExpr("id AS a", "IF(id % 7 = 0, NULL, CAST(id % 50 AS STRING)) AS b")
+    once = {tuple(r) for r in sampled_by_key(keys, ("a", "b"), 10).collect()}
+    again = [tuple(r) for r in sampled_by_key(keys.unionAll(keys).repartition(5), ("a", "b"), 10).collect()]
+    assert set(again) == once and len(again) == 2 * len(once) and 320 < len(once) < 480
+    assert sampled_by_key(keys, ("a",), 0).count() == 0 and sampled_by_key(keys, ("a",), 100).count() == 4000
+    assert {tuple(r) for r in sampled_by_key(keys, ("a", "b"), 10, seed=1).collect()} != once
