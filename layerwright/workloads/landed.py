@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from ..sources import bronze, files, tables
-from ..streaming.file_load import load_new_files
+from ..sources import bronze, files
+from ..streaming.file_load import load_new_files, loaded
 from .oracle_base import RAW
 from .trips import landed_bronze
 from .validation import RAW_COLUMNS
@@ -56,20 +56,13 @@ def skip_loaded_files(spark, sf):
 def stream_file_load(spark, sf):
     """Landed files taken by the file stream, run twice: the second run finds nothing new."""
     schema = "event_id bigint, VendorID int, fare_amount double, year int, month int"
-    target, rejects, checkpoint = (scratch_path(spark, n) for n in ("loaded", "rejects", "stream"))
+    target, checkpoint = (scratch_path(spark, n) for n in ("loaded", "stream"))
     declared = {"event_id": "bigint", "VendorID": "int", "fare_amount": "double", "year": "int", "month": "int"}
     for _ in range(2):
         load_new_files(
-            spark, landed_bronze(spark, sf), spark.createDataFrame([], schema).schema, declared, target, rejects, checkpoint
+            spark, landed_bronze(spark, sf), spark.createDataFrame([], schema).schema, declared, target, checkpoint
         )
-    return tables.read_table(spark, target).drop("_loaded_at", "load_batch")
-
-
-def run_history(spark, sf):
-    """The two newest of the months' landing records."""
-    rows = bronze.read_bronze(spark, landed_bronze(spark, sf), file_columns=False)
-    runs = rows.groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows_ingested"))
-    return tables.run_history(runs, order=("year", "month"), limit=2)
+    return loaded(spark, target).drop("_loaded_at", "load_batch")
 
 
 QUERIES = {
@@ -80,7 +73,6 @@ QUERIES = {
     "path_partition": path_partition,
     "skip_loaded_files": skip_loaded_files,
     "stream_file_load": stream_file_load,
-    "run_history": run_history,
 }
 
 _YEAR = "CAST(2024 AS INTEGER) AS year"
@@ -95,7 +87,4 @@ ORACLES = {
       SELECT {_YEAR}, file_month AS month, count(*) AS row_count FROM raw WHERE file_month > 2 GROUP BY file_month""",
     "stream_file_load": f"""WITH {RAW}
       SELECT event_id, VendorID, fare_amount, {_YEAR}, file_month AS month FROM raw""",
-    "run_history": f"""WITH {RAW}
-      SELECT {_YEAR}, file_month AS month, count(*) AS rows_ingested FROM raw GROUP BY file_month
-      ORDER BY month DESC LIMIT 2""",
 }

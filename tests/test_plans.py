@@ -10,6 +10,7 @@ from layerwright import session
 from layerwright.config import PARTITIONS
 from layerwright.operators import marts, silver
 from layerwright.sources import bronze, tables
+from layerwright.workloads import layers
 from rows import raw
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -126,15 +127,16 @@ def test_a_month_filter_drops_the_other_months_files(spark, lake):
     assert "PartitionFilters: [isnotnull(month" in physical(df)
 
 
-# Building these writes files, which the oracle tests do already.
-BUILT = sorted(set(registry.queries()) - {"stream_file_load"})
+# Building these writes tables, which the oracle tests do already; md5 over files of any size streams their bytes.
+WRITTEN = {"stream_file_load", "checksum_manifest", *layers.QUERIES} - {"sample_by_hash", "gate_result"}
+BUILT = sorted(n for n in set(registry.queries()) - WRITTEN if n != "pipeline" and not re.match(r"op\d+_", n))
 
 
 @pytest.mark.parametrize("name", BUILT)
 def test_no_query_uses_python_rows_or_cross_joins(spark, name):
     plan = physical(registry.queries()[name](spark, SF_DIR))
     assert "CartesianProduct" not in plan
-    assert not re.search(r"Python|MapInPandas|ArrowEval", plan)
+    assert not re.search(r"Python|InPandas|InArrow|ArrowEval", plan)
     loops = plan.count("BroadcastNestedLoopJoin")
     assert loops == (1 if name == "not_in_nullaware" else 0)
 
