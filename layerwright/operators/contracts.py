@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -62,14 +62,44 @@ def unaccepted(contract: Accepted) -> str:
     return holds(f"{name(contract.column)} NOT IN ({values})")
 
 
+def broken_rows(contract: NotNull | Accepted) -> tuple[str, str]:
+    """The name of a single-column check and the condition that a failing row meets."""
+    if isinstance(contract, NotNull):
+        return "not_null", f"{name(contract.column)} IS NULL"
+    return "accepted_values", unaccepted(contract)
+
+
+def check_once(df: DataFrame, models: Mapping[str, Sequence[NotNull | Accepted | Unique]]) -> DataFrame:
+    """:func:`check` of several models that are columns of the same rows, with the ``model`` each contract belongs to.
+
+    Rows are folded to one per key where keys are to be unique, with the failing rows of every other check beside, so
+    ``df`` is worked out once.  All unique contracts must be on one key.
+    """
+    listed = [(model, c) for model, contracts in models.items() for c in contracts]
+    keys = {c.columns for _, c in listed if isinstance(c, Unique)}
+    if len(keys) > 1:
+        raise ValueError(f"one key at a time, not {sorted(keys)}")
+    counts, entries = ["count(*) AS _copies"], []
+    for i, (model, c) in enumerate(listed):
+        if isinstance(c, Unique):
+            label, column, failing = "unique", ", ".join(c.columns), "count_if(_copies > 1)"
+        else:
+            (label, condition), column, failing = broken_rows(c), c.column, f"coalesce(sum(_failing_{i}), 0L)"
+            counts.append(f"count_if({condition}) AS _failing_{i}")
+        entries.append(
+            f"named_struct('model', {quoted(model)}, 'check_name', '{label}', 'column_name', {quoted(column)}, "
+            f"'failing_rows', {failing})"
+        )
+    folded = df.groupBy(*[name(k) for key in keys for k in key]).agg(*map(F.expr, counts))
+    checks = folded.agg(F.expr(f"array({', '.join(entries)}) AS checks")).selectExpr("inline(checks)")
+    return checks.selectExpr("*", "failing_rows = 0 AS passed")
+
+
 def check_columns(df: DataFrame, contracts: Sequence[NotNull | Accepted]) -> DataFrame:
     """(check_name, column_name, failing_rows) of all single-column checks in one pass."""
     checks = []
     for contract in contracts:
-        if isinstance(contract, NotNull):
-            label, broken = "not_null", f"{name(contract.column)} IS NULL"
-        else:
-            label, broken = "accepted_values", unaccepted(contract)
+        label, broken = broken_rows(contract)
         checks.append(
             f"named_struct('check_name', '{label}', 'column_name', {quoted(contract.column)}, "
             f"'failing_rows', count_if({broken}))"

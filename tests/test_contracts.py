@@ -24,6 +24,23 @@ def test_checks_report_failing_rows(spark):
         ("unique", "k"): (1, False), ("not_null", "t"): (1, False)}
 
 
+def test_several_models_are_checked_by_one_scan(spark, tmp_path):
+    spark.sql("SELECT * FROM VALUES (1, 'x', 3), (1, 'y', NULL), (2, NULL, 3), (NULL, 'x', 4), (NULL, 'x', 3) AS t (k, v, n)").write.parquet(
+        str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    models = {"a": [c.NotNull("v"), c.Unique(("k",))], "b": [c.Accepted("n", (3,)), c.NotNull("k")]}
+    result = c.check_once(df, models)
+    assert result._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    rows = [tuple(r) for r in result.collect()]
+    assert rows == [("a", "not_null", "v", 1, False), ("a", "unique", "k", 2, False),
+                    ("b", "accepted_values", "n", 1, False), ("b", "not_null", "k", 2, False)]
+    parts = [(m, *r) for m, contract in models.items() for r in map(tuple, c.check(df, contract).collect())]
+    assert sorted(rows) == sorted(parts)
+    assert [r.failing_rows for r in c.check_once(df.limit(0), models).collect()] == [0, 0, 0, 0]
+    with pytest.raises(ValueError):
+        c.check_once(df, {"a": [c.Unique(("k",))], "b": [c.Unique(("v",))]})
+
+
 def test_published_contracts_hold_fourteen_column_checks():
     assert len(c.STAGING_CONTRACT) + len(c.MART_CONTRACT) == 14
 
