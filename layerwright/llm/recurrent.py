@@ -5,9 +5,10 @@ by rank; every other word belongs to one of ``TAIL`` open classes by its last tw
 predicts the class from its state, then, in a closed class, the word; in an open class the word follows the class's
 smoothed counts.  The probabilities of all words, unseen ones included, so add up to one.
 
-The network is trained by truncated backpropagation on all training documents, each in one of the rounds: every task trains
-a replica on its own documents, replicas are averaged over a tree, weighted by their tokens, and the next round goes on
-from the average.  In training and in scoring the state is carried across windows from the first word of a document to its
+Texts become 16-bit tokens once; training and scoring read those.  The network is trained by truncated backpropagation on
+all training documents, each in one of the rounds: a hash of the document deals it to a shard, every shard trains a replica
+in the order of these hashes, replicas are averaged over a tree, weighted by their tokens, and the next round goes on from
+the average.  How the table is laid out thus changes scores by rounding only.  In training and in scoring the state is carried across windows from the first word of a document to its
 end, so a score is the log-likelihood of the complete document.
 """
 
@@ -23,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import small_batches, stored
+from .tables import removed, small_batches, stored
 from .words import coded_words, slices, split_words, string_hashes, tidy, whole
 
 # Closed classes, words in each (the end of a text is the first word), open classes, size of the state.
@@ -33,8 +34,10 @@ WORDS = CLOSED * MEMBERS
 HEAD = 1 << 18
 # Every training document trains the network in one of so many rounds.
 ROUNDS = 2
-LANES, STEPS, RATE = 48, 24, 0.01
-SCORE_LANES, SCORE_STEPS = 256, 32
+LANES, STEPS, RATE = 128, 24, 0.01
+SCORE_LANES, SCORE_STEPS = 512, 32
+# Tokens one replica is trained on in a round.
+SHARD_TOKENS = 1 << 21
 SLICE_BYTES = 6 << 20
 END = 0
 
@@ -395,54 +398,11 @@ def network_tokens(
     return out, bounds + np.arange(len(bounds)), place, tail
 
 
-def fit_network(training: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> Network:
-    """Train on every document once; the hash of id and text deals the documents to the rounds."""
-    net = Network.start(known)
-    for n in range(rounds):
-        own = training.where(F.expr(f"pmod(xxhash64(doc_id, text), {rounds}) = {n}")).select("text")
-        begun = net.flat
-
-        def replica(batches: Iterator[pa.RecordBatch], begun: np.ndarray = begun) -> Iterator[pa.RecordBatch]:
-            mine, seen = Network(begun.copy()), 0
-            moments = [np.zeros(len(begun), np.float32), np.zeros(len(begun), np.float32), np.zeros(1)]
-            for batch in batches:
-                for part in slices(batch, "text", SLICE_BYTES):
-                    codes, distinct, bounds = lowered_words(whole(part["text"]))
-                    tokens, edges, _, _ = network_tokens(known, codes, distinct, bounds)
-                    seen += trained(mine, tokens, edges, moments)
-            if seen:
-                yield pa.record_batch({"flat": [(mine.flat.astype(np.float64) * seen).tobytes()], "seen": [seen]})
-
-        found = own.mapInArrow(tidy(replica), "flat binary, seen long").rdd
-        found = found.map(lambda r: (np.frombuffer(bytes(r.flat)), r.seen))
-        total = found.treeAggregate(
-            (0.0, 0), lambda a, b: (a[0] + b[0], a[1] + b[1]), lambda a, b: (a[0] + b[0], a[1] + b[1]), depth=3
-        )
-        if total[1]:
-            net = Network(total[0] / total[1])
-    return net
-
-
-def language_scores(documents: DataFrame, held_out: str, head: int = HEAD) -> DataFrame:
-    """Log10 probability of every whole text, by word frequency and by the network.
-
-    Learns from the rows where the SQL condition ``held_out`` is not true.  Texts are lower-cased in A-Z; tokens are
-    runs of anything but ASCII white space, then one end.  Needs ``doc_id`` and ``text``; other columns, whatever their
-    names, are not read.  Returns one row per row: ``doc_id, held_out, n_tokens, n_known`` (tokens seen in training),
-    ``train_tokens, base_score`` (smoothed word frequencies) and ``score`` (the network).  A null text is empty: one
-    end.  Rows with a null id train like others if the condition is null; repeated rows are texts of their own.
-    Without training rows all words are unseen; an empty table gives an empty result.
-    """
-    spark = documents.sparkSession
-    small_batches(spark)
-    rows = documents.select("doc_id", "text", F.coalesce(F.expr(held_out), F.lit(False)).alias("held_out"))
-    training = rows.where("NOT held_out")
-    ends = training.count()
-    counts, _ = stored(counted_words(training), "counts")
-    known = vocabulary(counts, ends, head)
-    net = fit_network(training, known)
+def prepared(rows: DataFrame, known: Vocabulary) -> DataFrame:
+    """What a row's text is reduced to: ``mark`` of the document, its ``tokens``, and scores that need no network."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base_total, tail_totals = known.base_total(), known.tail_totals()
         end_score = np.log10(known.ends + 0.5) - base_total
         for batch in batches:
@@ -456,8 +416,6 @@ def language_scores(documents: DataFrame, held_out: str, head: int = HEAD) -> Da
                 closed = (place >= 0) & (known.ranks[place] < WORDS - 1 if len(known.ranks) else False)
                 inner = np.where(closed, 0.0, above - tail_totals[tail])
                 add = lambda w: np.bincount(owner, weights=w[codes], minlength=texts)  # noqa: B023, E731
-                base = add(above - base_total) + end_score
-                model = scored(net, tokens, edges) / np.log(10) + add(inner)
                 n_known = np.bincount(owner, weights=(place >= 0)[codes], minlength=texts) + (known.ends > 0)
                 # What is not in the head: distinct words of each text with their number.
                 far = np.flatnonzero(place[codes] < 0)
@@ -466,30 +424,128 @@ def language_scores(documents: DataFrame, held_out: str, head: int = HEAD) -> Da
                 pairs, n = pairs[heads], np.diff(heads, append=len(pairs))
                 spans = np.searchsorted(pairs >> 32, np.arange(texts + 1)).astype(np.int32)
                 hashes = string_hashes(distinct).view(np.int64)
+                packed = [None, pa.py_buffer((2 * edges).astype(np.int32)), pa.py_buffer(tokens.astype("<u2"))]
                 yield pa.record_batch(
                     {
                         "doc_id": whole(part["doc_id"]),
                         "held_out": whole(part["held_out"]),
+                        "mark": whole(part["mark"]),
                         "n_tokens": pa.array(np.diff(edges), pa.int64()),
                         "n_known": pa.array(n_known.astype(np.int64)),
-                        "base": base,
-                        "model": model,
+                        "base": pa.array(add(above - base_total) + end_score, pa.float64()),
+                        "inner": pa.array(add(inner), pa.float64()),
+                        "tokens": pa.Array.from_buffers(pa.binary(), texts, packed),
                         "far": pa.ListArray.from_arrays(spans, pa.array(hashes[pairs & 0xFFFFFFFF], pa.int64())),
                         "far_n": pa.ListArray.from_arrays(spans, pa.array(n, pa.int64())),
                     }
                 )
 
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    columns = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, model double"
-    first = rows.mapInArrow(tidy(score), f"{columns}, far array<long>, far_n array<long>")
-    first, _ = stored(first.withColumn("row", F.monotonically_increasing_id()), "scores")
+    columns = f"doc_id {kind}, held_out boolean, mark long, n_tokens long, n_known long, base double, inner double"
+    marked = rows.select("doc_id", "text", "held_out", F.xxhash64("doc_id", "text").alias("mark"))
+    return marked.mapInArrow(tidy(prepare), f"{columns}, tokens binary, far array<long>, far_n array<long>")
+
+
+def joined_tokens(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of all texts in one piece, and their bounds."""
+    texts = whole(column)
+    data, bounds = np.frombuffer(b"", "<u2"), np.zeros(1, np.int64)
+    if len(texts):
+        _, offsets, buffer = texts.buffers()
+        bounds = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64) // 2
+        data = np.frombuffer(buffer, "<u2")[bounds[0] : bounds[-1]]
+    return data.astype(np.int64), bounds - bounds[0]
+
+
+def dealt(training: DataFrame, shards: int, rounds: int) -> DataFrame:
+    """``round, shard, mark, chunk, times, tokens``: the training texts, copies of one document counted together.
+
+    A chunk holds as many copies as fill a shard, so a document that makes up much of the corpus is spread over shards.
+    """
+    copies = training.groupBy("mark", "tokens").agg(F.count("*").alias("n"))
+    copies = copies.withColumn("most", F.expr(f"greatest(1L, {2 * SHARD_TOKENS}L div length(tokens))"))
+    chunks = copies.withColumn("chunk", F.expr("explode(sequence(0L, (n - 1) div most))"))
+    chunks = chunks.withColumn("deal", F.xxhash64("mark", "chunk"))
+    return chunks.select(
+        F.expr(f"CAST(pmod(deal, {rounds}) AS INT) AS round"),
+        F.expr(f"CAST(pmod(shiftright(deal, 8), {shards}) AS INT) AS shard"),
+        "mark",
+        "chunk",
+        F.expr("least(most, n - chunk * most) AS times"),
+        "tokens",
+    )
+
+
+def replica(begun: np.ndarray):
+    """Training of one shard from these parameters: its parameters times its tokens, and these."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("mark", "ascending"), ("chunk", "ascending")]).combine_chunks()
+        rows = np.repeat(np.arange(table.num_rows), table["times"].to_numpy())
+        tokens, edges = joined_tokens(table["tokens"].take(pa.array(rows)))
+        mine = Network(begun.copy())
+        moments = [np.zeros(len(begun), np.float32), np.zeros(len(begun), np.float32), np.zeros(1)]
+        seen = trained(mine, tokens, edges, moments)
+        return pa.table({"flat": [(mine.flat.astype(np.float64) * seen).tobytes()], "seen": [seen]})
+
+    return run
+
+
+def fit_network(training: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> Network:
+    """Train on every text of ``training`` (``mark, tokens``) once, in one of the rounds."""
+    shards = max(round(known.tokens / rounds / SHARD_TOKENS), 1)
+    texts, path = stored(dealt(training, shards, rounds), "training")
+    net = Network.start(known)
+    for n in range(rounds):
+        own = texts.where(F.col("round") == n).repartition(shards, "shard").groupBy("shard")
+        found = own.applyInArrow(replica(net.flat), "flat binary, seen long").rdd
+        found = found.map(lambda r: (np.frombuffer(bytes(r.flat)), r.seen))
+        total = found.treeAggregate(
+            (0.0, 0), lambda a, b: (a[0] + b[0], a[1] + b[1]), lambda a, b: (a[0] + b[0], a[1] + b[1]), depth=3
+        )
+        if total[1]:
+            net = Network(total[0] / total[1])
+    removed(training.sparkSession, path)
+    return net
+
+
+def language_scores(documents: DataFrame, held_out: str, head: int = HEAD) -> DataFrame:
+    """Log10 probability of every whole text, by word frequency and by the network.
+
+    Learns from the rows where the SQL condition ``held_out`` is not true.  Texts are lower-cased in A-Z; tokens are
+    runs of anything but ASCII white space, then one end.  Needs ``doc_id`` and ``text``; other columns, whatever their
+    names, are not read.  Returns one row per row: ``doc_id, held_out, n_tokens, n_known`` (tokens seen in training),
+    ``train_tokens, base_score`` (smoothed word frequencies) and ``score`` (the network).  A null text is empty: one
+    end.  Rows with a null id train like others if the condition is null; repeated rows are texts of their own.
+    Without training rows all words are unseen; an empty table gives an empty result.
+    """
+    spark = documents.sparkSession
+    small_batches(spark)
+    rows = documents.select("doc_id", "text", F.coalesce(F.expr(held_out), F.lit(False)).alias("held_out"))
+    training = rows.where("NOT held_out")
+    ends = training.count()
+    counts, _ = stored(counted_words(training), "counts")
+    known = vocabulary(counts, ends, head)
+    first, _ = stored(prepared(rows, known).withColumn("row", F.monotonically_increasing_id()), "texts")
+    net = fit_network(first.where("NOT held_out").select("mark", "tokens"), known)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "tokens", SLICE_BYTES):
+                model = scored(net, *joined_tokens(part["tokens"])) / np.log(10)
+                columns = {c: whole(part[c]) for c in part.column_names if c not in ("tokens", "inner")}
+                yield pa.record_batch({**columns, "model": pc.add(whole(part["inner"]), pa.array(model))})
+
+    kept = ["doc_id", "held_out", "n_tokens", "n_known", "base", "row"]
+    kinds = {f.name: f.dataType.simpleString() for f in first.schema}
+    columns = ", ".join(f"{c} {kinds[c]}" for c in kept)
+    result = first.select(*kept, "inner", "tokens").mapInArrow(tidy(score), f"{columns}, model double")
     far = first.select("row", F.explode(F.arrays_zip("far", "far_n")).alias("w"))
     far = far.select("row", F.col("w.far").alias("h"), F.col("w.far_n").alias("n"))
     far = far.join(counts.select("h", "c"), "h", "left")
     sums = far.groupBy("row").agg(
         F.sum(F.expr("n * log10(coalesce(c, 0) + 0.5D)")).alias("above"), F.sum(F.expr("IF(c > 0, n, 0)")).alias("known")
     )
-    result = first.drop("far", "far_n").join(sums, "row", "left")
+    result = result.join(sums, "row", "left")
     above = F.coalesce("above", F.lit(0.0))
     return result.select(
         "doc_id",

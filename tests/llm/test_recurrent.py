@@ -119,10 +119,36 @@ def test_every_training_document_reaches_the_network(spark):
     texts = [f"w{k} v{k} u{k}" for k in range(8)]
 
     def fitted(texts):
-        table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
-        return R.fit_network(table, R.vocabulary(R.counted_words(table), len(texts), R.HEAD)).flat
+        table = spark.createDataFrame([(k, t, False) for k, t in enumerate(texts)], "doc_id long, text string, held_out boolean")
+        known = R.vocabulary(R.counted_words(table), len(texts), R.HEAD)
+        return R.fit_network(R.prepared(table, known).select("mark", "tokens"), known).flat
 
     whole = fitted(texts)
     # The same words in another order leave all counts as they are.
     for k in range(len(texts)):
         assert (fitted(texts[:k] + [f"u{k} v{k} w{k}"] + texts[k + 1 :]) != whole).any()
+
+
+def test_scores_do_not_depend_on_the_layout(spark, monkeypatch):
+    monkeypatch.setattr(R, "SHARD_TOKENS", 3000)
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()][:80]
+    table = spark.createDataFrame([*enumerate(texts), *[(900, "the same row again")] * 40], "doc_id long, text string")
+
+    def scores(parts):
+        rows = language_scores(table.repartition(parts), "doc_id % 5 = 1").collect()
+        return sorted((r.doc_id, r.base_score, r.score) for r in rows)
+
+    for a, b in zip(scores(2), scores(6), strict=True):
+        assert a[0] == b[0] and a[1:] == pytest.approx(b[1:], rel=1e-4)
+
+
+def test_copies_are_spread_and_counted(spark, monkeypatch):
+    monkeypatch.setattr(R, "SHARD_TOKENS", 100)
+    rows = [(7, b"\0" * 20, k) for k in range(95)] + [(8, b"\0" * 2000, 0), (9, b"\1\0", 0), (9, b"\2\0", 0)]
+    dealt = R.dealt(spark.createDataFrame(rows, "mark long, tokens binary, k int"), 5, 2).collect()
+    times = Counter()
+    for r in dealt:
+        times[r.mark, bytes(r.tokens)] += r.times
+        assert r.times * len(r.tokens) <= 200 or r.times == 1
+    assert times == Counter((m, t) for m, t, _ in rows)
+    assert len({(r.round, r.shard) for r in dealt if r.mark == 7}) > 3
