@@ -258,4 +258,46 @@ ORACLES: dict[str, str] = {
                 AS BIGINT) AS taken
         FROM lines JOIN targets ON lines.source IS NOT DISTINCT FROM targets.source
     """,
+    "op13_conversation_trie": r"""
+        WITH turns AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), lengths AS (
+            SELECT conv_id, count(*) AS own, xor(4294967295, list_reduce(
+                list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+                lambda c, b: list_reduce(range(8),
+                    lambda d, k: CASE WHEN d % 2 = 1 THEN xor(d // 2, 3988292384) ELSE d // 2 END, xor(c, b)),
+                4294967295)) % 4 AS h
+            FROM turns GROUP BY conv_id
+        ), conversations_now AS (
+            SELECT a.conv_id, a.conv_id - a.conv_id % 20 AS first_id, a.h, least(a.h, coalesce(b.own, 0)) AS lent
+            FROM lengths AS a LEFT JOIN lengths AS b ON b.conv_id = a.conv_id - a.conv_id % 20
+        ), rebuilt AS (
+            SELECT c.conv_id, t.i AS depth, role, text FROM conversations_now AS c JOIN turns AS t
+                ON t.conv_id = c.first_id AND t.i <= c.h
+            UNION ALL
+            SELECT c.conv_id, lent + i - h, role, text FROM conversations_now AS c JOIN turns USING (conv_id) WHERE i > h
+        ), paths AS (
+            SELECT conv_id, depth, text, string_agg(concat(length(role), ':', role, length(text), ':', text), '')
+                OVER (PARTITION BY conv_id ORDER BY depth) AS path
+            FROM rebuilt
+            UNION ALL SELECT conv_id, 0, '', '' FROM lengths
+        ), stepped AS (
+            SELECT *, lag(path) OVER (PARTITION BY conv_id ORDER BY depth) AS parent,
+                lead(path) OVER (PARTITION BY conv_id ORDER BY depth) IS NULL AS is_end FROM paths
+        ), nodes AS (
+            SELECT path, parent, min(conv_id) AS conv_id, min(depth) AS depth, count(*) AS n_convs,
+                (count(*) - 1) * len(regexp_extract_all(min(text), '[^\x20\x09-\x0D]+')) AS saved,
+                sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (is_end), '')) AS ends_sha256
+            FROM stepped GROUP BY path, parent
+        ), counted AS (
+            SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes AS c WHERE c.parent = n.path) AS n_children
+            FROM nodes AS n LEFT JOIN nodes AS p ON p.path = n.parent
+        )
+        SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, n.parent_conv_id, n.n_convs, n.n_children,
+            count(*) FILTER (u.n_children = 0) AS n_leaves, CAST(sum(u.saved) AS BIGINT) AS saved_tokens, n.ends_sha256
+        FROM counted AS n JOIN counted AS u ON starts_with(u.path, n.path)
+        GROUP BY n.path, n.conv_id, n.depth, n.parent_conv_id, n.n_convs, n.n_children, n.ends_sha256
+    """,
 }
