@@ -83,11 +83,9 @@ def landed_bronze(spark: SparkSession, sf_dir: str) -> str:
     if key not in _landed:
         root = scratch_path(spark, "bronze")
         raw = raw_trips(spark, sf_dir).drop("copy_no")
-        months = [r[0] for r in raw.select("file_month").distinct().orderBy("file_month").collect()]
-        for month in months:
-            rows = raw.where(F.col("file_month") == month).drop("file_month")
-            if month == 2:
-                rows = rows.withColumn("passenger_count", F.col("passenger_count").cast("bigint"))
-            rows.write.parquet(f"{root}/year=2024/month={month:02d}")
+        dated = raw.withColumns({"year": F.lit("2024"), "month": F.format_string("%02d", "file_month")}).drop("file_month")
+        second = dated.where("month = '02'").withColumn("passenger_count", F.col("passenger_count").cast("bigint"))
+        for rows in (dated.where("month <> '02'"), second):
+            rows.write.mode("append").partitionBy("year", "month").parquet(root)
         _landed[key] = root
     return _landed[key]
