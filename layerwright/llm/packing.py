@@ -1,14 +1,16 @@
 """Harmonic packing of tokenised documents into sequences of fixed length.
 
-Lengths fall into classes of reciprocal capacity, ``capacity / k`` for k = 1, 2, 4, 8 and so on; a bin of class k holds k
-pieces, whatever else arrives.  As documents may be cut, each is cut at its binary digits: full sequences first, then one
-piece for every one-bit of the rest, the largest first.  Pieces then fill their class exactly and bins of any class have
-no gap.  Every worker fills its own bins; what is left open at its end is joined, largest pieces first, which again
-leaves no gap, and the last, shorter than a sequence, is cut at powers of two.
+A document's full sequences are cut off first.  The length of the rest falls into a class of reciprocal capacity: class k
+takes lengths in ``(capacity / (k + 1), capacity / k]``, and a bin of class k holds k of them, whatever else arrives.  What
+k pieces leave of their bin is filled with whole small pieces (those beyond the last class), then by cutting one
+document, the filler, whose next tokens go into the next gap.  Every bin thus holds a whole rest and cuts one piece at
+most.  Every worker fills its own bins; what is left open at its end is joined without a gap, and the part shorter than a
+sequence is cut at powers of two.
 """
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +24,8 @@ from .words import coded_words, slices, split_words, tidy, whole
 SLICE_BYTES = 6 << 20
 # Distinct words whose tokens a worker remembers.
 REMEMBERED = 1_000_000
+# Classes; shorter rests are small pieces, which fill gaps.
+CLASSES = 64
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 Piece = tuple[int | None, int, int, bytes, int]
 
@@ -97,12 +101,29 @@ def roomy(values: np.ndarray, size: int) -> np.ndarray:
     return np.concatenate((values, np.zeros(max(size - len(values), len(values)), values.dtype)))
 
 
+def cut(piece: Piece, size: int) -> tuple[Piece, Piece | None]:
+    """The first ``size`` tokens of a piece, and what is left of it."""
+    doc_id, start, length, ids, total = piece
+    if length <= size:
+        return piece, None
+    return (doc_id, start, size, ids[: 4 * size], total), (doc_id, start + size, length - size, ids[4 * size :], total)
+
+
 class Bins:
-    """The open bins of one worker."""
+    """The open bins of one worker.
+
+    At most k - 1 pieces wait in class k, small pieces for one sequence, and one filler, so memory does not grow.
+    """
 
     def __init__(self, capacity: int, first_id: int) -> None:
         self.capacity, self.next_id = capacity, first_id
-        self.open: dict[int, list[Piece]] = {}
+        self.waiting: dict[int, list[Piece]] = {}
+        self.small: deque[Piece] = deque()
+        self.small_tokens = 0
+        self.filler: Piece | None = None
+        # A bin with a gap that nothing could fill yet, and the size of the gap.
+        self.gapped: list[Piece] = []
+        self.gap = 0
         self.rows: list[tuple] = []
 
     def close(self, pieces: list[Piece]) -> None:
@@ -113,31 +134,81 @@ class Bins:
         self.next_id += 1
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        total, start = len(ids), 0
-        while start < total:
-            left = total - start
-            size = self.capacity if left >= self.capacity else 1 << (left.bit_length() - 1)
-            piece = (doc_id, start, size, ids[start : start + size].tobytes(), total)
-            waiting = self.open.setdefault(size, [])
-            waiting.append(piece)
-            if len(waiting) * size == self.capacity:
-                self.close(waiting)
-                self.open[size] = []
-            start += size
+        total = len(ids)
+        rest = total - total % self.capacity
+        for start in range(0, rest, self.capacity):
+            self.close([(doc_id, start, self.capacity, ids[start : start + self.capacity].tobytes(), total)])
+        if rest == total:
+            return
+        piece = (doc_id, rest, total - rest, ids[rest:].tobytes(), total)
+        k = self.capacity // piece[2]
+        if k > CLASSES:
+            self.add_small(piece)
+        elif self.gapped:
+            self.filler = piece
+            self.fill(self.gapped, self.gap)
+        else:
+            same = self.waiting.setdefault(k, [])
+            same.append(piece)
+            if len(same) == k:
+                self.waiting[k] = []
+                self.fill(same, self.capacity - sum(p[2] for p in same))
+
+    def add_small(self, piece: Piece) -> None:
+        self.small.append(piece)
+        self.small_tokens += piece[2]
+        if self.gapped:
+            self.fill(self.gapped, self.gap)
+        elif self.small_tokens >= self.capacity:
+            self.fill([], self.capacity)
+
+    def fill(self, pieces: list[Piece], gap: int) -> None:
+        """Close a bin once its gap is filled; else keep it until a piece arrives."""
+        self.gapped, self.gap = [], 0
+        while self.small and self.small[0][2] <= gap:
+            piece = self.small.popleft()
+            self.small_tokens -= piece[2]
+            gap -= piece[2]
+            pieces.append(piece)
+        while gap:
+            filler = self.filler or self.longest()
+            if filler is None:
+                self.gapped, self.gap = pieces, gap
+                return
+            piece, self.filler = cut(filler, gap)
+            gap -= piece[2]
+            pieces.append(piece)
+        self.close(pieces)
+
+    def longest(self) -> Piece | None:
+        """Take a piece that waits, of the class of the longest ones; a small one if no other waits."""
+        k = min((k for k, pieces in self.waiting.items() if pieces), default=None)
+        if k is not None:
+            return self.waiting[k].pop()
+        if not self.small:
+            return None
+        piece = self.small.popleft()
+        self.small_tokens -= piece[2]
+        return piece
 
     def finish(self) -> None:
-        """Join the open bins; what is shorter than a sequence at the end is cut at powers of two."""
-        rest = [p for size in sorted(self.open, reverse=True) for p in self.open[size]]
+        """Join all that is open, longest pieces first; the part shorter than a sequence goes into powers of two."""
+        rest = [*self.gapped, *self.small, *(p for same in self.waiting.values() for p in same)]
+        rest += [self.filler] if self.filler else []
+        rest.sort(key=lambda p: p[2])
+        self.waiting, self.small, self.small_tokens, self.filler, self.gapped = {}, deque(), 0, None, []
         left = sum(p[2] for p in rest)
-        self.open = {}
-        while rest:
-            size = self.capacity if left >= self.capacity else 1 << (left.bit_length() - 1)
-            taken, n = 0, 0
-            while taken < size:
-                taken += rest[n][2]
-                n += 1
-            self.close(rest[:n])
-            rest, left = rest[n:], left - size
+        # The shortest come first, from the front of the longest piece, so that none is the end of a document alone.
+        short = [1 << j for j in range(self.capacity.bit_length() - 1) if left % self.capacity >> j & 1]
+        for size in [*short, *[self.capacity] * (left // self.capacity)]:
+            pieces: list[Piece] = []
+            while size:
+                piece, over = cut(rest.pop(), size)
+                size -= piece[2]
+                pieces.append(piece)
+                if over:
+                    rest.append(over)
+            self.close(pieces)
 
     def table(self) -> pa.Table:
         names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
@@ -155,7 +226,8 @@ def packed_sequences(documents: DataFrame, tokenizer_path: str, capacity: int =
     Needs ``doc_id`` (integer) and ``text``; other columns, whatever their names, are not read.  Returns one row per
     piece: ``doc_id, start`` (ids of its document before it), ``length, ids`` (unsigned 32-bit, little endian),
     ``doc_tokens, sequence_id, offset`` (place in the sequence).  Sequences have no gaps and need no padding: each is
-    full or a power of two.  Null, empty and blank texts consist of ``end`` alone; null ids are kept; repeated rows are
+    full or, for a few at the end of a worker, a power of two.  Beyond its full sequences a document makes fewer than two
+    pieces on average, but for what a worker's end adds.  Null, empty and blank texts consist of ``end`` alone; null ids are kept; repeated rows are
     documents of their own; an empty table gives an empty result.
     """
     if capacity & (capacity - 1):

@@ -52,6 +52,44 @@ def test_round_trip(spark, monkeypatch, capacity, partitions, remembered):
     assert len(short) <= partitions * capacity.bit_length()
 
 
+def test_few_pieces_and_no_bare_ends(spark):
+    """Beyond full sequences fewer than two pieces a document, whole ones k to a bin, and no sequence of ends alone."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").coalesce(2)
+    pieces = packed_sequences(rows, PATH).collect()
+    docs = len({p.doc_id for p in pieces})
+    cut = [p for p in pieces if p.length < 4096]
+    assert len(cut) <= 2 * docs
+    whole = [p for p in cut if p.start % 4096 == 0 and p.start + p.length == p.doc_tokens]
+    assert len(whole) >= docs // 2
+    text = defaultdict(int)
+    for p in pieces:
+        text[p.sequence_id] += sum(k != 2 for k in np.frombuffer(p.ids, "<u4"))
+    assert min(text.values()) > 0
+
+
+@pytest.mark.parametrize("lengths", [[3000] * 50, [1] * 9000, [2049, 1, 1, 5000] * 30, [4096, 8192, 4097], [63, 64, 65] * 300])
+def test_bins(lengths):
+    """Any mix of lengths: all tokens once, sequences full but for powers of two at the end."""
+    bins = packing.Bins(4096, 0)
+    for k, n in enumerate(lengths):
+        bins.add(k, np.arange(n, dtype=np.uint32))
+    bins.finish()
+    sizes, starts = defaultdict(int), defaultdict(dict)
+    for doc_id, start, length, ids, total, sequence, offset in bins.rows:
+        assert offset == sizes[sequence] and total == lengths[doc_id]
+        assert np.frombuffer(ids, np.uint32).tolist() == list(range(start, start + length))
+        sizes[sequence] += length
+        starts[doc_id][start] = length
+    assert all(n <= 4096 and n & (n - 1) == 0 for n in sizes.values())
+    assert sum(n < 4096 for n in sizes.values()) <= 12
+    for k, n in enumerate(lengths):
+        at = 0
+        while at < n:
+            at += starts[k][at]
+        assert at == n
+    assert sum(p[2] < 4096 for p in bins.rows) <= 2 * len(lengths) + 12
+
+
 def test_empty(spark):
     table = spark.createDataFrame([], "doc_id long, text string")
     assert packed_sequences(table, PATH).collect() == []
