@@ -7,10 +7,15 @@ Turns of one conversation are collected as structs, sorted, and neighbours of on
 ``<|next|>`` parts the turns of a block, so that the turns can be read back.  Inside roles and texts a backslash is
 doubled and ``<|`` becomes ``<\\|``; a line feed in a role becomes ``\\n``.  No control string can then occur inside a
 text, and unescaping gives the text back.
+
+A conversation may be very long: its pieces are joined once, and running sums and cuts work on blocks of as many elements
+as there are blocks, so no step copies what has grown for every turn.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,30 +55,71 @@ def format_chats(conversations: DataFrame, learned: str = LEARNED) -> DataFrame:
         F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )
     chats = conversations.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
-    empty = F.expr(
-        "struct('' AS formatted, CAST(0 AS INT) AS length, CAST(NULL AS STRING) AS last,"
-        " CAST(array() AS ARRAY<STRUCT<start: INT, length: INT>>) AS spans)"
+
+    def piece(turn: Column, place: Column) -> Column:
+        """A turn's text with what stands before it: the start of a block if the neighbour has another role."""
+        before = F.get("turns", place - 1)["role"]
+        first = F.concat(F.when(before.isNotNull(), F.lit(END)).otherwise(""), F.lit(START))
+        lead = F.when(before == turn["role"], F.lit(NEXT)).otherwise(
+            F.concat(first, escaped_role(turn["role"]), F.lit("\n"))
+        )
+        learns = (turn["role"] == learned).alias("learns")
+        return F.struct(lead.alias("lead"), escaped(turn["text"]).alias("text"), learns)
+
+    def measured(piece: Column) -> Column:
+        length = F.length(piece["text"])
+        return F.struct((F.length(piece["lead"]) + length).alias("size"), length.alias("length"), piece["learns"])
+
+    pieces = chats.select("conv_id", F.transform("turns", piece).alias("pieces"))
+    texts = F.transform("pieces", lambda p: F.concat(p["lead"], p["text"]))
+    formatted = F.concat(F.array_join(texts, ""), F.lit(END))
+    done = pieces.select("conv_id", formatted.alias("formatted"), F.transform("pieces", measured).alias("sizes"))
+    ends = running_sum(F.transform("sizes", lambda s: s["size"]))
+    placed = F.filter(F.arrays_zip("sizes", ends.alias("upto")), lambda p: p["sizes"]["learns"])
+    spans = F.transform(
+        placed,
+        lambda p: F.struct((p["upto"] - p["sizes"]["length"]).alias("start"), p["sizes"]["length"].alias("length")),
     )
+    return done.select("conv_id", "formatted", spans.alias("loss_spans"))
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often and in whatever lambda it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
-    def add(done: Column, turn: Column) -> Column:
-        text = escaped(turn["text"])
-        same = F.coalesce(done["last"] == turn["role"], F.lit(False))
-        first = F.concat(F.when(done["last"].isNotNull(), F.lit(END)).otherwise(""), F.lit(START))
-        lead = F.when(same, F.lit(NEXT)).otherwise(F.concat(first, escaped_role(turn["role"]), F.lit("\n")))
-        at = done["length"] + F.length(lead)
-        span = F.array(F.struct(at.alias("start"), F.length(text).alias("length")))
-        spans = F.when(turn["role"] == learned, F.concat(done["spans"], span)).otherwise(done["spans"])
-        return F.struct(
-            F.concat(done["formatted"], lead, text).alias("formatted"),
-            (at + F.length(text)).alias("length"),
-            turn["role"].alias("last"),
-            spans.alias("spans"),
+
+def in_blocks(values: Column) -> Column:
+    """An array cut into about as many blocks as each has elements; one empty block if there are none."""
+
+    def blocks(values: Column) -> Column:
+        size = F.greatest(F.size(values), F.lit(1))
+        return bound(
+            F.ceil(F.sqrt(size)).cast("int"),
+            lambda step: F.transform(F.sequence(F.lit(1), size, step), lambda k: F.slice(values, k, step)),
         )
 
-    folded = chats.select("conv_id", F.aggregate("turns", empty, add).alias("done"))
-    return folded.select(
-        "conv_id", F.concat("done.formatted", F.lit(END)).alias("formatted"), F.col("done.spans").alias("loss_spans")
-    )
+    return bound(values, blocks)
+
+
+def running_sum(values: Column) -> Column:
+    """For every element of an array of integers, the sum up to and with it."""
+
+    def sums(values: Column) -> Column:
+        none = F.array().cast("array<int>")
+        return F.aggregate(
+            values, none, lambda done, v: F.array_append(done, F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(0)) + v)
+        )
+
+    def moved(within: Column) -> Column:
+        before = sums(F.transform(within, lambda b: F.coalesce(F.try_element_at(b, F.lit(-1)), F.lit(0))))
+        both = F.transform(F.arrays_zip(within.alias("own"), before.alias("upto")), shifted)
+        return F.flatten(both)
+
+    def shifted(block: Column) -> Column:
+        base = block["upto"] - F.coalesce(F.try_element_at(block["own"], F.lit(-1)), F.lit(0))
+        return bound(base, lambda base: F.transform(block["own"], lambda v: v + base))
+
+    return bound(F.transform(in_blocks(values), sums), moved)
 
 
 def read_turns(formatted: Column) -> Column:
@@ -93,6 +139,20 @@ def read_turns(formatted: Column) -> Column:
 
 
 def read_loss(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped, in order."""
-    texts = F.transform(spans, lambda s: unescaped(F.substr(formatted, s["start"] + 1, s["length"])))
-    return F.array_join(texts, "")
+    """All text under the loss mask, unescaped, in order.
+
+    A character's place in a string is found by counting from its front, so spans are cut out of sections, not of the whole.
+    """
+
+    def section(formatted: Column, block: Column) -> Column:
+        first, last = F.get(block, F.lit(0)), F.get(block, F.size(block) - 1)
+        text = F.substr(formatted, first["start"] + 1, last["start"] + last["length"] - first["start"])
+        return F.struct(text.alias("text"), first["start"].alias("start"), block.alias("spans"))
+
+    def texts(part: Column) -> Column:
+        return F.transform(
+            part["spans"], lambda s: unescaped(F.substr(part["text"], s["start"] - part["start"] + 1, s["length"]))
+        )
+
+    sections = bound(formatted, lambda whole: F.transform(in_blocks(spans), lambda block: section(whole, block)))
+    return F.array_join(F.flatten(F.transform(sections, texts)), "")

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 from brute import sha
 from pyspark.sql import functions as F
@@ -28,6 +29,7 @@ def test_round_trip(spark):
     rows += [(500, 1, None, None), (500, 0, "assistant", None), (501, None, "user", "b"), (501, None, "user", "a")]
     rows += [(502, 3, "assistant", "twice"), (502, 3, "assistant", "twice"), (None, 1, "user", "no id")]
     rows += [(503, k, "assistant" if k % 2 else "user", "t" * 50) for k in range(300)]
+    rows += [(504, k, "assistant", f"é{k}" * (k % 3)) for k in range(1000)]
     rng.shuffle(rows)
     want = {}
     for conv, turn, role, text in rows:
@@ -62,3 +64,22 @@ def test_query_matches_plain_python(spark):
         loss = "".join(t for role, t in turns if role == "assistant")
         assert (r.n_turns, r.turns_sha256) == (len(turns), sha("".join(f"{a}\n{b}\n" for a, b in turns)))
         assert (r.loss_chars, r.loss_sha256) == (len(loss), sha(loss))
+
+
+def test_cost_follows_turns(spark):
+    """Twice the turns take at most 2.5 times as long."""
+    def seconds(turns):
+        rows = spark.range(turns).selectExpr(
+            "id % 1 AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "repeat('ab<|é', 20) AS text"
+        )
+        best = float("inf")
+        for _ in range(2):
+            begin = time.perf_counter()
+            chats = format_chats(rows).select(F.col("conv_id"), read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+            got = chats.select(F.length("loss")).first()[0]
+            best = min(best, time.perf_counter() - begin)
+            assert got == turns // 2 * 100
+        return best
+
+    seconds(1000)
+    assert seconds(32000) <= 2.5 * seconds(16000)
