@@ -1,8 +1,12 @@
 """URL rules against plain Python, and mined rules against counting."""
 
+import math
 import re
+import time
 from itertools import combinations
 
+import pytest
+
 from layerwright.llm.queries import URL_RULES, op5_url_filter
 from layerwright.llm.url_rules import judge_urls
 
@@ -60,15 +64,87 @@ def test_mined_rules(spark):
         assert (r.page_id, r.verdict) == (k, "block" if bad else "allow")
 
 
-def test_query(spark):
-    sf_dir = "/root/testdata/sf0.001"
-    rows = op5_url_filter(spark, sf_dir).collect()
-    pages = {r.page_id: r.url for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+def tokens_of(url):
+    """A plain restatement of the tokens."""
+    host, path = parts(url)
+    if not host:
+        return frozenset()
+    labels, folders = host.split("."), path.split("/")[:-1]
+    ending = re.search(r"\.([A-Za-z0-9]+)\Z", path)
+    query = re.match(r"[^?#]*\?([^#]*)", url)
+    found = {"host=" + ".".join(labels[k:]) for k in range(len(labels))} | {"dir=" + f for f in folders}
+    found |= {"query=" + q.split("=")[0] for q in (query[1] if query else "").split("&")}
+    found |= {"ending=" + (ending[1] if ending else "")}
+    scheme = re.sub("[A-Z]", lambda m: m[0].lower(), url.split("://")[0])
+    return frozenset(t for t in found if not t.endswith("=")) | {"scheme=" + scheme}
+
+
+def plain_rules(baskets, support, confidence, rows):
+    """Every combination of items by counting: closed, not implied by part of its items, no part as sure."""
+    least = max(math.ceil(support * len(baskets)), rows)
+    held = {}
+    for n, (tokens, _) in enumerate(baskets):
+        for t in tokens:
+            held.setdefault(t, set()).add(n)
+    items = {}
+    for t, where in held.items():
+        if len(where) >= least:
+            items.setdefault(frozenset(where), set()).add(t)
+    blocked = {n for n, (_, b) in enumerate(baskets) if b}
+    level = {frozenset([k]): where for k, where in enumerate(items)}
+    members, kept = list(items.values()), {}
+    while level:
+        kept |= level
+        wider = {}
+        for (a, x), (b, y) in combinations(level.items(), 2):
+            both, where = a | b, x & y
+            if len(both) == len(a) + 1 and len(where) >= least:
+                if all(both - {i} in level and len(level[both - {i}]) > len(where) for i in both):
+                    wider[both] = where
+        level = wider
+    sure = {c: len(w & blocked) / len(w) for c, w in kept.items() if len(w & blocked) >= least}
+    sure = {c: s for c, s in sure.items() if s >= confidence}
+    best = {c: s for c, s in sure.items() if not any(o < c and sure[o] >= s for o in sure)}
+    return {frozenset().union(*(members[i] for i in c)): s for c, s in best.items()}
+
+
+@pytest.mark.parametrize("sf, support, confidence", [("sf0.1", 0.002, 0.3), ("sf0.1", 0.01, 0.27), ("sf0.01", 0.002, 0.8)])
+def test_verdicts(spark, sf, support, confidence):
+    """All verdicts of the test table, fixed and mined, against plain Python; low confidences, as its labels are noise."""
+    tables = {name: spark.read.parquet(f"/root/testdata/{sf}/{name}.parquet") for name in ("pages", "labels")}
+    pages = {r.page_id: r.url for r in tables["pages"].collect()}
+    bad = {}
+    for r in tables["labels"].collect():
+        bad[r.doc_id] = bad.get(r.doc_id, False) or r.quality == 0 or r.toxic == 1
+    baskets = [(tokens_of(u), bad[k]) for k, u in pages.items() if k in bad and parts(u)[0]]
+    rules = plain_rules(baskets, support, confidence, 5)
+    assert bool(rules) == (confidence < 0.8)
+    if confidence == 0.8:
+        rows = op5_url_filter(spark, f"/root/testdata/{sf}").collect()
+    else:
+        labels = spark.createDataFrame(list(bad.items()), "page_id long, blocked boolean")
+        rows = judge_urls(tables["pages"], labels, URL_RULES, support, confidence).collect()
     assert len(rows) == len(pages)
     for r in rows:
         assert (r.host, r.path) == parts(pages[r.page_id])
         best = fixed(r.host, r.path, URL_RULES)
-        assert (r.rule, r.verdict) == ((best[1], best[0]) if best else (None, r.verdict))
+        mined = "block" if any(rule <= tokens_of(pages[r.page_id]) for rule in rules) else "allow"
+        assert (r.rule, r.verdict) == ((best[1], best[0]) if best else (None, mined))
+
+
+def test_many_parameters(spark):
+    """Tokens that always come together are one item: eight parameters cost what one does."""
+    from layerwright.llm.url_rules import mine_rules
+
+    url = ["host=a.com", "host=com", "scheme=http", *(f"query={k}" for k in range(8))]
+    baskets = [([*url, "dir=x"], True)] * 200 + [(["host=b.com", "host=com", "scheme=http"], False)] * 60 + [(["rare"], True)] * 4
+    rows = spark.createDataFrame(baskets, "tokens array<string>, blocked boolean")
+    begin = time.perf_counter()
+    rules = mine_rules(rows).collect()
+    assert time.perf_counter() - begin < 10
+    ((tokens, rarest, confidence, _),) = rules
+    assert set(tokens) == {*url, "dir=x"} - {"host=com", "scheme=http"} and confidence == 1
+    assert rarest in set(tokens)
 
 
 def test_counts_behind_rules(spark):
