@@ -10,11 +10,16 @@ sequence is cut at powers of two.
 
 from __future__ import annotations
 
+import functools
+import json
+import re
 from collections import deque
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -26,10 +31,44 @@ SLICE_BYTES = 6 << 20
 REMEMBERED = 1_000_000
 # Classes; shorter rests are small pieces, which fill gaps.
 CLASSES = 64
+# Fixed value: the end of a tokenizer's cutting pattern that takes letters, digits and other signs apart.
+LETTERS_APART = r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 Piece = tuple[int | None, int, int, bytes, int]
 
 
+def folded(texts: pa.Array, keep: str) -> pa.Array:
+    """Texts of the same tokens with fewer different words, for a tokenizer that lower-cases and parts letters from signs.
+
+    Letters A-Z become small and a space parts a letter from a full stop or the like behind it.  Texts that match ``keep``
+    stay as they are.
+    """
+    short = pc.replace_substring_regex(pc.ascii_lower(texts), r"([a-z])([.,;:!?])", r"\1 \2")
+    return pc.if_else(pc.match_substring_regex(texts, keep), texts, short)
+
+
+def not_folded(tokenizer_json: str) -> str | None:
+    """A pattern of the texts that ``folded`` could give other tokens; None if that holds for all.
+
+    The tokenizer must lower-case and cut letters from all other signs.  Then only combining marks, which may join with a
+    small letter but not with its capital, and tokens that are looked for before lower-casing stand in the way.
+    """
+    parts = json.loads(tokenizer_json)
+    first, cuts = parts.get("normalizer") or {}, parts.get("pre_tokenizer") or {}
+    lowers = {"type": "Lowercase"} in first.get("normalizers", [first])
+    rule = next((c for c in cuts.get("pretokenizers", [cuts]) if c.get("type") == "Split"), {})
+    if not (lowers and rule.get("pattern", {}).get("Regex", "").endswith(LETTERS_APART)):
+        return None
+    whole_tokens = (re.escape(t["content"]) for t in parts.get("added_tokens", []))
+    return "(?i)" + "|".join([r"[\x{0300}-\x{036f}]", *whole_tokens])
+
+
+@functools.lru_cache(maxsize=1)
+def word_tokens(tokenizer_json: str) -> WordTokens:
+    """The words a Python worker remembers from task to task; losing them costs time only."""
+    return WordTokens(tokenizer_json)
+
+
 class WordTokens:
     """Token ids by word; words never share a token, as the tokenizer drops the white space between them."""
 
@@ -37,6 +76,7 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.keeps = not_folded(tokenizer_json)
         self.forget()
 
     def forget(self) -> None:
@@ -64,7 +104,7 @@ class WordTokens:
         # One text of all new words; a token belongs to the word that holds its first character.
         found = self.tokenizer.encode(" ".join(new), add_special_tokens=False)
         flat = np.array(found.ids, np.uint32)
-        starts = np.fromiter((a for a, _ in found.offsets), np.int64, len(flat))
+        starts = np.fromiter(map(itemgetter(0), found.offsets), np.int64, len(flat))
         edges = np.cumsum([len(w) + 1 for w in new])
         lengths = np.bincount(np.searchsorted(edges, starts, side="right"), minlength=len(new))
         known = len(self.number)
@@ -79,11 +119,11 @@ class WordTokens:
 
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by ``end``, and where each text's ids begin."""
-        values, bounds = split_words(texts)
+        values, bounds = split_words(texts if self.keeps is None else folded(texts, self.keeps))
         codes, distinct = coded_words(values)
         words = distinct.to_pylist()
         self.learn(words)
-        number = np.fromiter((self.number[w] for w in words), np.int64, len(words))[codes] if words else codes[:0]
+        number = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))[codes] if words else codes[:0]
         sizes = self.lengths[number]
         edges = np.concatenate(([0], np.cumsum(sizes)))
         ids = self.ids[np.arange(int(edges[-1])) - np.repeat(edges[:-1] - self.begins[number], sizes)]
@@ -237,7 +277,7 @@ def packed_sequences(documents: DataFrame, tokenizer_path: str, capacity: int =
         tokenizer_json = file.read()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens(tokenizer_json)
+        tokens = word_tokens(tokenizer_json)
         bins = Bins(capacity, TaskContext.get().partitionId() << 32)
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):

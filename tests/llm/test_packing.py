@@ -46,6 +46,8 @@ def test_round_trip(spark, monkeypatch, capacity, partitions, remembered):
     monkeypatch.setattr(packing, "SLICE_BYTES", 50 * remembered)
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     odd = [None, "", " \n", "a", "İstanbul Σίσυφος ﬁ éx  nbsp em", "x" * 3000, "don't 12,345 <|endoftext|> ok", "a\x1cb \x85c​d"]
+    odd += ["H̱ J̌ Ẅ İ İ Éa E\u0301. a.\u0301b A.B,c;D'S.'s don't.'ll X.! ?", "ΑΣ. ΣA. aΣ.b K. ſ. A≯. B<\u0338", "J\u030c. I\u0307"]
+    odd += ["a.b.c,D;e", "Z\u036f.", "<|endoftext|>. x<|padding|>.Y", "<|ENDOFTEXT|>. X.", "A.<|EndOfText|>B.<|startoftext|>", "WORD.WORD! Word? wOrd: 3.5.A"]
     odd += ["😀 👩‍👩‍👧 日本語テキスト", " ́lone mark", "word " * 5000]
     sequences = check(spark, list(enumerate(texts + odd)), capacity, partitions)
     short = [s for s in sequences.values() if sum(n for _, n in s) < capacity]
