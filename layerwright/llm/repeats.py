@@ -1,6 +1,8 @@
 """What two substring operators share: find windows that also occur in a document with a smaller id.
 
-Documents are laid out by id into chunks, stored as a table bucketed by chunk.  An earlier chunk then holds smaller ids
+Documents are laid out by id into chunks, stored as a table bucketed by chunk; a bucket holds several chunks where Spark's
+limit of buckets asks for it, and its task then takes them one after another.  Rows without an id publish nothing, so they
+are dealt over chunks of their own by their text.  An earlier chunk then holds smaller ids
 only, so chunks exchange plain sets of fingerprints, without ids or positions, and answers meet their chunk without
 moving its texts again:
 
@@ -160,9 +162,11 @@ def resolve_repeats(
     slots = chunks
     name, path = f"chunks_{uuid.uuid4().hex}", scratch_path(spark, "chunks")
     carried = (F.col(c).alias(f"carried_{k}") for k, c in enumerate(carry))
-    laid_out = documents.select("doc_id", "text", *carried).repartitionByRange(chunks, "doc_id")
+    spread = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
+    laid_out = documents.select("doc_id", "text", *carried).repartitionByRange(chunks, "doc_id", spread)
     laid_out = laid_out.withColumn("chunk", F.spark_partition_id())
-    writer = laid_out.write.bucketBy(chunks, "chunk").option("path", path).option("compression", "zstd")
+    buckets = min(chunks, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+    writer = laid_out.write.bucketBy(buckets, "chunk").option("path", path).option("compression", "zstd")
     writer.saveAsTable(name)
     del laid_out, writer
     released(spark)

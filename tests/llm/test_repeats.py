@@ -85,3 +85,17 @@ def test_order_is_lexicographic(alphabet, n):
     raw = data.tobytes()
     ordered = [raw[p : ends[p]] for p in corpus_order(data, bounds, len(data))]
     assert sorted(ordered) == ordered and len(ordered) == len(data)
+
+
+def test_more_chunks_than_buckets(spark):
+    """Spark's limit of buckets does not limit the chunks; rows without an id, here a third, lie in chunks of their own."""
+    docs = corpus(6) + [(None, f"{k} {text}") for k, (_, text) in enumerate(corpus(7)[:35])]
+    setting = "spark.sql.sources.bucketing.maxBuckets"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "10")
+    try:
+        size = sum(len((t or "").encode()) for _, t in docs)
+        run_words(spark, docs, size // 60)
+        run_bytes(spark, docs, size // 60)
+    finally:
+        spark.conf.set(setting, before)
