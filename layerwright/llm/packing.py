@@ -268,7 +268,8 @@ def packed_sequences(documents: DataFrame, tokenizer_path: str, capacity: int =
     ``doc_tokens, sequence_id, offset`` (place in the sequence).  Sequences have no gaps and need no padding: each is
     full or, for a few at the end of a worker, a power of two.  Beyond its full sequences a document makes fewer than two
     pieces on average, but for what a worker's end adds.  Null, empty and blank texts consist of ``end`` alone; null ids are kept; repeated rows are
-    documents of their own; an empty table gives an empty result.
+    documents of their own; an empty table gives an empty result.  Where rests are cut depends on which documents a worker
+    gets and in which order.
     """
     if capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
