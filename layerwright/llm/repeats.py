@@ -1,13 +1,13 @@
 """What two substring operators share: find windows that also occur in a document with a smaller id.
 
-Documents are laid out by id into chunks, stored as a table bucketed by chunk; a bucket holds several chunks where Spark's
-limit of buckets asks for it, and its task then takes them one after another.  Rows without an id publish nothing, so they
-are dealt over chunks of their own by their text.  An earlier chunk then holds smaller ids
-only, so chunks exchange plain sets of fingerprints, without ids or positions, and answers meet their chunk without
-moving its texts again:
+Documents are laid out by id into groups of about as many bytes, stored as a table bucketed by chunk; a bucket holds
+several chunks where Spark's limit of buckets asks for it, and its task then takes them one after another.  A group is one
+chunk, unless rows that share an id exceed it: these are a group of their own, dealt over several chunks by their text,
+and so are rows without an id, which publish nothing.  A chunk of an earlier group then holds smaller ids only, so chunks
+exchange plain sets of fingerprints, without ids or positions, and answers meet their chunk without moving its texts again:
 
 1. every chunk publishes fingerprints of short anchors; each learns which of its own also occur in another chunk;
-2. windows around those are published; each chunk learns which of them occur in an earlier chunk;
+2. windows around those are published; each chunk learns which of them occur in a chunk of an earlier group;
 3. every chunk adds what repeats within itself, and cuts.
 
 Sets are sorted, cut by hash range and sent as differences, about three bytes a fingerprint.  A chunk sends a
@@ -23,16 +23,19 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .tables import released, small_batches, stored, text_bytes
+from .ranking import ranged_sums
+from .tables import released, removed, small_batches, stored
 from .words import distinct, give_back, packed, slices, tidy, unpacked
 
 CHUNK_BYTES = 8 << 20
-SETS = "slot int, chunk int, anchors binary, probes binary"
-ANSWER = "chunk int, live binary, settled binary"
+# A chunk's number holds its group above these bits and its part of the group in them.
+PART_BITS = 24
+SETS = "slot int, chunk bigint, anchors binary, probes binary"
+ANSWER = "chunk bigint, live binary, settled binary"
 Pair = tuple[np.ndarray, np.ndarray]
 
 
@@ -69,6 +72,11 @@ def ends_of_runs(values: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.
     return values[first], owner[first], owner[last]
 
 
+def before(low: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Whether chunk ``low`` belongs to an earlier group than chunk ``owner``."""
+    return (low >> PART_BITS) < (owner >> PART_BITS)
+
+
 def by_chunk(found: list[Pair]) -> dict[int, bytes]:
     """Each chunk's values as a sorted set."""
     values = np.concatenate([v for v, _ in found]) if found else np.zeros(0, np.uint64)
@@ -84,7 +92,7 @@ def answers(live: list[Pair], settled: list[Pair]) -> pa.Table:
     look, done = by_chunk(live), by_chunk(settled)
     rows = [{"chunk": c, "live": look.get(c), "settled": done.get(c)} for c in sorted(look.keys() | done.keys())]
     return pa.Table.from_pylist(
-        rows, schema=pa.schema([("chunk", pa.int32()), ("live", pa.binary()), ("settled", pa.binary())])
+        rows, schema=pa.schema([("chunk", pa.int64()), ("live", pa.binary()), ("settled", pa.binary())])
     )
 
 
@@ -105,7 +113,7 @@ def match_anchors(sets: pa.Table) -> pa.Table:
 
 
 def match_shared(sets: pa.Table) -> pa.Table:
-    """Probes that occur in several chunks; settled in the later ones if the value beside them is always the same."""
+    """Probes that occur in several chunks; settled in later groups if the value beside them is always the same."""
     blobs, chunks = sets["probes"].to_pylist(), sets["chunk"].to_numpy()
     parts = [unpacked(b) for b in blobs]
     values = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
@@ -120,15 +128,15 @@ def match_shared(sets: pa.Table) -> pa.Table:
     alike = np.minimum.reduceat(beside, heads) == np.maximum.reduceat(beside, heads)
     at = np.repeat(np.arange(len(known)), np.diff(heads, append=len(values)))
     shared = low[at] < high[at]
-    look, done = shared & ~alike[at], shared & alike[at] & (owner > low[at])
+    look, done = shared & ~alike[at], shared & alike[at] & before(low[at], owner)
     return answers([(values[look], owner[look])], [(values[done], owner[done])])
 
 
 def match_earlier(sets: pa.Table) -> pa.Table:
-    """Values that occur in an earlier chunk."""
+    """Values that occur in a chunk of an earlier group."""
     values, owner = merged(sets["probes"], sets["chunk"].to_numpy())
     known, low, _ = ends_of_runs(values, owner)
-    hit = low[np.searchsorted(known, values)] < owner if len(values) else np.zeros(0, bool)
+    hit = before(low[np.searchsorted(known, values)], owner) if len(values) else np.zeros(0, bool)
     return answers([(values[hit], owner[hit])], [])
 
 
@@ -137,6 +145,37 @@ def joined_sets(table: pa.Table, column: str) -> np.ndarray:
     return distinct(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
 
 
+def laid_out(documents: DataFrame, chunk_bytes: int) -> tuple[Column, int]:
+    """Each row's chunk, and the number of chunks.
+
+    Bytes are added up per id, then over the ids in order; a group begins where the sum passes a multiple of
+    ``chunk_bytes``.  Ids with several rows and more bytes than that are groups of their own.  Only the first id of each
+    group and its number of chunks come to the driver: about as many as Spark's own range partitioning collects.
+    """
+    size = F.coalesce(F.sum(F.octet_length("text")), F.lit(0)) + F.count("*")
+    sizes = documents.groupBy("doc_id").agg(F.count("*").alias("n"), size.alias("size"))
+    sizes, path = stored(sizes, "sizes")
+    parts = F.ceil(F.col("size") / chunk_bytes)
+    nameless = sizes.where("doc_id IS NULL").select(parts).first()
+    placed = ranged_sums(sizes.where("doc_id IS NOT NULL"), [], [F.col("doc_id")], "size", "places")
+    split = (F.col("n") > 1) & (F.col("size") > chunk_bytes)
+    groups = placed.groupBy(F.expr(f"before DIV {chunk_bytes}"), split.alias("split")).agg(
+        F.min("doc_id").alias("first"), F.max(F.when(split, parts).otherwise(1)).alias("parts")
+    )
+    found = groups.select("first", "parts").orderBy("first").collect()
+    removed(documents.sparkSession, path)
+    firsts = np.array([r["first"] for r in found], np.int64)
+    counts = np.array([nameless[0] if nameless else 1] + [r["parts"] for r in found], np.int64)
+
+    @F.arrow_udf("bigint")
+    def chunk(ids: pa.Array, marks: pa.Array) -> pa.Array:
+        group = np.searchsorted(firsts, pc.fill_null(ids, 0).to_numpy(zero_copy_only=False), side="right")
+        group[ids.is_null().to_numpy(zero_copy_only=False)] = 0
+        return pa.array((group << PART_BITS) | marks.to_numpy(zero_copy_only=False) % counts[group])
+
+    return chunk(F.col("doc_id"), F.xxhash64("text")), int(counts[1:].sum() + (counts[0] if nameless else 0))
+
+
 def resolve_repeats(
     documents: DataFrame,
     fingerprints: Callable[[pa.Table], Pair],
@@ -153,22 +192,21 @@ def resolve_repeats(
     ``fingerprints(rows)`` gives a chunk's sorted anchors and probes of ``bits`` bits; a chance hit among them costs
     time only, as windows carry full hashes.  ``match`` compares them between chunks.  ``windows(rows, live)`` gives
     the sorted window hashes around the live ones, ``resolve(rows, earlier, settled)`` the result rows, given the
-    windows that occur earlier and the probes that ``match`` has settled.  ``documents`` has ``doc_id, text``; rows with a null id come first and must not publish anything.
+    windows that occur earlier and the probes that ``match`` has settled.  ``documents`` has ``doc_id, text``; rows with a
+    null id must not publish anything.  Rows that repeat both id and text lie in one chunk.
     Columns in ``carry`` reach ``resolve`` as ``carried_0`` and so on.  The laid-out texts and the answers stay in the shared folder, as the result reads them.
     """
     spark = documents.sparkSession
     small_batches(spark)
-    chunks = max(-(-text_bytes(documents) // chunk_bytes), 1)
-    slots = chunks
+    chunk, chunks = laid_out(documents, chunk_bytes)
+    slots = chunks = max(chunks, 1)
     name, path = f"chunks_{uuid.uuid4().hex}", scratch_path(spark, "chunks")
     carried = (F.col(c).alias(f"carried_{k}") for k, c in enumerate(carry))
-    spread = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
-    laid_out = documents.select("doc_id", "text", *carried).repartitionByRange(chunks, "doc_id", spread)
-    laid_out = laid_out.withColumn("chunk", F.spark_partition_id())
     buckets = min(chunks, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
-    writer = laid_out.write.bucketBy(buckets, "chunk").option("path", path).option("compression", "zstd")
+    rows = documents.select("doc_id", "text", *carried, chunk.alias("chunk")).repartition(buckets, "chunk")
+    writer = rows.write.bucketBy(buckets, "chunk").option("path", path).option("compression", "zstd")
     writer.saveAsTable(name)
-    del laid_out, writer
+    del rows, writer
     released(spark)
     table = spark.table(name)
 
@@ -213,5 +251,5 @@ def resolve_repeats(
 
 
 SETS_ARROW = pa.schema(
-    [("slot", pa.int32()), ("chunk", pa.int32()), ("anchors", pa.binary()), ("probes", pa.binary())]
+    [("slot", pa.int32()), ("chunk", pa.int64()), ("anchors", pa.binary()), ("probes", pa.binary())]
 )

@@ -5,9 +5,11 @@ import random
 import numpy as np
 import pytest
 from brute import WORD, repeats, sha
+from pyspark.sql import functions as F
 
 from layerwright.llm.blocks import substring_dedup
 from layerwright.llm.prefix_free import corpus_order, suffix_dedup
+from layerwright.llm.repeats import PART_BITS, laid_out
 
 SCHEMA = "doc_id long, text string, chunk int, kept string"
 
@@ -99,3 +101,32 @@ def test_more_chunks_than_buckets(spark):
         run_bytes(spark, docs, size // 60)
     finally:
         spark.conf.set(setting, before)
+
+
+@pytest.mark.parametrize("chunk_bytes", [3000, 20000])
+def test_a_third_under_one_id(spark, chunk_bytes):
+    """Rows that share an id lie in several chunks; they do not cut each other, but ids before and after them do."""
+    docs = corpus(8)
+    for k, hot in enumerate((30, 103, -4)):
+        docs += [(hot, f"{k} {n} {text}") for n, (_, text) in enumerate(docs[k * 9 : k * 9 + 30])]
+    docs += [(None, f"{n} {text}") for n, (_, text) in enumerate(docs[:20])]
+    run_words(spark, docs, chunk_bytes)
+    run_bytes(spark, docs, chunk_bytes)
+
+
+def test_chunks_follow_bytes(spark):
+    """Long texts that lie side by side are cut apart; a chunk exceeds its size by one text at most."""
+    docs = [(i, "x" * (9000 if 100 <= i < 140 else 10)) for i in range(1000)]
+    docs += [(500, f"{k:09000d}") for k in range(60)] + [(None, f"{k:09000d}") for k in range(40)]
+    table = frame(spark, docs)
+    chunk, chunks = laid_out(table, 20000)
+    rows = table.select("doc_id", F.octet_length("text").alias("size"), chunk.alias("chunk"))
+    found = rows.groupBy((F.col("chunk") / (1 << PART_BITS)).cast("long").alias("part"), "chunk").agg(
+        F.sum("size").alias("size"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
+    )
+    found = found.orderBy("chunk").collect()
+    assert len(found) <= chunks and sum(r.size for r in found) == sum(len(t) for _, t in docs)
+    named = [r for r in found if r.low is not None]
+    assert max(r.size for r in named if not r.low == r.high == 500) < 20000 + 9000
+    assert len([r for r in named if r.low == r.high == 500]) > 15 and len(found) - len(named) > 10
+    assert all(a.high < b.low or a.part == b.part for a, b in zip(named, named[1:]))
