@@ -15,12 +15,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import small_batches, text_bytes
-from .words import MIX, distinct, member, mixed, runs, slices, split_words, text_units, tidy, whole
+from ..session import scratch_path
+from .tables import small_batches, stored, text_bytes
+from .words import MIX, distinct, member, mixed, slices, split_words, text_units, tidy, whole
 
 SHARD_BYTES = 4 << 20
 # Test text one pass takes along; a larger test set takes more passes.
 TEST_BYTES = 16 << 20
+HITS = "array<struct<start: int, stop: int>>"
+MATCHES = "array<struct<item_id: string, start: int, length: int>>"
+HITS_ARROW = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
+MATCHES_ARROW = pa.list_(pa.struct([("item_id", pa.string()), ("start", pa.int32()), ("length", pa.int32())]))
 # Bytes of words are digits, letters and everything beyond ASCII; A-Z are lower-cased.
 WORD_BYTES = np.array(
     [b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)], np.uint8
@@ -132,6 +137,84 @@ class TestSuffixes:
         return self.items[window], back, self.widths[window], length
 
 
+def searched(rows: DataFrame, tests: TestSuffixes, keep_text: bool = True) -> DataFrame:
+    """Rows with ``text``, and beside them ``n_words, hits, matches`` for one block of test items."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", SHARD_BYTES):
+                values, bounds = test_words(whole(part["text"]))
+                item, start, width, length = tests.matches(values, bounds)
+                hits: list[list] = [[] for _ in range(part.num_rows)]
+                matches: list[list] = [[] for _ in range(part.num_rows)]
+                owner = np.searchsorted(bounds, start, side="right") - 1
+                order = np.lexsort((start, -length, item, owner))
+                owner, item, start, width, length = (x[order] for x in (owner, item, start, width, length))
+                heads = np.flatnonzero(np.diff(owner, prepend=-1))
+                for a, b in zip(heads, np.append(heads[1:], len(owner))):
+                    doc = owner[a]
+                    hits[doc] = joined_runs(start[a:b] - bounds[doc], start[a:b] - bounds[doc] + width[a:b])
+                    firsts = a + np.flatnonzero(np.diff(item[a:b], prepend=-1))
+                    for k in firsts:
+                        place = int(start[k] - bounds[doc])
+                        named = tests.item_ids[item[k]]
+                        matches[doc].append({"item_id": named, "start": place, "length": int(length[k])})
+                columns = {name: part[name] for name in part.column_names if keep_text or name != "text"}
+                columns["n_words"] = pa.array(np.diff(bounds), pa.int64())
+                columns["hits"] = pa.array(hits, HITS_ARROW)
+                columns["matches"] = pa.array(matches, MATCHES_ARROW)
+                yield from pa.table(columns).to_batches()
+
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if keep_text or f.name != "text"]
+    return rows.mapInArrow(tidy(scan), ", ".join([*kinds, "n_words bigint", f"hits {HITS}", f"matches {MATCHES}"]))
+
+
+def joined_runs(starts: np.ndarray, stops: np.ndarray) -> list[dict]:
+    """Maximal runs of the places covered by spans; spans that touch are one run."""
+    order = np.argsort(starts, kind="stable")
+    starts, reach = starts[order], np.maximum.accumulate(stops[order])
+    heads = np.flatnonzero(np.append(True, starts[1:] > reach[:-1]))
+    tails = np.append(heads[1:], len(starts)) - 1
+    return [{"start": x, "stop": y} for x, y in zip(starts[heads].tolist(), reach[tails].tolist())]
+
+
+def in_passes(rows: DataFrame, items: DataFrame, passes: int, window: int) -> DataFrame:
+    """``searched`` for test items of several blocks, one after the other, so that one block at a time is in memory.
+
+    Rows are stored once under a number; the first pass writes what it finds for all rows, each later one for those
+    that it hits, without texts, and a row's finds are merged at the end.
+    """
+    spark = rows.sparkSession
+    rows, _ = stored(rows.withColumn("row_number", F.monotonically_increasing_id()), "judged")
+    finds = scratch_path(spark, "finds")
+    texts = rows.select("row_number", "text")
+    for n in range(passes):
+        found = searched(texts, collected(items, passes, n, window), keep_text=False)
+        if n:
+            found = found.where("size(hits) > 0")
+        found.write.mode("append").parquet(finds)
+
+    @F.arrow_udf(HITS)
+    def merged(starts: pa.Array, stops: pa.Array) -> pa.Array:
+        pairs = zip(starts.to_pylist(), stops.to_pylist())
+        return pa.array([joined_runs(np.array(a), np.array(b)) if a else [] for a, b in pairs], HITS_ARROW)
+
+    found = spark.read.schema(f"row_number bigint, n_words bigint, hits {HITS}, matches {MATCHES}").parquet(finds)
+    found = found.groupBy("row_number").agg(
+        F.max("n_words").alias("n_words"),
+        F.flatten(F.collect_list("hits")).alias("hits"),
+        F.flatten(F.collect_list("matches")).alias("matches"),
+    )
+    found = found.withColumn("hits", merged(F.col("hits.start"), F.col("hits.stop")))
+    return rows.join(found, "row_number").drop("row_number")
+
+
+def collected(items: DataFrame, passes: int, n: int, window: int) -> TestSuffixes:
+    """The windows of block ``n`` of the test items."""
+    block = items.where(F.expr(f"pmod(xxhash64(item_id, text), {passes}) = {n}")).collect()
+    return TestSuffixes([r.item_id for r in block], [r.text for r in block], window)
+
+
 def decontaminated(
     documents: DataFrame, benchmark: DataFrame, window: int = 13, percent: int = 5, carry: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -143,59 +226,19 @@ def decontaminated(
     per row: ``doc_id, n_words, hits`` (maximal runs of hit words as ``start, stop``), ``matches`` (per item that
     occurs, its longest verbatim match as ``item_id, start, length``; the first of equally long ones), ``n_hit`` and
     ``contaminated`` (some word is hit, and hits are ``percent`` of the words or more).  Null texts have no words; null
-    ids are allowed on both sides; repeated rows are judged each; empty tables give no rows, or no hits.
+    ids are allowed on both sides; repeated rows are judged each, repeated items once; empty tables give no rows, or no
+    hits.
     """
     spark = documents.sparkSession
     small_batches(spark)
     kept = [f"carried_{k}" for k in range(len(carry))]
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
     passes = max(-(-text_bytes(items) // TEST_BYTES), 1)
-    found = "array<struct<start: int, stop: int>>"
-    matched = "array<struct<item_id: string, start: int, length: int>>"
-    rows = documents.select(
-        "doc_id",
-        "text",
-        *(F.col(c).alias(k) for c, k in zip(carry, kept)),
-        F.lit(0).cast("bigint").alias("n_words"),
-        F.expr(f"CAST(array() AS {found})").alias("hits"),
-        F.expr(f"CAST(array() AS {matched})").alias("matches"),
-    )
-    schema = rows.schema
-    for n in range(passes):
-        block = items.where(F.expr(f"pmod(xxhash64(item_id, text), {passes}) = {n}")).collect()
-        tests = TestSuffixes([r.item_id for r in block], [r.text for r in block], window)
-
-        def scan(batches: Iterator[pa.RecordBatch], tests: TestSuffixes = tests) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for part in slices(batch, "text", SHARD_BYTES):
-                    values, bounds = test_words(whole(part["text"]))
-                    item, start, width, length = tests.matches(values, bounds)
-                    hits, matches = whole(part["hits"]).to_pylist(), whole(part["matches"]).to_pylist()
-                    owner = np.searchsorted(bounds, start, side="right") - 1
-                    order = np.lexsort((start, -length, item, owner))
-                    owner, item, start, width, length = (x[order] for x in (owner, item, start, width, length))
-                    heads = np.flatnonzero(np.diff(owner, prepend=-1))
-                    for a, b in zip(heads, np.append(heads[1:], len(owner))):
-                        doc = owner[a]
-                        mask = np.zeros(bounds[doc + 1] - bounds[doc] + 1, np.int32)
-                        np.add.at(mask, start[a:b] - bounds[doc], 1)
-                        np.add.at(mask, start[a:b] - bounds[doc] + width[a:b], -1)
-                        mask = np.cumsum(mask[:-1]) > 0
-                        for span in hits[doc]:
-                            mask[span["start"] : span["stop"]] = True
-                        hits[doc] = [{"start": x, "stop": y} for x, y in zip(*(e.tolist() for e in runs(mask)))]
-                        firsts = a + np.flatnonzero(np.diff(item[a:b], prepend=-1))
-                        for k in firsts:
-                            place = int(start[k] - bounds[doc])
-                            named = tests.item_ids[item[k]]
-                            matches[doc].append({"item_id": named, "start": place, "length": int(length[k])})
-                    columns = {name: part[name] for name in part.column_names}
-                    columns["n_words"] = pa.array(np.diff(bounds), pa.int64())
-                    columns["hits"] = pa.array(hits, part.schema.field("hits").type)
-                    columns["matches"] = pa.array(matches, part.schema.field("matches").type)
-                    yield from pa.table(columns).to_batches()
-
-        rows = rows.mapInArrow(tidy(scan), schema)
+    rows = documents.select("doc_id", "text", *(F.col(c).alias(k) for c, k in zip(carry, kept)))
+    if passes == 1:
+        rows = searched(rows, collected(items, 1, 0, window))
+    else:
+        rows = in_passes(rows, items, passes, window)
     n_hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
     result = rows.select(
         "doc_id",
