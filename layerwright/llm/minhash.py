@@ -20,7 +20,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected
@@ -31,6 +31,10 @@ SYMBOLS = 64
 ERRORS = 1
 SLICE_BYTES = 2 << 20
 BLOCK = 512
+# Ids are marked in 2^24 bits before texts move: 2 MB are broadcast, whatever the number of ids.
+BITMAPS = 512
+# Fixed value: the size of Spark's bitmaps.
+BITMAP_BITS = 1 << 15
 # A pair at the similarity limit lies beyond the signature distance less often than this.
 MISSED = 1e-6
 SEEDS = mixed(np.arange(1, 2 * SYMBOLS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -175,13 +179,32 @@ def compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def maybe_in(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """The rows whose id may be one of ``ids`` (``rep``): all that are, and some more where hashes meet.
+
+    One bit per hash of an id, in a fixed number of bitmaps; they let more rows pass as they fill up.
+    """
+
+    def place(name: str) -> list[Column]:
+        mark = F.xxhash64(F.col(name).cast("long"))
+        position = F.pmod(F.shiftright(mark, 32), F.lit(BITMAP_BITS)).cast("int")
+        return [F.pmod(mark, F.lit(BITMAPS)).alias("bitmap"), position.alias("position")]
+
+    marks = ids.select(*place("rep")).groupBy("bitmap").agg(F.bitmap_construct_agg("position").alias("bits"))
+    marked = rows.select("*", *place(column)).join(F.broadcast(marks), "bitmap")
+    byte = F.conv(F.hex(F.expr("substring(bits, position DIV 8 + 1, 1)")), 16, 10).cast("int")
+    return marked.where(F.getbit(byte, F.expr("position % 8")) == 1).select(*rows.columns)
+
+
 def class_texts(documents: DataFrame, reps: DataFrame, groups: DataFrame) -> DataFrame:
     """``rep, one, two, symbols`` and the text of the classes in ``groups``, and ``places``, the groups of each.
 
-    Everything meets by document id, so texts move once; an id has at most one place per key.  Rows with one id may
-    have several texts, which are paired with all classes of the id; who computes the sets keeps the fitting ones.
+    Everything meets by document id, so texts move once; an id has at most one place per key.  Texts of no group stay
+    where they are, but for a few.  Rows with one id may have several texts, which are paired with all classes of the
+    id; who computes the sets keeps the fitting ones.
     """
     texts = documents.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
+    texts = maybe_in(texts, "doc_id", groups)
     texts = texts.mapInArrow(tidy(compressed), "rep long, n_bytes long, packed binary")
     texts = texts.join(groups.select("rep"), "rep", "left_semi")
     texts = texts.groupBy("rep", "n_bytes", F.xxhash64("packed").alias("h")).agg(F.first("packed").alias("packed"))
@@ -261,8 +284,10 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     reps = classes.agg(F.min("doc_id").alias("rep"), F.min_by("symbols", "doc_id").alias("symbols"))
     reps, reps_path = stored(reps, "reps")
     keys = reps.select("rep", "symbols").mapInArrow(tidy(keyed(chunks)), "key long, rep long")
-    pivots = keys.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last")).where("pivot < last")
-    groups = keys.join(pivots.select("key", "pivot"), "key").select("pivot", "rep").distinct()
+    # Keys are nearly all of what is shuffled, so they move once.
+    same = Window.partitionBy("key")
+    met = keys.withColumns({"pivot": F.min("rep").over(same), "last": F.max("rep").over(same)})
+    groups = met.where("pivot < last").select("pivot", "rep").distinct()
     groups, groups_path = stored(groups, "groups")
 
     # Groups in blocks: every pair of blocks is one unit of work.

@@ -55,6 +55,44 @@ def test_against_all_pairs(spark, monkeypatch, words, percent):
     assert len(check(spark, corpus(), words, percent)) > 100
 
 
+def test_full_marks_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BITMAPS", 1)
+    monkeypatch.setattr(minhash, "BITMAP_BITS", 4)
+    assert len(check(spark, corpus(5), 3, 85)) > 100
+
+
+def test_marks_keep_every_id_and_few_others(spark):
+    rows = spark.sql("SELECT CAST(id - 10000 AS INT) AS doc_id, 'x' AS text FROM range(20000) UNION ALL SELECT NULL, 'y'")
+    wanted = spark.sql("SELECT id - 10000 AS rep FROM range(0, 20000, 7)")
+    kept = {r.doc_id for r in minhash.maybe_in(rows, "doc_id", wanted.unionAll(wanted)).collect()}
+    asked = set(range(-10000, 10000, 7))
+    assert asked <= kept and len(kept - asked) < 100 and None not in kept
+    assert minhash.maybe_in(rows, "doc_id", wanted.where("false")).count() == 0
+
+
+def test_keys_move_once_and_texts_of_no_group_stay(spark, monkeypatch):
+    plans, store = {}, minhash.stored
+
+    def seen(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return store(df, label)
+
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(minhash, "stored", seen)
+    try:
+        near_duplicates(frame(spark, corpus()), 3, 85)
+        ids = spark.createDataFrame([(3, 5), (3, 3)], "pivot long, rep long")
+        docs = spark.createDataFrame([(i, f"text {i}") for i in range(2000)], "doc_id long, text string")
+        reps = spark.createDataFrame([(3, 1, 2, b"s")], "rep long, one long, two long, symbols binary")
+        texts = minhash.class_texts(docs, reps, ids)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert plans["groups"].count("hashpartitioning(key") == 1 and plans["groups"].count("MapInArrow") == 1
+    # Texts of no group are left out before they are compressed.
+    assert "BroadcastHashJoin" in texts[texts.index("MapInArrow") :]
+
+
 def test_empty(spark):
     assert near_duplicates(frame(spark, [])).collect() == []
     row = near_duplicates(frame(spark, [(None, "a b")])).first()
