@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from layerwright.config import IngestSpec
+from layerwright.functions import digests
 from layerwright.operators import contracts
 from layerwright.plans import landing, medallion
 from layerwright.plans.landing import Layout
@@ -103,6 +104,67 @@ def test_a_file_read_in_pieces_is_an_error():
         list(files._md5(iter([pa.RecordBatch.from_pydict(columns)])))
 
 
+def read_by_tasks(spark, folder):
+    """The bytes each partition of a manifest's scan gets."""
+    cut = files.pieces_at_once(spark, folder, "*.bin")
+    rows = files.cut_bytes(spark, folder, "*.bin") if cut is None else cut
+    sizes = rows.groupBy(F.spark_partition_id()).agg(F.sum(F.octet_length("value") + 1).alias("n"))
+    return sorted(r.n for r in sizes.collect())
+
+
+def test_a_large_file_is_summed_by_several_tasks(spark, tmp_path, monkeypatch):
+    """Pieces with many cuts, without any and with one at a piece's edge; none is read whole, and no md5 changes."""
+    monkeypatch.setattr(files, "PIECE_BYTES", 700_000)
+    contents = {
+        "mixed": bytes(range(256)) * 9000, "ones": b"1" * 1_500_001, "none": b"\x00\xff\n\r" * 500_000,
+        "edges": (b"x" * 699_999 + b"1") * 3, "small": b"ab1", "not": b"1ab", "empty": b"",
+    }
+    for name, data in contents.items():
+        (tmp_path / f"{name}.bin").write_bytes(data)
+    built = files.checksum_manifest(spark, str(tmp_path), "*.bin")
+    expected = {n: (len(d), hashlib.md5(d).hexdigest()) for n, d in contents.items() if d}
+    assert {Path(r.path).stem: (r["size"], r.md5) for r in built.collect()} == expected
+    assert built.limit(2).count() == 2 and len(built.coalesce(1).take(1)) == 1
+
+
+def test_no_task_reads_a_large_file_whole(spark, tmp_path, monkeypatch):
+    tasks = spark.sparkContext.defaultParallelism
+    size, folder = 8_000_000, str(tmp_path)
+    (tmp_path / "large.bin").write_bytes(b"abcdefg1" * (size // 8))
+    assert read_by_tasks(spark, folder) == [size]
+    monkeypatch.setattr(files, "PIECE_BYTES", 100_000)
+    read = read_by_tasks(spark, folder)
+    assert sum(read) == size and len(read) <= tasks
+    assert max(read) < 2 * size / tasks + 100_000
+
+
+def test_a_file_without_one_of_its_pieces_is_an_error(monkeypatch):
+    """One task alone, whose file has bytes that no task holds."""
+    import pyarrow as pa
+
+    class Alone:
+        def allGather(self, message):
+            return [message]
+
+    monkeypatch.setattr(files.BarrierTaskContext, "get", Alone)
+    columns = {"path": ["f", "f"], "size": [9, 9], "start": [0, 0], "length": [6, 6], "data": [b"ab1", b"cd1"]}
+    with pytest.raises(ValueError, match="3 bytes"):
+        list(files._md5_of_pieces(iter([pa.RecordBatch.from_pydict(columns)])))
+    later = {"path": ["f"], "size": [9], "start": [4], "length": [5], "data": [b"ab1"]}
+    with pytest.raises(ValueError, match="f: "):
+        list(files._md5_of_pieces(iter([pa.RecordBatch.from_pydict(later)])))
+
+
+def test_an_md5_is_resumed():
+    data = bytes(range(256)) * 5
+    for cut in (0, 1, 63, 64, 65, 1000, len(data)):
+        first = digests.Md5()
+        first.update(data[:cut])
+        second = digests.Md5(first.state())
+        second.update(memoryview(data)[cut:])
+        assert second.hexdigest() == hashlib.md5(data).hexdigest() == second.hexdigest()
+
+
 def test_building_a_manifest_runs_no_job(spark, deliveries):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("build", "build")
