@@ -1,8 +1,8 @@
-"""How far the sources of a language differ in their terms, counted by digests of terms.
+"""How far the sources of a language differ in their terms, which move once to be counted.
 
-Tasks cut texts into terms and count them under a 64-bit digest, which takes the term's place in the shuffles of counts.
-The smallest and largest spelling of every digest and language are looked up once; where they differ, terms collide, and
-those are counted anew with the spelling in their key.  Only terms that get into the result are spelled out again.
+Tasks cut texts into terms and list, per language and term, the counts of each source; these rows are shuffled once, with
+the term's spelling, and summed where they arrive.  A 64-bit digest then takes the place of a kept term; terms of one
+language that share a digest are told apart by their spelling.  Only terms that get into the result are spelled out again.
 """
 
 from __future__ import annotations
@@ -15,15 +15,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import removed, small_batches, stored
-from .words import coded_words, slices, split_words, string_hashes, text_units, tidy, whole
+from .tables import small_batches, stored
+from .words import coded_words, slices, split_words, text_units, tidy, whole
 
 # Text counted at a time.
 PIECE_BYTES = 24 << 20
 SCALE = 1_000_000_000
 # Bytes of terms are letters and everything beyond ASCII; A-Z are lower-cased.
 TERM_BYTES = np.array([b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)], np.uint8)
-COUNTED = "lang string, source string, digest bigint, term string, n bigint, docs bigint"
+COUNTED = "lang string, term string, spread array<struct<source:string,n:bigint,docs:bigint>>"
 
 
 def terms_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -43,60 +43,49 @@ def summed(keys: np.ndarray, *columns: np.ndarray) -> list[np.ndarray]:
     return [ordered[first], *[np.add.reduceat(c[order], first) if len(first) else c[:0] for c in columns]]
 
 
-def counted_terms(piece: pa.Table, bits: int, spelled: bool) -> pa.RecordBatch:
-    """Rows of ``COUNTED`` for some documents: terms per language with ``docs``, without a source; terms per language
-    and source with ``n``, spelled out on request only; and every group of the documents, without a digest."""
+def counted_terms(piece: pa.Table) -> pa.RecordBatch:
+    """Rows of ``COUNTED`` for some documents: per language and term the occurrences ``n`` and the documents of each source
+    that has it, and per language, under no term, all its sources."""
     values, bounds = terms_of(whole(piece["text"]))
     codes, distinct = coded_words(values)
     names = [whole(piece[c]).dictionary_encode() for c in ("lang", "source")]
     lang, source = (n.indices.to_numpy(zero_copy_only=False).astype(np.int64) for n in names)
-    wide, size = len(names[1].dictionary), max(len(distinct), 1)
-    group_of = lang * wide + source
+    wide, size = max(len(names[1].dictionary), 1), len(distinct) + 1
     documents = np.repeat(np.arange(piece.num_rows), np.diff(bounds))
     in_document, n = summed(documents * size + codes, np.ones(len(codes), np.int64))
     document, code = in_document // size, in_document % size
-    per_group, n = summed(group_of[document] * size + code, n)
-    per_lang, docs = summed(lang[document] * size + code, np.ones(len(code), np.int64))
-    groups = np.unique(group_of)
-    digests = (string_hashes(distinct) >> np.uint64(64 - bits)).astype(np.int64)
-    count = [len(per_group), len(per_lang), len(groups)]
-    column = lambda *parts: pa.array(np.concatenate(parts))
-    absent = np.repeat([False, True, False], count)
-    code = np.concatenate((per_group % size, per_lang % size))
-    terms = distinct.take(pa.array(code, mask=np.repeat([not spelled, False], count[:2])))
+    # The last code stands for no term.
+    found = ((lang[document] * size + code) * wide + source[document], (lang * size + size - 1) * wide + source)
+    none = np.zeros(piece.num_rows, np.int64)
+    keys, n, docs = summed(np.concatenate(found), np.append(n, none), np.append(np.ones(len(n), np.int64), none))
+    rows = keys // wide
+    first = np.flatnonzero(np.append(np.ones(min(len(rows), 1), bool), rows[1:] != rows[:-1]))
+    spread = pa.StructArray.from_arrays(
+        [names[1].dictionary.take(pa.array(keys % wide)), pa.array(n), pa.array(docs)], ["source", "n", "docs"]
+    )
+    code = rows[first] % size
     return pa.RecordBatch.from_arrays(
         [
-            names[0].dictionary.take(column(per_group // size // wide, per_lang // size, groups // wide)),
-            names[1].dictionary.take(
-                pa.array(np.concatenate((per_group // size % wide, np.zeros(count[1], np.int64), groups % wide)), mask=absent)
-            ),
-            pa.concat_arrays([pa.array(digests[code]), pa.nulls(count[2], pa.int64())]),
-            pa.concat_arrays([terms, pa.nulls(count[2], pa.string())]),
-            column(n, np.zeros(count[1] + count[2], np.int64)),
-            column(np.zeros(count[0], np.int64), docs, np.zeros(count[2], np.int64)),
+            names[0].dictionary.take(pa.array(rows[first] // size)),
+            distinct.take(pa.array(code, mask=code == size - 1)),
+            pa.ListArray.from_arrays(pa.array(np.append(first, len(rows)).astype(np.int32)), spread),
         ],
-        ["lang", "source", "digest", "term", "n", "docs"],
+        ["lang", "term", "spread"],
     )
 
 
-def counter(bits: int, spelled: bool):
-    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-        kept, size = [], 0
-        for batch in batches:
-            for part in slices(batch, "text", PIECE_BYTES):
-                kept.append(part)
-                size += pc.sum(pc.binary_length(part["text"])).as_py() or 0
-                if size >= PIECE_BYTES:
-                    yield pa.concat_tables(kept)
-                    kept, size = [], 0
-        if kept:
-            yield pa.concat_tables(kept)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches):
-            yield counted_terms(piece, bits, spelled)
-
-    return tidy(run)
+@tidy
+def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kept, size = [], 0
+    for batch in batches:
+        for part in slices(batch, "text", PIECE_BYTES):
+            kept.append(part)
+            size += pc.sum(pc.binary_length(part["text"])).as_py() or 0
+            if size >= PIECE_BYTES:
+                yield counted_terms(pa.concat_tables(kept))
+                kept, size = [], 0
+    if kept:
+        yield counted_terms(pa.concat_tables(kept))
 
 
 def exact(expression: str) -> str:
@@ -119,44 +108,30 @@ def times(value: str, count: str) -> Column:
     return F.coalesce(high.cast("decimal(38,0)") * SCALE + low, F.lit(0)).cast("decimal(38,0)")
 
 
-def kept_terms(documents: DataFrame, least_docs: int, bits: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The kept terms ``lang, digest, split, total, spread``, their spellings, and all groups ``lang, source``.
+def kept_terms(documents: DataFrame, least_docs: int, bits: int) -> tuple[DataFrame, DataFrame]:
+    """The kept terms ``lang, digest, split, term, total, spread`` and all groups ``lang, source``.
 
     ``spread`` lists ``source, n`` of a term, ``split`` is the term itself where its digest stands for several, else empty.
     """
-    spark = documents.sparkSession
-    small_batches(spark)
+    small_batches(documents.sparkSession)
     texts = documents.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    local, path = stored(texts.mapInArrow(counter(bits, False), COUNTED), "audit-counts")
-    scratch = [path]
-    groups, _ = stored(local.where("digest IS NULL").select("lang", "source").distinct(), "audit-groups")
-
-    def in_langs(rows: DataFrame) -> DataFrame:
-        return rows.where("digest IS NOT NULL AND source IS NULL")
-
-    # Two terms of one digest count together here, so this keeps too many digests, never too few.
-    spellings = in_langs(local).groupBy("lang", "digest").agg(
-        F.sum("docs").alias("docs"), F.min("term").alias("low"), F.max("term").alias("high")
+    # The rows of a term meet once: both sums over it find them in one place.
+    counts = texts.mapInArrow(counted, COUNTED).repartition("lang", "term").select("lang", "term", F.inline("spread"))
+    counts = counts.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    counts = counts.groupBy("lang", "term").agg(
+        F.sum("n").alias("total"), F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "n")).alias("spread")
     )
-    spellings, _ = stored(spellings.where(f"docs >= {least_docs}"), "audit-spellings")
+    kept, _ = stored(counts.where(f"term IS NULL OR docs >= {least_docs}").drop("docs"), "audit-terms")
+    groups = kept.where("term IS NULL").select("lang", F.explode("spread.source").alias("source"))
+
+    digest = F.shiftrightunsigned(F.xxhash64("term"), 64 - bits).alias("digest")
+    terms = kept.where("term IS NOT NULL").select("lang", digest, "term", "total", "spread")
+    several = terms.groupBy("lang", "digest").agg(F.count("*").alias("several")).where("several > 1")
     split = F.lit("")
-    seen = spellings.select("lang", "digest", split.alias("split"), "docs")
-    several = spellings.where("low <> high").select("lang", "digest", F.lit(True).alias("several"))
     if not several.isEmpty():
-        local, path = stored(texts.mapInArrow(counter(bits, True), COUNTED), "audit-split-counts")
-        scratch.append(path)
-        local = local.join(several, ["lang", "digest"], "left")
-        split = F.expr("CASE WHEN several THEN term ELSE '' END")
-        seen = in_langs(local).groupBy("lang", "digest", split.alias("split")).agg(F.sum("docs").alias("docs"))
-    counts = local.where("digest IS NOT NULL AND source IS NOT NULL")
-    counts = counts.groupBy("lang", "source", "digest", split.alias("split")).agg(F.sum("n").alias("n"))
-    counts = counts.groupBy("lang", "digest", "split").agg(
-        F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("spread")
-    )
-    kept = seen.where(f"docs >= {least_docs}")
-    terms, _ = stored(counts.join(kept.drop("docs"), ["lang", "digest", "split"], "left_semi"), "audit-terms")
-    removed(spark, *scratch)
-    return terms, spellings.select("lang", "digest", "low"), groups
+        terms = terms.join(several, ["lang", "digest"], "left")
+        split = F.expr("CASE WHEN several > 1 THEN term ELSE '' END")
+    return terms.select("lang", "digest", split.alias("split"), "term", "total", "spread"), groups
 
 
 def totals(terms: DataFrame, groups: DataFrame) -> DataFrame:
@@ -211,7 +186,7 @@ def source_pairs(terms: DataFrame, groups: DataFrame) -> DataFrame:
     return total.groupBy(*key).agg(F.sum("value").cast("bigint").alias("value"))
 
 
-def leading_terms(terms: DataFrame, spellings: DataFrame, groups: DataFrame, ranks: int) -> DataFrame:
+def leading_terms(terms: DataFrame, groups: DataFrame, ranks: int) -> DataFrame:
     """``lang, source, item, value``: terms a source uses more than its language, at least those of the first ranks."""
     spread = terms.select("lang", "digest", "split", "total", F.explode("spread").alias("x"))
     spread = spread.select("lang", "digest", "split", "total", "x.source", "x.n").join(groups, ["lang", "source"])
@@ -225,8 +200,8 @@ def leading_terms(terms: DataFrame, spellings: DataFrame, groups: DataFrame, ran
     least = first.groupBy("lang", "source").agg(F.min("value").alias("least"))
     leading = valued.join(least, ["lang", "source"]).where("value >= least")
     leading, _ = stored(leading.drop("least"), "audit-leading")
-    item = F.expr("CASE WHEN split = '' THEN low ELSE split END").alias("item")
-    return leading.join(spellings, ["lang", "digest"]).select("lang", "source", item, "value")
+    spelled = terms.select("lang", "digest", "split", F.col("term").alias("item"))
+    return leading.join(spelled, ["lang", "digest", "split"]).select("lang", "source", "item", "value")
 
 
 def source_divergence(documents: DataFrame, least_docs: int = 3, ranks: int = 200, bits: int = 64) -> DataFrame:
@@ -238,10 +213,10 @@ def source_divergence(documents: DataFrame, least_docs: int = 3, ranks: int = 20
     own.  A group without terms takes part with counts of 0; a language without kept terms has pairs of value 0.  Ranks
     go by value, then by the item's bytes.  No rows give no rows.  ``bits`` is the width of the digests.
     """
-    terms, spellings, groups = kept_terms(documents, least_docs, bits)
+    terms, groups = kept_terms(documents, least_docs, bits)
     groups, _ = stored(totals(terms, groups), "audit-totals")
     pair = source_pairs(terms, groups).withColumn("part", F.lit("pair"))
-    term = leading_terms(terms, spellings, groups, ranks).withColumn("part", F.lit("term"))
+    term = leading_terms(terms, groups, ranks).withColumn("part", F.lit("term"))
 
     by_rank = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), F.col("item").asc())
     rank = F.row_number().over(by_rank).alias("rank")

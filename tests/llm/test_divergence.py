@@ -1,5 +1,6 @@
 """The source audit against plain Python, with digests wide and narrow."""
 
+import itertools
 import random
 import re
 from collections import Counter, defaultdict
@@ -78,3 +79,25 @@ def test_small_pieces(spark, monkeypatch):
 def test_empty(spark):
     assert run(spark, []) == []
     assert run(spark, [(1, None, None, None)]) == []
+
+
+def test_counts_move_once(spark, monkeypatch, capsys):
+    from layerwright.llm import divergence
+
+    rows, plans, keep = {}, {}, divergence.stored
+
+    def stored(df, label):
+        capsys.readouterr()
+        df.explain()
+        plans[label] = capsys.readouterr().out
+        kept, path = keep(df, label)
+        rows[label] = kept.count()
+        return kept, path
+
+    monkeypatch.setattr(divergence, "stored", stored)
+    words = ["".join(w) for w in itertools.product("abcdefghij", repeat=3)]
+    table = [(i, " ".join(words[i::50]) + " shared", "en", "web" if i % 2 else "book") for i in range(50)]
+    assert run(spark, table) == brute(table)
+    # One shuffle takes all counts, and no term that is not kept is written: one term, and a row for the groups.
+    assert plans["audit-terms"].count("Exchange hashpartitioning") == 1
+    assert rows["audit-terms"] == 2 and max(rows.values()) == 2
